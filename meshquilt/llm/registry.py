@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from . import license_scan, mixing, quality_rules, url_filters
+from . import language_id, license_scan, mixing, quality_classifier, quality_rules, topk_search, toxicity, url_filters
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
+    "op2_language_id": language_id.op2_language_id,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op5_mixing_sources": mixing.op5_mixing_sources,
+    "op6_quality_classifier": quality_classifier.op6_quality_classifier,
     "op7_url_filters": url_filters.op7_url_filters,
+    "op8_topk_search": topk_search.op8_topk_search,
     "op10_license_scans": license_scan.op10_license_scans,
 }
 ORACLES = {
     "op3_quality_rules": quality_rules.SQL,
     "op7_url_filters": url_filters.SQL,
+    "op8_topk_search": topk_search.SQL,
     "op10_license_scans": license_scan.SQL,
 }
