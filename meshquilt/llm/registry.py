@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import language_id, license_scan, mixing, quality_classifier, quality_rules, topk_search, toxicity, url_filters
+from . import language_id, license_scan, mixing, packing, quality_classifier, quality_rules, topk_search, toxicity, url_filters
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_language_id": language_id.op2_language_id,
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op5_mixing_sources": mixing.op5_mixing_sources,
     "op6_quality_classifier": quality_classifier.op6_quality_classifier,
     "op7_url_filters": url_filters.op7_url_filters,
