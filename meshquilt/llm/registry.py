@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_id, license_scan, mixing, packing, quality_classifier, quality_rules, topk_search, toxicity, url_filters
+from . import jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, topk_search, toxicity, url_filters
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_quality_classifier": quality_classifier.op6_quality_classifier,
     "op7_url_filters": url_filters.op7_url_filters,
     "op8_topk_search": topk_search.op8_topk_search,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_license_scans": license_scan.op10_license_scans,
 }
 ORACLES = {
