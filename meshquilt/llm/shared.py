@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 256
+_LOCAL: dict = {}
 
 
 def by_value(name: str) -> None:
@@ -33,8 +34,7 @@ def scratch(spark: SparkSession) -> str:
     """A new folder in the cluster's shared checkpoint folder (a local one only where none is set)."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        base = getattr(spark, "_meshquilt_scratch", None) or "file://" + tempfile.mkdtemp(prefix="meshquilt-")
-        spark._meshquilt_scratch = base
+        base = _LOCAL.setdefault("folder", "file://" + tempfile.mkdtemp(prefix="meshquilt-"))
     return f"{base.rstrip('/')}/meshquilt-{uuid.uuid4().hex}"
 
 
