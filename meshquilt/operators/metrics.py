@@ -39,7 +39,7 @@ def spearman(values: DataFrame, a: str, b: str, keys=("model_id",)) -> DataFrame
     """Correlation of average ranks; NaN under three values or where one side is constant."""
     ranked = average_ranks(average_ranks(values, a, "_a", keys), b, "_b", keys)
     fine = (F.count("*") >= 3) & (F.min("_a") < F.max("_a")) & (F.min("_b") < F.max("_b"))
-    return ranked.groupBy(*keys).agg(F.when(fine, F.corr("_a", "_b")).otherwise(F.lit(float("nan"))).alias("spearman"))
+    return ranked.groupBy(*keys).agg(F.when(fine, F.covar_pop("_a", "_b") / F.nullif(F.stddev_pop("_a") * F.stddev_pop("_b"), F.lit(0.0))).otherwise(F.lit(float("nan"))).alias("spearman"))
 
 
 def stats(values: DataFrame, column: str, keys=("model_id",)) -> DataFrame:

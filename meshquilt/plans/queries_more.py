@@ -197,10 +197,10 @@ def visibility_stats(spark, sf):
     return rounded(VW.visibility_stats(v))
 
 
-@query("""WITH p AS (SELECT l_orderkey % 40 AS model_id, l_linenumber AS view_id, 0.299 * l_quantity + 0.587 * l_discount * 1000 + 0.114 * l_tax * 1000 AS y FROM lineitem WHERE l_quantity > 10)
+@query("""WITH p AS (SELECT l_orderkey % 40 AS model_id, l_linenumber AS view_id, 0.299 * l_quantity / sqrt(CAST(7 AS double)) + 0.587 * l_discount * 1000 + 0.114 * l_tax * 1000 AS y FROM lineitem WHERE l_quantity > 10)
     SELECT model_id, view_id, round(stddev_pop(y), 4) AS std, round(min(y), 4) AS min, round(avg(y), 4) AS mean, stddev_pop(y) >= 5 AS ok FROM p GROUP BY 1, 2""", mesh=False)
 def foreground_luma(spark, sf):
-    p = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 40).alias("model_id"), F.col("l_linenumber").alias("view_id"), F.col("l_quantity").alias("r"), (F.col("l_discount") * 1000).alias("g"), (F.col("l_tax") * 1000).alias("b"), (F.col("l_quantity") > 10).alias("mask"))
+    p = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 40).alias("model_id"), F.col("l_linenumber").alias("view_id"), (F.col("l_quantity") / F.sqrt(F.lit(7.0))).alias("r"), (F.col("l_discount") * 1000).alias("g"), (F.col("l_tax") * 1000).alias("b"), (F.col("l_quantity") > 10).alias("mask"))
     return rounded(VW.foreground_luma(p), 4)
 
 
