@@ -347,7 +347,7 @@ def area_conserved(spark, sf):
 @query(""", mk AS (SELECT *, (u + w) % 3 = 0 AS m FROM edge), fm AS (SELECT f.model_id, f.fid, CAST(a.m AS integer) + CAST(b.m AS integer) + CAST(c.m AS integer) AS k FROM face f
     JOIN mk a ON a.model_id = f.model_id AND a.u = least(i0, i1) AND a.w = greatest(i0, i1) JOIN mk b ON b.model_id = f.model_id AND b.u = least(i1, i2) AND b.w = greatest(i1, i2)
     JOIN mk c ON c.model_id = f.model_id AND c.u = least(i2, i0) AND c.w = greatest(i2, i0))
-    SELECT fm.model_id, sum(k + 1) AS n_faces, round(sum(area), 6) AS area FROM fm JOIN area USING (model_id, fid) GROUP BY fm.model_id""")
+    SELECT fm.model_id, CAST(sum(k + 1) AS bigint) AS n_faces, round(sum(area), 6) AS area FROM fm JOIN area USING (model_id, fid) GROUP BY fm.model_id""")
 def marked_edge_split(spark, sf):
     m = orders_mesh(spark, sf)
     v, f, _ = D.split_marked(m.vertices, m.faces, T.unique_edges(m.faces).filter("(u + w) % 3 = 0"))

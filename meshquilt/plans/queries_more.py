@@ -322,7 +322,7 @@ def batch_status(spark, sf):
     return P.batch_status(table(spark, sf, "orders").select(F.col("o_custkey").alias("model_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("at")))
 
 
-@query("""SELECT round(max(l_extendedprice), 4) AS max_displacement, max(l_quantity) AS q, sum(CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END) AS n_fallback, count(*) AS n FROM lineitem""", mesh=False)
+@query("""SELECT round(max(l_extendedprice), 4) AS max_displacement, max(l_quantity) AS q, CAST(sum(CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END) AS bigint) AS n_fallback, count(*) AS n FROM lineitem""", mesh=False)
 def reconstruction_rollup(spark, sf):
     li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("model_id"), F.col("l_extendedprice").alias("max_displacement"), F.when(F.col("l_discount") > 0.05, 1).otherwise(0).alias("n_fallback"))
     q = table(spark, sf, "lineitem").agg(F.max("l_quantity").alias("q"))
