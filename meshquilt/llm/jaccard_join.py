@@ -11,10 +11,13 @@ the index also holds these segments' one-deletion neighbourhoods (a segment of i
 token from the partner's); frequent ones come last, by frequency. Bands of small sets have one token a segment. A
 set with too few segments (its tokens fell together; hardly ever) is compared with all sets, in blocks.
 
-Equal sets are one class, looked up once. A bucket of the index gives a star of candidate pairs, not all of
-its pairs; pairs are verified on whole sets and joined to components; then each bucket that still holds more
-than one component gives its remaining pairs across components, which are verified too. So no link between
-different components is lost, and a bucket of one component (a large group of copies) costs its size, not its square.
+Equal sets are one class, looked up once. Buckets are not expanded into pairs. Each bucket picks its most
+central set (the one whose buckets are largest, so in a group of copies the text the others were made from)
+and every other set of the bucket joins that centre's group; all sets of a bucket are then in one group, and
+a group's rows are as many as its sets. A group is settled in memory: each set is held as its difference
+from the centre, common tokens are counted by posting lists, a union-find skips what is connected already,
+and only edges that connect go out. Groups over ``GROUP_SETS`` sets or ``GROUP_BYTES`` first link sets to
+the centre by a join; only those left over are compared with the group, in blocks of that size.
 
 Defined results: null and empty texts, and texts without words, have the empty set and are linked with
 nothing; fewer than five words give one shingle; repeated rows are copies; ids may repeat; an empty
@@ -36,9 +39,9 @@ from . import shared, textkit
 WORDS, NUM, DEN = 5, 75, 100
 SINGLE = 64  # sets smaller than this have one token a segment
 WIDE = 16  # every so many segments, one has its one-deletion neighbourhoods in the index
-HOT_TOKENS, HOT_SHARE, HOT_LEAST = 1 << 14, 0.002, 16
-EXHAUST = 4  # buckets of at most so many sets give all their pairs at once
-FLUSH = 1 << 22
+HOT_TOKENS, HOT_SHARE, HOT_LEAST = 1 << 14, 0.002, 8
+GROUP_SETS, GROUP_BYTES = 4096, 24 << 20  # of one block of a group
+FLUSH = 1 << 21
 REST_BLOCK = 256
 _BANDS: dict = {}
 
@@ -290,8 +293,8 @@ def _signatures(texts: DataFrame, alloc: Allocation, labels: np.ndarray) -> Data
     return texts.select("text").mapInArrow(rows, "part int, signs binary, names binary")
 
 
-def _pairs_of(key: np.ndarray, name: np.ndarray, role: np.ndarray):
-    """Candidate pairs, and the rows (bucket, set, looks) of the buckets that did not give all of theirs."""
+def _members(key: np.ndarray, name: np.ndarray, role: np.ndarray):
+    """(bucket, set, sets in the bucket) of the buckets with two sets or more, one of them looking."""
     order = np.argsort(key, kind="stable")
     key, name, role = key[order], name[order], role[order]
     same = key[1:] == key[:-1]
@@ -302,40 +305,18 @@ def _pairs_of(key: np.ndarray, name: np.ndarray, role: np.ndarray):
     order = np.lexsort((name, key))
     key, name, role = key[order], name[order], role[order]
     if not len(key):
-        return np.empty((0, 2), np.uint64), (key, name, role)
+        return key, name, np.empty(0, np.int64)
     first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]))))
     role = np.bitwise_or.reduceat(role, first)
     key, name = key[first], name[first]
     start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     count = np.diff(np.concatenate((start, [len(key)])))
-    looks = np.add.reduceat(role & 1, start)
-    ok = np.repeat((count > 1) & (looks > 0), count)
-    key, name, role = key[ok], name[ok], role[ok]
-    keep = (count > 1) & (looks > 0)
-    count = count[keep]
-    start = np.cumsum(count) - count
-    if not len(key):
-        return np.empty((0, 2), np.uint64), (key, name, role)
-    bucket = np.repeat(np.arange(len(count)), count)
-    found = []
-    small = np.repeat(count <= EXHAUST, count)
-    for step in range(1, EXHAUST):
-        a = np.flatnonzero(small[:-step] & (bucket[:-step] == bucket[step:])) if len(key) > step else np.empty(0, np.int64)
-        a = a[((role[a] | role[a + step]) & 1) > 0]
-        found.append(np.stack((name[a], name[a + step]), axis=1))
-    big = ~small
-    # the star's centre: of those that look, the one that comes first in an order common to all buckets
-    place = np.where(role & 1 > 0, textkit.mix(name) >> np.uint64(1), np.uint64(2**64 - 1))
-    order = np.lexsort((place, bucket))
-    centre = name[order[start]][bucket]
-    use = big & (name != centre)
-    a, b = name[use], centre[use]
-    found.append(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1))
-    return np.unique(np.concatenate(found), axis=0), (key[big], name[big], role[big])
+    ok = np.repeat((count > 1) & (np.add.reduceat(role & 1, start) > 0), count)
+    return key[ok], name[ok], np.repeat(count, count)[ok]
 
 
 def _buckets(packed: DataFrame, n: int) -> DataFrame:
-    """kind 0: pair a, b. kind 1: bucket a, set b, looks c. kind 2: set a with too few segments."""
+    """kind 1: bucket a, set b, sets in the bucket c. kind 2: set a with too few segments."""
 
     def rows(batches):
         signs, names, short = [], [], []
@@ -346,7 +327,7 @@ def _buckets(packed: DataFrame, n: int) -> DataFrame:
                 else:
                     signs.append(np.frombuffer(s, np.uint64))
                     names.append(np.frombuffer(k, np.uint64))
-        put = lambda kind, a, b, c: pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(c.astype(np.int32))], ["kind", "a", "b", "c"])
+        put = lambda kind, a, b, c: pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(c.astype(np.int64))], ["kind", "a", "b", "c"])
         if short:
             a = np.unique(np.concatenate(short))
             yield put(2, a, a, np.zeros(len(a)))
@@ -354,14 +335,11 @@ def _buckets(packed: DataFrame, n: int) -> DataFrame:
             return
         sign, name = np.concatenate(signs), np.concatenate(names)
         del signs, names
-        pairs, (key, member, role) = _pairs_of(sign >> np.uint64(2), name, (sign & np.uint64(3)).astype(np.int32))
-        for i in range(0, len(pairs), 1 << 16):
-            p = np.ascontiguousarray(pairs[i : i + (1 << 16)].T)
-            yield put(0, p[0], p[1], np.zeros(p.shape[1]))
+        key, name, count = _members(sign >> np.uint64(2), name, (sign & np.uint64(3)).astype(np.int32))
         for i in range(0, len(key), 1 << 16):
-            yield put(1, key[i : i + (1 << 16)], member[i : i + (1 << 16)], role[i : i + (1 << 16)] & 1)
+            yield put(1, key[i : i + (1 << 16)], name[i : i + (1 << 16)], count[i : i + (1 << 16)])
 
-    return packed.repartition(n, "part").mapInArrow(rows, "kind int, a long, b long, c int")
+    return packed.repartition(n, "part").mapInArrow(rows, "kind int, a long, b long, c long")
 
 
 def _even_labels(spark, n: int) -> np.ndarray:
@@ -371,27 +349,24 @@ def _even_labels(spark, n: int) -> np.ndarray:
 
 
 def _sets(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """name, tokens (sorted) of the sets whose names pass the bitmap; one row for each name."""
+    """name, tokens (sorted) of the documents whose ids pass the bitmap (the first of each set's, and few others)."""
 
     def rows(batches):
-        seen: set = set()
         for b in batches:
-            for _, data, offs in textkit.slices(b.column(0)):
+            ok = shared.passes(wanted, b.column(1).to_numpy(zero_copy_only=False))
+            if not ok.any():
+                continue
+            some = pa.array(b.column(0).filter(pa.array(ok)))
+            for _, data, offs in textkit.slices(some):
                 n = len(offs) - 1
                 owner, token = shingles(data, offs)
                 size, name = set_ids(owner, token, n)
-                ok = (size > 0) & shared.passes(wanted, name.view(np.int64))
                 stop = np.cumsum(size)
-                names, blobs = [], []
-                for i in np.flatnonzero(ok):
-                    if (k := int(name[i])) not in seen:
-                        seen.add(k)
-                        names.append(k)
-                        blobs.append(token[stop[i] - size[i] : stop[i]].tobytes())
-                if names:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(blobs, pa.binary())], ["name", "tokens"])
+                full = np.flatnonzero(size)
+                if len(full):
+                    yield pa.RecordBatch.from_arrays([pa.array(name[full].view(np.int64)), pa.array([token[stop[i] - size[i] : stop[i]].tobytes() for i in full], pa.binary())], ["name", "tokens"])
 
-    return texts.select("text").mapInArrow(rows, "name long, tokens binary").groupBy("name").agg(F.first("tokens").alias("tokens"))
+    return texts.select("text", F.xxhash64("doc_id")).mapInArrow(rows, "name long, tokens binary")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -404,77 +379,157 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return DEN * both >= NUM * (len(a) + len(b) - both)
 
 
-def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """A bitmap over names (they are hashes already) for ``shared.passes``; at most BLOOM / 64 rows come back."""
-    bits = 1 << 24
-    both = F.array(F.pmod(column, F.lit(bits)), F.pmod(F.shiftright(column, 32), F.lit(bits)))
-    found = keys.select(F.explode(both).alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("v")).toPandas()
-    out = np.zeros(bits >> 6, np.int64)
-    out[found["w"].to_numpy(np.int64)] = found["v"].to_numpy(np.int64)
-    return out.view(np.uint64)
+def settle(names: np.ndarray, sets: list[np.ndarray], centre: int) -> list[tuple[int, int]]:
+    """Links that connect the group: all its links, up to what they connect. ``centre``: the centre's place."""
+    k, c = len(sets), sets[centre]
+    size = np.array([len(s) for s in sets], np.int64)
+    apart = [np.setxor1d(s, c, assume_unique=True) for s in sets]
+    lost = (len(c) - size + np.array([len(d) for d in apart], np.int64)) // 2  # tokens of the centre that a set lacks
+    root = np.arange(k)
+    out = []
+
+    def join_(i, j):
+        out.append((int(names[i]), int(names[j])))
+        root[root == root[j]] = root[i]
+
+    def near(both, i):
+        return DEN * both >= NUM * (size[i] + size - both)
+
+    hits = near(len(c) - lost, centre)
+    for j in np.flatnonzero(hits):
+        if j != centre:
+            join_(centre, j)
+    left = np.flatnonzero(root != root[centre])
+    if k < 3 or not len(left):
+        return out
+
+    def posting(lists):
+        token = np.concatenate(lists)
+        owner = np.repeat(np.arange(k), [len(x) for x in lists])
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        start = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+        count = np.diff(np.concatenate((start, [len(token)])))
+        place = np.empty(len(token), np.int64)
+        place[order] = np.repeat(np.arange(len(start)), count)
+        return owner, start, count, place
+
+    plans = [posting(apart), posting(sets)]
+    by_apart = (plans[0][2] ** 2).sum() <= (plans[1][2] ** 2).sum()
+    owner, start, count, place = plans[0 if by_apart else 1]
+    stop = np.cumsum([len(x) for x in (apart if by_apart else sets)])
+    for i in left:
+        own = place[(stop[i - 1] if i else 0) : stop[i]]
+        own = own[count[own] > 1]
+        n = count[own]
+        if n.sum():
+            at = np.repeat(start[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=k)
+        else:
+            both = np.zeros(k, np.int64)
+        if by_apart:
+            both = both + len(c) - lost[i] - lost
+        ok = near(both, i) & (root != root[i])
+        while ok.any():
+            join_(i, int(np.argmax(ok)))
+            ok &= root != root[i]
+    return out
 
 
-def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b of set names) that are links, stored."""
-    spark = texts.sparkSession
-    wanted = _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("name")), "name")
-    sets = _sets(texts, wanted)
-    first = pairs.join(sets.withColumnRenamed("name", "a").withColumnRenamed("tokens", "s"), "a")
-    both = first.join(sets.withColumnRenamed("name", "b").withColumnRenamed("tokens", "t"), "b")
+def _groups(kinds: DataFrame) -> DataFrame:
+    """c, x, stored: the sets x (the centre too) of every centre's group."""
+    spark = kinds.sparkSession
+    rows = kinds.filter("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("x"), F.col("c").alias("n"))
+    central = shared.stored(rows.groupBy("x").agg(F.sum(F.col("n") - 1).alias("score")), shared.scratch(spark))
+    scored = rows.join(central, "x")
+    centre = shared.stored(scored.groupBy("bucket").agg(F.max(F.struct("score", F.xxhash64("x").alias("h"), "x")).alias("m")).select("bucket", F.col("m.x").alias("c")), shared.scratch(spark))
+    star = rows.select("bucket", "x").join(centre, "bucket").select("c", "x").distinct()
+    return shared.stored(star, shared.scratch(spark))
+
+
+def _linked_in(both: DataFrame) -> DataFrame:
+    """a, b of the rows a, b, s, t (token sets) that are links."""
 
     def rows(batches):
         for b in batches:
             ok = [linked(np.frombuffer(s.as_py(), np.uint64), np.frombuffer(t.as_py(), np.uint64)) for s, t in zip(b.column(2), b.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return shared.stored(both.select("a", "b", "s", "t").mapInArrow(rows, "a long, b long"), shared.scratch(spark))
+    return both.select("a", "b", "s", "t").mapInArrow(rows, "a long, b long")
+
+
+def links_of(texts: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """a, b, stored: links that connect whatever the groups' links connect. ``classes``: set_name, least, n_shingles."""
+    spark = texts.sparkSession
+    sized = groups.join(classes.select(F.col("set_name").alias("x"), "least", "n_shingles"), "x")
+    sized = shared.stored(sized, shared.scratch(spark))
+    weight = sized.groupBy("c").agg(F.count("*").alias("k"), F.sum("n_shingles").alias("t"))
+    weight = shared.stored(weight.select("c", F.greatest(F.ceil(F.col("k") / GROUP_SETS), F.ceil(F.col("t") * 8 / GROUP_BYTES), F.lit(1)).cast("int").alias("g")), shared.scratch(spark))
+    wanted = shared.bloom(sized, "least", 1 << 24)
+    sets = _sets(texts, wanted)
+
+    def kernel(key, table):
+        names = table.column("x").to_numpy()
+        _, one = np.unique(names, return_index=True)
+        blobs = table.column("tokens")
+        members = [np.frombuffer(blobs[int(i)].as_py(), np.uint64) for i in one]
+        names = names[one]
+        centre = np.flatnonzero(names == key[0].as_py())
+        found = settle(names, members, int(centre[0]) if len(centre) else 0) if len(members) > 1 else []
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    placed = sized.select("c", "x").join(weight, "c")
+    small = placed.filter("g = 1").select("c", F.lit(0).alias("i"), F.lit(0).alias("j"), "x")
+    large = placed.filter("g > 1").select("c", "x", "g")
+    blocks, parts = small, []
+    if large.limit(1).count():
+        first = large.select(F.col("c").alias("a"), F.col("x").alias("b")).filter("a <> b").join(sets.select(F.col("name").alias("b"), F.col("tokens").alias("t")), "b")
+        near = shared.stored(_linked_in(first.join(sets.select(F.col("name").alias("a"), F.col("tokens").alias("s")), "a")), shared.scratch(spark))
+        parts.append(near)
+        rest = large.join(near.select(F.col("a").alias("c"), F.col("b").alias("x")), ["c", "x"], "left_anti").filter("c <> x")
+        rest = shared.stored(rest, shared.scratch(spark))
+        # left-over sets in blocks of a share of g, each with every block of the whole group
+        share = rest.groupBy("c").agg(F.count("*").alias("r")).join(large.groupBy("c").agg(F.count("*").alias("k")), "c").select("c", F.greatest(F.ceil(F.col("r") / GROUP_SETS), F.lit(1)).cast("int").alias("q"))
+        share = shared.stored(share, shared.scratch(spark))
+        block = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "x"), F.col(n)).cast("int")
+        asks = rest.join(share, "c").select("c", block("q", 1).alias("i"), F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j"), "x")
+        told = large.filter("c <> x").join(share, "c").select("c", F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("i"), block("g", 2).alias("j"), "x")
+        heads = large.filter("c = x").join(share, "c").select("c", "x", "q", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j")).select("c", F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("i"), "j", "x")
+        blocks = small.unionByName(asks.unionByName(told).unionByName(heads).distinct())
+    shipped = blocks.join(sets, F.col("x") == F.col("name")).select("c", "i", "j", "x", "tokens")
+    found = shared.stored(shipped.groupBy("c", "i", "j").applyInArrow(kernel, "a long, b long"), shared.scratch(spark))
+    for p in parts:
+        found = found.unionByName(p)
+    return found
 
 
 def components(links: DataFrame) -> DataFrame:
-    """name, root for every name in a link: alternating large and small stars, every step stored."""
+    """name, root for every name in a link: alternating large and small stars, every step stored, until every
+    name has one edge and no root has an edge of its own."""
     spark = links.sparkSession
     edges = shared.stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), shared.scratch(spark))
-    mark = None
+    ends = F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
+    both = F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))
     while True:
-        for large in (True, False):
-            near = edges.select("u", "v")
-            if large:
-                near = near.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-            near = shared.stored(near, shared.scratch(spark)) if large else near
-            least = shared.stored(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), shared.scratch(spark))
-            met = near.join(least, "u")
-            if large:
-                moved = met.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(edges.filter("false"))
-            else:
-                moved = met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-            edges = shared.stored(moved.filter("u <> v").distinct(), shared.scratch(spark))
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first()
-        if now == mark:
+        uses = edges.select(ends.alias("e")).groupBy("e.x").agg(F.sum("e.up").alias("up"), F.max("e.down").alias("down"))
+        if not uses.filter("up > 1 OR (up > 0 AND down > 0)").limit(1).count():
             return edges.select(F.col("u").alias("name"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("name"), F.col("v").alias("root")).distinct())
-        mark = now
-
-
-def _across(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of sets of one bucket that are in different components, one of them looking. Every pair has a
-    set outside its bucket's largest component, so only those meet the whole bucket."""
-    spark = members.sparkSession
-    placed = members.join(roots.withColumnRenamed("name", "b"), "b", "left").select("a", "b", "c", F.coalesce("root", "b").alias("root"))
-    placed = shared.stored(placed, shared.scratch(spark))
-    parts = placed.groupBy("a", "root").agg(F.count("*").alias("n"))
-    main = parts.groupBy("a").agg(F.count("*").alias("k"), F.max_by("root", F.struct("n", "root")).alias("main")).filter("k > 1").select("a", "main")
-    rows = shared.stored(placed.join(main, "a"), shared.scratch(spark))
-    outer = rows.filter("root <> main").select("a", F.col("b").alias("x"), F.col("c").alias("cx"), F.col("root").alias("rx"))
-    met = outer.join(rows.select("a", F.col("b").alias("y"), F.col("c").alias("cy"), F.col("root").alias("ry")), "a").filter("rx <> ry AND (cx > 0 OR cy > 0)")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        near = edges.select(both.alias("e")).select("e.*")
+        least = shared.stored(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), shared.scratch(spark))
+        wide = near.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = shared.stored(wide.filter("u <> v").distinct(), shared.scratch(spark))
+        least = shared.stored(edges.groupBy("u").agg(F.min("v").alias("m")), shared.scratch(spark))
+        narrow = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        edges = shared.stored(narrow.filter("u <> v").distinct(), shared.scratch(spark))
 
 
-def _rest(texts: DataFrame, short: list[int]) -> DataFrame | None:
+def _rest(texts: DataFrame, classes: DataFrame, short: list[int]) -> DataFrame:
     """Links of the sets that have too few segments, each compared with every set, in blocks."""
     spark, out = texts.sparkSession, None
     for i in range(0, len(short), REST_BLOCK):
-        block = {k: None for k in short[i : i + REST_BLOCK]}
-        names = spark.createDataFrame([(k,) for k in block], "name long")
-        own = [(r["name"], np.frombuffer(r["tokens"], np.uint64)) for r in _sets(texts, _bitmap(names, "name")).join(names, "name").collect()]
+        names = spark.createDataFrame([(k,) for k in short[i : i + REST_BLOCK]], "set_name long")
+        wanted = shared.bloom(classes.join(names, "set_name"), "least", 1 << 16)
+        own = {r["name"]: np.frombuffer(r["tokens"], np.uint64) for r in _sets(texts, wanted).join(names.withColumnRenamed("set_name", "name"), "name").toLocalIterator()}
 
         def rows(batches, own=own):
             for b in batches:
@@ -482,7 +537,7 @@ def _rest(texts: DataFrame, short: list[int]) -> DataFrame | None:
                     owner, token = shingles(data, offs)
                     size, name = set_ids(owner, token, len(offs) - 1)
                     stop = np.cumsum(size)
-                    hit = [(k, int(name[j].view(np.int64))) for j in np.flatnonzero(size) for k, s in own if linked(s, token[stop[j] - size[j] : stop[j]])]
+                    hit = [(k, int(name[j].view(np.int64))) for j in np.flatnonzero(size) for k, s in own.items() if linked(s, token[stop[j] - size[j] : stop[j]])]
                     if hit:
                         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in hit]), pa.array([y for _, y in hit])], ["a", "b"])
 
@@ -504,27 +559,18 @@ def join(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     told = shared.stored(_describe(texts), shared.scratch(spark))
     rows = told.filter("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), F.col("c").alias("set_name"))
-    often = told.filter("kind = 1").groupBy("a").agg(F.sum("b").alias("n")).orderBy(F.desc("n"), "a").limit(HOT_TOKENS).toPandas()
+    often = shared.largest(told.filter("kind = 1").groupBy("a").agg(F.sum("b").alias("n")), "n", HOT_TOKENS).toPandas()
     alloc = Allocation(often["a"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kinds = shared.stored(_buckets(_signatures(texts, alloc, _even_labels(spark, n)), n), shared.scratch(spark))
     _release(spark)
-    pairs = shared.stored(kinds.filter("kind = 0").select("a", "b").distinct(), shared.scratch(spark))
-    links = verified(texts, pairs)
+    classes = shared.stored(rows.filter("n_shingles > 0").groupBy("set_name").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles")), shared.scratch(spark))
+    links = links_of(texts, classes, _groups(kinds))
     short = [r["a"] for r in kinds.filter("kind = 2").select("a").distinct().toLocalIterator()]
-    if short and (more := _rest(texts, short)) is not None:
-        links = links.unionByName(more)
+    if short:
+        links = links.unionByName(_rest(texts, classes, short))
     _release(spark)
-    members = kinds.filter("kind = 1").select("a", "b", "c")
-    roots = components(links)
-    if members.limit(1).count():
-        roots = shared.stored(roots, shared.scratch(spark))
-        across = shared.stored(_across(members, roots), shared.scratch(spark))
-        if across.limit(1).count():
-            links = links.unionByName(verified(texts, across))
-            roots = components(links)
-    roots = shared.stored(roots, shared.scratch(spark))
-    classes = shared.stored(rows.filter("n_shingles > 0").groupBy("set_name").agg(F.min("doc_id").alias("least")), shared.scratch(spark))
+    roots = shared.stored(components(links), shared.scratch(spark))
     placed = shared.stored(classes.join(roots, classes["set_name"] == roots["name"]).select("set_name", "least", "root"), shared.scratch(spark))
     heads = shared.stored(placed.groupBy("root").agg(F.min("least").alias("component")), shared.scratch(spark))
     grouped = placed.join(heads, "root").select("set_name", "component")
