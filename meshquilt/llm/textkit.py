@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-SLICE = 2 << 20
+SLICE = 1 << 19
 BASE = 0x9E3779B97F4A7C15 | 1
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _STATE: dict = {}
