@@ -28,9 +28,13 @@ SEED = 17
 BUCKETS = 4096
 
 
+def _size():
+    return F.coalesce(F.size(F.expr(rf"regexp_extract_all(text, r'{shared.WORD}', 0)")), F.lit(0)).cast("long")
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source and the number of words."""
-    return docs.select("doc_id", "source", F.coalesce(F.size(F.expr(rf"regexp_extract_all(text, r'{shared.WORD}', 0)")), F.lit(0)).cast("long").alias("size"))
+    return docs.select("doc_id", "source", _size().alias("size"))
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS) -> DataFrame:
@@ -56,12 +60,13 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs:
     return by.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)))
 
 
-def taken(sizes: DataFrame, goal: DataFrame, seed: int = SEED, buckets: int = BUCKETS) -> DataFrame:
-    """sizes with source_size, target and ``taken``, the words that the mix takes of each row."""
-    spark = sizes.sparkSession
+def _dealt(rows: DataFrame, goal: DataFrame, seed: int, buckets: int) -> DataFrame:
+    """``rows`` (d: any struct, doc_id, source, size) with source_size, target and ``taken``. Only per-source plans are
+    joined, so Spark sends those to the rows; the rows of the buckets that hold a point are ordered on their own."""
+    spark = rows.sparkSession
     key = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))  # a key without nulls
-    hashed = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    rows = sizes.withColumn("_k", key).withColumn("_h", hashed).withColumn("_b", F.pmod("_h", F.lit(buckets)).cast("int"))
+    rows = rows.withColumn("_k", key).withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id")))
+    rows = rows.withColumn("_b", F.pmod("_h", F.lit(buckets)).cast("int"))
     plan = goal.select(key.alias("_k"), "source_size", "target", F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).alias("_whole"))
     plan = plan.withColumn("_need", F.greatest(F.floor("target") - F.col("_whole") * F.col("source_size"), F.lit(0)))
     filled = rows.groupBy("_k", "_b").agg(F.sum("size").alias("_s"))
@@ -82,27 +87,21 @@ def taken(sizes: DataFrame, goal: DataFrame, seed: int = SEED, buckets: int = BU
     rest = placed.filter(edge).withColumn("_sum", F.col("_before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
     part = F.greatest(F.least(F.col("size"), F.col("_need") - F.col("_sum")), F.lit(0))
     rest = rest.withColumn("taken", F.col("size") * F.col("_whole") + part)
-    out = ["doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken")]
+    out = ["d", "doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken")]
     return most.select(*out).unionByName(rest.select(*out))
 
 
+def taken(sizes: DataFrame, goal: DataFrame, seed: int = SEED, buckets: int = BUCKETS) -> DataFrame:
+    """sizes with source_size, target and ``taken``, the words that the mix takes of each row."""
+    return _dealt(sizes.select(F.lit(None).cast("int").alias("d"), "doc_id", "source", "size"), goal, seed, buckets).drop("d")
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The documents as often as the mix takes them (a part of at least half counts as whole), all columns
-    as they were. Rows that share an id, source and size are told apart by number, not by join keys."""
-    spark = docs.sparkSession
-    size = F.coalesce(F.size(F.expr(rf"regexp_extract_all(text, r'{shared.WORD}', 0)")), F.lit(0)).cast("long")
-    sizes = sized(docs)
-    how = taken(sizes, targets(sizes, **options))
-    # rows of one (doc_id, source, size) are alike to the mix: their repetitions are added and dealt evenly
-    times = how.groupBy("doc_id", "source", "size").agg(F.count("*").alias("_n"), F.sum(F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0)).cast("int").alias("_times"))
-    times = shared.stored(times.filter("_times > 0"), shared.scratch(spark)).select(F.col("doc_id").alias("_i"), F.col("source").alias("_o"), F.col("size").alias("_z"), "_n", "_times")
-    own = docs.select(F.struct(*docs.columns).alias("d"), size.alias("z"))
-    same = F.col("d.doc_id").eqNullSafe(F.col("_i")) & F.col("d.source").eqNullSafe(F.col("_o")) & (F.col("z") == F.col("_z"))
-    met = own.join(times, same)
-    # of _n alike rows, the average _times / _n, the remainder by a hash of the text
-    extra = F.when(F.pmod(F.xxhash64("d.text"), F.col("_n")) < F.col("_times") % F.col("_n"), 1).otherwise(0)
-    copies = F.when(F.col("_n") == 1, F.col("_times")).otherwise(F.floor(F.col("_times") / F.col("_n")) + extra).cast("int")
-    return met.select("d", F.explode(F.array_repeat(F.lit(1), copies)).alias("_")).select("d.*")
+    """The documents as often as the mix takes them (a part of at least half counts as whole), all columns as they were."""
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("d"), "doc_id", "source", _size().alias("size"))
+    how = _dealt(rows, targets(sized(docs), **options), SEED, BUCKETS)
+    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
+    return how.select("d", F.explode(F.array_repeat(F.lit(1), times)).alias("_")).select("d.*")
 
 
 def op5_mixing_sources(spark, sf_dir: str) -> DataFrame:
