@@ -106,8 +106,19 @@ def restricted_nearest(query: DataFrame, candidates: DataFrame, vertices: DataFr
     model_id, vid, fid: an equi-join prunes the pairs, a grouped minimum decides (ties: smallest face)."""
     pts = G.face_points(faces, vertices)
     met = query.select("model_id", "vid", F.col("x").alias("px"), F.col("y").alias("py"), F.col("z").alias("pz")).join(candidates, ["model_id", "vid"]).join(pts, ["model_id", "fid"])
-    best = point_triangle(V.vec("px", "py", "pz"), V.vec("ax", "ay", "az"), V.vec("bx", "by", "bz"), V.vec("cx", "cy", "cz"))
-    one = met.withColumn("o", best).groupBy("model_id", "vid").agg(F.min(F.struct(F.col("o.d2").alias("d2"), "fid", F.col("o.w0").alias("w0"), F.col("o.w1").alias("w1"), F.col("o.w2").alias("w2"))).alias("b"))
+    import pyarrow as pa
+
+    names = [f"{p}{k}" for p in "pabc" for k in "xyz"]
+
+    def rows(batches):
+        for t in batches:
+            p, a, b, c = (np.stack([t.column(3 + 3 * i + j).to_numpy(zero_copy_only=False) for j in range(3)], axis=1) for i in range(4))
+            d2, w = closest.on_triangles(p, a, b, c)
+            yield pa.RecordBatch.from_arrays([*t.columns[:3], pa.array(d2), *(pa.array(w[:, j]) for j in range(3))], ["model_id", "vid", "fid", "d2", "w0", "w1", "w2"])
+
+    # one vectorised pass over the pairs: as Column expressions (``point_triangle``) the plan is the same, but compiles for long
+    near = met.select("model_id", "vid", "fid", *names).mapInArrow(rows, "model_id bigint, vid bigint, fid bigint, d2 double, w0 double, w1 double, w2 double")
+    one = near.groupBy("model_id", "vid").agg(F.min(F.struct("d2", "fid", "w0", "w1", "w2")).alias("b"))
     return one.select("model_id", "vid", F.col("b.fid").alias("fid"), F.sqrt("b.d2").alias("distance"), "b.w0", "b.w1", "b.w2")
 
 

@@ -243,8 +243,9 @@ def graph_diffusion(spark, sf):
 
 
 @query(""", moved AS (SELECT model_id, vid, CASE WHEN vid % 9 = 0 THEN y ELSE x END AS x, CASE WHEN vid % 9 = 0 THEN x ELSE y END AS y, z FROM vert),
+    mk AS (SELECT model_id * 100000000 + vid AS k, x, y, z FROM moved),
     t2 AS (SELECT f.model_id, f.fid, (b.y - a.y) * (c.z - a.z) - (b.z - a.z) * (c.y - a.y) AS mx, (b.z - a.z) * (c.x - a.x) - (b.x - a.x) * (c.z - a.z) AS my, (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) AS mz
-      FROM face f JOIN moved a ON f.model_id = a.model_id AND f.i0 = a.vid JOIN moved b ON f.model_id = b.model_id AND f.i1 = b.vid JOIN moved c ON f.model_id = c.model_id AND f.i2 = c.vid)
+      FROM fk f JOIN mk a ON f.k0 = a.k JOIN mk b ON f.k1 = b.k JOIN mk c ON f.k2 = c.k)
     SELECT model_id, count(*) FILTER (WHERE nx * mx + ny * my + nz * mz < 0) AS n_flipped, count(*) FILTER (WHERE 0.5 * sqrt(mx * mx + my * my + mz * mz) <= 5e-15 AND area > 5e-15) AS n_collapsed
     FROM area JOIN t2 USING (model_id, fid) GROUP BY model_id""")
 def topology_change(spark, sf):

@@ -55,9 +55,10 @@ half AS (SELECT model_id, fid, 0 AS corner, i0 AS a, i1 AS b FROM face UNION ALL
     UNION ALL SELECT model_id, fid, 2, i2, i0 FROM face),
 edge AS (SELECT DISTINCT model_id, least(a, b) AS u, greatest(a, b) AS w FROM half),
 nb AS (SELECT model_id, u AS s, w AS t FROM edge UNION ALL SELECT model_id, w, u FROM edge),
-tri AS (SELECT f.*, a.x AS ax, a.y AS ay, a.z AS az, b.x AS bx, b.y AS by_, b.z AS bz, c.x AS cx, c.y AS cy, c.z AS cz
-    FROM face f JOIN vert a ON f.model_id = a.model_id AND f.i0 = a.vid JOIN vert b ON f.model_id = b.model_id AND f.i1 = b.vid
-    JOIN vert c ON f.model_id = c.model_id AND f.i2 = c.vid),
+pt AS (SELECT model_id * 100000000 + vid AS k, x, y, z FROM vert),
+fk AS (SELECT *, model_id * 100000000 + i0 AS k0, model_id * 100000000 + i1 AS k1, model_id * 100000000 + i2 AS k2 FROM face),
+tri AS (SELECT f.model_id, f.fid, f.i0, f.i1, f.i2, a.x AS ax, a.y AS ay, a.z AS az, b.x AS bx, b.y AS by_, b.z AS bz, c.x AS cx, c.y AS cy, c.z AS cz
+    FROM fk f JOIN pt a ON f.k0 = a.k JOIN pt b ON f.k1 = b.k JOIN pt c ON f.k2 = c.k),
 nrm AS (SELECT *, (by_ - ay) * (cz - az) - (bz - az) * (cy - ay) AS nx, (bz - az) * (cx - ax) - (bx - ax) * (cz - az) AS ny,
     (bx - ax) * (cy - ay) - (by_ - ay) * (cx - ax) AS nz FROM tri),
 area AS (SELECT *, 0.5 * sqrt(nx * nx + ny * ny + nz * nz) AS area FROM nrm),
