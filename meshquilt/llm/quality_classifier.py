@@ -182,7 +182,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Network]:
     """Vectors from all of ``docs``; the network from at most FIT_ROWS rows of ``labels`` (doc_id, label)."""
     vectors = contexts(docs)
     marks = labels.filter("label IN (0, 1)").select("doc_id", F.col("label").cast("double").alias("label"))
-    some = marks.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(FIT_ROWS).toPandas()
+    some = shared.drawn(marks, marks.count(), FIT_ROWS, "doc_id").toPandas()
     if some["label"].nunique() < 2:
         return vectors, Network(float(some["label"].mean()) if len(some) else 0.5)
     known = docs.sparkSession.createDataFrame(some, "doc_id long, label double")  # FIT_ROWS rows at most

@@ -25,6 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def literal_table(spark: SparkSession, rows, names: tuple[str, ...]) -> DataFrame:
+    """A small table of strings held in the plan itself, so that Spark knows its size."""
+    rows = [tuple(r) for r in rows]
+    if not rows:
+        return spark.createDataFrame([], ", ".join(f"{n} string" for n in names))
+    marks = ", ".join("(" + ", ".join(f":v{i}_{j}" for j in range(len(names))) + ")" for i in range(len(rows)))
+    return spark.sql(f"SELECT * FROM VALUES {marks} AS t({', '.join(names)})", args={f"v{i}_{j}": v for i, r in enumerate(rows) for j, v in enumerate(r)})
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows: texts may be very long, and a batch is held whole."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -57,6 +66,29 @@ def fold(column: str, parts: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(parts)
 
 
+def largest(df: DataFrame, column: str, bound: int) -> DataFrame:
+    """The rows with the largest positive values, at most ``bound``: a histogram of at most a few hundred buckets
+    finds the cut, so no task or driver ever orders the rows. ``df`` is read twice."""
+    bucket = F.floor(F.log2(F.col(column)) * 16).cast("int")
+    counts = sorted(df.filter(F.col(column) > 0).groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["b"])
+    cut, total = None, 0
+    for r in counts:
+        total += r["n"]
+        if total > bound:
+            break
+        cut = r["b"]
+    return df.filter((F.col(column) > 0) & (bucket >= cut)) if cut is not None else df.limit(0)
+
+
+def drawn(df: DataFrame, total: int, bound: int, *ids: str) -> DataFrame:
+    """About 0.95 ``bound`` of ``total`` rows, drawn by a hash of the ids (all, if there are no more). The share leaves
+    seven deviations to a bound of 20,000, so no limit has to gather the rows in one task."""
+    if total <= bound:
+        return df
+    rate = int(0.95 * bound / total * (1 << 30))
+    return df.filter(F.pmod(F.xxhash64(*ids), F.lit(1 << 30)) < rate)
+
+
 def bloom(keys: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
     """A bitmap of fixed size over the hashes of ``column``: at most ``bits``/64 words reach the driver,
     whatever the input; a full one lets more rows pass and loses none."""
