@@ -74,9 +74,12 @@ def digest(form):
 
 
 def known(spark: SparkSession, texts=TEXTS + NOTICES) -> DataFrame:
-    """license, digest: one row for each canonical form."""
-    rows = spark.createDataFrame([*texts], "license string, text string")
-    return rows.select("license", digest(canonical(F.col("text"))).alias("digest")).filter("digest IS NOT NULL").groupBy("digest").agg(F.min("license").alias("license"))
+    """license, digest: one row for each canonical form. The list comes from the caller and is as large as that."""
+    rows = spark.createDataFrame([*texts], "license string, text string").select("license", digest(canonical(F.col("text"))).alias("digest")).collect()
+    first: dict[str, str] = {}
+    for r in sorted((r for r in rows if r["digest"]), key=lambda r: r["license"]):
+        first.setdefault(r["digest"], r["license"])
+    return shared.literal_table(spark, [(n, d) for d, n in first.items()], ("license", "digest"))
 
 
 def scan(docs: DataFrame, licences: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    return spark.createDataFrame([*rules], "host string, path string, verdict string")
+    return shared.literal_table(spark, rules, ("host", "path", "verdict"))
 
 
 def parts(url) -> tuple:
