@@ -552,8 +552,9 @@ def _release(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_name, component_id (the smallest doc_id of the component), for every row."""
+def _placed(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, set_name, component_id and root (a set name that only this component has; null without
+    shingles), for every row."""
     spark = docs.sparkSession
     shared.small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -573,10 +574,16 @@ def join(docs: DataFrame) -> DataFrame:
     roots = shared.stored(components(links), shared.scratch(spark))
     placed = shared.stored(classes.join(roots, classes["set_name"] == roots["name"]).select("set_name", "least", "root"), shared.scratch(spark))
     heads = shared.stored(placed.groupBy("root").agg(F.min("least").alias("component")), shared.scratch(spark))
-    grouped = placed.join(heads, "root").select("set_name", "component")
-    final = shared.stored(classes.join(grouped, "set_name", "left").select("set_name", F.coalesce("component", "least").alias("component")), shared.scratch(spark))
+    grouped = placed.join(heads, "root").select("set_name", "component", "root")
+    final = classes.join(grouped, "set_name", "left").select("set_name", F.coalesce("component", "least").alias("component"), F.coalesce("root", "set_name").alias("root"))
+    final = shared.stored(final, shared.scratch(spark))
     _release(spark)
-    return rows.join(final, "set_name", "left").select("doc_id", "n_shingles", "set_name", F.coalesce("component", "doc_id").alias("component_id"))
+    return rows.join(final, "set_name", "left").select("doc_id", "n_shingles", "set_name", F.coalesce("component", "doc_id").alias("component_id"), "root")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, set_name, component_id (the smallest doc_id of the component; null if all are null), for every row."""
+    return _placed(docs).drop("root")
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -596,13 +603,14 @@ def _named(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest id (one row, if that id is repeated there);
-    documents without shingles all stay. All columns as they were."""
+    """One document of each component, the one with the smallest id (one row, if that id is repeated there; one without
+    an id only where no document of the component has one); documents without shingles all stay. Components are told
+    apart by their sets, so null or repeated ids never join them. All columns as they were."""
     spark = docs.sparkSession
-    who = join(docs).filter("n_shingles > 0 AND doc_id <=> component_id")
-    stay = shared.stored(who.select(F.col("doc_id").alias("_i"), F.col("set_name").alias("_s"), F.col("component_id").alias("_c")).distinct(), shared.scratch(spark))
+    who = _placed(docs).filter("n_shingles > 0 AND doc_id <=> component_id")
+    stay = shared.stored(who.select(F.col("doc_id").alias("_i"), F.col("set_name").alias("_s"), F.col("root").alias("_r")).distinct(), shared.scratch(spark))
     named = _named(docs)
-    one = named.filter("n_shingles > 0").join(stay, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("set_name") == F.col("_s"))).dropDuplicates(["_i", "_c"])
+    one = named.filter("n_shingles > 0").join(stay, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("set_name") == F.col("_s"))).dropDuplicates(["_r"])
     return one.select("d.*").unionByName(named.filter("n_shingles = 0").select("d.*"))
 
 

@@ -168,6 +168,13 @@ def test_deduplicated_keeps_one_of_each(spark):
     assert out.filter("text IS NOT NULL AND text <> ''").count() == len(heads)
 
 
+def test_deduplicated_keeps_unlinked_texts_without_an_id_or_with_the_same_one(spark):
+    apart = [" ".join(f"{w}{i}" for i in range(30)) for w in ("a", "b", "c", "d", "e")]
+    rows = [(None, apart[0]), (None, apart[1]), (None, apart[1]), (7, apart[2]), (7, apart[3]), (None, apart[4]), (9, apart[4])]
+    out = jaccard_join.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(None, apart[0]), (None, apart[1]), (7, apart[2]), (7, apart[3]), (9, apart[4])], key=str)
+
+
 # ---- packing --------------------------------------------------------------------------------------------------
 
 
