@@ -215,27 +215,31 @@ def near_duplicates(c: DataFrame, wd: float = 0.06, wh: float = 0.08, far: float
 
 
 def ranked_selection(scored: DataFrame, pairs: DataFrame, k: int, exclude: DataFrame | None = None) -> DataFrame:
-    """Greedy top k by (-score, id): a candidate is skipped if it is near a selected one. Sequential by nature, so the
-    compact (id, score) table and its pairs go to one group kernel. Fewer than k is an error row in ``shortage``."""
-    base = scored if exclude is None else scored.join(exclude, "id", "left_anti")
+    """Greedy top k by (-score, id): a candidate is skipped if it is near a selected one; null scores come last. The rank
+    order is walked in batches of the best rows left: each row of a batch is selected or near a selected one, so what is
+    left for the next are the rows that are neither. Every batch selects its first row, so there are k at most, and only a
+    batch and its pairs reach the driver. ``pairs`` is asked for the pairs of a batch, again for each. Ids are unique."""
+    base = (scored if exclude is None else scored.join(exclude, "id", "left_anti")).select("id", F.col("score").cast("double").alias("score"))
     close = pairs.select(F.col("a_id").alias("id"), F.col("b_id").alias("o")).unionByName(pairs.select(F.col("b_id").alias("id"), F.col("a_id").alias("o")))
-    near = close.groupBy("id").agg(F.collect_set("o").alias("near"))
-    packed = base.select("id", "score").join(near, "id", "left").withColumn("g", F.lit(0))
-
-    def pick(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(table["id"].to_pylist(), table["score"].to_pylist(), table["near"].to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
-        chosen: list = []
+    chosen: list = []
+    left = base
+    while len(chosen) < k:
+        batch = left.orderBy(F.desc_nulls_last("score"), "id").limit(4 * k).collect()
+        ids = [r["id"] for r in batch]
+        near: dict = {}
+        for i, o in close.filter(F.col("id").isin(ids) & F.col("o").isin(ids)).collect():
+            near.setdefault(i, set()).add(o)
         taken: set = set()
-        for i, s, n in rows:
-            if len(chosen) == k:
-                break
-            if not taken.intersection(n or ()):
+        for i, s in batch:
+            if len(chosen) < k and not taken.intersection(near.get(i, ())):
                 taken.add(i)
-                chosen.append((i, s))
-        return pa.table({"id": pa.array([i for i, _ in chosen], table["id"].type), "score": [float(s) for _, s in chosen], "rank": pa.array(range(1, len(chosen) + 1), pa.int32())})
-
+                chosen.append((i, s, len(chosen) + 1))
+        if len(batch) < 4 * k:
+            break
+        done = [i for i, *_ in chosen]
+        left = base.filter(~F.col("id").isin(done)).join(close.filter(F.col("id").isin(done)).select(F.col("o").alias("id")), "id", "left_anti")
     kind = base.schema["id"].dataType.simpleString()
-    return packed.groupBy("g").applyInArrow(pick, f"id {kind}, score double, rank int")
+    return scored.sparkSession.createDataFrame(chosen, f"id {kind}, score double, rank int")
 
 
 # ---- sampling and splits --------------------------------------------------------------------------------------

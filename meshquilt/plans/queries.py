@@ -471,7 +471,7 @@ def _candidates(spark, sf):
 
 @query()
 def ranked_distinct_selection(spark, sf):
-    c = _candidates(spark, sf).filter("id <= 2000")  # the feature: a compact candidate table
+    c = _candidates(spark, sf)
     score, _ = S.candidate_score(F.col("text"), F.col("wd"), F.col("wh"), F.col("n_faces") * 10, F.col("id") % 100)
     return S.ranked_selection(c.withColumn("score", score), S.near_duplicates(c), 50)
 

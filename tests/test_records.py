@@ -15,6 +15,7 @@ from meshquilt.operators import samples as SA
 from meshquilt.operators import selection as S
 from meshquilt.operators import validate as VA
 from meshquilt.operators import views as VW
+from meshquilt.plans import queries as Q
 from meshquilt.plans import registry as R
 from meshquilt.sources import files as FS
 from meshquilt.sources.corpus import mesh_arrays
@@ -72,6 +73,31 @@ def test_ranked_selection_skips_near_duplicates(spark):
     assert [r["id"] for r in got] == [0, 2, 4]
 
 
+def test_ranked_selection_walks_past_full_batches(spark):
+    c = spark.createDataFrame([(i, float(-i)) for i in range(100)], "id long, score double")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 40)] + [(40, i) for i in range(41, 80)], "a_id long, b_id long")
+    got = S.ranked_selection(c, pairs, 4).orderBy("rank").collect()
+    assert [(r["id"], r["rank"]) for r in got] == [(0, 1), (40, 2), (80, 3), (81, 4)]
+    assert [r["id"] for r in S.ranked_selection(c, pairs, 90, c.filter("id = 0")).orderBy("rank").collect()] == [*range(1, 41), *range(80, 100)]
+
+
+def test_ranked_distinct_selection_reads_all_of_part(spark, tmp_path):
+    part = spark.range(1, 2201).select(F.col("id").alias("p_partkey"), F.lit("SOFA").alias("p_type"), (F.lit(900.0) + F.col("id") / 7).alias("p_retailprice"), (F.col("id") % 50 + 1).cast("int").alias("p_size"))
+    part.write.parquet(f"{tmp_path}/part.parquet")
+    c = Q._candidates(spark, tmp_path)
+    score, _ = S.candidate_score(F.col("text"), F.col("wd"), F.col("wh"), F.col("n_faces") * 10, F.col("id") % 100)
+    near: dict = {}
+    for a, b in S.near_duplicates(c).collect():
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want: list = []
+    for i, _ in sorted(c.select("id", score).collect(), key=lambda r: (-r[1], r[0])):
+        if len(want) < 50 and not near.get(i, set()).intersection(want):
+            want.append(i)
+    got = [r["id"] for r in Q.ranked_distinct_selection(spark, tmp_path).orderBy("rank").collect()]
+    assert got == want and max(got) > 2000
+
+
 def test_replacements_chain(spark):
     c = spark.createDataFrame([(i, i, "s", i) for i in range(10)], "file_id long, thing_id long, stratum string, scan_index long")
     out = S.replace_until_done(c.filter("file_id IN (0, 1)"), c, lambda d: d.filter("file_id NOT IN (1, 2, 3)"))
