@@ -89,10 +89,10 @@ def drawn(df: DataFrame, total: int, bound: int, *ids: str) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(*ids), F.lit(1 << 30)) < rate)
 
 
-def bloom(keys: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
-    """A bitmap of fixed size over the hashes of ``column``: at most ``bits``/64 words reach the driver,
+def bloom(keys: DataFrame, column: str, bits: int = 1 << 23, hashed=F.xxhash64) -> np.ndarray:
+    """A bitmap of fixed size over the hashes of ``column`` (``hashed`` gives them as longs): at most ``bits``/64 words reach the driver,
     whatever the input; a full one lets more rows pass and loses none."""
-    h = F.xxhash64(F.col(column))
+    h = hashed(F.col(column))
     both = [F.pmod(h, F.lit(bits)), F.pmod(F.shiftright(h, 32), F.lit(bits))]
     found = (
         keys.select(F.explode(F.array(*both)).alias("b"))

@@ -9,8 +9,9 @@ counted over both classes, so that what a class has not seen is scored by what t
 A document's score is a logistic function, fitted on labelled rows kept out of the counts, of the
 difference of its two log-likelihoods, each divided by its length.
 
-All counts run over all labelled rows; only the expression list (``CANDIDATES`` at most) and the
-bigrams between listed expressions (``BIGRAMS`` at most, the most frequent) are held in memory.
+All counts run over all labelled rows. Toxic and ordinary document counts meet in a join; every expression
+that passes the tests and every bigram after a listed expression is kept. The model (8 bytes an expression and
+32 more for its two classes, 24 a bigram) is held in memory and shipped with the tasks.
 
 Defined results: a text without words has the likelihoods of no words (difference of one "other"), so it
 is not toxic; with no labels, or one class, every score is the share of toxic labels (0 if none); labels
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from . import shared, textkit
 
 STEMS = (4, 5, 6, 7, 8, 9, 10, 12)
-CANDIDATES, BIGRAMS = 1 << 16, 1 << 18
+WANTED_BITS = 1 << 25
 MIN_DOCS, MIN_RATIO, MIN_Z = 4, 3.0, 2.5
 DISCOUNT = 0.75
 FIT_ROWS = 20_000
@@ -60,8 +61,8 @@ def _per_doc(row: np.ndarray, hashes: np.ndarray):
     return flat[one]
 
 
-def _doc_counts(docs: DataFrame, among: np.ndarray | None) -> DataFrame:
-    """hash, n: how many of the documents use each expression (of ``among``, sorted, if given)."""
+def _doc_counts(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
+    """hash, n: how many of the documents use each expression (if given, of those that the bitmap ``wanted`` lets pass)."""
 
     def rows(batches):
         keys, counts, held = [], [], 0
@@ -76,8 +77,8 @@ def _doc_counts(docs: DataFrame, among: np.ndarray | None) -> DataFrame:
         for b in batches:
             for _, data, offs in textkit.slices(b.column(0)):
                 row, h = expressions(data, offs)
-                if among is not None:
-                    h = np.where(_find(among, h) >= 0, h, 0)
+                if wanted is not None:
+                    h = np.where(shared.passes(wanted, h.ravel().view(np.int64)).reshape(h.shape), h, 0)
                 keys.append(_per_doc(row, h))
                 counts.append(np.ones(len(keys[-1]), np.int64))
                 held += len(keys[-1])
@@ -211,17 +212,14 @@ def learn(labelled: DataFrame) -> Model:
         return model
     counted = rows.filter("part <> 0")
     used = shared.scratch(spark)
-    found = _columns(shared.largest(shared.stored(_doc_counts(counted.filter("label = 1"), None).filter(F.col("n") >= MIN_DOCS), used), "n", CANDIDATES))
+    found = shared.stored(_doc_counts(counted.filter("label = 1"), None).filter(F.col("n") >= MIN_DOCS), used)
+    wanted = shared.bloom(found, "hash", WANTED_BITS, lambda h: h)
+    back = _doc_counts(counted.filter("label = 0"), wanted).withColumnRenamed("n", "m")
+    t, o = F.col("n") + 0.5, F.coalesce("m", F.lit(0)) + 0.5
+    z = (F.log(t / (toxic + 1)) - F.log(o / (plain + 1)) - math.log(MIN_RATIO)) / F.sqrt(1 / t + 1 / o)
+    listed = _columns(found.join(back, "hash", "left").filter(z >= MIN_Z).select("hash"))
     shared.discard(spark, used)
-    order = np.argsort(found["hash"].view(np.uint64))
-    listed, in_toxic = found["hash"].view(np.uint64)[order], found["n"][order]
-    back = _columns(_doc_counts(counted.filter("label = 0"), listed))
-    in_plain = np.zeros(len(listed), np.int64)
-    at = _find(listed, back["hash"].view(np.uint64))
-    in_plain[at[at >= 0]] = back["n"][at >= 0]
-    p, q = (in_toxic + 0.5) / (toxic + 1), (in_plain + 0.5) / (plain + 1)
-    z = (np.log(p) - np.log(q) - math.log(MIN_RATIO)) / np.sqrt(1 / (in_toxic + 0.5) + 1 / (in_plain + 0.5))
-    model = Model(units=listed[(z >= MIN_Z)])
+    model = Model(units=np.sort(listed["hash"].view(np.uint64)))
     if len(model.units):
         _kneser_ney(counted, model)
     apart = sizes.get((1, True), 0) and sizes.get((0, True), 0)
@@ -246,13 +244,13 @@ def _kneser_ney(counted: DataFrame, model: Model) -> None:
         lower[c] = np.maximum(types[c] - DISCOUNT, 0) / total + DISCOUNT * np.count_nonzero(types[c]) / total * share
     lower /= lower.sum(axis=1, keepdims=True)
     pairs = moves.groupBy("l", "r").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).filter("l > 0")
-    top = _columns(shared.largest(pairs.withColumn("n", F.col("n0") + F.col("n1")), "n", BIGRAMS))
-    key = top["l"] * size + top["r"]
-    order = np.argsort(key)
-    key, left = key[order], top["l"][order]
+    met = _columns(pairs.select((F.col("l") * size + F.col("r")).alias("key"), "n0", "n1"))
+    order = np.argsort(met["key"])
+    key = met["key"][order]
+    left = key // size
     seen, free = np.zeros((2, len(key))), np.ones((2, size))
     for c in (0, 1):
-        n = top[f"n{c}"][order].astype(float)
+        n = met[f"n{c}"][order].astype(float)
         total = np.bincount(left, weights=n, minlength=size)
         kinds = np.bincount(left[n > 0], minlength=size)
         seen[c] = np.maximum(n - DISCOUNT, 0) / np.maximum(total[left], 1)

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import pyarrow as pa
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +157,21 @@ def test_toxicity_kneser_ney_sums_to_one(spark):
                 assert model.seen[c][at].sum() + model.free[c][left] == pytest.approx(1, abs=0.02)
 
 
+def test_toxicity_keeps_every_expression_and_bigram(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CANDIDATES", 16, raising=False)
+    monkeypatch.setattr(toxicity, "BIGRAMS", 16, raising=False)
+    bad = [f"{a}{b}x" for a in "bcdfgh" for b in "aeiou"]  # no longer than the shortest stem: one expression a word
+    rows = [(i, " ".join(bad[(i + k * (1 + i % 3)) % 30] for k in range(6)), 1, 1) for i in range(90)]
+    rows += [(100 + i, "plain words of no harm", 0, 1) for i in range(900)]
+    model = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string, label int, part int"))
+    assert len(model.units) == 30
+    moves = {p for _, t, label, _ in rows if label for p in zip(t.split(), t.split()[1:], strict=False)}
+    assert len(model.pairs) == len(moves) > 16
+    size = len(model.units) + 1
+    mass = np.bincount(model.pairs // size, weights=model.seen[1], minlength=size)
+    assert np.allclose((mass + model.free[1])[1:], 1)
+
+
 def test_toxicity_without_labels(spark):
     d = docs(spark, ["a b", None])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
