@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Box pixels that are looked at at once.
+PIXELS = 1 << 18
+
 
 def project(vertices: np.ndarray, k: np.ndarray, r: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pixels and camera depth."""
@@ -16,31 +19,44 @@ def project(vertices: np.ndarray, k: np.ndarray, r: np.ndarray, t: np.ndarray) -
 def rasterize(vertices, faces, k, r, t, width: int, height: int, cull: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(depth, +inf where nothing; face id, -1). Pixel centres at +0.5, weights of at least -1e-8, perspective-correct
     depth, strictly nearer wins, so of equal depths the first face stays. ``cull``: front faces only."""
-    depth, ids = np.full((height, width), np.inf), np.full((height, width), -1, np.int64)
+    depth, ids = np.full(height * width, np.inf), np.full(height * width, -1, np.int64)
     px, z = project(vertices, k, r, t)
-    for f, tri in enumerate(faces):
-        if (z[tri] <= 1e-8).any():
-            continue
-        p = px[tri]
-        area = (p[1, 0] - p[0, 0]) * (p[2, 1] - p[0, 1]) - (p[1, 1] - p[0, 1]) * (p[2, 0] - p[0, 0])
-        if abs(area) < 1e-14 or (cull and area >= 0):
-            continue
-        x0, y0 = np.maximum(np.floor(p.min(axis=0) - 0.5), 0).astype(int)
-        x1, y1 = np.minimum(np.ceil(p.max(axis=0) + 0.5), (width, height)).astype(int)
-        if x0 >= x1 or y0 >= y1:
-            continue
-        gx, gy = np.meshgrid(np.arange(x0, x1) + 0.5, np.arange(y0, y1) + 0.5)
-        w0 = ((p[1, 0] - gx) * (p[2, 1] - gy) - (p[1, 1] - gy) * (p[2, 0] - gx)) / area
-        w1 = ((p[2, 0] - gx) * (p[0, 1] - gy) - (p[2, 1] - gy) * (p[0, 0] - gx)) / area
+    faces = np.asarray(faces, np.int64).reshape(-1, 3)
+    p, fz = px[faces], z[faces]
+    area = (p[:, 1, 0] - p[:, 0, 0]) * (p[:, 2, 1] - p[:, 0, 1]) - (p[:, 1, 1] - p[:, 0, 1]) * (p[:, 2, 0] - p[:, 0, 0])
+    drop = (fz <= 1e-8).any(axis=1) | (np.abs(area) < 1e-14)
+    if cull:
+        drop |= area >= 0
+    use = np.flatnonzero(~drop)
+    low = np.maximum(np.floor(p[use].min(axis=1) - 0.5), 0).astype(int)
+    high = np.minimum(np.ceil(p[use].max(axis=1) + 0.5), (width, height)).astype(int)
+    some = (low < high).all(axis=1)
+    use, low, high = use[some], low[some], high[some]
+    wide = high[:, 0] - low[:, 0]
+    cells = wide * (high[:, 1] - low[:, 1])
+    stop = np.cumsum(cells)
+    at = 0
+    while at < len(use):  # faces in order, as many as have PIXELS box pixels, or one
+        end = max(int(np.searchsorted(stop, (stop[at - 1] if at else 0) + PIXELS, "right")), at + 1)
+        n = cells[at:end]
+        i = np.repeat(np.arange(at, end), n)
+        place = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        x, y = low[i, 0] + place % wide[i], low[i, 1] + place // wide[i]
+        f = use[i]
+        gx, gy, q, a, c = x + 0.5, y + 0.5, p[f], area[f], fz[f]
+        w0 = ((q[:, 1, 0] - gx) * (q[:, 2, 1] - gy) - (q[:, 1, 1] - gy) * (q[:, 2, 0] - gx)) / a
+        w1 = ((q[:, 2, 0] - gx) * (q[:, 0, 1] - gy) - (q[:, 2, 1] - gy) * (q[:, 0, 0] - gx)) / a
         w2 = 1 - w0 - w1
-        inv = w0 / z[tri[0]] + w1 / z[tri[1]] + w2 / z[tri[2]]
-        ok = (w0 >= -1e-8) & (w1 >= -1e-8) & (w2 >= -1e-8) & (inv > 0)
-        d = np.where(ok, 1 / np.where(inv > 0, inv, 1), np.inf)
-        part = depth[y0:y1, x0:x1]
-        win = ok & (d < part)
-        part[win] = d[win]
-        ids[y0:y1, x0:x1][win] = f
-    return depth, ids
+        inv = w0 / c[:, 0] + w1 / c[:, 1] + w2 / c[:, 2]
+        ok = np.flatnonzero((w0 >= -1e-8) & (w1 >= -1e-8) & (w2 >= -1e-8) & (inv > 0))
+        d, pixel, f = 1 / inv[ok], y[ok] * width + x[ok], f[ok]
+        order = np.lexsort((f, d, pixel))
+        d, pixel, f = d[order], pixel[order], f[order]
+        first = np.flatnonzero(np.concatenate(([True], pixel[1:] != pixel[:-1]))) if len(pixel) else order
+        first = first[d[first] < depth[pixel[first]]]
+        depth[pixel[first]], ids[pixel[first]] = d[first], f[first]
+        at = end
+    return depth.reshape(height, width), ids.reshape(height, width)
 
 
 def resize_nearest(image: np.ndarray, width: int, height: int) -> np.ndarray:

@@ -170,24 +170,18 @@ def scaled_intrinsics(spark, sf):
     return rounded(s.select("id", F.col("k")[0].alias("fx"), F.col("k")[2].alias("cx"), F.col("k")[4].alias("fy"), F.col("k")[5].alias("cy")))
 
 
-def _small(spark, sf):
-    m = orders_mesh(spark, sf)
-    return m.vertices.filter("model_id < 3"), m.faces.filter("model_id < 3")
-
-
 @query()
 def raster_issues(spark, sf):
-    """Three models: rendering is per view and pixel, the models stand for the layout's cost."""
-    v, f = _small(spark, sf)
-    return VW.raster_audit(VW.rasters(v, f, VW.cube_cameras(spark, 3.0, 32)))
+    m = orders_mesh(spark, sf)
+    return VW.raster_audit(VW.rasters(m.vertices, m.faces, VW.cube_cameras(spark, 3.0, 32)))
 
 
 @query()
 def renderer_visibility(spark, sf):
-    v, f = _small(spark, sf)
+    m = orders_mesh(spark, sf)
     cams = VW.cube_cameras(spark, 3.0, 64)
-    ids, culled = VW.rasters(v, f, cams), VW.rasters(v, f, cams, cull=True)
-    return VW.renderer_visibility(VW.projected(v, cams), f, stored(ids, scratch(spark)), stored(culled, scratch(spark))).groupBy("model_id", "view_id").agg(*(F.count_if(c).alias(c) for c in ("frustum", "backface", "occlusion", "combined")))
+    ids, culled = VW.rasters(m.vertices, m.faces, cams), VW.rasters(m.vertices, m.faces, cams, cull=True)
+    return VW.renderer_visibility(VW.projected(m.vertices, cams), m.faces, stored(ids, scratch(spark)), stored(culled, scratch(spark))).groupBy("model_id", "view_id").agg(*(F.count_if(c).alias(c) for c in ("frustum", "backface", "occlusion", "combined")))
 
 
 @query("""WITH v AS (SELECT l_orderkey % 40 AS model_id, l_partkey % 97 AS vid, l_linenumber AS view_id, bool_or(l_quantity > 25) AS s FROM lineitem GROUP BY 1, 2, 3), c AS (SELECT model_id, vid, sum(CASE WHEN s THEN 1 ELSE 0 END) AS n, count(*) AS k FROM v GROUP BY 1, 2)

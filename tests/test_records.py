@@ -16,6 +16,7 @@ from meshquilt.operators import selection as S
 from meshquilt.operators import validate as VA
 from meshquilt.operators import views as VW
 from meshquilt.plans import queries as Q
+from meshquilt.plans import queries_more as QM
 from meshquilt.plans import registry as R
 from meshquilt.sources import files as FS
 from meshquilt.sources.corpus import mesh_arrays
@@ -156,6 +157,12 @@ def test_rasters_and_renderer_visibility(spark):
     assert half.count() == 2 * 24 * 24
 
 
+def test_raster_queries_take_every_model(spark, sf):
+    audit = QM.raster_issues(spark, sf).select("model_id", "view_id").collect()
+    seen = QM.renderer_visibility(spark, sf).select("model_id", "view_id").collect()
+    assert sorted(map(tuple, audit)) == sorted(map(tuple, seen)) == [(m, v) for m in range(50) for v in range(14)]
+
+
 def test_synthetic_samples_round_trip(spark):
     v, f = mesh(spark, *sphere(1))
     s = SA.synthetic_sample(v, f, 3)
