@@ -12,6 +12,8 @@ with one canonical form: the smaller name wins.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ SPELLINGS = (
     ("organisation", "organization"), ("authorised", "authorized"), ("merchantibility", "merchantability"), ("non infringement", "noninfringement"),
     ("copyright owner", "copyright holder"), ("favour", "favor"), ("acknowledgement", "acknowledgment"), ("whilst", "while"), ("per cent", "percent"),
 )
+_SAID = ("Licensed under", "Released under", "Distributed under", "Available under", "This work is licensed under", "This software is licensed under", "This project is licensed under", "This file is licensed under")
 #: One-line notices.
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -34,6 +37,15 @@ NOTICES = (
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    *((f"CC-{k}-4.0", f"{said} CC {k} 4.0.") for k in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND") for said in _SAID),
+    *((f"CC-{k}-4.0", f"This work is licensed under a Creative Commons {name} 4.0 International License.") for k, name in (
+        ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))),
+    *((k, f"{said} the {name}.") for k, names in (
+        ("0BSD", ("BSD Zero Clause License",)), ("AGPL-3.0", ("GNU Affero General Public License, version 3",)), ("Apache-2.0", ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License")),
+        ("BSD-2-Clause", ("BSD 2-Clause License",)), ("BSD-3-Clause", ("BSD 3-Clause License",)), ("GPL-2.0", ("GNU General Public License, version 2",)),
+        ("GPL-3.0", ("GNU General Public License, version 3",)), ("ISC", ("ISC License",)), ("LGPL-2.1", ("GNU Lesser General Public License, version 2.1",)),
+        ("LGPL-3.0", ("GNU Lesser General Public License, version 3",)), ("MIT", ("MIT License",)), ("MPL-2.0", ("Mozilla Public License, version 2.0", "Mozilla Public License 2.0")),
+        ("Unlicense", ("Unlicense",)), ("Zlib", ("zlib License",))) for name in names for said in _SAID),
 )
 _WARRANTY = (
     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
@@ -45,8 +57,23 @@ _ISC = (
     "AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM "
     "LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
 )
-#: Whole licence texts.
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n1. Redistributions of source code must retain the above "
+    "copyright notice, this list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+    "the documentation and/or other materials provided with the distribution.\n"
+)
+_BSD_3 = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A '
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+    "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+    "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+#: Whole licence texts; the long ones are files named after the licence.
 TEXTS = (
+    *((p.stem, p.read_text(encoding="utf-8")) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))),
+    ("BSD-2-Clause", _BSD_2 + _BSD_END),
+    ("BSD-3-Clause", _BSD_2 + _BSD_3 + _BSD_END),
     ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n" + _ISC),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
      "copyright notice and this permission notice appear in all copies.\n" + _ISC),

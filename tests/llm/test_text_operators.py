@@ -4,8 +4,8 @@ import random
 import re
 import zlib
 
-import pyarrow as pa
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,3 +273,16 @@ def test_license_whole_text_and_notices(spark):
     assert all(got[i] == (None, None) for i in (5, 6, 7, 8)) and got[9] == (None, "Apache-2.0,MIT")
     assert license_scan.scan(d.unionByName(d), license_scan.known(spark)).count() == 2 * len(texts)
     assert license_scan.scan(d.limit(0), license_scan.known(spark)).count() == 0
+
+
+def test_license_lines_found_in_documents_and_long_texts(spark):
+    known = dict(license_scan.TEXTS)
+    names = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")
+    lines = {
+        "Some text.\nLicensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Distributed under the Mozilla Public License 2.0": "MPL-2.0",
+    }
+    d = docs(spark, [*lines, *("Copyright (c) 2020 Some Body\n\n" + known[n] for n in names)])
+    got = {r["doc_id"]: r for r in license_scan.scan(d, license_scan.known(spark)).collect()}
+    assert [got[i]["notices"] for i in range(len(lines))] == [*lines.values()]
+    assert [got[len(lines) + i]["license"] for i in range(len(names))] == [*names]
