@@ -1,8 +1,11 @@
 """Quality rules (3): a rule bitmask ledger.
 
 Every rule is evaluated once per document. The ledger keeps the measurements and one failure bit for
-each rule; a policy is a versioned mask over the bits, so verdicts, counts and ablations are bitwise
-work on the ledger and never read the texts again.
+each rule; ``stored_ledger`` writes it as a table. A policy is a versioned mask over the bits, so verdicts,
+counts and ablations are bitwise work on that table and never read the texts again.
+
+Lines and word windows are told apart by 64-bit hashes; those of equal hash are compared byte by byte, and a
+text in which two differ is measured word by word, so counts are exact whatever the text.
 
 Defined results: a null or empty text has no words, all its measurements are 0 and it fails
 ``short`` (so it is rejected); repeated rows give repeated rows; an empty table gives an empty ledger;
@@ -11,6 +14,9 @@ other columns of the input are neither read nor returned by ``ledger`` and are k
 
 from __future__ import annotations
 
+import functools
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,6 +50,16 @@ def mask(policy: str) -> int:
     return sum(1 << RULES.index(r) for r in POLICIES[policy])
 
 
+def _exactly(text: bytes) -> tuple[int, int]:
+    """n_dup_lines and n_repeat_words of one text, without hashes of our own."""
+    words = text.translate(bytes.maketrans(bytes(textkit.SPACES), b" " * len(textkit.SPACES))).split(b" ")
+    words = [w for w in words if w]
+    lines = [x for x in text.split(b"\n") if x.strip(bytes(textkit.SPACES))]
+    wins = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    met = Counter(wins)
+    return len(lines) - len(set(lines)), len({i + j for i, w in enumerate(wins) if met[w] > 1 for j in range(3)})
+
+
 def measure(column: pa.Array) -> np.ndarray:
     """One row of MEASURES for each text."""
     out = np.zeros((len(column), len(MEASURES)), np.int64)
@@ -64,42 +80,56 @@ def measure(column: pa.Array) -> np.ndarray:
         seen = np.concatenate(([0], np.cumsum(~textkit._tables()["space"][data])))
         full = seen[lend] > seen[lstart]
         lstart, lend, lrow = lstart[full], lend[full], lrow[full]
-        lines = np.bincount(lrow, minlength=n)
-        part[:, 5] = lines
-        key = textkit.mix(spans.hash(lstart, lend) ^ textkit.mix(lrow.astype(np.uint64) + np.uint64(1)))
-        _, one = np.unique(key, return_index=True)
-        part[:, 3] = lines - np.bincount(lrow[one], minlength=n)
+        part[:, 5] = np.bincount(lrow, minlength=n)
+        before, again = _again(spans.hash(lstart, lend), lrow)
+        part[:, 3] = np.bincount(lrow[again], minlength=n)
+        wrong = lrow[again][~textkit.same(data, (lstart[before], lend[before]), (lstart[again], lend[again]))]
         h = spans.hash(start, end)
         w, first = textkit.windows(h, at, 3)
         if len(w):
-            key = textkit.mix(w ^ textkit.mix(at[first].astype(np.uint64) + np.uint64(1)))
-            order = np.argsort(key)
-            k = key[order]
-            same = k[1:] == k[:-1]
-            twice = np.zeros(len(k), bool)
-            twice[1:] |= same
-            twice[:-1] |= same
+            before, again = _again(w, at[first])
+            before, again = first[before], first[again]
             covered = np.zeros(len(h), bool)
-            begin = first[order[twice]]
             for j in range(3):
-                covered[begin + j] = True
+                covered[before + j] = covered[again + j] = True
+                wrong = np.concatenate((wrong, at[again][~textkit.same(data, (start[before + j], end[before + j]), (start[again + j], end[again + j]))]))
             part[:, 4] = np.bincount(at[covered], minlength=n)
+        for i in np.unique(wrong):  # two of one hash that differ
+            part[i, 3:5] = _exactly(data[offs[i] : offs[i + 1]].tobytes())
     return out
 
 
-def ledger(docs: DataFrame) -> DataFrame:
-    """doc_id, the measurements and ``fail_bits`` of every document."""
-    shared.small_batches(docs.sparkSession)
-    schema = "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES)
+def _again(key: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(earlier, later): for every entry with an earlier equal one in its row, the nearest such and itself."""
+    own = textkit.mix(key ^ textkit.mix(row.astype(np.uint64) + np.uint64(1)))
+    order = np.argsort(own, kind="stable")
+    twice = np.flatnonzero(own[order[1:]] == own[order[:-1]])
+    return order[twice], order[twice + 1]
+
 
-    def rows(batches):
+def _measured(rows: DataFrame) -> DataFrame:
+    """``rows`` (one column, then text) with the measurements and ``fail_bits`` in place of the text."""
+    shared.small_batches(rows.sparkSession)
+    own = rows.schema.fields[0]
+    schema = f"{own.name} {own.dataType.simpleString()}, " + ", ".join(f"{m} long" for m in MEASURES)
+
+    def book(batches):
         for b in batches:
             values = measure(b.column(1))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(values[:, j]) for j in range(len(MEASURES)))], ["doc_id", *MEASURES])
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(values[:, j]) for j in range(len(MEASURES)))], [own.name, *MEASURES])
 
-    measured = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(rows, schema)
     bits = " + ".join(f"CASE WHEN {CONDITIONS[r]} THEN {1 << j}L ELSE 0L END" for j, r in enumerate(RULES))
-    return measured.withColumn("fail_bits", F.expr(bits))
+    return rows.mapInArrow(book, schema).withColumn("fail_bits", F.expr(bits))
+
+
+def ledger(docs: DataFrame) -> DataFrame:
+    """doc_id, the measurements and ``fail_bits`` of every document."""
+    return _measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+
+
+def stored_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger as a table in the shared folder: policies and ablations read that, not the texts."""
+    return shared.stored(ledger(docs), shared.scratch(docs.sparkSession))
 
 
 def verdict(book: DataFrame, policy: str = CURRENT, column: str = "kept") -> DataFrame:
@@ -125,22 +155,10 @@ def ablation(book: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 
 def keep(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The documents that the policy keeps, every column as it was. Measured beside the row in one pass;
-    no shuffle, no join, so repeated and null ids are safe."""
-    shared.small_batches(docs.sparkSession)
-    place = docs.columns.index("text")
-    terms = [(1 << RULES.index(r)) for r in POLICIES[policy]]
-    names = list(POLICIES[policy])
-
-    def rows(batches):
-        for b in batches:
-            m = dict(zip(MEASURES, measure(b.column(place).cast(pa.string())).T, strict=True))
-            bad = np.zeros(b.num_rows, np.int64)
-            for name, bit in zip(names, terms, strict=True):
-                bad |= np.where(eval(CONDITIONS[name], {"__builtins__": {}}, m), bit, 0)  # noqa: S307  fixed text above
-            yield b.filter(pa.array(bad == 0))
-
-    return docs.mapInArrow(rows, docs.schema)
+    """The documents that the policy keeps, every column as it was: each row travels beside its ledger entry, so
+    there is no shuffle and no join, and repeated and null ids are safe."""
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("d"), F.col("text").cast("string").alias("text"))
+    return verdict(_measured(rows), policy).filter("kept").select("d.*")
 
 
 def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -148,6 +166,13 @@ def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
     return book.select("doc_id", *MEASURES[:5], (~F.col("base_kept")).alias("base_failed"), "kept", "fail_bits")
 
 
+def quality_rules_ablation(spark, sf_dir: str) -> DataFrame:
+    """The ablation of every policy, from one stored ledger."""
+    book = stored_ledger(shared.table(spark, sf_dir, "documents"))
+    out = [ablation(book, p).withColumn("policy", F.lit(p)) for p in POLICIES]
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 _SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -168,10 +193,14 @@ f AS (SELECT *, CAST(@BITS@ AS BIGINT) AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (fail_bits & @BASE@) <> 0 AS base_failed, (fail_bits & @MASK@) = 0 AS kept, fail_bits FROM f
 """
-SQL = (
-    _SQL.replace("@BITS@", " + ".join(f"CASE WHEN {CONDITIONS[r]} THEN {1 << j} ELSE 0 END" for j, r in enumerate(RULES)))
-    .replace("@BASE@", str(mask("base")))
-    .replace("@MASK@", str(mask(CURRENT)))
+_BITS = " + ".join(f"CASE WHEN {CONDITIONS[r]} THEN {1 << j} ELSE 0 END" for j, r in enumerate(RULES))
+SQL = _SQL.replace("@BITS@", _BITS).replace("@BASE@", str(mask("base"))).replace("@MASK@", str(mask(CURRENT)))
+_PAIRS = ", ".join(f"('{p}', {mask(p)}, '{r}', {1 << RULES.index(r)})" for p in POLICIES for r in POLICIES[p])
+ABLATION_SQL = (
+    _SQL[: _SQL.rindex("SELECT doc_id")].replace("@BITS@", _BITS)
+    + f""", p(policy, mask, rule, bit) AS (VALUES {_PAIRS})
+SELECT policy, rule, CAST(count(*) FILTER (fail_bits & bit <> 0) AS BIGINT) AS n_failed, CAST(count(*) FILTER (fail_bits & mask = bit) AS BIGINT) AS n_alone,
+  CAST(count(*) FILTER (fail_bits & mask <> 0) AS BIGINT) AS n_rejected FROM f, p GROUP BY policy, rule"""
 )
 
 shared.by_value(__name__)

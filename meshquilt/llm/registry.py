@@ -8,6 +8,7 @@ QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_language_id": language_id.op2_language_id,
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "quality_rules_ablation": quality_rules.quality_rules_ablation,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op5_mixing_sources": mixing.op5_mixing_sources,
     "op6_quality_classifier": quality_classifier.op6_quality_classifier,
@@ -18,6 +19,7 @@ QUERIES = {
 }
 ORACLES = {
     "op3_quality_rules": quality_rules.SQL,
+    "quality_rules_ablation": quality_rules.ABLATION_SQL,
     "op7_url_filters": url_filters.SQL,
     "op8_topk_search": topk_search.SQL,
     "op10_license_scans": license_scan.SQL,

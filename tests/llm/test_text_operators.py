@@ -49,6 +49,26 @@ def test_slices_cut_between_rows_only(monkeypatch):
     assert [back[i] for i in range(len(texts))] == [t or "" for t in texts]
 
 
+def thue_morse(n, letters="ab"):
+    return "".join(letters[bin(i).count("1") & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [64, 512, 2048, 4096])
+def test_structured_strings_do_not_collide(size):
+    pair = [thue_morse(size), thue_morse(size, "ba")]
+    data = np.frombuffer("".join(pair).encode(), np.uint8)
+    a, b = textkit.Spans(data).hash(np.array([0, size]), np.array([size, 2 * size]))
+    assert a != b
+    assert quality_rules.measure(pa.array(["\n".join(pair)]))[0, 3] == 0
+
+
+def test_spans_of_equal_bytes():
+    data = np.frombuffer(b"abcabcabd", np.uint8)
+    a = (np.array([0, 0, 0, 4]), np.array([3, 3, 2, 4]))
+    b = (np.array([3, 6, 3, 5]), np.array([6, 9, 6, 5]))
+    assert textkit.same(data, a, b).tolist() == [True, False, False, True]
+
+
 # ---- quality rules --------------------------------------------------------------------------------------------
 
 
@@ -69,6 +89,14 @@ def test_quality_measurements_against_brute_force(spark):
             assert tuple(got[i][m] for m in quality_rules.MEASURES[:5]) == measured(t), t
 
 
+def test_quality_measurements_hold_where_hashes_collide(monkeypatch):
+    texts = ["a b c\nb c d\na b c\nx", "one two three one two three four", "p q\nr s\nq p"]
+    want = [measured(t)[3:5] for t in texts]
+    real = textkit.Spans.hash
+    monkeypatch.setattr(textkit.Spans, "hash", lambda self, s, e: real(self, s, e) & np.uint64(1))
+    assert [tuple(r[3:5]) for r in quality_rules.measure(pa.array(texts))] == want
+
+
 def test_quality_policies_and_ablation(spark):
     book = quality_rules.ledger(docs(spark, ODD + ["word " * 60, " ".join(f"w{i}" for i in range(60))]))
     v = quality_rules.verdict(book)
@@ -77,6 +105,8 @@ def test_quality_policies_and_ablation(spark):
     ab = {r["rule"]: r for r in quality_rules.ablation(book).collect()}
     assert ab["short"]["n_failed"] == len(ODD) - 1 and ab["repeats"]["n_failed"] >= 2
     assert {r["n_rejected"] for r in ab.values()} == {v.filter("NOT kept").count()}
+    again = quality_rules.stored_ledger(docs(spark, ODD))
+    assert "MapInArrow" not in again._jdf.queryExecution().toString() and again.columns == book.columns
 
 
 def test_quality_keep_keeps_columns_repeats_and_empty(spark):
