@@ -14,10 +14,20 @@ set with too few segments (its tokens fell together; hardly ever) is compared wi
 Equal sets are one class, looked up once. Buckets are not expanded into pairs. Each bucket picks its most
 central set (the one whose buckets are largest, so in a group of copies the text the others were made from)
 and every other set of the bucket joins that centre's group; all sets of a bucket are then in one group, and
-a group's rows are as many as its sets. A group is settled in memory: each set is held as its difference
-from the centre, common tokens are counted by posting lists, a union-find skips what is connected already,
-and only edges that connect go out. Groups over ``GROUP_SETS`` sets or ``GROUP_BYTES`` first link sets to
-the centre by a join; only those left over are compared with the group, in blocks of that size.
+a group's rows are as many as its sets.
+
+A group is first looked at through odd sketches: one bit a token, the parity of the tokens that fall there. Two
+sets differ in at least as many tokens as their sketches differ in bits, so a pair whose sketches are too far
+apart is no link, and what is left of a group falls into parts (equal parts of different groups are one). Only
+sets in a part of two or more are shipped whole, and settled in memory: each set is held as its difference from
+the part's head, common tokens are counted by posting lists, a union-find skips what is connected already, and
+only edges that connect go out. Groups over ``GROUP_SETS`` sets or ``GROUP_BYTES`` first link sets to the centre
+by a join, dealt over as many tasks as the group has blocks; only those left over are compared with the group,
+in blocks of that size.
+
+Names of sets are 64-bit hashes; a second one of 64 bits is held beside them, and where two sets of one name
+differ in it all names are made anew with another salt. Tokens are 64-bit hashes: a chance collision of two
+shingles of one pair of sets would count as one common token.
 
 Defined results: null and empty texts, and texts without words, have the empty set and are linked with
 nothing; fewer than five words give one shingle; repeated rows are copies; ids may repeat; an empty
@@ -31,6 +41,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +51,12 @@ WORDS, NUM, DEN = 5, 75, 100
 SINGLE = 64  # sets smaller than this have one token a segment
 WIDE = 16  # every so many segments, one has its one-deletion neighbourhoods in the index
 HOT_TOKENS, HOT_SHARE, HOT_LEAST = 1 << 14, 0.002, 8
-GROUP_SETS, GROUP_BYTES = 4096, 24 << 20  # of one block of a group
+GROUP_SETS, GROUP_BYTES = 1024, 24 << 20  # of one block of a group
 FLUSH = 1 << 21
+SIGN_BYTES, PART_BYTES = 6, 64 << 20  # a signature's bytes beside its part; signatures of one part
+BLOOM_LEAST, BLOOM_MOST = 20, 28  # log2 of the bits of the bitmap over wanted documents
 REST_BLOCK = 256
+SALTS = 8
 _BANDS: dict = {}
 
 
@@ -99,7 +113,7 @@ def shingles(data: np.ndarray, offs: np.ndarray):
     return owner, token
 
 
-def set_ids(owner: np.ndarray, token: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def set_ids(owner: np.ndarray, token: np.ndarray, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(sizes, 64-bit names of the sets); the empty set is 0."""
     size = np.bincount(owner, minlength=n)
     name = np.zeros(n, np.uint64)
@@ -107,7 +121,7 @@ def set_ids(owner: np.ndarray, token: np.ndarray, n: int) -> tuple[np.ndarray, n
     if len(token):
         first = (np.cumsum(size) - size)[full]
         with np.errstate(over="ignore"):
-            name[full] = textkit.mix(np.add.reduceat(textkit.mix(token + np.uint64(0xA5A5)), first) + size[full].astype(np.uint64))
+            name[full] = textkit.mix(np.add.reduceat(textkit.mix(token + np.uint64(0xA5A5 + 0x10000 * salt)), first) + size[full].astype(np.uint64))
     return size, name
 
 
@@ -119,9 +133,24 @@ def _merged(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
     return k[first], np.add.reduceat(c, first) if len(first) else c
 
 
-def _describe(texts: DataFrame) -> DataFrame:
-    """kind 0: doc_id (null kept), set size, set name. kind 1: a token frequent in part of the table, its count, the documents there."""
-    schema = "kind int, a long, b long, c long"
+def sketches(owner: np.ndarray, token: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Odd sketches: at bit (token modulo width) the parity of the tokens there; the width is a power of two, at
+    least 64 and the set's size. One of twice the width becomes the narrower one when its halves are XORed."""
+    width = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+    stop = np.cumsum(width)
+    at = (stop - width)[owner] + (token & (width[owner] - 1).astype(np.uint64)).astype(np.int64)
+    bits = np.packbits((np.bincount(at, minlength=int(stop[-1]) if len(stop) else 0) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [bits[e - w >> 3 : e >> 3] for w, e in zip(width.tolist(), stop.tolist(), strict=True)]
+
+
+def _describe(texts: DataFrame, salt: int = 0) -> DataFrame:
+    """kind 0: doc_id (null kept), set size, set name, a second name, sketch. kind 1: a token frequent in part of the
+    table, its count, the documents there."""
+    names = ["kind", "a", "b", "c", "d", "sketch"]
+
+    def batch(kind, a, b, c, d, sketch):
+        n = len(b)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), a, pa.array(b), pa.array(c), d, sketch], names)
 
     def rows(batches):
         held, docs, tokens = [], 0, 0
@@ -129,24 +158,27 @@ def _describe(texts: DataFrame) -> DataFrame:
         def hot():
             k, c = _merged(held, [np.ones(len(t), np.int64) for t in held])
             use = c >= max(HOT_LEAST, HOT_SHARE * docs)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(use.sum(), 1, np.int32)), pa.array(k[use].view(np.int64)), pa.array(c[use]), pa.array(np.full(use.sum(), docs, np.int64))], ["kind", "a", "b", "c"])
+            n = int(use.sum())
+            return batch(1, pa.array(k[use].view(np.int64)), c[use], np.full(n, docs, np.int64), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()))
 
         for b in batches:
-            size, name = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.uint64)
+            size, name, other, sketch = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.uint64), np.zeros(b.num_rows, np.uint64), []
             for at, data, offs in textkit.slices(b.column(1)):
                 n = len(offs) - 1
                 owner, token = shingles(data, offs)
-                size[at : at + n], name[at : at + n] = set_ids(owner, token, n)
+                size[at : at + n], name[at : at + n] = set_ids(owner, token, n, salt)
+                other[at : at + n] = set_ids(owner, token, n, salt + 0x5EED)[1]
+                sketch += sketches(owner, token, size[at : at + n])
                 held.append(token)
                 docs, tokens = docs + n, tokens + len(token)
                 if tokens > FLUSH:
                     yield hot()
                     held, docs, tokens = [], 0, 0
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int32)), b.column(0), pa.array(size), pa.array(name.view(np.int64))], ["kind", "a", "b", "c"])
+            yield batch(0, b.column(0), size, name.view(np.int64), pa.array(other.view(np.int64)), pa.array(sketch, pa.binary()))
         if held:
             yield hot()
 
-    return texts.mapInArrow(rows, schema)
+    return texts.mapInArrow(rows, "kind int, a long, b long, c long, d long, sketch binary")
 
 
 class Allocation:
@@ -248,7 +280,7 @@ class Allocation:
         return (np.concatenate(owners), np.concatenate(signs)), short
 
 
-def _signatures(texts: DataFrame, alloc: Allocation, labels: np.ndarray) -> DataFrame:
+def _signatures(texts: DataFrame, alloc: Allocation, labels: np.ndarray, salt: int) -> DataFrame:
     """part, and packed signatures and set names; part -1: names of sets that have too few segments."""
 
     def rows(batches):
@@ -264,13 +296,14 @@ def _signatures(texts: DataFrame, alloc: Allocation, labels: np.ndarray) -> Data
             ends = np.searchsorted(part, np.arange(n_parts + 1))
             some = np.flatnonzero(np.diff(ends))
             cut = [slice(ends[p], ends[p + 1]) for p in some]
+            sign = sign.view(np.uint8).reshape(-1, 8)[:, :SIGN_BYTES]
             return pa.RecordBatch.from_arrays([pa.array(labels[some].astype(np.int32)), pa.array([sign[c].tobytes() for c in cut]), pa.array([name[c].tobytes() for c in cut])], ["part", "signs", "names"])
 
         for b in batches:
             for _, data, offs in textkit.slices(b.column(0)):
                 n = len(offs) - 1
                 owner, token = shingles(data, offs)
-                size, name = set_ids(owner, token, n)
+                size, name = set_ids(owner, token, n, salt)
                 new = np.zeros(n, bool)
                 for i, k in enumerate(name.tolist()):
                     if k and k not in seen:
@@ -316,7 +349,8 @@ def _members(key: np.ndarray, name: np.ndarray, role: np.ndarray):
 
 
 def _buckets(packed: DataFrame, n: int) -> DataFrame:
-    """kind 1: bucket a, set b, sets in the bucket c. kind 2: set a with too few segments."""
+    """kind 1: bucket a, set b, sets in the bucket c. kind 2: set a with too few segments. A signature comes in
+    ``SIGN_BYTES`` bytes, enough to tell those of one part apart: two that fall together make a needless bucket."""
 
     def rows(batches):
         signs, names, short = [], [], []
@@ -325,7 +359,11 @@ def _buckets(packed: DataFrame, n: int) -> DataFrame:
                 if part < 0:
                     short.append(np.frombuffer(k, np.uint64))
                 else:
-                    signs.append(np.frombuffer(s, np.uint64))
+                    whole = np.zeros((len(s) // SIGN_BYTES, 8), np.uint8)
+                    whole[:, :SIGN_BYTES] = np.frombuffer(s, np.uint8).reshape(-1, SIGN_BYTES)
+                    sign = whole.reshape(-1).view(np.uint64)
+                    own = textkit.mix(np.uint64([part + 1]))
+                    signs.append(textkit.mix((sign >> np.uint64(2)) ^ own) & ~np.uint64(3) | sign & np.uint64(3))
                     names.append(np.frombuffer(k, np.uint64))
         put = lambda kind, a, b, c: pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(c.astype(np.int64))], ["kind", "a", "b", "c"])
         if short:
@@ -348,7 +386,7 @@ def _even_labels(spark, n: int) -> np.ndarray:
     return np.array(sorted(r["x"] for r in at), np.int64)
 
 
-def _sets(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
+def _sets(texts: DataFrame, wanted: np.ndarray, salt: int) -> DataFrame:
     """name, tokens (sorted) of the documents whose ids pass the bitmap (the first of each set's, and few others)."""
 
     def rows(batches):
@@ -360,7 +398,7 @@ def _sets(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
             for _, data, offs in textkit.slices(some):
                 n = len(offs) - 1
                 owner, token = shingles(data, offs)
-                size, name = set_ids(owner, token, n)
+                size, name = set_ids(owner, token, n, salt)
                 stop = np.cumsum(size)
                 full = np.flatnonzero(size)
                 if len(full):
@@ -436,15 +474,148 @@ def settle(names: np.ndarray, sets: list[np.ndarray], centre: int) -> list[tuple
     return out
 
 
-def _groups(kinds: DataFrame) -> DataFrame:
+def _ints(size: list[int], sketch: list[bytes]) -> list[dict[int, int]]:
+    """Each sketch as an integer, in its own width and, where it has one, in half of it."""
+    out = []
+    for k in sketch:
+        whole, half = int.from_bytes(k, "little"), len(k) * 4
+        out.append({half * 2: whole} | ({half: (whole >> half) ^ (whole & ((1 << half) - 1))} if half >= 64 else {}))
+    return out
+
+
+class Sketched:
+    """The sketches of some sets; ``near(i)``: which of them may be linked with the i-th."""
+
+    FEW = 24
+
+    def __init__(self, size: np.ndarray, sketch: list[bytes]):
+        self.size, self.width = size, np.array([len(k) * 8 for k in sketch], np.int64)
+        self.few = _ints(size.tolist(), sketch) if len(sketch) <= self.FEW else None
+        if self.few is None:
+            self.at = {int(w): np.flatnonzero(self.width == w) for w in np.unique(self.width)}
+            self.whole = {w: np.frombuffer(b"".join(sketch[i] for i in at), np.uint64).reshape(len(at), -1) for w, at in self.at.items()}
+            self.half = {w: m[:, : m.shape[1] // 2] ^ m[:, m.shape[1] // 2 :] for w, m in self.whole.items() if w >= 128}
+            self.place = np.empty(len(sketch), np.int64)
+            for at in self.at.values():
+                self.place[at] = np.arange(len(at))
+
+    def near(self, i: int) -> np.ndarray:
+        n, w = int(self.size[i]), int(self.width[i])
+        total = self.size + n
+        far = np.full(len(self.size), 1 << 60, np.int64)
+        if self.few is not None:
+            own = self.few[i]
+            for j, other in enumerate(self.few):
+                v = next((v for v in own if v in other), 0)  # the widest that both have
+                if v:
+                    far[j] = (own[v] ^ other[v]).bit_count()
+        else:
+            own = self.whole[w][self.place[i]]
+            for v, table in ((w, self.whole), (2 * w, self.half)):
+                if v in table:
+                    far[self.at[v]] = np.bitwise_count(table[v] ^ own).sum(axis=1, dtype=np.int64)
+            if w >= 128 and w // 2 in self.whole:
+                far[self.at[w // 2]] = np.bitwise_count(self.whole[w // 2] ^ self.half[w][self.place[i]]).sum(axis=1, dtype=np.int64)
+        alike = DEN * np.minimum(self.size, n) >= NUM * np.maximum(self.size, n)
+        return alike & (far <= total * (DEN - NUM) // (DEN + NUM))
+
+
+def parts(size: np.ndarray, sketch: list[bytes], centre: int) -> np.ndarray:
+    """A label for every set; sets that are linked have one label."""
+    sketched, root = Sketched(size, sketch), np.arange(len(size))
+    root[sketched.near(centre)] = centre
+    root[centre] = centre
+    for i in np.flatnonzero(root != centre):
+        for r in np.unique(root[sketched.near(int(i))]):
+            root[root == r] = root[i]
+    return root
+
+
+def _runs(batches, keys: int):
+    """(key, batches of its rows) for rows sorted by their first ``keys`` columns."""
+    last, held = None, []
+    for b in batches:
+        columns = [b.column(k).to_numpy() for k in range(keys)]
+        change = np.zeros(max(b.num_rows - 1, 0), bool)
+        for c in columns:
+            change |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), b.num_rows]
+        for s, e in zip(cuts, cuts[1:]):
+            if s == e:
+                continue
+            key = tuple(int(c[s]) for c in columns)
+            if key != last and held:
+                yield last, held
+                held = []
+            last = key
+            held.append(b.slice(s, e - s))
+    if held:
+        yield last, held
+
+
+def _parted(blocks: DataFrame) -> DataFrame:
+    """part, x of the sets (c, i, j, x, n, sketch) that may be linked with another one of their block."""
+
+    def rows(batches):
+        out, waiting = [], 0
+        for key, held in _runs(batches, 3):
+            x = np.concatenate([b.column(3).to_numpy() for b in held])
+            x, one = np.unique(x, return_index=True)
+            if len(x) < 2:
+                continue
+            size = np.concatenate([b.column(4).to_numpy() for b in held])[one]
+            sketch = [k for b in held for k in b.column(5).to_pylist()]
+            centre = np.flatnonzero(x == key[0])
+            root = parts(size, [sketch[i] for i in one], int(centre[0]) if len(centre) else 0)
+            label, count = np.unique(root, return_counts=True)
+            for r in label[count > 1]:
+                own = x[root == r]
+                with np.errstate(over="ignore"):
+                    part = textkit.mix(textkit.mix(own.view(np.uint64)).sum(keepdims=True)).view(np.int64)
+                out.append((np.repeat(part, len(own)), own))
+                waiting += len(own)
+            if waiting > 1 << 14:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["part", "x"])
+                out, waiting = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["part", "x"])
+
+    ordered = blocks.select("c", "i", "j", "x", "n", "sketch").repartition("c", "i", "j").sortWithinPartitions("c", "i", "j")
+    return ordered.mapInArrow(rows, "part long, x long").distinct()
+
+
+def _settled(shipped: DataFrame) -> DataFrame:
+    """a, b: links that connect the sets (part, x, tokens) of each part as its links do."""
+
+    def rows(batches):
+        for _, held in _runs(batches, 1):
+            names = np.concatenate([b.column(1).to_numpy() for b in held])
+            names, one = np.unique(names, return_index=True)
+            blobs = [k for b in held for k in b.column(2)]
+            members = [np.frombuffer(blobs[i].as_py(), np.uint64) for i in one]
+            found = settle(names, members, head(members)) if len(members) > 1 else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+    return shipped.select("part", "x", "tokens").repartition("part").sortWithinPartitions("part").mapInArrow(rows, "a long, b long")
+
+
+def head(members: list[np.ndarray]) -> int:
+    """The set with the largest share of tokens that others of the part have too (the first of such)."""
+    token = np.concatenate(members)
+    _, place, count = np.unique(token, return_inverse=True, return_counts=True)
+    size = np.array([len(m) for m in members])
+    return int(np.argmax(np.add.reduceat(count[place], np.cumsum(size) - size) / size))
+
+
+def _groups(kinds: DataFrame, tables: shared.Tables) -> DataFrame:
     """c, x, stored: the sets x (the centre too) of every centre's group."""
-    spark = kinds.sparkSession
     rows = kinds.filter("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("x"), F.col("c").alias("n"))
-    central = shared.stored(rows.groupBy("x").agg(F.sum(F.col("n") - 1).alias("score")), shared.scratch(spark))
+    central = tables.stored(rows.groupBy("x").agg(F.sum(F.col("n") - 1).alias("score")))
     scored = rows.join(central, "x")
-    centre = shared.stored(scored.groupBy("bucket").agg(F.max(F.struct("score", F.xxhash64("x").alias("h"), "x")).alias("m")).select("bucket", F.col("m.x").alias("c")), shared.scratch(spark))
+    centre = tables.stored(scored.groupBy("bucket").agg(F.max(F.struct("score", F.xxhash64("x").alias("h"), "x")).alias("m")).select("bucket", F.col("m.x").alias("c")))
     star = rows.select("bucket", "x").join(centre, "bucket").select("c", "x").distinct()
-    return shared.stored(star, shared.scratch(spark))
+    return tables.stored(star)
 
 
 def _linked_in(both: DataFrame) -> DataFrame:
@@ -458,56 +629,62 @@ def _linked_in(both: DataFrame) -> DataFrame:
     return both.select("a", "b", "s", "t").mapInArrow(rows, "a long, b long")
 
 
-def links_of(texts: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """a, b, stored: links that connect whatever the groups' links connect. ``classes``: set_name, least, n_shingles."""
-    spark = texts.sparkSession
-    sized = groups.join(classes.select(F.col("set_name").alias("x"), "least", "n_shingles"), "x")
-    sized = shared.stored(sized, shared.scratch(spark))
-    weight = sized.groupBy("c").agg(F.count("*").alias("k"), F.sum("n_shingles").alias("t"))
-    weight = shared.stored(weight.select("c", F.greatest(F.ceil(F.col("k") / GROUP_SETS), F.ceil(F.col("t") * 8 / GROUP_BYTES), F.lit(1)).cast("int").alias("g")), shared.scratch(spark))
-    wanted = shared.bloom(sized, "least", 1 << 24)
-    sets = _sets(texts, wanted)
-
-    def kernel(key, table):
-        names = table.column("x").to_numpy()
-        _, one = np.unique(names, return_index=True)
-        blobs = table.column("tokens")
-        members = [np.frombuffer(blobs[int(i)].as_py(), np.uint64) for i in one]
-        names = names[one]
-        centre = np.flatnonzero(names == key[0].as_py())
-        found = settle(names, members, int(centre[0]) if len(centre) else 0) if len(members) > 1 else []
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
-    placed = sized.select("c", "x").join(weight, "c")
-    small = placed.filter("g = 1").select("c", F.lit(0).alias("i"), F.lit(0).alias("j"), "x")
-    large = placed.filter("g > 1").select("c", "x", "g")
-    blocks, parts = small, []
+def _bits(n: int) -> int:
+    """Bits of a bitmap over n ids: 16 an id, between the two bounds."""
+    return 1 << min(BLOOM_MOST, max(BLOOM_LEAST, (16 * n - 1).bit_length() if n else 0))
+
+
+def links_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, tables: shared.Tables, salt: int = 0) -> DataFrame:
+    """a, b, stored: links that connect whatever the groups' links connect. ``classes``: set_name, least, n_shingles, sketch."""
+    sized = groups.join(classes.select(F.col("set_name").alias("x"), "least", F.col("n_shingles").alias("n"), "sketch"), "x")
+    sized = tables.stored(sized)
+    weight = sized.groupBy("c").agg(F.count("*").alias("k"), F.sum("n").alias("t"))
+    weight = tables.stored(weight.select("c", F.greatest(F.ceil(F.col("k") / GROUP_SETS), F.ceil(F.col("t") * 8 / GROUP_BYTES), F.lit(1)).cast("int").alias("g")))
+    placed = sized.join(weight, "c")
+    zero = F.lit(0)
+    refined = tables.stored(_parted(placed.filter("g = 1").select("c", zero.alias("i"), zero.alias("j"), "x", "n", "sketch")))
+    large = tables.stored(placed.filter("g > 1"))
+    wanted = refined.select("x").join(classes.select(F.col("set_name").alias("x"), "least"), "x").select("least").unionByName(large.select("least"))
+    wanted = tables.stored(wanted.distinct())
+    sets = tables.stored(_sets(texts, shared.bloom(wanted, "least", _bits(wanted.count())), salt))
+    near = None
     if large.limit(1).count():
-        first = large.select(F.col("c").alias("a"), F.col("x").alias("b")).filter("a <> b").join(sets.select(F.col("name").alias("b"), F.col("tokens").alias("t")), "b")
-        near = shared.stored(_linked_in(first.join(sets.select(F.col("name").alias("a"), F.col("tokens").alias("s")), "a")), shared.scratch(spark))
-        parts.append(near)
+        salts = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        own = lambda n: F.pmod(F.xxhash64(F.lit(7), "x"), F.col(n)).cast("int")
+        heads = tables.stored(large.filter("c = x").select("c", "g", F.col("n").alias("cn"), F.col("sketch").alias("cs")))
+        whole = tables.stored(heads.join(sets.select(F.col("name").alias("c"), F.col("tokens").alias("s")), "c").dropDuplicates(["c"]).select("c", "s", salts("g").alias("_y")))
+        first = _may_be(large.filter("c <> x").select("c", "x", "n", "sketch", own("g").alias("_y")).join(heads.select("c", "cn", "cs", salts("g").alias("_y")), ["c", "_y"]))
+        first = first.join(sets.select(F.col("name").alias("x"), F.col("tokens").alias("t")), "x").join(whole, ["c", "_y"])
+        near = tables.stored(_linked_in(first.select(F.col("c").alias("a"), F.col("x").alias("b"), "s", "t")))
         rest = large.join(near.select(F.col("a").alias("c"), F.col("b").alias("x")), ["c", "x"], "left_anti").filter("c <> x")
-        rest = shared.stored(rest, shared.scratch(spark))
+        rest = tables.stored(rest.select("c", "x", "n", "sketch", "g"))
         # left-over sets in blocks of a share of g, each with every block of the whole group
-        share = rest.groupBy("c").agg(F.count("*").alias("r")).join(large.groupBy("c").agg(F.count("*").alias("k")), "c").select("c", F.greatest(F.ceil(F.col("r") / GROUP_SETS), F.lit(1)).cast("int").alias("q"))
-        share = shared.stored(share, shared.scratch(spark))
-        block = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "x"), F.col(n)).cast("int")
-        asks = rest.join(share, "c").select("c", block("q", 1).alias("i"), F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j"), "x")
-        told = large.filter("c <> x").join(share, "c").select("c", F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("i"), block("g", 2).alias("j"), "x")
-        heads = large.filter("c = x").join(share, "c").select("c", "x", "q", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j")).select("c", F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("i"), "j", "x")
-        blocks = small.unionByName(asks.unionByName(told).unionByName(heads).distinct())
-    shipped = blocks.join(sets, F.col("x") == F.col("name")).select("c", "i", "j", "x", "tokens")
-    found = shared.stored(shipped.groupBy("c", "i", "j").applyInArrow(kernel, "a long, b long"), shared.scratch(spark))
-    for p in parts:
-        found = found.unionByName(p)
-    return found
-
-
-def components(links: DataFrame) -> DataFrame:
+        share = rest.groupBy("c").agg(F.count("*").alias("r")).select("c", F.greatest(F.ceil(F.col("r") / GROUP_SETS), F.lit(1)).cast("int").alias("q"))
+        share = tables.stored(share)
+        block = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "x"), F.col(n)).cast("int")
+        asks = rest.join(share, "c").select("c", block("q", 1).alias("i"), salts("g").alias("j"), "x", "n", "sketch")
+        told = large.filter("c <> x").join(share, "c").select("c", salts("q").alias("i"), block("g", 2).alias("j"), "x", "n", "sketch")
+        middle = large.filter("c = x").join(share, "c").select("c", "x", "n", "sketch", "q", salts("g").alias("j")).select("c", salts("q").alias("i"), "j", "x", "n", "sketch")
+        refined = tables.stored(refined.unionByName(_parted(asks.unionByName(told).unionByName(middle))).distinct())
+    found = tables.stored(_settled(refined.join(sets, F.col("x") == F.col("name"))))
+    return found if near is None else found.unionByName(near)
+
+
+def _may_be(both: DataFrame) -> DataFrame:
+    """c, x, _y of the rows whose sketches (n, sketch; cn, cs) are near enough."""
+
+    def rows(batches):
+        for b in batches:
+            ok = [bool(Sketched(np.array([n, m], np.int64), [s, t]).near(0)[1]) for n, s, m, t in zip(*(b.column(k).to_pylist() for k in (3, 4, 5, 6)), strict=True)]
+            yield pa.RecordBatch.from_arrays(b.columns[:3], ["c", "x", "_y"]).filter(pa.array(ok, pa.bool_()))
+
+    return both.select("c", "x", "_y", "n", "sketch", "cn", "cs").mapInArrow(rows, "c long, x long, _y int")
+
+
+def components(links: DataFrame, tables: shared.Tables) -> DataFrame:
     """name, root for every name in a link: alternating large and small stars, every step stored, until every
     name has one edge and no root has an edge of its own."""
-    spark = links.sparkSession
-    edges = shared.stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), shared.scratch(spark))
+    edges = tables.stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     ends = F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
     both = F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))
     while True:
@@ -515,34 +692,42 @@ def components(links: DataFrame) -> DataFrame:
         if not uses.filter("up > 1 OR (up > 0 AND down > 0)").limit(1).count():
             return edges.select(F.col("u").alias("name"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("name"), F.col("v").alias("root")).distinct())
         near = edges.select(both.alias("e")).select("e.*")
-        least = shared.stored(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), shared.scratch(spark))
+        least = tables.stored(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         wide = near.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = shared.stored(wide.filter("u <> v").distinct(), shared.scratch(spark))
-        least = shared.stored(edges.groupBy("u").agg(F.min("v").alias("m")), shared.scratch(spark))
+        edges = tables.stored(wide.filter("u <> v").distinct())
+        least = tables.stored(edges.groupBy("u").agg(F.min("v").alias("m")))
         narrow = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = shared.stored(narrow.filter("u <> v").distinct(), shared.scratch(spark))
+        edges = tables.stored(narrow.filter("u <> v").distinct())
+
 
+def _rest(texts: DataFrame, classes: DataFrame, short: DataFrame, tables: shared.Tables, salt: int) -> DataFrame | None:
+    """Links of the sets that have too few segments, each compared with every set, in blocks of ``REST_BLOCK`` names;
+    no more than a block of them is on the driver at a time."""
+    spark, out, block = texts.sparkSession, None, []
 
-def _rest(texts: DataFrame, classes: DataFrame, short: list[int]) -> DataFrame:
-    """Links of the sets that have too few segments, each compared with every set, in blocks."""
-    spark, out = texts.sparkSession, None
-    for i in range(0, len(short), REST_BLOCK):
-        names = spark.createDataFrame([(k,) for k in short[i : i + REST_BLOCK]], "set_name long")
+    def compared(block):
+        names = spark.createDataFrame([(k,) for k in block], "set_name long")
         wanted = shared.bloom(classes.join(names, "set_name"), "least", 1 << 16)
-        own = {r["name"]: np.frombuffer(r["tokens"], np.uint64) for r in _sets(texts, wanted).join(names.withColumnRenamed("set_name", "name"), "name").toLocalIterator()}
+        own = {r["name"]: np.frombuffer(r["tokens"], np.uint64) for r in _sets(texts, wanted, salt).join(names.withColumnRenamed("set_name", "name"), "name").toLocalIterator()}
 
-        def rows(batches, own=own):
+        def rows(batches):
             for b in batches:
                 for _, data, offs in textkit.slices(b.column(0)):
                     owner, token = shingles(data, offs)
-                    size, name = set_ids(owner, token, len(offs) - 1)
+                    size, name = set_ids(owner, token, len(offs) - 1, salt)
                     stop = np.cumsum(size)
                     hit = [(k, int(name[j].view(np.int64))) for j in np.flatnonzero(size) for k, s in own.items() if linked(s, token[stop[j] - size[j] : stop[j]])]
                     if hit:
                         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in hit]), pa.array([y for _, y in hit])], ["a", "b"])
 
-        part = shared.stored(texts.select("text").mapInArrow(rows, "a long, b long").filter("a <> b").distinct(), shared.scratch(spark))
-        out = part if out is None else out.unionByName(part)
+        return tables.stored(texts.select("text").mapInArrow(rows, "a long, b long").filter("a <> b").distinct())
+
+    for r in short.toLocalIterator():
+        block.append(r[0])
+        if len(block) == REST_BLOCK:
+            out, block = compared(block) if out is None else out.unionByName(compared(block)), []
+    if block:
+        out = compared(block) if out is None else out.unionByName(compared(block))
     return out
 
 
@@ -552,52 +737,76 @@ def _release(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _placed(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_name, component_id and root (a set name that only this component has; null without
-    shingles), for every row."""
+def _classes(texts: DataFrame, tables: shared.Tables) -> tuple[DataFrame, DataFrame, int]:
+    """The description of all documents, its classes of equal sets, and the salt under which no two different sets have one name."""
+    salt = 0
+    while True:
+        told = tables.stored(_describe(texts, salt))
+        full = told.filter("kind = 0 AND b > 0").groupBy(F.col("c").alias("set_name"))
+        classes = tables.stored(full.agg(F.min("a").alias("least"), F.max("b").alias("n_shingles"), F.min("d").alias("d0"), F.max("d").alias("d1"), F.max("sketch").alias("sketch")))
+        if not classes.filter("d0 <> d1").limit(1).count():
+            return told, classes, salt
+        salt += 1
+
+
+def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """doc_id, n_shingles, set_name of every row; set_name, least, component and root (a set name that only this component
+    has) of every class; the salt of the names."""
     spark = docs.sparkSession
     shared.small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    told = shared.stored(_describe(texts), shared.scratch(spark))
+    kept, tables = shared.Tables(spark), shared.Tables(spark)
+    told, classes, salt = _classes(texts, kept)
     rows = told.filter("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), F.col("c").alias("set_name"))
     often = shared.largest(told.filter("kind = 1").groupBy("a").agg(F.sum("b").alias("n")), "n", HOT_TOKENS).toPandas()
     alloc = Allocation(often["a"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kinds = shared.stored(_buckets(_signatures(texts, alloc, _even_labels(spark, n)), n), shared.scratch(spark))
+    total = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * (SIGN_BYTES + 8) // PART_BYTES))
+    kinds = tables.stored(_buckets(_signatures(texts, alloc, _even_labels(spark, n), salt), n))
     _release(spark)
-    classes = shared.stored(rows.filter("n_shingles > 0").groupBy("set_name").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles")), shared.scratch(spark))
-    links = links_of(texts, classes, _groups(kinds))
-    short = [r["a"] for r in kinds.filter("kind = 2").select("a").distinct().toLocalIterator()]
-    if short:
-        links = links.unionByName(_rest(texts, classes, short))
+    links = links_of(texts, classes, _groups(kinds, tables), tables, salt)
+    rest = _rest(texts, classes, kinds.filter("kind = 2").select("a").distinct(), tables, salt)
+    if rest is not None:
+        links = links.unionByName(rest)
     _release(spark)
-    roots = shared.stored(components(links), shared.scratch(spark))
-    placed = shared.stored(classes.join(roots, classes["set_name"] == roots["name"]).select("set_name", "least", "root"), shared.scratch(spark))
-    heads = shared.stored(placed.groupBy("root").agg(F.min("least").alias("component")), shared.scratch(spark))
+    roots = tables.stored(components(links, tables))
+    placed = tables.stored(classes.join(roots, classes["set_name"] == roots["name"]).select("set_name", "least", "root"))
+    heads = tables.stored(placed.groupBy("root").agg(F.min("least").alias("component")))
     grouped = placed.join(heads, "root").select("set_name", "component", "root")
-    final = classes.join(grouped, "set_name", "left").select("set_name", F.coalesce("component", "least").alias("component"), F.coalesce("root", "set_name").alias("root"))
-    final = shared.stored(final, shared.scratch(spark))
+    final = classes.select("set_name", "least").join(grouped, "set_name", "left")
+    final = final.select("set_name", "least", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component")).alias("component"), F.coalesce("root", "set_name").alias("root"))
+    final = kept.stored(final)
+    tables.drop()
     _release(spark)
-    return rows.join(final, "set_name", "left").select("doc_id", "n_shingles", "set_name", F.coalesce("component", "doc_id").alias("component_id"), "root")
+    return rows, final, salt
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_name, component_id (the smallest doc_id of the component; null if all are null), for every row."""
-    return _placed(docs).drop("root")
-
-
-def _named(docs: DataFrame) -> DataFrame:
-    """d (the whole row), doc_id, n_shingles and set_name."""
-    schema = f"d {docs.schema.simpleString()}, doc_id long, n_shingles long, set_name long"
+    """doc_id, n_shingles, set_name, component_id (the smallest doc_id of the component; null if all are null), for every
+    row. Rows are dealt over ``SALTS`` places of their class, so a class of many copies is not one task's."""
+    rows, final, _ = _placed(docs)
+    final = final.select("set_name", F.col("component").alias("_c"), F.explode(F.array(*(F.lit(k) for k in range(SALTS)))).alias("_y"))
+    own = rows.withColumn("_y", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    met = own.filter("n_shingles > 0").join(final, ["set_name", "_y"], "left").select("doc_id", "n_shingles", "set_name", F.col("_c").alias("component_id"))
+    return met.unionByName(rows.filter("n_shingles = 0").select("doc_id", "n_shingles", "set_name", F.col("doc_id").alias("component_id")))
+
+
+def _named(docs: DataFrame, salt: int) -> DataFrame:
+    """d (the whole row), _i, _null (the id, and whether it is null), _e (no shingles), _s (the set's name; without
+    shingles a number that no other row has)."""
+    schema = f"d {docs.schema.simpleString()}, _i long, _null boolean, _e boolean, _s long"
     packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("d"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def rows(batches):
+        done = TaskContext.get().partitionId() << 40
         for b in batches:
             size, name = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.uint64)
             for at, data, offs in textkit.slices(b.column(2)):
                 n = len(offs) - 1
-                size[at : at + n], name[at : at + n] = set_ids(*shingles(data, offs), n)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(size), pa.array(name.view(np.int64))], ["d", "doc_id", "n_shingles", "set_name"])
+                size[at : at + n], name[at : at + n] = set_ids(*shingles(data, offs), n, salt)
+            name = np.where(size > 0, name.view(np.int64), done + np.arange(b.num_rows))
+            done += b.num_rows
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).fill_null(0), b.column(1).is_null(), pa.array(size == 0), pa.array(name)], ["d", "_i", "_null", "_e", "_s"])
 
     return packed.mapInArrow(rows, schema)
 
@@ -606,12 +815,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest id (one row, if that id is repeated there; one without
     an id only where no document of the component has one); documents without shingles all stay. Components are told
     apart by their sets, so null or repeated ids never join them. All columns as they were."""
-    spark = docs.sparkSession
-    who = _placed(docs).filter("n_shingles > 0 AND doc_id <=> component_id")
-    stay = shared.stored(who.select(F.col("doc_id").alias("_i"), F.col("set_name").alias("_s"), F.col("root").alias("_r")).distinct(), shared.scratch(spark))
-    named = _named(docs)
-    one = named.filter("n_shingles > 0").join(stay, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("set_name") == F.col("_s"))).dropDuplicates(["_r"])
-    return one.select("d.*").unionByName(named.filter("n_shingles = 0").select("d.*"))
+    _, final, salt = _placed(docs)
+    stay = final.filter("least <=> component").groupBy("root").agg(F.min("set_name").alias("_s"), F.min("component").alias("_c"))
+    stay = stay.select(F.coalesce("_c", F.lit(0)).cast("long").alias("_i"), F.col("_c").isNull().alias("_null"), F.lit(False).alias("_e"), "_s", F.lit(True).alias("_stay"))
+    stay = shared.stored(stay, shared.scratch(docs.sparkSession))
+    keys = ["_i", "_null", "_e", "_s"]
+    met = _named(docs, salt).join(stay, keys, "left").filter("_e OR _stay")
+    return met.dropDuplicates(keys).select("d.*")
 
 
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -61,6 +61,21 @@ def discard(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Tables:
+    """Scratch tables of one job; ``drop`` deletes those that nothing reads any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        self.paths.append(scratch(self.spark))
+        return stored(df, self.paths[-1])
+
+    def drop(self) -> None:
+        discard(self.spark, *self.paths)
+        self.paths.clear()
+
+
 def fold(column: str, parts: int):
     """crc32 of the id as text, modulo ``parts``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(parts)

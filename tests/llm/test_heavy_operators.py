@@ -158,6 +158,45 @@ def test_settle_connects_what_links_connect(groups):
         assert parts(got) == parts(every) and len(got) < max(2, len(sets))
 
 
+@pytest.mark.parametrize("few", [0, 100])
+def test_sketches_let_every_link_pass(monkeypatch, few):
+    monkeypatch.setattr(jaccard_join.Sketched, "FEW", few)
+    rng = np.random.default_rng(13)
+    sets = []
+    for s in (40, 63, 64, 65, 100, 127, 128, 129, 200, 300):
+        base = rng.integers(0, 2**63, s).astype(np.uint64)
+        for k in range(0, s // 4, max(1, s // 25)):
+            sets.append(np.unique(np.concatenate((base[k:], rng.integers(0, 2**63, k // 2).astype(np.uint64)))))
+    size = np.array([len(s) for s in sets])
+    sketch = jaccard_join.sketches(np.repeat(np.arange(len(sets)), size), np.concatenate(sets), size)
+    assert all(len(k) * 8 >= n for k, n in zip(sketch, size, strict=True))
+    table = jaccard_join.Sketched(size, sketch)
+    label, passed = jaccard_join.parts(size, sketch, 3), 0
+    for i in range(len(sets)):
+        near = table.near(i)
+        passed += int(near.sum())
+        for j in range(len(sets)):
+            if jaccard_join.linked(sets[i], sets[j]):
+                assert near[j] and label[i] == label[j]
+    assert passed < len(sets) ** 2 / 4
+
+
+def test_names_that_two_sets_share_are_made_anew(spark, monkeypatch):
+    real = jaccard_join.set_ids
+
+    def weak(owner, token, n, salt=0):  # under salt 0 all sets of one size have one name
+        size, name = real(owner, token, n, salt)
+        return size, np.where(size > 0, size.astype(np.uint64), np.uint64(0)) if salt == 0 else name
+
+    monkeypatch.setattr(jaccard_join, "set_ids", weak)
+    texts = [" ".join(f"{w}{i}" for i in range(30)) for w in ("a", "b", "c")] + [thue_morse_text(64, "ab"), thue_morse_text(64, "ba")]
+    assert joined(docs(spark, texts)) == brute(list(enumerate(texts)))
+
+
+def thue_morse_text(n, letters):
+    return "".join(letters[bin(i).count("1") & 1] for i in range(n)) + " and four words more"
+
+
 def test_deduplicated_keeps_one_of_each(spark):
     texts = [None, "", *near_copies(random.Random(9)), "a b c d e f g", "a b c d e f g"]
     d = docs(spark, texts, extra=True)
