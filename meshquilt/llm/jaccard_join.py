@@ -11,10 +11,10 @@ the index also holds these segments' one-deletion neighbourhoods (a segment of i
 token from the partner's); frequent ones come last, by frequency. Bands of small sets have one token a segment. A
 set with too few segments (its tokens fell together; hardly ever) is compared with all sets, in blocks.
 
-Equal sets are one class, looked up once. Buckets are not expanded into pairs. Each bucket picks its most
-central set (the one whose buckets are largest, so in a group of copies the text the others were made from)
-and every other set of the bucket joins that centre's group; all sets of a bucket are then in one group, and
-a group's rows are as many as its sets.
+Equal sets are one class, looked up once. Buckets are not expanded into pairs. Each bucket picks one of its
+sets as centre (the one whose name has the least hash, so the buckets of a group of copies mostly agree) and
+every other set of the bucket joins that centre's group; all sets of a bucket are then in one group, and a
+group's rows are as many as its sets.
 
 A group is first looked at through odd sketches: one bit a token, the parity of the tokens that fall there. Two
 sets differ in at least as many tokens as their sketches differ in bits, so a pair whose sketches are too far
@@ -326,8 +326,8 @@ def _signatures(texts: DataFrame, alloc: Allocation, labels: np.ndarray, salt: i
     return texts.select("text").mapInArrow(rows, "part int, signs binary, names binary")
 
 
-def _members(key: np.ndarray, name: np.ndarray, role: np.ndarray):
-    """(bucket, set, sets in the bucket) of the buckets with two sets or more, one of them looking."""
+def _stars(key: np.ndarray, name: np.ndarray, role: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(centre, set), without repeats, of the buckets with two sets or more, one of them looking; the centre is a set too."""
     order = np.argsort(key, kind="stable")
     key, name, role = key[order], name[order], role[order]
     same = key[1:] == key[:-1]
@@ -335,22 +335,23 @@ def _members(key: np.ndarray, name: np.ndarray, role: np.ndarray):
     shared_[1:] |= same
     shared_[:-1] |= same
     key, name, role = key[shared_], name[shared_], role[shared_]
-    order = np.lexsort((name, key))
-    key, name, role = key[order], name[order], role[order]
     if not len(key):
-        return key, name, np.empty(0, np.int64)
-    first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]))))
-    role = np.bitwise_or.reduceat(role, first)
-    key, name = key[first], name[first]
+        return key, name
+    order = np.lexsort((textkit.mix(name), key))
+    key, name, role = key[order], name[order], role[order]
     start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     count = np.diff(np.concatenate((start, [len(key)])))
-    ok = np.repeat((count > 1) & (np.add.reduceat(role & 1, start) > 0), count)
-    return key[ok], name[ok], np.repeat(count, count)[ok]
+    ok = (np.bitwise_or.reduceat(role, start) & 1 > 0) & (name[start] != name[start + count - 1])
+    centre, name = np.repeat(name[start], count)[np.repeat(ok, count)], name[np.repeat(ok, count)]
+    order = np.lexsort((name, centre))
+    centre, name = centre[order], name[order]
+    new = np.concatenate(([True], (centre[1:] != centre[:-1]) | (name[1:] != name[:-1]))) if len(name) else np.empty(0, bool)
+    return centre[new], name[new]
 
 
 def _buckets(packed: DataFrame, n: int) -> DataFrame:
-    """kind 1: bucket a, set b, sets in the bucket c. kind 2: set a with too few segments. A signature comes in
-    ``SIGN_BYTES`` bytes, enough to tell those of one part apart: two that fall together make a needless bucket."""
+    """kind 1: centre a, set b. kind 2: set a with too few segments. A signature comes in ``SIGN_BYTES`` bytes, enough
+    to tell those of one part apart: two that fall together make a needless bucket."""
 
     def rows(batches):
         signs, names, short = [], [], []
@@ -365,19 +366,19 @@ def _buckets(packed: DataFrame, n: int) -> DataFrame:
                     own = textkit.mix(np.uint64([part + 1]))
                     signs.append(textkit.mix((sign >> np.uint64(2)) ^ own) & ~np.uint64(3) | sign & np.uint64(3))
                     names.append(np.frombuffer(k, np.uint64))
-        put = lambda kind, a, b, c: pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(c.astype(np.int64))], ["kind", "a", "b", "c"])
+        put = lambda kind, a, b: pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["kind", "a", "b"])
         if short:
             a = np.unique(np.concatenate(short))
-            yield put(2, a, a, np.zeros(len(a)))
+            yield put(2, a, a)
         if not signs:
             return
         sign, name = np.concatenate(signs), np.concatenate(names)
         del signs, names
-        key, name, count = _members(sign >> np.uint64(2), name, (sign & np.uint64(3)).astype(np.int32))
-        for i in range(0, len(key), 1 << 16):
-            yield put(1, key[i : i + (1 << 16)], name[i : i + (1 << 16)], count[i : i + (1 << 16)])
+        centre, name = _stars(sign >> np.uint64(2), name, (sign & np.uint64(3)).astype(np.int32))
+        for i in range(0, len(centre), 1 << 16):
+            yield put(1, centre[i : i + (1 << 16)], name[i : i + (1 << 16)])
 
-    return packed.repartition(n, "part").mapInArrow(rows, "kind int, a long, b long, c long")
+    return packed.repartition(n, "part").mapInArrow(rows, "kind int, a long, b long")
 
 
 def _even_labels(spark, n: int) -> np.ndarray:
@@ -608,16 +609,6 @@ def head(members: list[np.ndarray]) -> int:
     return int(np.argmax(np.add.reduceat(count[place], np.cumsum(size) - size) / size))
 
 
-def _groups(kinds: DataFrame, tables: shared.Tables) -> DataFrame:
-    """c, x, stored: the sets x (the centre too) of every centre's group."""
-    rows = kinds.filter("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("x"), F.col("c").alias("n"))
-    central = tables.stored(rows.groupBy("x").agg(F.sum(F.col("n") - 1).alias("score")))
-    scored = rows.join(central, "x")
-    centre = tables.stored(scored.groupBy("bucket").agg(F.max(F.struct("score", F.xxhash64("x").alias("h"), "x")).alias("m")).select("bucket", F.col("m.x").alias("c")))
-    star = rows.select("bucket", "x").join(centre, "bucket").select("c", "x").distinct()
-    return tables.stored(star)
-
-
 def _linked_in(both: DataFrame) -> DataFrame:
     """a, b of the rows a, b, s, t (token sets) that are links."""
 
@@ -646,9 +637,9 @@ def links_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, tables: sh
     large = tables.stored(placed.filter("g > 1"))
     wanted = refined.select("x").join(classes.select(F.col("set_name").alias("x"), "least"), "x").select("least").unionByName(large.select("least"))
     wanted = tables.stored(wanted.distinct())
-    sets = tables.stored(_sets(texts, shared.bloom(wanted, "least", _bits(wanted.count())), salt))
-    near = None
-    if large.limit(1).count():
+    sets, near = _sets(texts, shared.bloom(wanted, "least", _bits(wanted.count())), salt), None
+    if large.limit(1).count():  # the sets are read three times then
+        sets = tables.stored(sets)
         salts = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         own = lambda n: F.pmod(F.xxhash64(F.lit(7), "x"), F.col(n)).cast("int")
         heads = tables.stored(large.filter("c = x").select("c", "g", F.col("n").alias("cn"), F.col("sketch").alias("cs")))
@@ -764,7 +755,8 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * (SIGN_BYTES + 8) // PART_BYTES))
     kinds = tables.stored(_buckets(_signatures(texts, alloc, _even_labels(spark, n), salt), n))
     _release(spark)
-    links = links_of(texts, classes, _groups(kinds, tables), tables, salt)
+    groups = kinds.filter("kind = 1").select(F.col("a").alias("c"), F.col("b").alias("x")).distinct()
+    links = links_of(texts, classes, groups, tables, salt)
     rest = _rest(texts, classes, kinds.filter("kind = 2").select("a").distinct(), tables, salt)
     if rest is not None:
         links = links.unionByName(rest)
