@@ -2,10 +2,12 @@
 
 Token sequences have at most ``size`` places, so a corpus is described, for packing, by ``size`` counts
 whatever its number of documents. The packer works on those counts: it takes the largest waiting length,
-enumerates the undominated fillings of the rest of its sequence (no filling that fits inside another
-one), and uses the chosen filling as often as the counts allow. Choices are searched depth first; a branch
-ends when its waste rules out fewer sequences than the best packing so far. The first incumbent is
-best-fit decreasing, and the search ends at the volume bound or after ``NODES`` steps.
+enumerates the undominated fillings of the rest of its sequence (none of whose lengths fit together into one
+longer length that is there), least waste first, and uses the chosen filling as often as the counts allow, or
+once. Choices are searched depth first, over all lengths; a branch ends when its waste is more than the wanted
+number of sequences has to spare. The first incumbent is best-fit decreasing. What the search over the whole
+histogram leaves is searched on: sequences that are not full, with some full ones, are packed anew into one
+less. It ends at the lower bound, or after ``NODES`` steps (one or two seconds, whatever the input).
 
 The plan (one row per pattern and length) is then dealt out: pieces are numbered within their length, by
 the write task that made them plus a running number there, so no length is ever gathered in one task.
@@ -29,29 +31,56 @@ from pyspark.sql import functions as F
 from . import shared
 
 SIZE, END = 1024, 2
-NODES, BRANCHES = 20_000, 3
+NODES, ROUNDS, SEED = 200_000, 64, 5
 #: The pre-tokenisation pattern of byte-level BPE vocabularies of this kind (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _ENCODERS: dict = {}
 
 
-def encoder(path: str):
-    """A byte-level BPE encoder for a tokenizers JSON file. Where its merges stand in the order of their ids
-    (as they do when ids were given out while merging), merging by id gives the same ids and is faster."""
-    if path not in _ENCODERS:
-        import tiktoken
+class Encoder:
+    """``ids(text)``: those of the tokenizers library for a JSON file, without its added special tokens.
+
+    The library is asked for texts that hold a token added to the vocabulary (as an end-of-text mark), and for all texts
+    where the file is not a plain byte-level BPE whose merges stand in the order of their ids. Elsewhere merging by id
+    gives the same ids in a quarter of the time, which a test holds against the library."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+            whole = json.load(f)
+        self.library = Tokenizer.from_file(path)
+        self.added = [t["content"] for t in whole["added_tokens"]]
+        self.fast = self._by_ids(whole)
+
+    @staticmethod
+    def _by_ids(whole: dict):
+        model, before = whole["model"], whole["pre_tokenizer"] or {}
+        odd = [model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")]
+        plain = model["type"] == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        if not plain or any(odd) or whole["normalizer"] or whole["truncation"] or whole["padding"]:
+            return None
+        import tiktoken
+
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
         order = [model["vocab"][a + b] for a, b in merges]
         if any(x >= y for x, y in zip(order, order[1:])):
-            raise ValueError(f"{path}: merges are not in the order of their ids")
+            return None
         made = {a + b for a, b in merges}
         ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if t in made or len(t) == 1}
-        _ENCODERS[path] = tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, text: str) -> list[int]:
+        if self.fast is None or any(t in text for t in self.added):
+            return self.library.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
+
+
+def encoder(path: str) -> Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
@@ -92,94 +121,217 @@ def best_fit(counts: np.ndarray, size: int) -> list[tuple[dict, int]]:
     return done + [p for ps in waiting.values() for p in ps]
 
 
-def fillings(left: np.ndarray, room: int, limit: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` with one to three of the lengths counted in ``left``, least waste first."""
-    have = np.flatnonzero(left[: room + 1])
-    if not len(have):
-        return [()]
-    below = np.zeros(room + 1, np.int64)  # largest length at most r
-    below[have] = have
-    below = np.maximum.accumulate(below)
-    top = int(below[room])
-    out: list[tuple[int, tuple[int, ...]]] = [(top, (top,))]
-    if top == room:
-        return [(top,)]  # every other filling fits inside it
-    two = below[room - have]
-    two = np.minimum(two, have)
-    two = np.where((two == have) & (left[have] < 2), below[np.maximum(have - 1, 0)], two)
-    good = np.flatnonzero((two > 0) & (have + two > top))
-    out += [(int(have[i] + two[i]), (int(have[i]), int(two[i]))) for i in good[np.argsort(-(have + two)[good], kind="stable")][: limit * 2]]
-    if max(s for s, _ in out) < room:
-        first = have[-64:]
-        a, b = np.meshgrid(first, have[-256:], indexing="ij")
-        ok = (b <= a) & (a + b < room)
-        a, b = a[ok], b[ok]
-        c = np.minimum(below[room - a - b], b)
-        total = a + b + c
-        best = max(s for s, _ in out)
-        for i in np.flatnonzero((c > 0) & (total > best)):
-            pick = (int(a[i]), int(b[i]), int(c[i]))
-            if all(left[x] >= pick.count(x) for x in pick):
-                out.append((int(total[i]), pick))
-    out.sort(key=lambda x: (-x[0], len(x[1]), tuple(-y for y in x[1])))
-    return [p for _, p in out[:limit]]
+def least_sequences(counts: np.ndarray, size: int) -> int:
+    """A lower bound: for every k, lengths over size - k fill a sequence alone, and what lengths from k to half a
+    sequence do not find room for beside the other long ones needs more."""
+    at = np.arange(size + 1)
+    number, volume = np.concatenate(([0], np.cumsum(counts))), np.concatenate(([0], np.cumsum(counts * at)))  # below an index
+    best = -(-int(volume[-1]) // size)
+    for k in range(1, size // 2 + 1):
+        alone = int(number[size + 1] - number[size - k + 1])
+        long = int(number[size - k + 1] - number[size // 2 + 1])
+        room = long * size - int(volume[size - k + 1] - volume[size // 2 + 1])
+        rest = int(volume[size // 2 + 1] - volume[k])
+        best = max(best, alone + long + max(0, -(-(rest - room) // size)))
+    return best
+
+
+class Steps:
+    """A budget of search steps."""
+
+    def __init__(self, left: int):
+        self.left = left
+
+    def take(self) -> bool:
+        self.left -= 1
+        return self.left >= 0
+
+
+def fillings(left: list[int], room: int, waste: int, steps: Steps):
+    """The undominated fillings of ``room`` with the lengths counted in ``left`` that waste no more than ``waste``, least waste
+    first, then fewest and largest lengths first, one at a time. One is dominated if some of its lengths fit together
+    into a longer one that is there and fits in their place."""
+    lengths = [x for x in range(min(room, len(left) - 1), 0, -1) if left[x]]
+    there, whole = 0, (1 << (room + 1)) - 1
+    for x in lengths:
+        there |= 1 << x
+    sums = [1]  # bit s of sums[k]: s is a sum of k lengths at most
+    while True:
+        more = sums[-1]
+        for x in lengths:
+            more |= sums[-1] << x
+        more &= whole
+        if more == sums[-1]:
+            break
+        sums.append(more)
+
+    def dominated(pick: dict[int, int], slack: int) -> bool:
+        lows = [(0, 0, 0)]  # sum, lengths, the largest of them
+        for x, u in pick.items():
+            lows = [(s + x * k, n + k, max(m, x if k else 0)) for s, n, m in lows for k in range(min(u, 2) + 1)]
+            if len(lows) > 256:
+                break
+        for s, n, m in lows:
+            if n and s + slack > m:
+                low = max(s, m + 1)
+                window = there >> low & ((1 << (s + slack - low + 1)) - 1)
+                while window:
+                    y = low + (window & -window).bit_length() - 1
+                    if left[y] > pick.get(y, 0):
+                        return True
+                    window &= window - 1
+        return False
+
+    def exactly(total: int, k: int, most: int, pick: dict[int, int]):
+        if not steps.take():
+            return
+        if not total:
+            yield dict(pick)
+            return
+        for x in lengths:
+            if x <= most and x <= total and x * k >= total and sums[k - 1] >> (total - x) & 1 and left[x] > pick.get(x, 0):
+                pick[x] = pick.get(x, 0) + 1
+                yield from exactly(total - x, k - 1, x, pick)
+                if pick[x] == 1:
+                    del pick[x]
+                else:
+                    pick[x] -= 1
+                if steps.left < 0:
+                    return
+
+    for total in range(room, max(room - waste, 0) - 1, -1):
+        if not sums[-1] >> total & 1:
+            continue
+        for k in range(len(sums)):
+            if sums[k] >> total & 1 and (not k or k <= total):
+                for pick in exactly(total, k, total, {}):
+                    if sum(pick.values()) == k and not dominated(pick, room - total):
+                        yield pick
+        if steps.left < 0:
+            return
+
+
+def search(counts: np.ndarray, size: int, most: int, steps: Steps) -> list[tuple[dict, int]] | None:
+    """A packing into ``most`` sequences or fewer, or None where the search ends without one. Depth first: the largest
+    length opens a sequence, its undominated fillings are tried in turn, each as often as the counts allow and
+    then once, and a branch ends when its waste is more than ``most`` sequences have to spare."""
+    left = [int(c) for c in counts]
+    spare = most * size - int((np.asarray(counts) * np.arange(size + 1)).sum())
+    if spare < 0 or least_sequences(np.asarray(counts), size) > most:
+        return None
+    done: list[tuple[dict, int]] = []
+
+    def choices(top, spare):
+        left[top] -= 1
+        for pick in fillings(left, size - top, spare, steps):
+            pattern = {top: 1}
+            for x, u in pick.items():
+                pattern[x] = pattern.get(x, 0) + u
+            left[top] += 1
+            lost = size - sum(x * u for x, u in pattern.items())
+            times = min(left[x] // u for x, u in pattern.items())
+            if lost:
+                times = min(times, spare // lost)
+            for n in (times, 1) if times > 1 else (1,):
+                if n:
+                    yield pattern, n, lost * n
+            left[top] -= 1
+        left[top] += 1
+
+    def top_of(start):
+        while start and not left[start]:
+            start -= 1
+        return start
+
+    top = top_of(size)
+    if not top:
+        return []
+    stack = [(choices(top, spare), top, spare)]
+    while stack:
+        options, top, now = stack[-1]
+        if len(done) == len(stack):  # come back: undo
+            pattern, n = done.pop()
+            for x, u in pattern.items():
+                left[x] += n * u
+        pick = next(options, None) if steps.left >= 0 else None
+        if pick is None:
+            if steps.left < 0:
+                return None
+            stack.pop()
+            continue
+        pattern, n, lost = pick
+        for x, u in pattern.items():
+            left[x] -= n * u
+        done.append((pattern, n))
+        below = top_of(top)
+        if not below:
+            return list(done)
+        stack.append((choices(below, now - lost), below, now - lost))
+    return None
 
 
 def complete(counts: np.ndarray, size: int = SIZE, nodes: int = NODES) -> list[tuple[dict, int]]:
-    """Patterns and how often each is used, for ``counts`` (index: length, 0 to ``size``)."""
-    counts = np.asarray(counts, np.int64).copy()
-    volume = int((counts * np.arange(size + 1)).sum())
-    if not volume:
+    """Patterns and how often each is used, for ``counts`` (index: length, 0 to ``size``). The incumbent is best fit; the search
+    asks for a sequence less, first in the whole histogram, from far below down to one less, then among the
+    sequences that are not full and a share of the full ones, until the lower bound is met or ``nodes`` steps are spent."""
+    counts = np.asarray(counts, np.int64)
+    if not counts[1:].any():
         return []
-    bound = max(-(-volume // size), int(counts[size // 2 + 1 :].sum()))
     best = best_fit(counts, size)
-    fewest = sum(t for _, t in best)
-    stack = [(counts, 0, 0, None)]  # counts, sequences, waste, chain of choices
-    while stack and nodes > 0 and fewest > bound:
-        left, used, waste, chain = stack.pop()
-        if waste > (fewest - 1) * size - volume:
-            continue
-        while True:
-            nodes -= 1
-            length = int(np.flatnonzero(left)[-1]) if left.any() else 0
-            if not length:
-                if used < fewest:
-                    fewest, best, step = used, [], chain
-                    while step:
-                        best.append(step[0])
-                        step = step[1]
-                break
-            rest = left.copy()
-            rest[length] -= 1
-            choices = fillings(rest, size - length, BRANCHES)
-            after = []
-            for pick in choices:
-                pattern: dict = {length: 1}
-                for x in pick:
-                    pattern[x] = pattern.get(x, 0) + 1
-                # fill up what three lengths left open, largest first
-                room = size - sum(x * u for x, u in pattern.items())
-                while room:
-                    more = [x for x in np.flatnonzero(left[: room + 1]) if left[x] > pattern.get(int(x), 0)]
-                    if not more:
-                        break
-                    x = int(more[-1])
-                    u = min(room // x, int(left[x]) - pattern.get(x, 0))
-                    pattern[x] = pattern.get(x, 0) + u
-                    room -= u * x
-                times = min(int(left[x]) // u for x, u in pattern.items())
-                now = left.copy()
-                for x, u in pattern.items():
-                    now[x] -= times * u
-                lost = waste + room * times
-                if lost <= (fewest - 1) * size - volume:
-                    after.append((now, used + times, lost, ((pattern, times), chain)))
-            if not after:
-                break
-            stack.extend(reversed(after[1:]))
-            left, used, waste, chain = after[0]
-            if nodes <= 0:
+    fewest, bound, steps = sum(t for _, t in best), least_sequences(counts, size), Steps(nodes)
+    goal = bound
+    while goal < fewest and steps.left > 0:  # halving the distance to the incumbent after each failure
+        part = Steps(min(steps.left, max(nodes // 16, 64)))
+        before = part.left
+        found = search(counts, size, goal, part)
+        steps.left -= before - max(part.left, 0)
+        if found is not None:
+            best, fewest = found, sum(t for _, t in found)
+        elif part.left >= 0:
+            bound = max(bound, goal + 1)  # proven
+        goal = max(goal + 1, (goal + fewest) // 2) if found is None else bound
+        if goal >= fewest:
+            break
+    rng = np.random.Generator(np.random.PCG64(SEED))
+    idle = 0
+    while bound < fewest and steps.left > 0 and idle < ROUNDS:
+        room = lambda p: size - sum(x * u for x, u in p.items())
+        loose = [(p, t) for p, t in best if room(p)]
+        full = [(p, t) for p, t in best if not room(p)]
+        taken: list[tuple[dict, int]] = []
+        waste, enough = 0, int(size * rng.uniform(1, 4))
+        for i in rng.permutation(len(loose)):  # open sequences until they could save one
+            p, t = loose[i]
+            n = min(t, max(1, -(-(enough - waste) // room(p))))
+            taken.append((p, n))
+            waste += n * room(p)
+            if waste >= enough:
                 break
+        if waste < size:
+            break
+        for i in rng.permutation(len(full))[: int(rng.integers(1, 1 << int(rng.integers(1, 9))))]:
+            taken.append((full[i][0], int(min(full[i][1], rng.integers(1, 5)))))
+        own = np.zeros(size + 1, np.int64)
+        for p, n in taken:
+            for x, u in p.items():
+                own[x] += u * n
+        part = Steps(min(steps.left, max(nodes // 64, 64)))
+        before = part.left
+        found = search(own, size, sum(n for _, n in taken) - 1, part)
+        steps.left -= before - max(part.left, 0)
+        idle += 1
+        if found is not None:
+            rest = {}
+            for p, t in best:
+                key = tuple(sorted(p.items()))
+                rest[key] = rest.get(key, 0) + t
+            for p, n in taken:
+                rest[tuple(sorted(p.items()))] -= n
+            for p, n in found:
+                key = tuple(sorted(p.items()))
+                rest[key] = rest.get(key, 0) + n
+            best = [(dict(k), t) for k, t in rest.items() if t]
+            fewest, idle = sum(t for _, t in best), 0
     return best
 
 
@@ -194,7 +346,7 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, end: int = END) -> Data
         for b in batches:
             out = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.array([*enc.encode_ordinary(text or ""), end], "<u4")
+                ids = np.array([*enc.ids(text or ""), end], "<u4")
                 cuts = [0, *range(len(ids) % size or size, len(ids), size), len(ids)]
                 for j in range(len(cuts) - 1):
                     n = cuts[j + 1] - cuts[j]
