@@ -585,6 +585,15 @@ def _parted(blocks: DataFrame) -> DataFrame:
     return ordered.mapInArrow(rows, "part long, x long").distinct()
 
 
+def _maximal(refined: DataFrame, tables: shared.Tables) -> DataFrame:
+    """The parts (part, x) without those whose sets all have one and the same other part as their largest: that one
+    holds them all, and every link among them."""
+    ranked = tables.stored(refined.join(refined.groupBy("part").agg(F.count("*").alias("k")), "part"))
+    best = ranked.groupBy("x").agg(F.max(F.struct("k", "part")).alias("m")).select("x", F.col("m.part").alias("m"))
+    stay = ranked.join(best, "x").groupBy("part").agg(F.min("m").alias("low"), F.max("m").alias("high")).filter("low <> high OR low = part")
+    return tables.stored(refined.join(stay.select("part"), "part", "left_semi"))
+
+
 def _settled(shipped: DataFrame) -> DataFrame:
     """a, b: links that connect the sets (part, x, tokens) of each part as its links do."""
 
@@ -657,7 +666,7 @@ def links_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, tables: sh
         told = large.filter("c <> x").join(share, "c").select("c", salts("q").alias("i"), block("g", 2).alias("j"), "x", "n", "sketch")
         middle = large.filter("c = x").join(share, "c").select("c", "x", "n", "sketch", "q", salts("g").alias("j")).select("c", salts("q").alias("i"), "j", "x", "n", "sketch")
         refined = tables.stored(refined.unionByName(_parted(asks.unionByName(told).unionByName(middle))).distinct())
-    found = tables.stored(_settled(refined.join(sets, F.col("x") == F.col("name"))))
+    found = tables.stored(_settled(_maximal(refined, tables).join(sets, F.col("x") == F.col("name"))))
     return found if near is None else found.unionByName(near)
 
 
