@@ -9,35 +9,59 @@ down: rows with the bit set are above, while they are fewer than k they are in;
 bottom are the rows that tie at the boundary, of which the smallest ids fill up the k. Everything is
 integer, so results are exact.
 
-Queries go in chunks of at most ``QUERIES`` rows (a stated set against all rows, in blocks); each chunk
-scans the rows once. A task keeps k rows per query.
+The index is stored once, a row for each block. Queries are packed into chunks of at most ``QUERIES``; every
+block meets every chunk of its vector length in one job, ``TASK_BLOCKS`` blocks a task, which keeps k rows a
+query. (A stated set against all rows, in blocks.)
+
+Components of ``plain`` size, for which no inner product can leave 62 bits, are sliced. Vectors with a larger one are
+kept whole and multiplied as integers of any length, so order is exact for every finite vector; a score beyond
+the range of a long is returned as the nearest long.
 
 Defined results: a vector that is null, empty or holds null, NaN or infinite components takes no part,
 as query or row; ties go to the smaller id; a query's own id is no candidate, repeated ids included; fewer
 candidates than k give all; vectors of another length than the query's are no candidates; repeated rows
-are candidates each; a repeated query id gives results once for each of its rows.
+are candidates each; a repeated query id gives results once for each of its rows; very long vectors make
+smaller blocks.
 """
 
 from __future__ import annotations
 
+import math
+import pickle
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shared
 
-BLOCK, QUERIES, TOGETHER = 1 << 14, 4096, 64
+BLOCK, QUERIES, TOGETHER, TASK_BLOCKS = 1 << 14, 4096, 64, 64
+VALUES = 1 << 21  # components of a block or chunk at most (one vector at least)
 SCALE = 64
 K = 20
 
 
 def vectors(table: DataFrame) -> DataFrame:
-    """vec_id and v (array of integers) of the rows that take part."""
+    """vec_id and x (array of doubles) of the rows that take part."""
     x = F.transform("embedding", lambda e: e.cast("double"))
     bad = F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
     clean = table.filter(F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col("vec_id").isNotNull() & ~bad)
-    return clean.select(F.col("vec_id").cast("long"), F.transform(x, lambda e: F.floor(e * SCALE)).alias("v"))
+    return clean.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x"))
+
+
+def plain(x: np.ndarray) -> np.ndarray:
+    """Which vectors (rows of doubles) have small components only: an inner product of two such stays under 2**62."""
+    return (np.abs(x) * SCALE < 2.0 ** ((62 - (x.shape[1] - 1).bit_length()) // 2) - 1).all(axis=1)
+
+
+def whole(x: np.ndarray) -> np.ndarray:
+    """floor(64 x) as Python integers."""
+    out = np.empty(x.shape, object)
+    for i, v in np.ndenumerate(x):
+        out[i] = int(v) * SCALE if abs(v) >= 2.0**53 else math.floor(v * SCALE)
+    return out
 
 
 class Slices:
@@ -56,6 +80,15 @@ class Slices:
             self.slices.append([np.packbits((padded[:, d] >> np.uint64(b) & np.uint64(1)).astype(np.uint8), bitorder="little").view(np.uint64) for b in range(top)])
         self.real = np.packbits(np.arange(self.words * 64) < self.n, bitorder="little").view(np.uint64)
 
+    def state(self) -> tuple:
+        return self.n, self.dims, self.low, self.words, self.slices, self.real
+
+    @classmethod
+    def of(cls, state: tuple) -> Slices:
+        block = cls.__new__(cls)
+        block.n, block.dims, block.low, block.words, block.slices, block.real = state
+        return block
+
     def sums(self, queries: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Slices of (inner product - base), least first, each (queries, words); and base by query. The
         factors are made non-negative: a negative one counts the slices' complement instead."""
@@ -137,72 +170,158 @@ def best(block: Slices, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndar
     return query, row, score
 
 
-def _chunks(queries: DataFrame):
-    """Lists of at most QUERIES query rows; one partition's rows are on the driver at a time."""
-    part: list = []
-    for r in queries.toLocalIterator():
-        part.append(r)
-        if len(part) == QUERIES:
-            yield part
-            part = []
-    if part:
-        yield part
+def longest(score) -> int:
+    return max(-(1 << 63), min((1 << 63) - 1, int(score)))
+
+
+def best_whole(rows: np.ndarray, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
+    """As ``best``, with integers of any length in place of slices; scores are Python integers."""
+    query, row, score = [], [], []
+    for i, own in enumerate(queries):
+        scores = rows @ own
+        order = sorted((j for j in range(len(ids)) if ids[j] != query_ids[i]), key=lambda j: (-scores[j], ids[j]))[:k]
+        query += [i] * len(order)
+        row += order
+        score += [scores[j] for j in order]
+    return np.array(query, np.int64), np.array(row, np.int64), score
+
+
+def _values(block: Slices) -> np.ndarray:
+    """The integers that the slices stand for."""
+    out = np.tile(block.low, (block.n, 1))
+    for d, own in enumerate(block.slices):
+        for b, s in enumerate(own):
+            out[:, d] += _bits(s)[: block.n].astype(np.int64) << b
+    return out
+
+
+def _packed(rows: DataFrame, most: int, sliced: bool) -> DataFrame:
+    """at, dims, n, data of blocks of at most ``most`` rows of one vector length. data: the ids, then the bit slices (or,
+    unless ``sliced``, the vectors), then the ids and vectors of those that are not plain."""
+
+    def pack(batches):
+        waiting: dict[int, list] = {}
+        held: dict[int, int] = {}
+        at = TaskContext.get().partitionId() << 32
+
+        def settle(n):
+            nonlocal at
+            ids, x = (np.concatenate(c) for c in zip(*waiting.pop(n), strict=True))
+            held.pop(n)
+            small = plain(x) if sliced else np.ones(len(x), bool)
+            kept = Slices(np.floor(x[small] * SCALE).astype(np.int64)).state() if sliced else x
+            data = pickle.dumps((ids[small], kept, ids[~small], x[~small]), 5)
+            at += 1
+            return pa.RecordBatch.from_arrays([pa.array([at - 1]), pa.array([n]), pa.array([len(ids)]), pa.array([data])], ["at", "dims", "n", "data"])
+
+        for b in batches:
+            ids, values = b.column(0).to_numpy(zero_copy_only=False), b.column(1)
+            size = values.value_lengths().to_numpy(zero_copy_only=False)
+            flat = values.flatten().to_numpy(zero_copy_only=False)
+            stop = np.cumsum(size)
+            for n in np.unique(size).tolist():
+                mine = np.flatnonzero(size == n)
+                step = max(1, min(most, VALUES // n))
+                while len(mine):
+                    some, mine = mine[: step - held.get(n, 0)], mine[step - held.get(n, 0) :]
+                    waiting.setdefault(n, []).append((ids[some], flat[(stop[some] - n)[:, None] + np.arange(n)]))
+                    held[n] = held.get(n, 0) + len(some)
+                    if held[n] >= step:
+                        yield settle(n)
+        for n in sorted(waiting):
+            yield settle(n)
+
+    return rows.select("vec_id", "x").mapInArrow(pack, "at long, dims long, n long, data binary")
+
+
+def _best_of(data: tuple, asked: tuple, k: int):
+    """(query, vec_id, score) of the k best of a block for every query of a chunk."""
+    ids, block, wide_ids, wide = data
+    query_ids, x = asked
+    small = plain(x)
+    found = []
+    if len(ids):
+        block = Slices.of(block)
+        at = np.flatnonzero(small)
+        own = np.floor(x[at] * SCALE).astype(np.int64)
+        for i in range(0, len(at), TOGETHER):
+            query, row, score = best(block, ids, query_ids[at[i : i + TOGETHER]], own[i : i + TOGETHER], k)
+            found.append((at[query + i], ids[row], score))
+        if not small.all():
+            at = np.flatnonzero(~small)
+            query, row, score = best_whole(_values(block).astype(object), ids, query_ids[at], whole(x[at]), k)
+            found.append((at[query], ids[row], score))
+    if len(wide_ids):
+        query, row, score = best_whole(whole(wide), wide_ids, query_ids, whole(x), k)
+        found.append((query, wide_ids[row], score))
+    return found
+
+
+def _kept(found: list, k: int) -> list:
+    """``found`` cut to the k best of each query."""
+    query, vec = (np.concatenate([f[j] for f in found]) for j in (0, 1))
+    if all(isinstance(f[2], np.ndarray) for f in found):
+        score = np.concatenate([f[2] for f in found])
+        rank = np.lexsort((vec, -score, query))
+    else:
+        score = np.empty(len(query), object)
+        score[:] = [int(s) for f in found for s in f[2]]
+        rank = np.array(sorted(range(len(query)), key=lambda i: (query[i], -score[i], vec[i])), np.int64)
+    query, vec, score = query[rank], vec[rank], score[rank]
+    use = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return [(query[use], vec[use], score[use])]
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score. ``rows`` and ``queries``: vec_id and v, as ``vectors`` gives them."""
+    """query_id, rank, vec_id, score, stored. ``rows`` and ``queries``: vec_id and x, as ``vectors`` gives them."""
     spark = rows.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(4096))
-    path = shared.scratch(spark)
-    found = 0
-    for chunk in _chunks(queries):
-        lengths = {len(r["v"]) for r in chunk}
-        sets = [(n, np.array([r["vec_id"] for r in chunk if len(r["v"]) == n]), np.array([r["v"] for r in chunk if len(r["v"]) == n], np.int64)) for n in sorted(lengths)]
-
-        def scan(batches, sets=sets):
-            kept = {n: [] for n, _, _ in sets}
-            pending: dict[int, list] = {n: [] for n, _, _ in sets}
-
-            def settle(n, query_ids, queries_):
-                ids = np.concatenate([i for i, _ in pending[n]])
-                block = Slices(np.concatenate([v for _, v in pending[n]]))
-                pending[n] = []
-                for i in range(0, len(query_ids), TOGETHER):
-                    query, row, score = best(block, ids, query_ids[i : i + TOGETHER], queries_[i : i + TOGETHER], k)
-                    kept[n].append((query + i, ids[row], score))
-                if len(kept[n]) * TOGETHER > len(query_ids):  # k rows per query stay
-                    query, vec, score = (np.concatenate(x) for x in zip(*kept[n], strict=True))
-                    rank = np.lexsort((vec, -score, query))
-                    query, vec, score = query[rank], vec[rank], score[rank]
-                    use = np.arange(len(query)) - np.searchsorted(query, query) < k
-                    kept[n] = [(query[use], vec[use], score[use])]
-
-            for b in batches:
-                ids, values = b.column(0).to_numpy(zero_copy_only=False), b.column(1)
-                size = values.value_lengths().to_numpy(zero_copy_only=False)
-                flat = values.flatten().to_numpy(zero_copy_only=False)
-                stop = np.cumsum(size)
-                for n, query_ids, queries_ in sets:
-                    at = np.flatnonzero(size == n)
-                    if len(at):
-                        pending[n].append((ids[at], flat[(stop[at] - n)[:, None] + np.arange(n)]))
-                        if sum(len(i) for i, _ in pending[n]) >= BLOCK:
-                            settle(n, query_ids, queries_)
-            for n, query_ids, queries_ in sets:
-                if pending[n]:
-                    settle(n, query_ids, queries_)
-                if kept[n]:
-                    query, vec, score = (np.concatenate(x) for x in zip(*kept[n], strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(query_ids[query]), pa.array(vec), pa.array(score)], ["q", "query_id", "vec_id", "score"])
-
-        near = rows.mapInArrow(scan, "q long, query_id long, vec_id long, score long")
-        order = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
-        top = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-        top.write.mode("append").parquet(path)
-        found += 1
-    if not found:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    return spark.read.schema("query_id long, rank int, vec_id long, score long").parquet(path)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, tables = spark.conf.get(setting), shared.Tables(spark)
+    spark.conf.set(setting, "4096")
+    index, asked = tables.stored(_packed(rows, BLOCK, True)), tables.stored(_packed(queries, QUERIES, False))
+    spark.conf.set(setting, "1")  # a block, or a chunk, is a batch
+    groups = max(1, -(-index.count() // TASK_BLOCKS))
+    group = F.pmod(F.xxhash64("at"), F.lit(groups)).cast("int")
+    met = index.select("dims", group.alias("g"), F.lit(1).alias("kind"), "data").join(asked.select("dims", F.col("at").alias("chunk")), "dims")
+    sides = met.select("chunk", "g", "kind", "data").unionByName(asked.select(F.col("at").alias("chunk"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.lit(0).alias("kind"), "data"))
+
+    def scan(batches):
+        chunk, ask, found = None, None, []
+
+        def told():
+            (query, vec, score) = _kept(found, k)[0]
+            high = pa.array([str(int(s)) for s in score], pa.string()) if score.dtype == object else pa.nulls(len(score), pa.string())
+            exact = pa.array([longest(s) for s in score], pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(query), chunk)), pa.array(query), pa.array(ask[0][query]), pa.array(vec), exact, high], ["chunk", "q", "query_id", "vec_id", "score", "wide"])
+
+        for b in batches:
+            for i in range(b.num_rows):
+                key, kind, data = b.column(0)[i].as_py(), b.column(2)[i].as_py(), pickle.loads(b.column(3)[i].as_py())
+                if kind == 0:
+                    if found:
+                        yield told()
+                    chunk, ask, found = key, data[:2], []
+                else:
+                    found += _best_of(data, ask, k)
+                    if sum(len(f[0]) for f in found) > 4 * k * len(ask[0]):
+                        found = _kept(found, k)
+        if found:
+            yield told()
+
+    dealt = sides.repartition("chunk", "g").sortWithinPartitions("chunk", "g", "kind")
+    near = dealt.mapInArrow(scan, "chunk long, q long, query_id long, vec_id long, score long, wide string")
+    # a score that may be beyond a long comes as text too: order by its sign, length and digits
+    text = F.coalesce("wide", F.col("score").cast("string"))
+    minus = text.startswith("-")
+    digits = F.lpad(F.regexp_replace(text, "-", ""), 1300, "0")
+    turned = F.when(minus, F.concat(F.lit("0"), F.translate(digits, "0123456789", "9876543210"))).otherwise(F.concat(F.lit("1"), digits))
+    exact = F.when((F.col("score") > -(1 << 63)) & (F.col("score") < (1 << 63) - 1), F.lit(None)).otherwise(turned)
+    order = Window.partitionBy("chunk", "q").orderBy(F.desc("score"), F.desc("exact"), "vec_id")
+    top = near.withColumn("exact", exact).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    done = shared.stored(top.select("query_id", "rank", "vec_id", "score"), shared.scratch(spark))
+    spark.conf.set(setting, before)
+    tables.drop()
+    return done
 
 
 def op8_topk_search(spark, sf_dir: str) -> DataFrame:

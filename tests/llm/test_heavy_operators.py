@@ -389,6 +389,7 @@ def best_of(rows, k):
 def test_top_k_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk_search, "BLOCK", 100)
     monkeypatch.setattr(topk_search, "QUERIES", 5)
+    monkeypatch.setattr(topk_search, "TASK_BLOCKS", 2)
     rng = np.random.default_rng(11)
     rows = [(i, [float(x) for x in np.float32(rng.normal(0, 0.3, 8))]) for i in range(330)]
     rows += [(400 + i, rows[0][1]) for i in range(40)] + [(1000, None), (1001, []), (1020, [float("nan")] * 8), (1040, [float("inf")] + [0.0] * 7), (1060, [0.0] * 8), (1080, [1.0, None] + [0.0] * 6), (1100, [0.5] * 3), (1101, [0.25] * 3)]
@@ -400,6 +401,25 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     assert topk_search.search(v, v.limit(0)).count() == 0 and topk_search.search(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_top_k_with_components_of_any_size(spark):
+    rng = np.random.default_rng(15)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 4) * 10.0 ** rng.choice([-3, 0, 5, 9, 17, 30, 200])]) for i in range(120)]
+    rows += [(20, [2.0, 3.0, 0.0, 0.0]), (201, [1e30, 1.0, 0.0, 0.0]), (202, [1e30, 1.5, 0.0, 0.0]), (203, [-1e308, 0.0, 0.0, 0.0]), (240, [1.7e308] * 4)]
+
+    def times(x):
+        return [int(e) * 64 if abs(e) >= 2.0**53 else int(np.floor(e * 64)) for e in x]
+
+    clean = [(i, times(x)) for i, x in rows]
+    want = []
+    for q, a in clean:
+        if q % 20 == 0:
+            own = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in clean if i != q)[:20]
+            want += [(q, r, i, topk_search.longest(-n)) for r, (n, i) in enumerate(own, 1)]
+    v = topk_search.vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk_search.search(v, v.filter("vec_id % 20 = 0"), 20).collect())
+    assert got == sorted(want)
+
+
 def test_bitmap_sums_are_exact():
     rng = np.random.default_rng(12)
     values, queries = rng.integers(-70, 70, (130, 6)), rng.integers(-70, 70, (9, 6))
