@@ -636,7 +636,8 @@ def _bits(n: int) -> int:
 
 def links_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, tables: shared.Tables, salt: int = 0) -> DataFrame:
     """a, b, stored: links that connect whatever the groups' links connect. ``classes``: set_name, least, n_shingles, sketch."""
-    sized = groups.join(classes.select(F.col("set_name").alias("x"), "least", F.col("n_shingles").alias("n"), "sketch"), "x")
+    # merge joins where texts or sketches move: the same plan, and the same disk for each GB, at every size
+    sized = groups.join(classes.select(F.col("set_name").alias("x"), "least", F.col("n_shingles").alias("n"), "sketch").hint("merge"), "x")
     sized = tables.stored(sized)
     weight = sized.groupBy("c").agg(F.count("*").alias("k"), F.sum("n").alias("t"))
     weight = tables.stored(weight.select("c", F.greatest(F.ceil(F.col("k") / GROUP_SETS), F.ceil(F.col("t") * 8 / GROUP_BYTES), F.lit(1)).cast("int").alias("g")))
@@ -666,7 +667,7 @@ def links_of(texts: DataFrame, classes: DataFrame, groups: DataFrame, tables: sh
         told = large.filter("c <> x").join(share, "c").select("c", salts("q").alias("i"), block("g", 2).alias("j"), "x", "n", "sketch")
         middle = large.filter("c = x").join(share, "c").select("c", "x", "n", "sketch", "q", salts("g").alias("j")).select("c", salts("q").alias("i"), "j", "x", "n", "sketch")
         refined = tables.stored(refined.unionByName(_parted(asks.unionByName(told).unionByName(middle))).distinct())
-    found = tables.stored(_settled(_maximal(refined, tables).join(sets, F.col("x") == F.col("name"))))
+    found = tables.stored(_settled(_maximal(refined, tables).join(sets.hint("merge"), F.col("x") == F.col("name"))))
     return found if near is None else found.unionByName(near)
 
 

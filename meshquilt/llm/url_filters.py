@@ -1,11 +1,12 @@
 """URL filters (7): host-suffix and path-prefix expressions, hash-prefix join, full-digest check.
 
-A URL is expanded into every host suffix with every path prefix of a length that some rule has. The
+A URL is expanded into the host suffixes of as many labels, with the path prefixes of as many characters, as
+some rule has: a url's expressions are as many as the rules' shapes, however long it is. The
 expressions meet the rules on the first 32 bits of their SHA-256 (an equi-join, so Spark may broadcast
 the rules only under its own size threshold); the full digest then confirms, and of the rules that fit
 the longest decides (then the longer host, then the rule's text).
 
-Defined results: a null url, or one without ``://``, has host and path '' and no rule; repeated rows
+Defined results: hosts of rules are lower-cased like those of urls (A-Z); a rule with a null part fits nothing; a null url, or one without ``://``, has host and path '' and no rule; repeated rows
 give repeated rows; an empty table gives no rows; with no rules every verdict is the default. Only
 page_id and url are read, so other columns can have any names.
 """
@@ -42,14 +43,14 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     """page_id, host, path, rule, verdict: one row for each row of ``pages``."""
     host, path = parts(F.col("url"))
     alike = pages.groupBy("page_id", "url").agg(F.count("*").alias("n")).withColumn("host", host).withColumn("path", path)
-    lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect() if r[0] is not None)
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    prefixes = F.array(*(F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths)) if lengths else F.array().cast("array<string>")
-    both = F.flatten(F.transform(suffixes, lambda h: F.transform(F.array_compact(prefixes), lambda p: _digest(h, p))))
+    rules = rules.filter("host IS NOT NULL AND path IS NOT NULL").withColumn("host", F.translate("host", UPPER, LOWER))
+    labels = lambda c: F.length(c) - F.length(F.replace(F.col(c), F.lit("."))) + 1
+    shapes = [tuple(r) for r in rules.select(labels("host").alias("labels"), F.length("path").alias("length")).distinct().orderBy("labels", "length").collect()]
+    one_of = lambda n, m: F.when((labels("host") >= n) & (F.length("path") >= m), _digest(F.substring_index("host", ".", -n), F.substring("path", 1, m)))
+    both = F.array_compact(F.array(*(one_of(n, m) for n, m in shapes))) if shapes else F.array().cast("array<string>")
     wide = alike.select("page_id", "url", "host", "path", "n", F.explode_outer(both).alias("digest")).withColumn("short", F.substring("digest", 1, 8))
     known = rules.select(
-        F.lower("host").alias("rh"), F.col("path").alias("rp"), F.col("verdict").alias("rv"), _digest(F.lower("host"), F.col("path")).alias("rd")
+        F.col("host").alias("rh"), F.col("path").alias("rp"), F.col("verdict").alias("rv"), _digest(F.col("host"), F.col("path")).alias("rd")
     ).withColumn("rs", F.substring("rd", 1, 8))
     met = wide.join(known, (F.col("short") == F.col("rs")) & (F.col("digest") == F.col("rd")), "left")
     best = F.when(F.col("rd").isNotNull(), F.struct((F.length("rh") + F.length("rp")).alias("a"), F.length("rh").alias("b"), F.concat("rh", "rp").alias("rule"), F.col("rv").alias("verdict")))

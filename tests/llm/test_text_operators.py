@@ -280,6 +280,15 @@ def test_url_filters_against_brute_force(spark):
     assert got == want
 
 
+def test_url_filters_on_very_long_urls(spark):
+    urls = ["http://" + "a." * 50_000 + "example.COM/en/7" + "x" * 1000, "http://" + "a." * 2000 + "net/de/" + "y/" * 50_000, "http://" + "b" * 100_000 + "/en/", "x" * 100_000, "a://" + "." * 40_000 + "com/en/"]
+    rules = (*url_filters.RULES, ("a.B.example.com", "/", "block"), ("", "/en", "block"))
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filters.judge(spark.createDataFrame([*enumerate(urls)], "page_id long, url string"), url_filters.rule_table(spark, rules)).collect()}
+    lowered = tuple((h.lower(), p, v) for h, p, v in rules)
+    for i, u in enumerate(urls):
+        assert got[i] == judged(u, lowered)
+
+
 def test_url_filters_without_rules_or_pages(spark):
     pages = spark.createDataFrame([(1, "http://x.com/a"), (2, None)], "page_id long, url string")
     none = url_filters.rule_table(spark, [])
