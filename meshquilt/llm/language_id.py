@@ -195,7 +195,7 @@ def identify(docs: DataFrame, model: Filter, *keep: str) -> DataFrame:
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents")
-    held = shared.fold("doc_id", 4) == 2
+    held = F.coalesce(shared.fold("doc_id", 4) == 2, F.lit(False))
     model = learn(docs.filter(~held).select("text", "lang"))
     return identify(docs.withColumn("held_out", held), model, "doc_id", "held_out")
 

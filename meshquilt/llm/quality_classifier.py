@@ -218,7 +218,7 @@ def op6_quality_classifier(spark, sf_dir: str) -> DataFrame:
     docs, labels = shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "labels")
     fold = shared.fold("doc_id", 3)
     vectors, network = learn(docs, labels.filter(fold != 1).select("doc_id", F.col("quality").alias("label")))
-    scored = score(docs, vectors, network, "doc_id").withColumn("held_out", fold == 1)
+    scored = score(docs, vectors, network, "doc_id").withColumn("held_out", F.coalesce(fold == 1, F.lit(False)))
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 

@@ -1,21 +1,24 @@
 """Toxicity (1): class-conditional Kneser-Ney models.
 
-The unit is the *expression*: a word's longest stem (its first bytes, or the whole word) that toxic
-documents use and ordinary ones do not use as often; every other word is the one expression "other".
+The unit is the *expression*: a word's longest stem (its first bytes, or the whole word) that one class uses
+significantly more often than the other, toxic or ordinary; every other word is the one expression "other".
 Rare expressions are not units of their own: their counts back off to a shorter stem, and in the end to
-"other". Over this alphabet each class has an interpolated Kneser-Ney bigram model. Its lower order
-counts the different contexts that an expression follows, and is itself smoothed with the contexts
-counted over both classes, so that what a class has not seen is scored by what the classes share.
-A document's score is a logistic function, fitted on labelled rows kept out of the counts, of the
-difference of its two log-likelihoods, each divided by its length.
-
-All counts run over all labelled rows. Toxic and ordinary document counts meet in a join; every expression
-that passes the tests and every bigram after a listed expression is kept. The model (8 bytes an expression and
-32 more for its two classes, 24 a bigram) is held in memory and shipped with the tasks.
+"other". Over this alphabet each class has an interpolated Kneser-Ney bigram model, with bigrams after every
+unit, "other" and the start of a text included. Its lower order counts the different words that an expression
+follows, and is itself smoothed with the contexts counted over both classes, so that what a class has not seen is
+scored by what the classes share. A document's score is a logistic function, fitted on labelled rows kept out of
+the counts, of the difference of its two log-likelihoods, each divided by its length.
+
+All counts run over all labelled rows. Every expression that passes the tests and every bigram is kept. A toxic
+expression needs ``MIN_DOCS`` documents. An ordinary one that passes against no toxic document at all must hold a certain
+share of the ordinary documents, so in some slice of them it holds that share too: such ones are the candidates. The
+model (8 bytes an expression and 32 more for its two classes, 24 a bigram) is held in memory and shipped with the
+tasks.
 
 Defined results: a text without words has the likelihoods of no words (difference of one "other"), so it
 is not toxic; with no labels, or one class, every score is the share of toxic labels (0 if none); labels
-that are null teach nothing; a document labelled twice takes part twice; repeated rows give repeated rows.
+that are null teach nothing; rows without an id teach nothing, are scored like others, and are in no fold; a
+document labelled twice takes part twice; repeated rows give repeated rows.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ MIN_DOCS, MIN_RATIO, MIN_Z = 4, 3.0, 2.5
 DISCOUNT = 0.75
 FIT_ROWS = 20_000
 LOG_BITS = 20
+FLUSH = 1 << 20
 
 
 def expressions(data: np.ndarray, offs: np.ndarray):
@@ -108,41 +112,45 @@ def _find(table: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """units: sorted expression hashes (unit j is j + 1, "other" 0). Log-likelihood differences by look-up."""
+    """units: sorted expression hashes (unit j is j + 1, "other" 0; as a left context, the start of a text comes after the
+    last unit). Log-likelihood differences by look-up."""
 
-    def __init__(self, units=None, lower=None, pairs=None, pair_gain=None, left=None):
+    def __init__(self, units=None):
         self.units = np.empty(0, np.uint64) if units is None else units
-        self.lower = np.zeros((2, 1)) if lower is None else lower  # P(w) by class
-        self.pairs = np.empty(0, np.int64) if pairs is None else pairs  # sorted keys left * (V + 1) + right
-        self.seen = np.zeros((2, 0)) if pair_gain is None else pair_gain  # max(c - D, 0) / c(left) by class
-        self.free = np.ones((2, len(self.units) + 1)) if left is None else left  # mass left to the lower order
+        size = len(self.units) + 1
+        self.lower = np.full((2, size), 1.0 / size)  # P(w) by class
+        self.pairs = np.empty(0, np.int64)  # sorted keys left * (V + 1) + right
+        self.seen = np.zeros((2, 0))  # max(c - D, 0) / c(left) by class
+        self.free = np.ones((2, size + 1))  # mass left to the lower order
         self.slope, self.shift, self.constant = 0.0, 0.0, 0.0
 
     def sequence(self, data, offs):
+        """Row, unit, left unit, and left word's hash (0 at a start) of every word."""
         row, h = expressions(data, offs)
         unit = np.zeros(len(row), np.int64)
         for stem in h:  # the longest listed stem wins
             at = _find(self.units, stem)
             unit = np.where(at >= 0, at + 1, unit)
-        return row, unit
+        left, word = np.full(len(row), len(self.units) + 1), np.zeros(len(row), np.uint64)
+        if len(row):
+            same = row[1:] == row[:-1]
+            left[1:][same], word[1:][same] = unit[:-1][same], h[-1][:-1][same]
+        return row, unit, left, word
+
+    def probability(self, c: int, left: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """P(unit | left) in class ``c``."""
+        p = self.free[c][left] * self.lower[c][unit]
+        if len(self.pairs):
+            key = left * (len(self.units) + 1) + unit
+            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            p = p + np.where(self.pairs[at] == key, self.seen[c][at], 0)
+        return p
 
     def difference(self, data, offs) -> np.ndarray:
         """Per row: (log P(text | toxic) - log P(text | ordinary)) / number of words."""
         n = len(offs) - 1
-        row, unit = self.sequence(data, offs)
-        size = len(self.units) + 1
-        prev = np.zeros(len(unit), np.int64)
-        if len(unit):
-            prev[1:] = np.where(row[1:] == row[:-1], unit[:-1], 0)
-        key = prev * size + unit
-        at = np.minimum(np.searchsorted(self.pairs, key), max(len(self.pairs) - 1, 0))
-        met = self.pairs[at] == key if len(self.pairs) else np.zeros(len(key), bool)
-        log = []
-        for c in (0, 1):
-            p = self.free[c][prev] * self.lower[c][unit]
-            if met.any():
-                p = p + np.where(met, self.seen[c][at], 0)
-            log.append(np.log(np.maximum(p, 1e-300)))
+        row, unit, left, _ = self.sequence(data, offs)
+        log = [np.log(np.maximum(self.probability(c, left, unit), 1e-300)) for c in (0, 1)]
         words = np.bincount(row, minlength=n)
         none = math.log(max(self.lower[1][0], 1e-300)) - math.log(max(self.lower[0][0], 1e-300))
         return np.where(words > 0, np.bincount(row, weights=log[1] - log[0], minlength=n) / np.maximum(words, 1), none)
@@ -154,41 +162,48 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _transitions(docs: DataFrame, model: Model) -> DataFrame:
-    """right unit, left stem hash, left unit, n0, n1 for listed rights; and right 0 by left unit only."""
+def _moves(docs: DataFrame, model: Model) -> DataFrame:
+    """kind 0: unit r after unit l, n0 and n1 times in the two classes. kind 1: unit r after the word of hash l (0: at a
+    start), so often."""
+    names = ["kind", "r", "l", "n0", "n1"]
 
     def rows(batches):
-        size = len(model.units) + 1
-        out: dict[tuple, np.ndarray] = {}
-        other = np.zeros((2, size), np.int64)
-        keys: list = []
+        held: list = []
+        waiting = 0
+
+        def counted(keys, cls):  # keys: columns of equal length
+            order = np.lexsort(keys)
+            keys, cls = [k[order] for k in keys], cls[order]
+            new = np.zeros(len(cls), bool)
+            new[:1] = True
+            for k in keys:
+                new[1:] |= k[1:] != k[:-1]
+            first = np.flatnonzero(new)
+            return [k[first] for k in keys], [np.add.reduceat((cls == c).astype(np.int64), first) for c in (0, 1)]
+
+        def settle():
+            unit, left, word, cls = (np.concatenate(c) for c in zip(*held, strict=True))
+            for kind, other in ((0, left), (1, word.view(np.int64))):
+                (r, k), (n0, n1) = counted([unit, other], cls)
+                for i in range(0, len(r), 1 << 16):
+                    j = slice(i, i + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r[j]), kind, np.int32)), *(pa.array(c[j]) for c in (r, k, n0, n1))], names)
 
         for b in batches:
             label = b.column(0).to_numpy(zero_copy_only=False)
             for at, data, offs in textkit.slices(b.column(1)):
-                row, unit = model.sequence(data, offs)
-                if not len(unit):
-                    continue
-                _, h = expressions(data, offs)
-                left_hash, left = np.zeros(len(unit), np.uint64), np.zeros(len(unit), np.int64)
-                same = row[1:] == row[:-1]
-                left_hash[1:], left[1:] = np.where(same, h[-1][:-1], 0), np.where(same, unit[:-1], 0)
-                cls = label[at + row]
-                for c in (0, 1):
-                    other[c] += np.bincount(left[(unit == 0) & (cls == c)], minlength=size)
-                use = unit > 0
-                keys.append(np.rec.fromarrays([unit[use], left_hash[use].view(np.int64), left[use], cls[use]], names="r,h,l,c"))
-        del out
-        if keys:
-            k = np.concatenate(keys)
-            k, n = np.unique(k, return_counts=True)
-            if len(k):
-                yield pa.RecordBatch.from_arrays([pa.array(k["r"]), pa.array(k["h"]), pa.array(k["l"]), pa.array(np.where(k["c"] == 0, n, 0)), pa.array(np.where(k["c"] == 1, n, 0))], ["r", "h", "l", "n0", "n1"])
-        some = np.flatnonzero(other.sum(axis=0))
-        if len(some):
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(some), np.int64)), pa.array(np.zeros(len(some), np.int64)), pa.array(some), pa.array(other[0][some]), pa.array(other[1][some])], ["r", "h", "l", "n0", "n1"])
+                row, unit, left, word = model.sequence(data, offs)
+                if len(unit):
+                    held.append((unit, left, word, label[at + row]))
+                    waiting += len(unit)
+                if waiting > FLUSH:
+                    yield from settle()
+                    held, waiting = [], 0
+        if held:
+            yield from settle()
 
-    return docs.select(F.col("label").cast("long"), "text").mapInArrow(rows, "r long, h long, l long, n0 long, n1 long").groupBy("r", "h", "l").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counts = docs.select(F.col("label").cast("long"), "text").mapInArrow(rows, "kind int, r long, l long, n0 long, n1 long")
+    return counts.groupBy("kind", "r", "l").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def _columns(df: DataFrame) -> dict[str, np.ndarray]:
@@ -211,15 +226,9 @@ def learn(labelled: DataFrame) -> Model:
         shared.discard(spark, path)
         return model
     counted = rows.filter("part <> 0")
-    used = shared.scratch(spark)
-    found = shared.stored(_doc_counts(counted.filter("label = 1"), None).filter(F.col("n") >= MIN_DOCS), used)
-    wanted = shared.bloom(found, "hash", WANTED_BITS, lambda h: h)
-    back = _doc_counts(counted.filter("label = 0"), wanted).withColumnRenamed("n", "m")
-    t, o = F.col("n") + 0.5, F.coalesce("m", F.lit(0)) + 0.5
-    z = (F.log(t / (toxic + 1)) - F.log(o / (plain + 1)) - math.log(MIN_RATIO)) / F.sqrt(1 / t + 1 / o)
-    listed = _columns(found.join(back, "hash", "left").filter(z >= MIN_Z).select("hash"))
-    shared.discard(spark, used)
-    model = Model(units=np.sort(listed["hash"].view(np.uint64)))
+    used = shared.Tables(spark)
+    model = Model(units=_alphabet(counted, toxic, plain, used))
+    used.drop()
     if len(model.units):
         _kneser_ney(counted, model)
     apart = sizes.get((1, True), 0) and sizes.get((0, True), 0)
@@ -228,35 +237,77 @@ def learn(labelled: DataFrame) -> Model:
     return model
 
 
+def _z(t, o, toxic: int, plain: int, log, sqrt):
+    """How many deviations the logarithm of the ratio of the classes' shares lies from 0."""
+    t, o = t + 0.5, o + 0.5
+    return (log(t / (toxic + 1)) - log(o / (plain + 1))) / sqrt(1 / t + 1 / o), sqrt(1 / t + 1 / o)
+
+
+def _alphabet(counted: DataFrame, toxic: int, plain: int, tables: shared.Tables) -> np.ndarray:
+    """Sorted hashes of the expressions that either class uses MIN_RATIO times as often, by MIN_Z deviations."""
+    passes = lambda t, o: -_z(t, o, toxic, plain, math.log, math.sqrt)[0] - math.log(MIN_RATIO) / _z(t, o, toxic, plain, math.log, math.sqrt)[1] >= MIN_Z
+    low, high = MIN_DOCS, plain + 1  # the least ordinary documents with which an expression passes against no toxic one
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if passes(0, middle) else (middle + 1, high)
+    own = _doc_counts(counted.filter("label = 1"), None)
+    if low <= plain:
+        frequent = tables.stored(_frequent(counted.filter("label = 0"), low / plain).distinct())
+        found = own.join(frequent.withColumn("f", F.lit(True)), "hash", "full").filter((F.col("n") >= MIN_DOCS) | F.col("f"))
+    else:
+        found = own.filter(F.col("n") >= MIN_DOCS)
+    found = tables.stored(found.select("hash", F.coalesce("n", F.lit(0)).alias("n")))
+    wanted = shared.bloom(found, "hash", WANTED_BITS, lambda h: h)
+    back = _doc_counts(counted.filter("label = 0"), wanted).withColumnRenamed("n", "m")
+    m = F.coalesce("m", F.lit(0))
+    z, spread = _z(F.col("n"), m, toxic, plain, F.log, F.sqrt)
+    margin = F.lit(math.log(MIN_RATIO)) / spread
+    passed = (F.col("n") >= MIN_DOCS) & (z - margin >= MIN_Z) | (m >= MIN_DOCS) & (-z - margin >= MIN_Z)
+    return np.sort(_columns(found.join(back, "hash", "left").filter(passed).select("hash"))["hash"].view(np.uint64))
+
+
+def _frequent(docs: DataFrame, share: float) -> DataFrame:
+    """hash of the expressions that occur at least ``share`` times a document in some slice: all that so many of the documents
+    use are among them."""
+
+    def rows(batches):
+        for b in batches:
+            out = []
+            for _, data, offs in textkit.slices(b.column(0)):
+                _, h = expressions(data, offs)
+                k, c = np.unique(h, return_counts=True)
+                out.append(k[(c >= share * (len(offs) - 1)) & (k != 0)])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(out)).view(np.int64))], ["hash"])
+
+    return docs.select("text").mapInArrow(rows, "hash long")
+
+
 def _kneser_ney(counted: DataFrame, model: Model) -> None:
-    spark, size = counted.sparkSession, len(model.units) + 1
-    path = shared.scratch(spark)
-    moves = shared.stored(_transitions(counted, model), path)
-    ends = _columns(moves.groupBy("r").agg(F.count(F.when(F.col("n0") > 0, 1)).alias("t0"), F.count(F.when(F.col("n1") > 0, 1)).alias("t1"), F.count("*").alias("t"), F.sum("n0").alias("s0"), F.sum("n1").alias("s1")))
-    types, both = np.zeros((2, size)), np.zeros(size)
-    for c in (0, 1):  # "other" follows a new context nearly every time: its tokens stand for its contexts
-        types[c][ends["r"]] = np.where(ends["r"] == 0, ends[f"s{c}"], ends[f"t{c}"])
-    both[ends["r"]] = np.where(ends["r"] == 0, ends["s0"] + ends["s1"], ends["t"])
+    tables, size = shared.Tables(counted.sparkSession), len(model.units) + 1
+    moves = tables.stored(_moves(counted, model))
+    ends = _columns(moves.filter("kind = 1").groupBy("r").agg(F.count(F.when(F.col("n0") > 0, 1)).alias("t0"), F.count(F.when(F.col("n1") > 0, 1)).alias("t1"), F.count("*").alias("t")))
+    types, both = np.zeros((2, size)), np.zeros(size)  # different contexts, by class and over both
+    types[0][ends["r"]], types[1][ends["r"]], both[ends["r"]] = ends["t0"], ends["t1"], ends["t"]
     share = (both + 0.5) / (both + 0.5).sum()
     lower = np.zeros((2, size))
     for c in (0, 1):
         total = max(types[c].sum(), 1)
         lower[c] = np.maximum(types[c] - DISCOUNT, 0) / total + DISCOUNT * np.count_nonzero(types[c]) / total * share
     lower /= lower.sum(axis=1, keepdims=True)
-    pairs = moves.groupBy("l", "r").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).filter("l > 0")
-    met = _columns(pairs.select((F.col("l") * size + F.col("r")).alias("key"), "n0", "n1"))
+    met = _columns(moves.filter("kind = 0").select((F.col("l") * size + F.col("r")).alias("key"), "n0", "n1"))
     order = np.argsort(met["key"])
     key = met["key"][order]
     left = key // size
-    seen, free = np.zeros((2, len(key))), np.ones((2, size))
+    seen, free = np.zeros((2, len(key))), np.ones((2, size + 1))
     for c in (0, 1):
         n = met[f"n{c}"][order].astype(float)
-        total = np.bincount(left, weights=n, minlength=size)
-        kinds = np.bincount(left[n > 0], minlength=size)
+        total = np.bincount(left, weights=n, minlength=size + 1)
+        kinds = np.bincount(left[n > 0], minlength=size + 1)
         seen[c] = np.maximum(n - DISCOUNT, 0) / np.maximum(total[left], 1)
         free[c] = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
     model.lower, model.pairs, model.seen, model.free = lower, key, seen, free
-    shared.discard(spark, path)
+    tables.drop()
 
 
 def _fit(rows: DataFrame, total: int, model: Model) -> None:
@@ -341,7 +392,7 @@ def labelled(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
     docs, labels = shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "labels")
     model = learn(labelled(docs, labels))
-    scored = score(docs, model, "doc_id").withColumn("held_out", shared.fold("doc_id", 5) == 0)
+    scored = score(docs, model, "doc_id").withColumn("held_out", F.coalesce(shared.fold("doc_id", 5) == 0, F.lit(False)))
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 

@@ -175,31 +175,71 @@ def test_toxicity_finds_expressions_and_spares_clean(spark):
     assert clean.columns == d.columns and clean.filter("doc_id = 1").count() == 2
 
 
-def test_toxicity_kneser_ney_sums_to_one(spark):
-    rows = [(i, "plain words here and there", 0, 1 + i % 3) for i in range(60)] + [(100 + i, "plain vile scumbag words vile", 1, 1 + i % 3) for i in range(60)]
+def test_toxicity_kneser_ney_against_brute_force(spark):
+    rng = random.Random(16)
+    rows = []
+    for i in range(1500):
+        toxic = i % 3 == 0
+        ws = [rng.choice(["here", "plain", "words", "this", "that", "so"]) for _ in range(rng.randrange(1, 14))]
+        for _ in range(rng.randrange(1, 4)):
+            ws[rng.randrange(len(ws))] = rng.choice(["vilez", "scumx"]) if toxic else rng.choice(["kindq", "nicey", "plain"])
+        rows.append((i, " ".join(ws), int(toxic), i % 4))
     model = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string, label int, part int"))
-    assert len(model.units) >= 2
-    for c in (0, 1):
-        assert model.lower[c].sum() == pytest.approx(1)
-        for left in range(1, len(model.units) + 1):
-            at = model.pairs // (len(model.units) + 1) == left
-            if model.seen[c][at].sum():
-                assert model.seen[c][at].sum() + model.free[c][left] == pytest.approx(1, abs=0.02)
-
 
-def test_toxicity_keeps_every_expression_and_bigram(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "CANDIDATES", 16, raising=False)
-    monkeypatch.setattr(toxicity, "BIGRAMS", 16, raising=False)
+    def hashed(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return [int(x) for x in toxicity.expressions(data, np.array([0, len(data)]))[1][:, 0]]
+
+    units = model.units.tolist()
+    name = {w: max([units.index(h) + 1 for h in hashed(w) if h in units][-1:], default=0) for w in "here plain words this that so vilez scumx kindq nicey".split()}
+    assert name["vilez"] and name["scumx"] and (name["kindq"] or name["nicey"]) and not name["this"]
+    size, start = len(units) + 1, len(units) + 1
+    count, follows = [{}, {}], [set(), set()]
+    for _, text, label, part in rows:
+        if part:
+            ws = text.split()
+            for left, w in zip([None, *ws], ws):
+                pair = (start if left is None else name[left], name[w])
+                count[label][pair] = count[label].get(pair, 0) + 1
+                follows[label].add((left, name[w]))
+    contexts = [[sum(u == k for _, u in f) for k in range(size)] for f in (*follows, follows[0] | follows[1])]
+    share = [(t + 0.5) / sum(t + 0.5 for t in contexts[2]) for t in contexts[2]]
+    for c in (0, 1):
+        total = sum(contexts[c])
+        low = [max(t - 0.75, 0) / total + 0.75 * sum(t > 0 for t in contexts[c]) / total * s for t, s in zip(contexts[c], share)]
+        low = [x / sum(low) for x in low]
+        for left in range(size + 1):
+            all_ = sum(n for (u, _), n in count[c].items() if u == left)
+            kinds = sum(u == left for u, _ in count[c])
+            for w in range(size):
+                want = (max(count[c].get((left, w), 0) - 0.75, 0) + 0.75 * kinds * low[w]) / all_ if all_ else low[w]
+                assert model.probability(c, np.array([left]), np.array([w]))[0] == pytest.approx(want)
+            if all_ and min((n for (u, _), n in count[c].items() if u == left)) >= 1:
+                assert sum(model.probability(c, np.full(size, left), np.arange(size))) == pytest.approx(1)
+
+
+def test_toxicity_keeps_every_expression_and_bigram(spark):
     bad = [f"{a}{b}x" for a in "bcdfgh" for b in "aeiou"]  # no longer than the shortest stem: one expression a word
     rows = [(i, " ".join(bad[(i + k * (1 + i % 3)) % 30] for k in range(6)), 1, 1) for i in range(90)]
     rows += [(100 + i, "plain words of no harm", 0, 1) for i in range(900)]
     model = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string, label int, part int"))
-    assert len(model.units) == 30
-    moves = {p for _, t, label, _ in rows if label for p in zip(t.split(), t.split()[1:], strict=False)}
-    assert len(model.pairs) == len(moves) > 16
+    ordinary = 5  # words of the ordinary class that no toxic document has
+    assert len(model.units) >= 30 + ordinary
     size = len(model.units) + 1
-    mass = np.bincount(model.pairs // size, weights=model.seen[1], minlength=size)
-    assert np.allclose((mass + model.free[1])[1:], 1)
+    moves = {p for _, t, label, _ in rows for p in zip([None, *t.split()], t.split(), strict=False)}
+    assert len(model.pairs) == len(moves)
+    for c in (0, 1):
+        mass = np.bincount(model.pairs // size, weights=model.seen[c], minlength=size + 1)
+        assert np.allclose(mass + model.free[c], 1)
+
+
+def test_rows_without_an_id_are_in_no_fold(spark, tmp_path):
+    rows = [(None if i % 10 == 0 else i, "some vile scumbag here" if i % 4 == 0 else "some kind words here", "en", None, 0) for i in range(200)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 4 > 0), int(i % 4 == 0)) for i in range(200)] + [(None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for query in (toxicity.op1_toxicity, language_id.op2_language_id, quality_classifier.op6_quality_classifier):
+        got = query(spark, str(tmp_path)).collect()
+        assert len(got) == 200 and not any(r["held_out"] for r in got if r["doc_id"] is None) and all(r["held_out"] is not None for r in got)
 
 
 def test_toxicity_without_labels(spark):
