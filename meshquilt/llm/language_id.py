@@ -1,14 +1,20 @@
 """Language ID (2): language-bitmask n-gram filters.
 
-Learning counts the 4-byte grams of blank-padded, lower-cased words for every language. A gram belongs
-to each language in which it is frequent enough, in itself and beside the language that has it most.
-The grams go into one bit-sliced Bloom filter: row b of the table is a mask with one bit per language,
-and the AND of a gram's rows names, in one look-up, all languages that hold it. A text's popcount for
-each language is corrected for that language's false-positive rate; the largest share decides.
+Learning counts the 4-byte grams of blank-padded, lower-cased words for every language. All grams go into one
+bit-sliced Bloom filter: a row of the table is a mask with two bits for each language, one for grams that
+the language has at all, one for grams that are *its own*: whose share in the language is at least ``MIN_RATIO`` of
+their share in the language that uses them most (a passage quoted from another language makes its grams members, but
+not the language's own). The AND of a gram's ``HASHES`` rows names, in one look-up, all languages that hold it, and
+which of them own it. A text's popcounts, two for each language, are corrected for the false-positive rates of
+their bits; the largest share of own grams decides, and the share of members where those are equal.
+
+The table has ``SPREAD`` rows for each gram of the language with the most, up to 2**``MOST_ROWS`` rows (128 MB for up to
+32 languages); beyond that its false-positive rates grow, which the correction takes out.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; with nothing learned
 every text is ``und``; ties go to the language with more learned grams in running text, then by name;
-null languages teach nothing; repeated rows give repeated rows; other columns are not read.
+null languages teach nothing; a row without an id is not held out and teaches; repeated rows give repeated rows; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -21,11 +27,9 @@ from pyspark.sql import functions as F
 from . import shared, textkit
 
 UND = "und"
-#: A gram needs this share of a language's grams: at most 1 / MIN_SHARE grams a language, whatever the corpus.
-MIN_SHARE = 4e-6
-#: ... and this part of its share in the language where it is most frequent.
+#: A gram is a language's own if its share there is this part of its largest share in any.
 MIN_RATIO = 0.25
-LOG_ROWS, HASHES = 20, 3
+HASHES, SPREAD, LEAST_ROWS, MOST_ROWS = 3, 8, 16, 24
 CHUNK = 1 << 23
 
 
@@ -99,66 +103,97 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return known.mapInArrow(rows, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-class Filter:
-    """The bit-sliced Bloom filter: ``masks`` of grams, and ``decide`` over a text's popcounts."""
+def places(grams_: np.ndarray, log_rows: int):
+    """The table's rows of each gram, one array for each hash."""
+    h = textkit.mix(grams_.astype(np.uint64) + np.uint64(0x51ED27))
+    for j in range(HASHES):
+        yield (h >> np.uint64(20 * j)).astype(np.int64) & ((1 << log_rows) - 1)
 
-    def __init__(self, langs: list[str], members: dict[str, np.ndarray], prior: np.ndarray):
-        self.langs, self.prior = langs, prior
-        width = max(1, -(-len(langs) // 64))
-        self.table = np.zeros((width, 1 << LOG_ROWS), np.uint64)
-        for j, lang in enumerate(langs):
-            for at in self.places(members[lang]):
-                self.table[j // 64, at] |= np.uint64(1 << (j % 64))
-        fill = np.array([np.count_nonzero(self.table[j // 64] >> np.uint64(j % 64) & np.uint64(1)) for j in range(len(langs))]) / (1 << LOG_ROWS)
-        self.false = fill**HASHES
 
-    @staticmethod
-    def places(grams_: np.ndarray):
-        h = textkit.mix(grams_.astype(np.uint64) + np.uint64(0x51ED27))
-        for j in range(HASHES):
-            yield (h >> np.uint64(20 * j)).astype(np.int64) & ((1 << LOG_ROWS) - 1)
+class Filter:
+    """The bit-sliced Bloom filter: ``look`` gives the masks of grams, ``decide`` judges a text's popcounts. Bits 2 j and
+    2 j + 1 of a row: language j has, and owns, a gram there. ``table``: (words of 64 bits, rows)."""
+
+    def __init__(self, langs: list[str], table: np.ndarray, prior: np.ndarray):
+        self.langs, self.table, self.prior = langs, table, prior
+        self.log_rows = max(table.shape[1], 1).bit_length() - 1
+        fill = [np.count_nonzero(table[k // 64] >> np.uint64(k % 64) & np.uint64(1)) / table.shape[1] for k in range(2 * len(langs))]
+        self.false = (np.array(fill) ** HASHES).reshape(-1, 2)
+
+    @classmethod
+    def of(cls, langs: list[str], members: dict[str, np.ndarray], own: dict[str, np.ndarray], prior: np.ndarray) -> Filter:
+        """From lists of grams held in memory."""
+        log_rows = rows_for(max((len(m) for m in members.values()), default=0))
+        table = np.zeros((max(1, -(-2 * len(langs) // 64)), 1 << log_rows), np.uint64)
+        for j, lang in enumerate(langs):
+            for k, listed in ((2 * j, members[lang]), (2 * j + 1, own[lang])):
+                for at in places(np.asarray(listed), log_rows):
+                    table[k // 64, at] |= np.uint64(1 << (k % 64))
+        return cls(langs, table, prior)
+
+    def look(self, grams_: np.ndarray) -> np.ndarray:
+        """(words, grams): the masks of all languages that hold each gram."""
+        masks = None
+        for at in places(grams_, self.log_rows):
+            masks = self.table[:, at] if masks is None else masks & self.table[:, at]
+        return masks
 
     def counts(self, grams_: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(grams of each row, popcounts by row and language)."""
+        """(grams of each row, popcounts by row, language, and whether held or owned)."""
         total = np.bincount(row, minlength=n)
-        out = np.zeros((n, len(self.langs)))
+        out = np.zeros((n, 2 * len(self.langs)))
         first = np.concatenate(([0], np.cumsum(total)[:-1]))
         full = total > 0
-        for k in range(len(self.table)):
-            masks = None
-            for at in self.places(grams_):
-                masks = self.table[k][at] if masks is None else masks & self.table[k][at]
-            for j in range(64 * k, min(len(self.langs), 64 * (k + 1))):
-                bits = (masks >> np.uint64(j % 64) & np.uint64(1)).astype(np.int32)
-                if len(bits):
-                    out[full, j] = np.add.reduceat(bits, first[full])
-        return total, out
+        if len(grams_):
+            masks = self.look(grams_)
+            for k in range(2 * len(self.langs)):
+                out[full, k] = np.add.reduceat((masks[k // 64] >> np.uint64(k % 64) & np.uint64(1)).astype(np.int32), first[full])
+        return total, out.reshape(n, -1, 2)
 
     def decide(self, total: np.ndarray, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = np.maximum(total, 1)[:, None]
+        n = np.maximum(total, 1)[:, None, None]
         share = np.clip((hits - n * self.false) / (n * (1 - np.minimum(self.false, 0.999))), 0, 1)
-        best = np.argmax(share + 1e-9 * self.prior, axis=1)
-        top = share[np.arange(len(share)), best]
-        return best, np.clip(top * top / np.maximum(share.sum(axis=1), 1e-9), 0, 1)
+        held, own = share[:, :, 0], share[:, :, 1]
+        best = np.argmax(own + 1e-4 * held + 1e-9 * self.prior, axis=1)
+        top = own[np.arange(len(own)), best]
+        return best, np.clip(top * top / np.maximum(own.sum(axis=1), 1e-9), 0, 1)
+
+
+def rows_for(n: int) -> int:
+    """log2 of the table's rows for n grams in the largest language."""
+    return min(MOST_ROWS, max(LEAST_ROWS, (SPREAD * max(n, 1) - 1).bit_length()))
 
 
 def learn(docs: DataFrame) -> Filter:
-    """The filter from the rows of ``docs`` (text, lang). Only grams over MIN_SHARE reach the driver."""
-    path = shared.scratch(docs.sparkSession)
-    counts = shared.stored(gram_counts(docs), path)
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    if not totals:
-        shared.discard(docs.sparkSession, path)
-        return Filter([], {}, np.empty(0))
-    by = docs.sparkSession.createDataFrame([*totals.items()], "lang string, total long")
-    shares = counts.join(by, "lang").withColumn("share", F.col("n") / F.col("total")).filter((F.col("share") >= MIN_SHARE) & (F.col("n") >= 2))
-    most = shares.groupBy("gram").agg(F.max("share").alias("top"))
-    kept = shares.join(most, "gram").filter(F.col("share") >= F.col("top") * MIN_RATIO).select("lang", "gram").toPandas()
-    shared.discard(docs.sparkSession, path)
-    langs = sorted(totals)
-    members = {k: kept["gram"][kept["lang"] == k].to_numpy(np.int64) for k in langs}
-    sizes = np.array([totals[k] for k in langs], float)
-    return Filter(langs, members, sizes / sizes.sum())
+    """The filter from the rows of ``docs`` (text, lang). Grams stay in Spark; what reaches the driver is the table, its rows
+    ORed together there."""
+    spark = docs.sparkSession
+    tables = shared.Tables(spark)
+    counts = tables.stored(gram_counts(docs))
+    sizes = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).orderBy("lang").collect()
+    if not sizes:
+        tables.drop()
+        return Filter([], np.zeros((1, 1), np.uint64), np.empty(0))
+    langs, log_rows = [r["lang"] for r in sizes], rows_for(max(r["kinds"] for r in sizes))
+    by = spark.createDataFrame([(r["lang"], r["total"], j) for j, r in enumerate(sizes)], "lang string, total long, j int")
+    shares = F.struct((F.col("n") / F.col("total")).alias("share"), "j")
+    grams_ = counts.join(by, "lang").groupBy("gram").agg(F.collect_list(shares).alias("s"))  # a language each: as many as languages
+    marked = grams_.select("gram", F.array_max(F.transform("s", lambda s: s["share"])).alias("top"), F.explode("s").alias("s"))
+    mask = F.expr(f"shiftleft(CASE WHEN s.share >= top * {MIN_RATIO} THEN 3L ELSE 1L END, s.j * 2 % 64)")
+    masks = marked.groupBy("gram", F.floor(F.col("s.j") / 32).cast("int").alias("word")).agg(F.bit_or(mask).alias("mask"))
+
+    def rows(batches):
+        for b in batches:
+            gram, word, own = b.column(0).to_numpy(), b.column(1), b.column(2)
+            for at in places(gram, log_rows):
+                yield pa.RecordBatch.from_arrays([pa.array(at), word, own], ["at", "word", "mask"])
+
+    placed = masks.mapInArrow(rows, "at long, word int, mask long").groupBy("at", "word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    table = np.zeros((-(-2 * len(langs) // 64), 1 << log_rows), np.uint64)
+    table[placed["word"].to_numpy(), placed["at"].to_numpy(np.int64)] = placed["mask"].to_numpy(np.int64).view(np.uint64)
+    tables.drop()
+    total = np.array([r["total"] for r in sizes], float)
+    return Filter(langs, table, total / total.sum())
 
 
 def has_letter(text: str) -> bool:
@@ -169,7 +204,7 @@ def identify(docs: DataFrame, model: Filter, *keep: str) -> DataFrame:
     """``keep`` columns, lang_pred and score of every row."""
     shared.small_batches(docs.sparkSession)
     source = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
 
     def rows(batches):
         for b in batches:

@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -134,15 +135,39 @@ def test_language_learns_and_keeps_edges(spark):
     assert {r["lang_pred"] for r in language_id.identify(docs(spark, asked), none, "doc_id").collect()} == {"und"}
 
 
-def test_language_filter_has_no_false_negatives():
-    import numpy as np
-
+def test_language_filter_names_all_languages_of_each_gram():
     rng = np.random.default_rng(3)
-    members = {"a": rng.integers(0, 2**32, 5000), "b": rng.integers(0, 2**32, 7000)}
-    f = language_id.Filter(["a", "b"], members, np.array([0.5, 0.5]))
-    for j, k in enumerate("ab"):
+    langs = [f"l{j}" for j in range(70)]  # more than a word of bits
+    members = {k: np.unique(rng.integers(0, 2**32, 300)) for k in langs}
+    members["l69"] = np.union1d(members["l69"], members["l3"][:50])
+    f = language_id.Filter.of(langs, members, {k: m[:100] for k, m in members.items()}, np.full(70, 1 / 70))
+    wrong = 0
+    for j, k in enumerate(langs):
+        masks = f.look(members[k].astype(np.uint32))
+        for i, other in enumerate(langs):
+            for bit, listed in ((2 * i, members[other]), (2 * i + 1, members[other][:100])):
+                got, want = (masks[bit // 64] >> np.uint64(bit % 64) & np.uint64(1)).astype(bool), np.isin(members[k], listed)
+                assert got[want].all()
+                wrong += int((got & ~want).sum())
         total, hits = f.counts(members[k].astype(np.uint32), np.zeros(len(members[k]), np.int64), 1)
-        assert hits[0, j] == total[0] and hits[0, 1 - j] < 0.01 * total[0]
+        assert hits[0, j, 0] == total[0]
+    assert wrong < 0.01 * 70 * 300 * 140
+
+
+def test_language_learning_equals_brute_force(spark):
+    rng = random.Random(17)
+    rows = [(i, " ".join(rng.choice(TALK[k].split()) for _ in range(12)) + (" und der" if i % 7 == 0 else ""), k, None, 0) for i, k in enumerate(list(TALK) * 20)]
+    model = language_id.learn(spark.createDataFrame(rows, DOCS))
+    counts = {k: Counter() for k in TALK}
+    for _, t, k, _, _ in rows:
+        data = np.frombuffer(t.encode(), np.uint8)
+        counts[k].update(language_id.grams(data, np.array([0, len(data)]))[0].tolist())
+    langs = sorted(TALK)
+    total = {k: sum(c.values()) for k, c in counts.items()}
+    top = {g: max(counts[k][g] / total[k] for k in langs) for k in langs for g in counts[k]}
+    own = {k: np.array([g for g in counts[k] if counts[k][g] / total[k] >= top[g] * language_id.MIN_RATIO]) for k in langs}
+    want = language_id.Filter.of(langs, {k: np.array([*counts[k]]) for k in langs}, own, model.prior)
+    assert model.langs == langs and (model.table == want.table).all() and np.allclose(model.false, want.false)
 
 
 def test_language_held_out_accuracy(spark):
