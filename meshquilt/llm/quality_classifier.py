@@ -1,12 +1,13 @@
 """Quality classifier (6): random-indexing vectors, pooled, under a two-layer network.
 
 Random indexing: a word's context vector is the sum, over the whole corpus, of the sparse ternary index
-vectors of its neighbours. Words share ``SLOTS`` hashed slots, so every task sums a table of fixed size
-and the model does not grow with the vocabulary. The same is done for word shapes (case, length, symbols,
-position of marks), which unknown words share. A document is the mean of its words' and shapes' vectors
-and of its rates of repeated words and windows. A two-layer NumPy network is trained on at most
-``FIT_ROWS`` labelled rows (drawn by a hash of the id); a temperature fitted on rows kept out of the
-training calibrates its probabilities.
+vectors of its neighbours. Every word that makes up at least one in ``SHARE`` of the corpus's words, and occurs
+``MIN_COUNT`` times, has a vector of its own (so there are ``SHARE`` of them at most, whatever the corpus); rarer
+words share ``SLOTS`` hashed ones, as a vector from a few contexts says little. The same is done for word shapes (case,
+length, symbols, position of marks), which unknown words share. A document is the mean of its words' and shapes'
+vectors and of its rates of repeated words and windows. A two-layer NumPy network is trained on at most
+``FIT_ROWS`` labelled rows (drawn by a hash of the id); a temperature fitted on rows kept out of the training
+calibrates its probabilities. Sums are added up as a tree of ``FAN`` at a time.
 
 Defined results: a null or empty text has the zero vector and gets the network's answer for it; without
 both labels every score is the share of ones (0.5 if no label); null labels teach nothing; repeated rows
@@ -17,12 +18,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared, textkit
 
 SLOTS, DIMS, NONZERO, REACH = 1 << 13, 32, 2, 2
+SHARE, MIN_COUNT, FAN, FLUSH = 1 << 16, 8, 64, 1 << 20
 SHAPES = 1 << 9
 FIT_ROWS = 20_000
 HIDDEN, EPOCHS, STEP, DECAY, SEED = 32, 60, 0.01, 1e-4, 11
@@ -53,11 +56,48 @@ def tokens(data: np.ndarray, offs: np.ndarray):
             + 64 * np.minimum(count(upper), 2)  # 0, 1, more
             + 192 * (count(lower) > 0)
         )
-        shape = shape + 0 * n
         shape = np.where(count(digit) > 0, 384 + np.minimum(n, 24) // 4, shape)
     return row, h, shape.astype(np.int64)
 
 
+def words_of_their_own(docs: DataFrame) -> np.ndarray:
+    """Sorted hashes of the words that have vectors of their own."""
+    tables = shared.Tables(docs.sparkSession)
+
+    def rows(batches):
+        held, waiting = [], 0
+
+        def told():
+            k, c = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c)], ["h", "n"])
+
+        for b in batches:
+            for _, data, offs in textkit.slices(b.column(0)):
+                start, end, _ = textkit.words(data, offs)
+                held.append(textkit.Spans(data).hash(start, end))
+                waiting += len(start)
+            if waiting > 2 * FLUSH:
+                yield told()
+                held, waiting = [], 0
+        if waiting:
+            yield told()
+
+    counts = tables.stored(docs.select(F.col("text").cast("string")).mapInArrow(rows, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") > 1))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    found = counts.filter((F.col("n") >= MIN_COUNT) & (F.col("n") * SHARE >= total)).select("h").toPandas()
+    tables.drop()
+    return np.sort(found["h"].to_numpy(np.int64).view(np.uint64))
+
+
+def _slots(own: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The row of each word's vector: its own, after SLOTS that the other words share."""
+    slot = (h >> np.uint64(50)).astype(np.int64) & (SLOTS - 1)
+    if len(own):
+        at = np.minimum(np.searchsorted(own, h), len(own) - 1)
+        slot = np.where(own[at] == h, SLOTS + at, slot)
+    return slot
+
+
 def _index(h: np.ndarray, table: np.ndarray, slot: np.ndarray) -> None:
     """Add the index vectors of the neighbours' hashes to the slots' rows of ``table`` (flat)."""
     for j in range(NONZERO):
@@ -66,47 +106,76 @@ def _index(h: np.ndarray, table: np.ndarray, slot: np.ndarray) -> None:
         table += np.bincount(slot * DIMS + dim, weights=sign, minlength=len(table))
 
 
-def contexts(docs: DataFrame) -> np.ndarray:
-    """The context vectors (SLOTS + SHAPES rows), summed over all documents."""
-    shared.small_batches(docs.sparkSession)
-    size, step = (SLOTS + SHAPES) * DIMS, 1 << 9
+class Vectors:
+    """Context vectors: ``own`` (sorted hashes), and rows for SHAPES shapes, SLOTS shared words and each own word."""
+
+    def __init__(self, own: np.ndarray, table: np.ndarray):
+        self.own, self.shapes, self.words = own, table[:SHAPES], table[SHAPES:]
+
+
+def contexts(docs: DataFrame) -> Vectors:
+    """The context vectors, summed over all documents."""
+    spark = docs.sparkSession
+    shared.small_batches(spark)
+    own, tables = words_of_their_own(docs), shared.Tables(spark)
+    size, step = SHAPES + SLOTS + len(own), 1 << 9
 
     def rows(batches):
-        table = np.zeros(size)
+        table = np.zeros(size * DIMS)
+        part, of_shapes, of_words = TaskContext.get().partitionId(), table[: SHAPES * DIMS], table[SHAPES * DIMS :]
+        held, waiting = [], 0
+
+        def settle():
+            slot, shape, near_word, near_shape = (np.concatenate(c) for c in zip(*held, strict=True))
+            _index(near_word, of_words, slot)
+            _index(near_shape, of_shapes, shape)
+
         for b in batches:
             for _, data, offs in textkit.slices(b.column(0)):
                 row, h, shape = tokens(data, offs)
+                slot, mixed = _slots(own, h), textkit.mix(shape.astype(np.uint64) + np.uint64(977))
                 for reach in range(1, REACH + 1):
-                    if len(h) <= reach:
-                        continue
-                    near = row[reach:] == row[:-reach]
-                    for own, other in ((slice(None, -reach), slice(reach, None)), (slice(reach, None), slice(None, -reach))):
-                        slot = (h[own][near] >> np.uint64(50)).astype(np.int64) & (SLOTS - 1)
-                        _index(h[other][near], table[: SLOTS * DIMS], slot)
-                        near_shape = textkit.mix(shape[other][near].astype(np.uint64) + np.uint64(977))
-                        _index(near_shape, table[SLOTS * DIMS :], shape[own][near])
+                    near = np.flatnonzero(row[reach:] == row[:-reach]) if len(h) > reach else np.empty(0, np.int64)
+                    for mine, other in ((near, near + reach), (near + reach, near)):
+                        held.append((slot[mine], shape[mine], h[other], mixed[other]))
+                        waiting += len(near)
+                if waiting > FLUSH:
+                    settle()
+                    held, waiting = [], 0
+        if held:
+            settle()
         whole = table.astype(np.int64).reshape(-1, DIMS)
-        for i in range(0, SLOTS + SHAPES, step):
-            part = whole[i : i + step]
-            some = np.flatnonzero(part.any(axis=1))
+        for i in range(0, size, step):
+            some = np.flatnonzero(whole[i : i + step].any(axis=1))
             if len(some):
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([some.astype(np.int16).tobytes()]), pa.array([part[some].astype(np.int32).tobytes()])], ["block", "at", "sums"])
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([part]), pa.array([some.astype(np.int16).tobytes()]), pa.array([whole[i : i + step][some].tobytes()])], ["block", "part", "at", "sums"])
 
     def add(key, batch):
         out = np.zeros((step, DIMS), np.int64)
         for at, sums in zip(batch.column("at").to_pylist(), batch.column("sums").to_pylist(), strict=True):
-            out[np.frombuffer(at, np.int16)] += np.frombuffer(sums, np.int32).reshape(-1, DIMS)
-        return pa.table({"block": [key[0].as_py()], "sums": [out.tobytes()]})
-
-    found = docs.select(F.col("text").cast("string")).mapInArrow(rows, "block long, at binary, sums binary").groupBy("block").applyInArrow(add, "block long, sums binary").toPandas()
-    out = np.zeros((SLOTS + SHAPES, DIMS))
-    for block, sums in zip(found["block"], found["sums"], strict=True):
-        out[block : block + step] = np.frombuffer(sums, np.int64).reshape(-1, DIMS)
+            out[np.frombuffer(at, np.int16)] += np.frombuffer(sums, np.int64).reshape(-1, DIMS)
+        some = np.flatnonzero(out.any(axis=1))
+        return pa.table({"block": [key[0].as_py()], "part": [key[1].as_py()], "at": [some.astype(np.int16).tobytes()], "sums": [out[some].tobytes()]})
+
+    schema = "block long, part long, at binary, sums binary"
+    found = tables.stored(docs.select(F.col("text").cast("string")).mapInArrow(rows, schema))
+    parts = (found.agg(F.max("part")).first()[0] or 0) + 1
+    while True:  # FAN sums of a block at a time
+        parts = -(-parts // FAN)
+        found = found.withColumn("part", F.pmod("part", F.lit(parts)).cast("long")).groupBy("block", "part").applyInArrow(add, schema)
+        if parts == 1:
+            break
+        found = tables.stored(found)
+    out = np.zeros((size, DIMS))
+    got = found.toPandas()
+    for block, at, sums in zip(got["block"], got["at"], got["sums"], strict=True):
+        out[block + np.frombuffer(at, np.int16)] = np.frombuffer(sums, np.int64).reshape(-1, DIMS)
+    tables.drop()
     norm = np.sqrt((out**2).sum(axis=1, keepdims=True))
-    return (out / np.maximum(norm, 1e-9)).astype(np.float32)
+    return Vectors(own, (out / np.maximum(norm, 1e-9)).astype(np.float32))
 
 
-def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
+def pooled(column: pa.Array, vectors: Vectors) -> np.ndarray:
     """One row of WIDTH features for each text."""
     out = np.zeros((len(column), WIDTH))
     for at, data, offs in textkit.slices(column):
@@ -117,9 +186,8 @@ def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
         full = words > 0
         first = (np.cumsum(words) - words)[full]
         if len(h):
-            slot = (h >> np.uint64(50)).astype(np.int64) & (SLOTS - 1)
-            part[full, :DIMS] = np.add.reduceat(vectors[slot], first)
-            part[full, DIMS : 2 * DIMS] = np.add.reduceat(vectors[SLOTS + shape], first)
+            part[full, :DIMS] = np.add.reduceat(vectors.words[_slots(vectors.own, h)], first)
+            part[full, DIMS : 2 * DIMS] = np.add.reduceat(vectors.shapes[shape], first)
             own = textkit.mix(row.astype(np.uint64) + np.uint64(1))
             _, one = np.unique(textkit.mix(h ^ own), return_index=True)
             part[:, 2 * DIMS] = words - np.bincount(row[one], minlength=n)
@@ -178,7 +246,7 @@ class Network:
         self.heat = float(heats[int(np.argmin(loss))])
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Network]:
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[Vectors, Network]:
     """Vectors from all of ``docs``; the network from at most FIT_ROWS rows of ``labels`` (doc_id, label)."""
     vectors = contexts(docs)
     marks = labels.filter("label IN (0, 1)").select("doc_id", F.col("label").cast("double").alias("label"))
@@ -200,7 +268,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Network]:
     return vectors, network
 
 
-def score(docs: DataFrame, vectors: np.ndarray, network: Network, *keep: str) -> DataFrame:
+def score(docs: DataFrame, vectors: Vectors, network: Network, *keep: str) -> DataFrame:
     """``keep`` columns and the probability of label 1 of every row."""
     shared.small_batches(docs.sparkSession)
     source = docs.select(*keep, F.col("text").cast("string").alias("text"))

@@ -290,6 +290,23 @@ def test_quality_classifier_held_out(spark):
     assert sum(r["predicted"] == r["quality"] for r in got) >= 0.9 * len(got)
 
 
+def test_quality_classifier_with_words_alone_and_without(spark, monkeypatch):
+    sf = "/root/testdata/sf0.01"
+    real, right = quality_classifier.pooled, {}
+    truth = {r["doc_id"]: r["quality"] for r in shared.table(spark, sf, "labels").collect()}
+    for name, cut in (("words", slice(quality_classifier.DIMS, None)), ("rest", slice(0, quality_classifier.DIMS))):
+
+        def part(column, vectors, cut=cut):
+            x = real(column, vectors)
+            x[:, cut] = 0
+            return x
+
+        monkeypatch.setattr(quality_classifier, "pooled", part)
+        got = [r for r in quality_classifier.op6_quality_classifier(spark, sf).collect() if r["held_out"] and r["doc_id"] in truth]
+        right[name] = sum(r["predicted"] == truth[r["doc_id"]] for r in got) / len(got)
+    assert min(right.values()) >= 0.85, right
+
+
 def test_quality_classifier_edges(spark):
     d = docs(spark, ODD, extra=True)
     for labels in ([], [(0, 1), (1, None)]):
@@ -300,26 +317,66 @@ def test_quality_classifier_edges(spark):
     assert quality_classifier.score(d.limit(0), v, n, "doc_id").count() == 0
 
 
-def test_context_vectors_against_brute_force(spark):
-    import numpy as np
+def test_context_vectors_and_pooling_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "FAN", 2)
+    monkeypatch.setattr(quality_classifier, "FLUSH", 16)
+    q = quality_classifier
+    rng = random.Random(18)
+    texts = [" ".join(rng.choice(["a", "b", "c", "Dog", "e,"]) for _ in range(rng.randrange(1, 9))) for _ in range(40)] + ["b b", None, "d", "once seen"]
+    vectors = q.contexts(docs(spark, texts).repartition(7))
+    told = {}
+
+    def token(w):
+        if w not in told:
+            data = np.frombuffer(w.encode(), np.uint8)
+            told[w] = [int(x[0]) for x in q.tokens(data, np.array([0, len(data)]))[1:]]
+        return told[w]
 
-    texts = ["a b c a", "b b", None, "d"]
-    vectors = quality_classifier.contexts(docs(spark, texts))
-    table = np.zeros((quality_classifier.SLOTS, quality_classifier.DIMS))
+    count = Counter(w for t in texts for w in WORD.findall(t or ""))
+    assert set(vectors.own.tolist()) == {token(w)[0] for w, n in count.items() if n >= q.MIN_COUNT}
+    place = {h: q.SLOTS + i for i, h in enumerate(vectors.own.tolist())}
+    words, shapes = np.zeros((q.SLOTS + len(place), q.DIMS)), np.zeros((q.SHAPES, q.DIMS))
+
+    def add(table, at, h):
+        for k in range(q.NONZERO):
+            table[at, (h >> (7 * k)) % q.DIMS] += 1 - 2 * (h >> (40 + k) & 1)
+
+    slot = lambda h: place.get(h, (h >> 50) % q.SLOTS)
     for t in texts:
+        ws = WORD.findall(t or "")
+        for i in range(len(ws)):
+            for j in range(max(0, i - q.REACH), min(len(ws), i + q.REACH + 1)):
+                if i != j:
+                    add(words, slot(token(ws[i])[0]), token(ws[j])[0])
+                    add(shapes, token(ws[i])[1], int(textkit.mix(np.uint64([token(ws[j])[1] + 977]))[0]))
+    unit = lambda m: m / np.maximum(np.sqrt((m**2).sum(axis=1, keepdims=True)), 1e-9)
+    assert np.allclose(vectors.words, unit(words), atol=1e-6) and np.allclose(vectors.shapes, unit(shapes), atol=1e-6)
+    got = q.pooled(pa.array(texts), vectors)
+    for t, x in zip(texts, got, strict=True):
         ws = WORD.findall(t or "")
         if not ws:
+            assert not x.any()
             continue
-        data = np.frombuffer(" ".join(ws).encode(), np.uint8)
-        _, h, _ = quality_classifier.tokens(data, np.array([0, len(data)]))
-        for i in range(len(ws)):
-            for j in range(len(ws)):
-                if 0 < abs(i - j) <= quality_classifier.REACH:
-                    for k in range(quality_classifier.NONZERO):
-                        dim = int(h[j] >> np.uint64(7 * k)) % quality_classifier.DIMS
-                        table[int(h[i] >> np.uint64(50)) % quality_classifier.SLOTS, dim] += 1 - 2 * (int(h[j] >> np.uint64(40 + k)) & 1)
-    norm = np.sqrt((table**2).sum(axis=1, keepdims=True))
-    assert np.allclose(vectors[: quality_classifier.SLOTS], table / np.maximum(norm, 1e-9), atol=1e-6)
+        wins = [tuple(ws[i : i + 3]) for i in range(len(ws) - 2)]
+        want = [*np.mean([unit(words)[slot(token(w)[0])] for w in ws], axis=0), *np.mean([unit(shapes)[token(w)[1]] for w in ws], axis=0)]
+        want += [(len(ws) - len(set(ws))) / len(ws), (len(wins) - len(set(wins))) / len(ws), sum(token(w)[1] // 8 % 4 for w in ws) / len(ws), np.log1p(len(ws))]
+        assert np.allclose(x, want, atol=1e-5)
+
+
+def test_network_learns_and_is_calibrated():
+    rng = np.random.Generator(np.random.PCG64(19))
+    x = rng.normal(size=(3000, quality_classifier.WIDTH))
+    y = (rng.random(3000) < 1 / (1 + np.exp(-(3 * x[:, 0] + x[:, 2])))).astype(float)
+    net = quality_classifier.Network()
+    net.train(x[:2000], y[:2000])
+    p = net.probability(x[2000:])
+    assert np.mean((p >= 0.5) == y[2000:]) > 0.75
+    bins = np.digitize(p, [0.2, 0.4, 0.6, 0.8])
+    gap = sum(abs(p[bins == k].mean() - y[2000:][bins == k].mean()) * np.mean(bins == k) for k in range(5) if (bins == k).any())
+    assert gap < 0.12
+    a, b, c, d = net.layers
+    z = np.clip((x[2000:] - net.mean) / net.spread, -8, 8)
+    assert np.allclose(p, 1 / (1 + np.exp(-(np.tanh(z @ a + b) @ c + d) / net.heat)))
 
 
 # ---- URL filters ----------------------------------------------------------------------------------------------
