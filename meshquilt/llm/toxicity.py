@@ -1,7 +1,7 @@
 """Toxicity (1): class-conditional Kneser-Ney models.
 
 The unit is the *expression*: a word's longest stem (its first bytes, or the whole word) that one class uses
-significantly more often than the other, toxic or ordinary; every other word is the one expression "other".
+significantly more often than the other, toxic or (whole words) ordinary; every other word is the one expression "other".
 Rare expressions are not units of their own: their counts back off to a shorter stem, and in the end to
 "other". Over this alphabet each class has an interpolated Kneser-Ney bigram model, with bigrams after every
 unit, "other" and the start of a text included. Its lower order counts the different words that an expression
@@ -10,9 +10,8 @@ scored by what the classes share. A document's score is a logistic function, fit
 the counts, of the difference of its two log-likelihoods, each divided by its length.
 
 All counts run over all labelled rows. Every expression that passes the tests and every bigram is kept. A toxic
-expression needs ``MIN_DOCS`` documents. An ordinary one that passes against no toxic document at all must hold a certain
-share of the ordinary documents, so in some slice of them it holds that share too: such ones are the candidates. The
-model (8 bytes an expression and 32 more for its two classes, 24 a bigram) is held in memory and shipped with the
+expression (stem or word) needs ``MIN_DOCS`` documents; an ordinary one is a whole word, and needs as many ordinary
+documents as pass against no toxic one. The model (8 bytes an expression and 32 more for its two classes, 24 a bigram) is held in memory and shipped with the
 tasks.
 
 Defined results: a text without words has the likelihoods of no words (difference of one "other"), so it
@@ -66,7 +65,8 @@ def _per_doc(row: np.ndarray, hashes: np.ndarray):
 
 
 def _doc_counts(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
-    """hash, n: how many of the documents use each expression (if given, of those that the bitmap ``wanted`` lets pass)."""
+    """hash, n, w: how many of the documents use each expression. With a bitmap ``wanted``: each whole word, and of the stems
+    those that it lets pass; w: whether it does."""
 
     def rows(batches):
         keys, counts, held = [], [], 0
@@ -78,23 +78,33 @@ def _doc_counts(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
             first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.empty(0, np.int64)
             keys[:], counts[:] = [k[first]], [np.add.reduceat(c, first) if len(first) else c]
 
+        def told():
+            settle()
+            for i in range(0, len(keys[0]), 1 << 16):
+                k = keys[0][i : i + (1 << 16)].view(np.int64)
+                w = np.ones(len(k), bool) if wanted is None else shared.passes(wanted, k)
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(counts[0][i : i + (1 << 16)]), pa.array(w)], ["hash", "n", "w"])
+            keys.clear()
+            counts.clear()
+
         for b in batches:
             for _, data, offs in textkit.slices(b.column(0)):
                 row, h = expressions(data, offs)
                 if wanted is not None:
-                    h = np.where(shared.passes(wanted, h.ravel().view(np.int64)).reshape(h.shape), h, 0)
+                    h[:-1] = np.where(shared.passes(wanted, h[:-1].ravel().view(np.int64)).reshape(h[:-1].shape), h[:-1], 0)
                 keys.append(_per_doc(row, h))
                 counts.append(np.ones(len(keys[-1]), np.int64))
                 held += len(keys[-1])
-                if held > 1 << 21:
+                if held > 2 * FLUSH:
                     settle()
                     held = 0
+                    if len(keys[0]) > 2 * FLUSH:
+                        yield from told()
         if keys:
-            settle()
-            for i in range(0, len(keys[0]), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[0][i : i + (1 << 16)].view(np.int64)), pa.array(counts[0][i : i + (1 << 16)])], ["hash", "n"])
+            yield from told()
 
-    return docs.select("text").mapInArrow(rows, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(rows, "hash long, n long, w boolean")
+    return counts.groupBy("hash").agg(F.sum("n").alias("n"), F.max("w").alias("w"))
 
 
 def _find(table: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -250,37 +260,15 @@ def _alphabet(counted: DataFrame, toxic: int, plain: int, tables: shared.Tables)
     while low < high:
         middle = (low + high) // 2
         low, high = (low, middle) if passes(0, middle) else (middle + 1, high)
-    own = _doc_counts(counted.filter("label = 1"), None)
-    if low <= plain:
-        frequent = tables.stored(_frequent(counted.filter("label = 0"), low / plain).distinct())
-        found = own.join(frequent.withColumn("f", F.lit(True)), "hash", "full").filter((F.col("n") >= MIN_DOCS) | F.col("f"))
-    else:
-        found = own.filter(F.col("n") >= MIN_DOCS)
-    found = tables.stored(found.select("hash", F.coalesce("n", F.lit(0)).alias("n")))
+    own = tables.stored(_doc_counts(counted.filter("label = 1"), None).select("hash", "n"))
+    found = own.filter(F.col("n") >= MIN_DOCS)
     wanted = shared.bloom(found, "hash", WANTED_BITS, lambda h: h)
-    back = _doc_counts(counted.filter("label = 0"), wanted).withColumnRenamed("n", "m")
-    m = F.coalesce("m", F.lit(0))
-    z, spread = _z(F.col("n"), m, toxic, plain, F.log, F.sqrt)
+    back = tables.stored(_doc_counts(counted.filter("label = 0"), wanted).withColumnRenamed("n", "m").filter((F.col("m") >= low) | F.col("w")))
+    z, spread = _z(F.coalesce("n", F.lit(0)), F.coalesce("m", F.lit(0)), toxic, plain, F.log, F.sqrt)
     margin = F.lit(math.log(MIN_RATIO)) / spread
-    passed = (F.col("n") >= MIN_DOCS) & (z - margin >= MIN_Z) | (m >= MIN_DOCS) & (-z - margin >= MIN_Z)
-    return np.sort(_columns(found.join(back, "hash", "left").filter(passed).select("hash"))["hash"].view(np.uint64))
-
-
-def _frequent(docs: DataFrame, share: float) -> DataFrame:
-    """hash of the expressions that occur at least ``share`` times a document in some slice: all that so many of the documents
-    use are among them."""
-
-    def rows(batches):
-        for b in batches:
-            out = []
-            for _, data, offs in textkit.slices(b.column(0)):
-                _, h = expressions(data, offs)
-                k, c = np.unique(h, return_counts=True)
-                out.append(k[(c >= share * (len(offs) - 1)) & (k != 0)])
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(out)).view(np.int64))], ["hash"])
-
-    return docs.select("text").mapInArrow(rows, "hash long")
+    more = found.join(back, "hash", "left").filter(z - margin >= MIN_Z).select("hash")
+    less = back.filter((F.col("m") >= low) & (F.col("m") >= MIN_DOCS)).join(own, "hash", "left").filter(-z - margin >= MIN_Z).select("hash")
+    return np.sort(_columns(more.unionByName(less).distinct())["hash"].view(np.uint64))
 
 
 def _kneser_ney(counted: DataFrame, model: Model) -> None:
