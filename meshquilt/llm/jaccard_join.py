@@ -52,8 +52,8 @@ SINGLE = 64  # sets smaller than this have one token a segment
 WIDE = 16  # every so many segments, one has its one-deletion neighbourhoods in the index
 HOT_TOKENS, HOT_SHARE, HOT_LEAST = 1 << 14, 0.002, 8
 GROUP_SETS, GROUP_BYTES = 1024, 24 << 20  # of one block of a group
-FLUSH = 1 << 21
-SIGN_BYTES, PART_BYTES = 6, 64 << 20  # a signature's bytes beside its part; signatures of one part
+FLUSH = 1 << 20
+SIGN_BYTES, PART_BYTES = 6, 24 << 20  # a signature's bytes beside its part; signatures of one part
 BLOOM_LEAST, BLOOM_MOST = 20, 28  # log2 of the bits of the bitmap over wanted documents
 REST_BLOCK = 256
 SALTS = 8
@@ -177,6 +177,8 @@ def _describe(texts: DataFrame, salt: int = 0) -> DataFrame:
             yield batch(0, b.column(0), size, name.view(np.int64), pa.array(other.view(np.int64)), pa.array(sketch, pa.binary()))
         if held:
             yield hot()
+        held = None
+        shared.trim()
 
     return texts.mapInArrow(rows, "kind int, a long, b long, c long, d long, sketch binary")
 
@@ -317,11 +319,13 @@ def _signatures(texts: DataFrame, alloc: Allocation, labels: np.ndarray, salt: i
                 waiting += len(sign)
                 if len(short):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(1, -1, np.int32)), pa.array([b""]), pa.array([name[short].tobytes()])], ["part", "signs", "names"])
-                if waiting > FLUSH // 2:
+                if waiting > FLUSH:
                     yield flush()
                     held, waiting = [], 0
         if held:
             yield flush()
+        held, seen = [], set()
+        shared.trim()
 
     return texts.select("text").mapInArrow(rows, "part int, signs binary, names binary")
 
@@ -375,6 +379,8 @@ def _buckets(packed: DataFrame, n: int) -> DataFrame:
         sign, name = np.concatenate(signs), np.concatenate(names)
         del signs, names
         centre, name = _stars(sign >> np.uint64(2), name, (sign & np.uint64(3)).astype(np.int32))
+        del sign
+        shared.trim()
         for i in range(0, len(centre), 1 << 16):
             yield put(1, centre[i : i + (1 << 16)], name[i : i + (1 << 16)])
 

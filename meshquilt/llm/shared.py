@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import tempfile
 import uuid
@@ -81,6 +82,17 @@ def fold(column: str, parts: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(parts)
 
 
+def trim() -> None:
+    """Give memory that a worker has freed back to the system: the next task's worker may be another one."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def largest(df: DataFrame, column: str, bound: int) -> DataFrame:
     """The rows with the largest positive values, at most ``bound``: a histogram of at most a few hundred buckets
     finds the cut, so no task or driver ever orders the rows. ``df`` is read twice."""
