@@ -12,6 +12,8 @@ with one canonical form: the smaller name wins.
 
 from __future__ import annotations
 
+import functools
+import operator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,19 +87,28 @@ TEXTS = (
 COPYRIGHT = r"(?m)^[ \t]*(?:(?:copyright|\(c\)|©)[^\n]*(?:[0-9]{4}|\(c\)|©)[^\n]*|all rights reserved\.?[ \t]*)$"
 
 
+#: What a line that COPYRIGHT drops holds one of: texts without skip that pass.
+HINTS = ("copyright", "(c)", "©", "all rights reserved")
+
+
+def _padded(words: str) -> str:
+    return " " + words.replace(" ", "  ") + " "
+
+
 def canonical(text):
-    """The canonical form of a text column, blank-padded at both ends; null stays null."""
+    """The canonical form of a text column: words with a blank of their own on both sides, so that one of two adjacent
+    spellings never takes the other's; null stays null."""
     t = F.translate(text, UPPER, LOWER)
-    t = F.regexp_replace(t, COPYRIGHT, " ")
-    t = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    t = F.regexp_replace(t, r" +", " ")
+    marked = functools.reduce(operator.or_, (F.contains(t, F.lit(h)) for h in HINTS))
+    t = F.when(marked, F.regexp_replace(t, COPYRIGHT, " ")).otherwise(t)
+    t = F.concat(F.lit(" "), F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", "  ")), F.lit(" "))
     for old, new in SPELLINGS:
-        t = F.replace(t, F.lit(f" {old} "), F.lit(f" {new} "))
+        t = F.replace(t, F.lit(_padded(old)), F.lit(_padded(new)))
     return t
 
 
 def digest(form):
-    return F.when(form != " ", F.sha2(form.cast("binary"), 256))
+    return F.when(form != "  ", F.sha2(form.cast("binary"), 256))
 
 
 def known(spark: SparkSession, texts=TEXTS + NOTICES) -> DataFrame:
@@ -111,7 +122,8 @@ def known(spark: SparkSession, texts=TEXTS + NOTICES) -> DataFrame:
 
 def scan(docs: DataFrame, licences: DataFrame) -> DataFrame:
     """doc_id, digest, license (of the whole text), notices (of its lines, sorted, joined by commas; else null)."""
-    speaks = F.filter(F.split("text", "\n"), lambda x: F.translate(x, UPPER, LOWER).rlike("licen[sc]e"))
+    lines = F.when(F.contains(F.lower("text"), F.lit("licen")), F.split("text", "\n")).otherwise(F.array().cast("array<string>"))  # most texts need no split
+    speaks = F.filter(lines, lambda x: F.translate(x, UPPER, LOWER).rlike("licen[sc]e"))
     lines = F.array_compact(F.array_distinct(F.transform(speaks, lambda x: digest(canonical(x)))))
     wide = docs.select("doc_id", digest(canonical(F.col("text"))).alias("digest"), F.coalesce(lines, F.array().cast("array<string>")).alias("lines"))
     wide = wide.select("*", F.explode_outer("lines").alias("line"))
@@ -131,9 +143,9 @@ def op10_license_scans(spark, sf_dir: str) -> DataFrame:
 def _form(column: str) -> str:
     t = f"translate({column}, '{UPPER}', '{LOWER}')"
     t = f"regexp_replace({t}, '{COPYRIGHT}', ' ', 'g')"
-    t = f"regexp_replace(' ' || regexp_replace({t}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' ', ' +', ' ', 'g')"
+    t = f"' ' || trim(regexp_replace({t}, '[^\\p{{L}}\\p{{N}}]+', '  ', 'g'), ' ') || ' '"
     for old, new in SPELLINGS:
-        t = f"replace({t}, ' {old} ', ' {new} ')"
+        t = f"replace({t}, '{_padded(old)}', '{_padded(new)}')"
     return t
 
 
@@ -141,9 +153,9 @@ _ROWS = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEX
 SQL = f"""
 WITH k AS (SELECT d, min(n) AS n FROM (SELECT n, sha256({_form('t')}) AS d FROM (VALUES {_ROWS}) AS x(n, t)) GROUP BY d),
 d AS (SELECT row_number() OVER () AS r, doc_id, text, {_form('text')} AS f FROM documents),
-w AS (SELECT r, doc_id, text, CASE WHEN f <> ' ' THEN sha256(f) END AS digest FROM d),
+w AS (SELECT r, doc_id, text, CASE WHEN f <> '  ' THEN sha256(f) END AS digest FROM d),
 l AS (SELECT DISTINCT r, sha256(f) AS line FROM (SELECT r, {_form('x')} AS f FROM (SELECT r, unnest(string_split(text, chr(10))) AS x FROM w)
-        WHERE regexp_matches(translate(x, '{UPPER}', '{LOWER}'), 'licen[sc]e')) WHERE f <> ' '),
+        WHERE regexp_matches(translate(x, '{UPPER}', '{LOWER}'), 'licen[sc]e')) WHERE f <> '  '),
 o AS (SELECT r, string_agg(n, ',' ORDER BY n) AS notices FROM (SELECT DISTINCT r, n FROM l JOIN k ON line = d) GROUP BY r)
 SELECT doc_id, digest, k.n AS license, notices FROM w LEFT JOIN k ON digest = k.d LEFT JOIN o USING (r)
 """

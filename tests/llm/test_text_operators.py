@@ -436,6 +436,15 @@ def test_license_whole_text_and_notices(spark):
     assert license_scan.scan(d.limit(0), license_scan.known(spark)).count() == 0
 
 
+def test_license_forms_of_adjacent_spellings_and_very_long_texts(spark):
+    texts = ["Licence licence LICENCE per cent per cent sub licence", "license license license percent percent sublicense", "x licence " * 40_000, "x license " * 40_000, "y" * 200_000, "Copyright 2020 a\n" * 20_000]
+    d = docs(spark, texts)
+    got = {r["doc_id"]: r for r in license_scan.scan(d, license_scan.known(spark)).collect()}
+    assert got[0]["digest"] == got[1]["digest"] and got[2]["digest"] == got[3]["digest"] != got[4]["digest"] and got[5]["digest"] is None
+    form = spark.createDataFrame([(texts[0],)], "t string").select(license_scan.canonical(F.col("t"))).first()[0]
+    assert form == " license  license  license  percent  percent  sublicense "
+
+
 def test_license_lines_found_in_documents_and_long_texts(spark):
     known = dict(license_scan.TEXTS)
     names = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")
