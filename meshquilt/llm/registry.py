@@ -20,6 +20,7 @@ QUERIES = {
 ORACLES = {
     "op3_quality_rules": quality_rules.SQL,
     "quality_rules_ablation": quality_rules.ABLATION_SQL,
+    "op5_mixing_sources": mixing.SQL,
     "op7_url_filters": url_filters.SQL,
     "op8_topk_search": topk_search.SQL,
     "op10_license_scans": license_scan.SQL,

@@ -362,6 +362,22 @@ def test_mix_targets_and_takes(spark):
     assert sorted(map(key, got)) == sorted(map(key, again))
 
 
+def test_mix_with_many_buckets_and_a_hot_source(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKETS", 4)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 16)
+    rng = random.Random(20)
+    rows = [(i if i % 9 else None, " ".join("w" for _ in range(rng.randrange(1, 40))), "en", "hot" if i % 3 else f"s{i % 4}", 0) for i in range(900)]
+    sizes = mixing.sized(spark.createDataFrame(rows, DOCS))
+    goal = mixing.targets(sizes)
+    assert mixing._plan(sizes, goal, 1)[1] == 64
+    want = {r["source"]: r["target"] for r in goal.collect()}
+    took = Counter()
+    for r in mixing.taken(sizes, goal).collect():
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        took[r["source"]] += r["taken"]
+    assert all(abs(took[s] - t) <= 1 for s, t in want.items())
+
+
 def test_mix_repeats_whole_rows(spark):
     d = docs(spark, ["a b c"] * 30 + [None, ""], extra=True).withColumn("z", F.lit(1))
     out = mixing.mix(d)
