@@ -33,30 +33,34 @@ EXTRA = 4
 WIDTH = 2 * DIMS + EXTRA
 
 
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """By byte: bits for a soft mark (1), a lower-case letter (2) and a digit (4); and capitals plus 2^32 marks."""
+    c = np.arange(256)
+    upper, lower, digit = (c >= 65) & (c <= 90), (c >= 97) & (c <= 122) | (c >= 0x80), (c >= 48) & (c <= 57)
+    soft = (c == 46) | (c == 44)
+    mark = ~(upper | lower | digit | soft) & (c > 32)
+    return (soft + 2 * lower + 4 * digit).astype(np.uint8), upper.astype(np.int64) + (mark.astype(np.int64) << 32)
+
+
 def tokens(data: np.ndarray, offs: np.ndarray):
     """(row, word hash, shape) of every word."""
     start, end, row = textkit.words(data, offs)
     h = textkit.Spans(data).hash(start, end)
     shape = np.zeros(len(start), np.int64)
     if len(start):
-        upper, lower = (data >= 65) & (data <= 90), (data >= 97) & (data <= 122) | (data >= 0x80)
-        digit = (data >= 48) & (data <= 57)
-        mark = ~(upper | lower | digit) & (data > 32)
-        soft = (data == 46) | (data == 44)
-
-        def count(of):
-            c = np.concatenate(([0], np.cumsum(of)))
-            return c[end] - c[start]
-
+        kinds, counts = _classes()
+        # a word's sums run up to the next word: the spaces between them, which start no slice, count as nothing
+        has = np.bitwise_or.reduceat(kinds[data], start)
+        many = np.add.reduceat(counts[data], start)
         n = end - start
         shape = (
             (np.minimum(n, 24) // 4)  # 0..6
-            + 8 * np.minimum(count(mark & ~soft), 3)
-            + 32 * (count(soft) > 0)
-            + 64 * np.minimum(count(upper), 2)  # 0, 1, more
-            + 192 * (count(lower) > 0)
+            + 8 * np.minimum(many >> 32, 3)  # marks
+            + 32 * (has & 1 > 0)
+            + 64 * np.minimum(many & 0xFFFFFFFF, 2)  # capitals: 0, 1, more
+            + 192 * (has & 2 > 0)
         )
-        shape = np.where(count(digit) > 0, 384 + np.minimum(n, 24) // 4, shape)
+        shape = np.where(has & 4 > 0, 384 + np.minimum(n, 24) // 4, shape)
     return row, h, shape.astype(np.int64)
 
 
@@ -106,6 +110,13 @@ def _index(h: np.ndarray, table: np.ndarray, slot: np.ndarray) -> None:
         table += np.bincount(slot * DIMS + dim, weights=sign, minlength=len(table))
 
 
+def _index_vectors(h: np.ndarray) -> np.ndarray:
+    """The index vectors of the hashes, one a row."""
+    out = np.zeros(len(h) * DIMS)
+    _index(h, out, np.arange(len(h)))
+    return out.reshape(-1, DIMS)
+
+
 class Vectors:
     """Context vectors: ``own`` (sorted hashes), and rows for SHAPES shapes, SLOTS shared words and each own word."""
 
@@ -121,29 +132,31 @@ def contexts(docs: DataFrame) -> Vectors:
     size, step = SHAPES + SLOTS + len(own), 1 << 9
 
     def rows(batches):
-        table = np.zeros(size * DIMS)
-        part, of_shapes, of_words = TaskContext.get().partitionId(), table[: SHAPES * DIMS], table[SHAPES * DIMS :]
+        table, pairs = np.zeros(size * DIMS), np.zeros(SHAPES * SHAPES, np.int64)
+        part, of_words = TaskContext.get().partitionId(), table[SHAPES * DIMS :]
         held, waiting = [], 0
 
         def settle():
-            slot, shape, near_word, near_shape = (np.concatenate(c) for c in zip(*held, strict=True))
+            slot, near_word = (np.concatenate(c) for c in zip(*held, strict=True))
             _index(near_word, of_words, slot)
-            _index(near_shape, of_shapes, shape)
 
         for b in batches:
             for _, data, offs in textkit.slices(b.column(0)):
                 row, h, shape = tokens(data, offs)
-                slot, mixed = _slots(own, h), textkit.mix(shape.astype(np.uint64) + np.uint64(977))
+                slot = _slots(own, h)
                 for reach in range(1, REACH + 1):
                     near = np.flatnonzero(row[reach:] == row[:-reach]) if len(h) > reach else np.empty(0, np.int64)
+                    pairs += np.bincount(shape[near] * SHAPES + shape[near + reach], minlength=len(pairs))
                     for mine, other in ((near, near + reach), (near + reach, near)):
-                        held.append((slot[mine], shape[mine], h[other], mixed[other]))
+                        held.append((slot[mine], h[other]))
                         waiting += len(near)
                 if waiting > FLUSH:
                     settle()
                     held, waiting = [], 0
         if held:
             settle()
+        both = pairs.reshape(SHAPES, SHAPES)
+        table[: SHAPES * DIMS] = ((both + both.T) @ _index_vectors(textkit.mix(np.arange(SHAPES, dtype=np.uint64) + np.uint64(977)))).ravel()
         whole = table.astype(np.int64).reshape(-1, DIMS)
         for i in range(0, size, step):
             some = np.flatnonzero(whole[i : i + step].any(axis=1))
