@@ -5,7 +5,6 @@ from __future__ import annotations
 import random
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -218,10 +217,13 @@ def ranked_selection(scored: DataFrame, pairs: DataFrame, k: int, exclude: DataF
     """Greedy top k by (-score, id): a candidate is skipped if it is near a selected one; null scores come last. The rank
     order is walked in batches of the best rows left: each row of a batch is selected or near a selected one, so what is
     left for the next are the rows that are neither. Every batch selects its first row, so there are k at most, and only a
-    batch and its pairs reach the driver. ``pairs`` is asked for the pairs of a batch, again for each. Ids are unique."""
-    base = (scored if exclude is None else scored.join(exclude, "id", "left_anti")).select("id", F.col("score").cast("double").alias("score"))
+    batch and its pairs reach the driver. ``pairs`` is asked for the pairs of a batch, again for each. Rows of one ``hash``, where
+    there is such a column, are near each other whatever ``pairs`` holds of them. Ids are unique."""
+    mark = F.col("hash") if "hash" in scored.columns else F.lit(None).cast("string")
+    base = (scored if exclude is None else scored.join(exclude, "id", "left_anti")).select("id", F.col("score").cast("double").alias("score"), mark.alias("hash"))
     close = pairs.select(F.col("a_id").alias("id"), F.col("b_id").alias("o")).unionByName(pairs.select(F.col("b_id").alias("id"), F.col("a_id").alias("o")))
     chosen: list = []
+    hashes: set = set()
     left = base
     while len(chosen) < k:
         batch = left.orderBy(F.desc_nulls_last("score"), "id").limit(4 * k).collect()
@@ -230,14 +232,16 @@ def ranked_selection(scored: DataFrame, pairs: DataFrame, k: int, exclude: DataF
         for i, o in close.filter(F.col("id").isin(ids) & F.col("o").isin(ids)).collect():
             near.setdefault(i, set()).add(o)
         taken: set = set()
-        for i, s in batch:
-            if len(chosen) < k and not taken.intersection(near.get(i, ())):
+        for i, s, h in batch:
+            if len(chosen) < k and h not in hashes and not taken.intersection(near.get(i, ())):
                 taken.add(i)
+                hashes.update(() if h is None else (h,))
                 chosen.append((i, s, len(chosen) + 1))
         if len(batch) < 4 * k:
             break
         done = [i for i, *_ in chosen]
-        left = base.filter(~F.col("id").isin(done)).join(close.filter(F.col("id").isin(done)).select(F.col("o").alias("id")), "id", "left_anti")
+        fresh = ~F.col("id").isin(done) & (F.col("hash").isNull() | ~F.col("hash").isin([*hashes]))
+        left = base.filter(fresh).join(close.filter(F.col("id").isin(done)).select(F.col("o").alias("id")), "id", "left_anti")
     kind = base.schema["id"].dataType.simpleString()
     return scored.sparkSession.createDataFrame(chosen, f"id {kind}, score double, rank int")
 
@@ -252,32 +256,27 @@ def shortages(rows: DataFrame, quotas: DataFrame, key: str) -> DataFrame:
 
 
 def stratified_sample(candidates: DataFrame, quotas: dict[str, int], seed: int) -> DataFrame:
-    """Exact numbers per stratum in two passes: first files of things not used yet (in any stratum), then any. The used
-    things carry over between strata, so the compact id table is one group kernel. A shortage raises in the kernel."""
-    packed = candidates.select("file_id", "thing_id", "stratum", seeded_order(seed, "file_id").alias("h")).withColumn("g", F.lit(0))
-    order = list(quotas.items())
-
-    def pick(table: pa.Table) -> pa.Table:
-        by: dict = {}
-        for row in sorted(zip(*(table[c].to_pylist() for c in ("stratum", "h", "file_id", "thing_id")), strict=True)):
-            by.setdefault(row[0], []).append(row[2:])
-        used: set = set()
-        out = []
-        for name, quota in order:
-            rows, chosen = by.get(name, []), []
-            for f, t in rows:
-                if len(chosen) < quota and not (t is not None and t > 0 and t in used):
-                    chosen.append(f)
-                    if t is not None and t > 0:
-                        used.add(t)
-            have = set(chosen)
-            chosen += [f for f, _ in rows if f not in have][: quota - len(chosen)]
-            if len(chosen) != quota:
-                raise ValueError(f"stratum {name}: {len(chosen)} of {quota}")
-            out += [(f, name) for f in chosen]
-        return pa.table({"file_id": pa.array([f for f, _ in out], pa.int64()), "stratum": [s for _, s in out]})
-
-    return packed.groupBy("g").applyInArrow(pick, "file_id bigint, stratum string")
+    """Exact numbers per stratum in two passes: first files of things not used yet (in any stratum), then any, both in
+    seeded order. The used things carry over between strata, so these are taken one after another; each takes its first
+    rows of a distributed order, and no more than the quotas' sum reaches the driver. A shortage raises. Ids are unique."""
+    rows = candidates.select("file_id", "thing_id", "stratum", seeded_order(seed, "file_id").alias("h"))
+    out: list = []
+    used: list = []
+    for name, quota in quotas.items():
+        here = rows.filter(F.col("stratum") == name)
+        own = F.coalesce(F.col("thing_id") > 0, F.lit(False))
+        new = here.filter(own & ~F.col("thing_id").isin(used)).groupBy("thing_id").agg(F.min(F.struct("h", "file_id")).alias("r"))
+        spread = new.select("r.h", "r.file_id", "thing_id").unionByName(here.filter(~own).select("h", "file_id", "thing_id"))
+        first = spread.orderBy("h", "file_id").limit(quota).collect()
+        chosen = [r["file_id"] for r in first]
+        used += [r["thing_id"] for r in first if (r["thing_id"] or 0) > 0]
+        if len(chosen) < quota:
+            rest = here.filter(~F.col("file_id").isin(chosen)).orderBy("h", "file_id").limit(quota - len(chosen)).collect()
+            chosen += [r["file_id"] for r in rest]
+        if len(chosen) != quota:
+            raise ValueError(f"stratum {name}: {len(chosen)} of {quota}")
+        out += [(f, name) for f in chosen]
+    return candidates.sparkSession.createDataFrame(out, f"file_id {candidates.schema['file_id'].dataType.simpleString()}, stratum string")
 
 
 def group_split(rows: DataFrame, sizes: dict[str, int], seed: int) -> DataFrame:
@@ -329,17 +328,18 @@ def replacement(failed: DataFrame, candidates: DataFrame, selected: DataFrame) -
     return met.groupBy("failed_id").agg(F.min(F.struct("scan_index", "file_id")).alias("r")).select("failed_id", F.col("r.file_id").alias("file_id"), F.col("r.scan_index").alias("scan_index"))
 
 
-def replace_until_done(selected: DataFrame, candidates: DataFrame, works, limit: int = 20) -> DataFrame:
-    """Replace failed models until all work or no replacement is left. ``works``: DataFrame -> file_ids that work."""
+def replace_until_done(selected: DataFrame, candidates: DataFrame, works) -> DataFrame:
+    """Replace failed models until all work or no replacement is left; what is returned works. ``works``: DataFrame ->
+    file_ids that work. Every round tries candidates that no earlier one tried, so the loop ends."""
     from meshquilt.sources.scratch import scratch, stored
 
     spark = selected.sparkSession
     tried = selected
-    for _ in range(limit):
+    while True:
         good = stored(works(selected).select("file_id").distinct(), scratch(spark))
         failed = selected.join(good, "file_id", "left_anti")
         if not failed.limit(1).count():
-            break
+            return selected
         new = replacement(failed, candidates, tried)
         # one candidate may be the first choice of several: the first failed one takes it
         new = new.groupBy("file_id").agg(F.min("failed_id").alias("failed_id"))
@@ -348,7 +348,6 @@ def replace_until_done(selected: DataFrame, candidates: DataFrame, works, limit:
             return selected.join(good, "file_id", "left_semi")
         selected = stored(selected.join(good, "file_id", "left_semi").unionByName(rows), scratch(spark))
         tried = tried.unionByName(rows)
-    return selected
 
 
 def in_split_order(rows: DataFrame, order=("train", "validation", "test"), id_column: str = "id") -> DataFrame:

@@ -125,9 +125,12 @@ def component_labels(spark, sf):
     return T.components(m.vertices, T.unique_edges(m.faces.filter(cut)))
 
 
-@query("""SELECT 0 AS model_id WHERE false""", mesh=False)
+@query(", d AS (SELECT model_id, fid, i0, CASE WHEN fid % 13 = 0 THEN i0 ELSE i1 END AS i1, CASE WHEN fid % 17 = 0 THEN i0 ELSE i2 END AS i2 FROM face) SELECT model_id, fid FROM d WHERE i0 = i1 OR i1 = i2 OR i2 = i0")
 def repeated_index_faces(spark, sf):
-    return orders_mesh(spark, sf).faces.filter(T.repeated_index()).select(F.col("model_id").cast("int").alias("model_id"))
+    """Some faces are given a corner twice."""
+    f = orders_mesh(spark, sf).faces
+    bad = f.withColumn("i1", F.when(F.col("fid") % 13 == 0, F.col("i0")).otherwise(F.col("i1"))).withColumn("i2", F.when(F.col("fid") % 17 == 0, F.col("i0")).otherwise(F.col("i2")))
+    return bad.filter(T.repeated_index()).select("model_id", "fid")
 
 
 # ---- geometry -------------------------------------------------------------------------------------------------
@@ -469,11 +472,22 @@ def _candidates(spark, sf):
     )
 
 
-@query()
+@query(
+    _CAND.replace("WITH c", "WITH RECURSIVE c") + """, pr AS (SELECT a.id AS i, b.id AS o FROM c a JOIN c b ON a.id <> b.id AND (a.hash = b.hash OR abs(a.wd - b.wd) <= 0.06 AND abs(a.wh - b.wh) <= 0.08
+      AND sqrt((a.d[1] - b.d[1]) * (a.d[1] - b.d[1]) + (a.d[2] - b.d[2]) * (a.d[2] - b.d[2])) < 0.035 AND greatest(a.n, b.n) / CAST(least(a.n, b.n) AS double) < 1.15)),
+    nb AS (SELECT i, list(o) AS near FROM pr GROUP BY i),
+    sc AS (SELECT id, CASE WHEN wd BETWEEN 1.45 AND 4.5 THEN 24.0 - 3.0 * abs(wd - 2.4) ELSE -35.0 END + CASE WHEN wh BETWEEN 1.3 AND 5.5 THEN 14.0 ELSE -20.0 END
+      + CASE WHEN n * 10 BETWEEN 10000 AND 50000 THEN 20.0 WHEN n * 10 BETWEEN 2000 AND 200000 THEN 8.0 ELSE -12.0 END + CASE WHEN id % 100 <= 64 THEN 8.0 ELSE -least(20.0, 0.1 * (id % 100 - 64)) END AS score FROM c),
+    k AS MATERIALIZED (SELECT id, score, coalesce(near, []) AS near, row_number() OVER (ORDER BY score DESC, id) AS r FROM sc LEFT JOIN nb ON i = id),
+    w AS (SELECT CAST(0 AS bigint) AS r, CAST([] AS bigint[]) AS chosen UNION ALL SELECT k.r, CASE WHEN list_has_any(w.chosen, k.near) THEN w.chosen ELSE list_append(w.chosen, k.id) END FROM w JOIN k ON k.r = w.r + 1 WHERE len(w.chosen) < 50),
+    l AS (SELECT chosen FROM w ORDER BY r DESC LIMIT 1), t AS (SELECT unnest(chosen) AS id, generate_subscripts(chosen, 1) AS rank FROM l)
+    SELECT t.id, round(CAST(score AS double), 6) AS score, CAST(t.rank AS integer) AS rank FROM t JOIN k USING (id)""",
+    mesh=False,
+)
 def ranked_distinct_selection(spark, sf):
     c = _candidates(spark, sf)
     score, _ = S.candidate_score(F.col("text"), F.col("wd"), F.col("wh"), F.col("n_faces") * 10, F.col("id") % 100)
-    return S.ranked_selection(c.withColumn("score", score), S.near_duplicates(c), 50)
+    return rounded(S.ranked_selection(c.withColumn("score", score), S.near_duplicates(c), 50))
 
 
 @query(
@@ -490,15 +504,27 @@ def candidate_scores(spark, sf):
     return rounded(p.select(F.col("p_partkey").alias("id"), score.alias("score"), F.array_join(issues, "|").alias("issues")))
 
 
-@query()
+@query(
+    """WITH p AS (SELECT p_partkey AS f, p_partkey % 700 - 30 AS t, CASE WHEN p_size BETWEEN 1 AND 15 THEN 'low' WHEN p_size BETWEEN 15 AND 30 THEN 'middle' WHEN p_size BETWEEN 31 AND 50 THEN 'high' END AS s, md5('1949:' || CAST(p_partkey AS varchar)) AS h FROM part),
+    a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY CASE WHEN t > 0 THEN t ELSE -f END ORDER BY h, f) AS r FROM p WHERE s = 'low') WHERE r = 1 ORDER BY h, f LIMIT 15),
+    b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY CASE WHEN t > 0 THEN t ELSE -f END ORDER BY h, f) AS r FROM p WHERE s = 'middle' AND NOT (t > 0 AND t IN (SELECT t FROM a))) WHERE r = 1 ORDER BY h, f LIMIT 20),
+    c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY CASE WHEN t > 0 THEN t ELSE -f END ORDER BY h, f) AS r FROM p WHERE s = 'high' AND NOT (t > 0 AND (t IN (SELECT t FROM a) OR t IN (SELECT t FROM b)))) WHERE r = 1 ORDER BY h, f LIMIT 15)
+    SELECT f AS file_id, s AS stratum FROM a UNION ALL SELECT f, s FROM b UNION ALL SELECT f, s FROM c""",
+    mesh=False,
+)
 def stratified_sample(spark, sf):
+    """No stratum here needs the second pass."""
     p = table(spark, sf, "part")
     by_size = S.stratum(F.col("p_size"), (("low", 1, 15), ("middle", 15, 30), ("high", 31, 50)))
     rows = _parts(spark, sf).drop("stratum").join(p.select(F.col("p_partkey").alias("file_id"), by_size.alias("stratum")), "file_id")
     return S.stratified_sample(rows, {"low": 15, "middle": 20, "high": 15}, 1949)
 
 
-@query()
+@query(
+    """WITH h AS (SELECT CAST(s_suppkey AS varchar) AS object_id, CAST(v AS integer) AS variant, sha256(CAST(s_suppkey AS varchar) || ':1949:' || CAST(v AS varchar)) AS h FROM supplier, range(5) t(v))
+    SELECT object_id, variant, CAST(CAST('0x' || substr(h, 15, 2) || substr(h, 13, 2) || substr(h, 11, 2) || substr(h, 9, 2) || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2) AS ubigint) % 9223372036854775807 AS bigint) AS seed FROM h""",
+    mesh=False,
+)
 def variant_seeds(spark, sf):
     c = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("object_id"), F.explode(F.sequence(F.lit(0), F.lit(4))).alias("variant"))
     return c.withColumn("seed", S.variant_seed(F.col("object_id"), 1949, F.col("variant")))

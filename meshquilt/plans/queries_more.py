@@ -234,9 +234,17 @@ def laplacian_validation(spark, sf):
     return VA.summary(VA.laplacian_rules(m.vertices, m.faces, lap), m.vertices.select("model_id"))
 
 
-@query("""SELECT CAST(0 AS bigint) AS model_id, '' AS rule WHERE false""", mesh=False)
+@query(""", c AS (SELECT model_id, (min(x) + max(x)) / 2 AS cx, (min(y) + max(y)) / 2 AS cy, (min(z) + max(z)) / 2 AS cz FROM vert GROUP BY 1),
+    s AS (SELECT v.model_id, max(sqrt((x - cx) * (x - cx) + (y - cy) * (y - cy) + (z - cz) * (z - cz))) AS s FROM vert v JOIN c ON c.model_id = v.model_id GROUP BY 1),
+    k AS (SELECT c.*, s, CASE WHEN c.model_id % 6 = 1 THEN CAST(1.01 AS double) ELSE 1 END AS k, CASE WHEN c.model_id % 6 = 2 THEN CAST(0.01 AS double) ELSE 0 END AS up FROM c JOIN s ON c.model_id = s.model_id),
+    p AS (SELECT v.model_id, k * (x - cx) / s AS x, k * (y - cy) / s AS y, k * (z - cz) / s + up AS z FROM vert v JOIN k ON k.model_id = v.model_id),
+    f AS (SELECT model_id, max(sqrt(x * x + y * y + z * z)) AS r, greatest(abs(max(x) + min(x)), abs(max(y) + min(y)), abs(max(z) + min(z))) / 2 AS off FROM p GROUP BY 1)
+    SELECT model_id, 'unit_sphere_radius_mismatch' AS rule FROM f WHERE r > 1 + 1e-6 OR r < 1 - 1e-5 UNION ALL SELECT model_id, 'bounding_box_not_centred' FROM f WHERE off > 1e-6""")
 def unit_sphere_validation(spark, sf):
-    return VA.unit_sphere_rules(G.normalize(orders_mesh(spark, sf).vertices)[0]).select("model_id", "rule")
+    """Some models are blown up by a hundredth, others lifted by one."""
+    v, m = G.normalize(orders_mesh(spark, sf).vertices)[0], F.col("model_id") % 6
+    blown = v.select("model_id", "vid", *((F.col(k) * F.when(m == 1, 1.01).otherwise(1.0)).alias(k) for k in "xyz"))
+    return VA.unit_sphere_rules(blown.withColumn("z", F.col("z") + F.when(m == 2, 0.01).otherwise(0.0))).select("model_id", "rule")
 
 
 @query()
@@ -264,12 +272,14 @@ def cache_contract_issues(spark, sf):
     return VA.contract_issues(rows, {"o_orderstatus": "F", "o_orderpriority": "1-URGENT"})
 
 
-@query("""SELECT o_orderkey AS model_id, md5(CAST(o_totalprice AS varchar)) IS NOT NULL AS due FROM orders WHERE o_orderkey % 4 <> 0""", mesh=False)
+@query("""SELECT o_orderkey AS model_id, o_orderkey % 4 = 0 AS registered FROM orders WHERE o_orderkey % 4 <> 0 OR o_orderkey % 8 = 0 OR o_orderkey % 3 = 0 OR o_orderkey % 5 = 0""", mesh=False)
 def registry_todo(spark, sf):
-    """A quarter of the models is done; the rest is due."""
+    """A quarter of the models is registered: half of these with other parameters, a third as failed, a fifth for another
+    input. All but what is done are due."""
     own = table(spark, sf, "orders").select(F.col("o_orderkey").alias("model_id"), F.sha2(F.col("o_totalprice").cast("string"), 256).alias("input_hash"))
-    done = R.entries(own.filter("model_id % 4 = 0").withColumn("error", F.lit(None).cast("string")), "clean", {"tolerance": 1e-9})
-    return R.todo(own, done, "clean", {"tolerance": 1e-9}).select("model_id", F.lit(True).alias("due"))
+    ran = own.filter("model_id % 4 = 0").withColumn("error", F.when(F.col("model_id") % 3 == 0, "no faces")).withColumn("input_hash", F.when(F.col("model_id") % 5 == 0, "older").otherwise(F.col("input_hash")))
+    done = R.entries(ran.filter("model_id % 8 = 4"), "clean", {"tolerance": 1e-9}).unionByName(R.entries(ran.filter("model_id % 8 = 0"), "clean", {"tolerance": 1e-6}))
+    return R.todo(own, done, "clean", {"tolerance": 1e-9}).select("model_id", (F.col("model_id") % 4 == 0).alias("registered"))
 
 
 # ---- records and photogrammetry -------------------------------------------------------------------------------
@@ -329,7 +339,11 @@ def aliased_fields(spark, sf):
     return c.select(F.col("c_custkey").alias("id"), (entry_int(["a"]) == -1).alias("number_missing"), first_of("b", "c").alias("name"))
 
 
-@query("""SELECT p_partkey AS id, CASE WHEN p_brand LIKE '%1' THEN 'sofa' = lower(p_brand) ELSE (contains(lower(p_name), 'sofa') OR contains(lower(p_name), 'couch') OR contains(lower(p_name), 'settee')) AND NOT contains(lower(p_name), 'sofastool') END AS is_sofa FROM part""", mesh=False)
+@query("""WITH p AS (SELECT p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN ' Sofa ' WHEN 1 THEN p_brand WHEN 2 THEN ' ' END AS super, lower(p_name || CASE p_partkey % 4 WHEN 0 THEN ' Couch' WHEN 1 THEN ' SofaStool' WHEN 2 THEN ' settee' ELSE '' END) AS t FROM part)
+    SELECT id, CASE WHEN trim(super) <> '' THEN lower(trim(super)) = 'sofa' ELSE (contains(t, 'sofa') OR contains(t, 'couch') OR contains(t, 'settee')) AND NOT contains(t, 'sofastool') END AS is_sofa FROM p""", mesh=False)
 def sofa_predicate(spark, sf):
-    p = table(spark, sf, "part")
-    return p.select(F.col("p_partkey").alias("id"), S.is_sofa(F.when(F.endswith("p_brand", F.lit("1")), F.col("p_brand")), F.col("p_name")).alias("is_sofa"))
+    """Super categories and keywords are put into some rows, as the table has none."""
+    k = F.col("p_partkey")
+    above = F.when(k % 5 == 0, " Sofa ").when(k % 5 == 1, F.col("p_brand")).when(k % 5 == 2, " ")
+    text = F.concat("p_name", F.when(k % 4 == 0, " Couch").when(k % 4 == 1, " SofaStool").when(k % 4 == 2, " settee").otherwise(""))
+    return table(spark, sf, "part").select(k.alias("id"), S.is_sofa(above, text).alias("is_sofa"))

@@ -74,6 +74,21 @@ def test_ranked_selection_skips_near_duplicates(spark):
     assert [r["id"] for r in got] == [0, 2, 4]
 
 
+def test_ranked_selection_takes_one_of_a_hash_whose_head_ranks_last(spark):
+    rows = [(i, "same" if i < 3 else f"h{i}", float(i), 10.0 * i, [10.0 * i], 1000) for i in range(5)]
+    c = spark.createDataFrame(rows, "id long, hash string, wd double, wh double, descriptor array<double>, n_faces long")
+    got = S.ranked_selection(c.withColumn("score", F.col("id") * 1.0), S.near_duplicates(c), 4).orderBy("rank").collect()
+    assert [r["id"] for r in got] == [4, 3, 2]
+
+
+def test_stratified_sample_fills_up_with_used_things(spark):
+    c = spark.createDataFrame([(i, 1, "a") for i in range(6)] + [(9, None, "b")], "file_id long, thing_id long, stratum string")
+    got = S.stratified_sample(c, {"a": 3, "b": 1}, 5).collect()
+    assert len({r["file_id"] for r in got}) == 4
+    with pytest.raises(ValueError, match="stratum b"):
+        S.stratified_sample(c, {"b": 2}, 5)
+
+
 def test_ranked_selection_walks_past_full_batches(spark):
     c = spark.createDataFrame([(i, float(-i)) for i in range(100)], "id long, score double")
     pairs = spark.createDataFrame([(0, i) for i in range(1, 40)] + [(40, i) for i in range(41, 80)], "a_id long, b_id long")
