@@ -11,9 +11,11 @@ _LOCAL: dict = {}
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir (a local one only where that is unset)."""
+    """A new folder under spark.checkpoint.dir (a local one only where that is unset and Spark runs on one machine)."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         base = _LOCAL.setdefault("folder", "file://" + tempfile.mkdtemp(prefix="meshquilt-"))
     return f"{base.rstrip('/')}/meshquilt-{uuid.uuid4().hex}"
 
