@@ -257,13 +257,14 @@ def mesh_checksum(vertices: DataFrame, faces: DataFrame) -> DataFrame:
     return v.join(f, "model_id", "left").select("model_id", F.sha2(F.concat(vt, F.lit("|"), ft), 256).alias("checksum"))
 
 
-def smooth(field: DataFrame, edges: DataFrame, steps: int, weight: float) -> DataFrame:
-    """``steps`` rounds of (1 - weight) x + weight * mean of the neighbours, on column ``value``; isolated keep theirs."""
+def smooth(field: DataFrame, edges: DataFrame, steps: int, weight: float, columns: tuple[str, ...] = ("value",)) -> DataFrame:
+    """``steps`` rounds of (1 - weight) x + weight * mean of the neighbours, on each of ``columns``; isolated keep theirs."""
     spark = field.sparkSession
     near = stored(T.neighbours(edges), scratch(spark))
     for _ in range(steps):
-        mean = near.join(field.withColumnRenamed("vid", "nb"), ["model_id", "nb"]).groupBy("model_id", "vid").agg(F.avg("value").alias("m"))
-        field = stored(field.join(mean, ["model_id", "vid"], "left").select("model_id", "vid", ((1 - weight) * F.col("value") + weight * F.coalesce("m", "value")).alias("value")), scratch(spark))
+        mean = near.join(field.withColumnRenamed("vid", "nb"), ["model_id", "nb"]).groupBy("model_id", "vid").agg(*(F.avg(c).alias(f"m_{c}") for c in columns))
+        moved = [((1 - weight) * F.col(c) + weight * F.coalesce(f"m_{c}", c)).alias(c) for c in columns]
+        field = stored(field.join(mean, ["model_id", "vid"], "left").select("model_id", "vid", *moved), scratch(spark))
     return field
 
 
@@ -273,6 +274,44 @@ def hash_normal(*keys) -> F.Column:
     return F.sqrt(-2 * F.log(u(1))) * F.cos(2 * 3.141592653589793 * u(2))
 
 
+# Neighbour weights, extra smoothing steps and shares of the local and the broad field, and how luminance
+# and the three chroma fields make red, green and blue.
+TEXTURE_LUMA = ((0.58, 0, 0.76), (0.62, 4, 0.24))
+TEXTURE_CHROMA = ((0.56, 1, 0.72), (0.62, 5, 0.28))
+TEXTURE_MIX = ((0.20, -0.06, 0.0), (0.0, 0.17, 0.05), (-0.05, 0.0, 0.18))
+TEXTURE_BASE, TEXTURE_LIMITS, TEXTURE_SPAN = (0.12, 0.76), (0.06, 0.94), (0.01, 0.99)
+
+
+def vertex_texture(vertices: DataFrame, faces: DataFrame, seed: int, steps: int) -> tuple[DataFrame, DataFrame]:
+    """A smooth random colour for every vertex: (model_id, vid, r, g, b as 0 to 255; a row of statistics for each model).
+    Noise comes from a hash of seed, model and vertex, so it does not depend on layout; a model without edges has null
+    differences, one vertex alone is dark grey. Negative ``steps`` are an error."""
+    if steps < 0:
+        raise ValueError("steps must not be negative")
+    spark = vertices.sparkSession
+    edges = stored(T.unique_edges(faces), scratch(spark))
+    ids = vertices.select("model_id", "vid")
+    names = {"l": TEXTURE_LUMA, "c0": TEXTURE_CHROMA, "c1": TEXTURE_CHROMA, "c2": TEXTURE_CHROMA}
+    met = ids
+    for group in (("l",), ("c0", "c1", "c2")):
+        for k, (weight, more, _) in enumerate(names[group[0]]):
+            cols = tuple(f"{c}_{k}" for c in group)
+            noise = ids.select("model_id", "vid", *(hash_normal(F.lit(seed), F.lit(c), F.col("model_id"), F.col("vid")).alias(c) for c in cols))
+            met = met.join(smooth(noise, edges, steps + more, weight, cols), ["model_id", "vid"])
+    both = met.select("model_id", "vid", *(sum(share * F.col(f"{c}_{k}") for k, (_, _, share) in enumerate(parts)).alias(c) for c, parts in names.items()))
+    both = stored(both, scratch(spark))
+    span = both.groupBy("model_id").agg(*(F.percentile(c, p).alias(f"{c}_{e}") for c in names for e, p in zip(("low", "high"), TEXTURE_SPAN, strict=True)))
+    unit = both.join(span, "model_id").select("model_id", "vid", *(V.unit_interval(F.col(c), F.col(f"{c}_low"), F.col(f"{c}_high")).alias(c) for c in names))
+    base, low, high = TEXTURE_BASE[0] + TEXTURE_BASE[1] * F.col("l"), *map(F.lit, TEXTURE_LIMITS)
+    mixed = [F.greatest(low, F.least(high, base + sum(w * (F.col(f"c{i}") - 0.5) for i, w in enumerate(row)))) for row in TEXTURE_MIX]
+    rgb = stored(unit.select("model_id", "vid", "l", *(m.alias(k) for m, k in zip(mixed, "rgb", strict=True))), scratch(spark))
+    ends = [rgb.select("model_id", F.col("vid").alias(e), *(F.col(k).alias(f"{k}_{e}") for k in "rgb")) for e in ("u", "w")]
+    gap = edges.join(ends[0], ["model_id", "u"]).join(ends[1], ["model_id", "w"]).select("model_id", F.explode(F.array(*(F.abs(F.col(f"{k}_u") - F.col(f"{k}_w")) for k in "rgb"))).alias("d"))
+    steep = gap.groupBy("model_id").agg((F.count("*") / 3).cast("bigint").alias("n_edges"), F.avg("d").alias("neighbour_difference_mean"), F.percentile("d", 0.95).alias("neighbour_difference_p95"))
+    stats = rgb.groupBy("model_id").agg(F.count("*").alias("n_vertices"), F.stddev_pop("l").alias("luminance_std"), *(F.stddev_pop(k).alias(f"{k}_std") for k in "rgb"))
+    return rgb.select("model_id", "vid", *(F.bround(F.col(k) * 255).cast("int").alias(k) for k in "rgb")), stats.join(steep, "model_id", "left")
+
+
 def perturb(vertices: DataFrame, faces: DataFrame, seed: int, std_h: float = 0.1, smooth_steps: int = 2, weight: float = 0.5, rounds: int = 32) -> DataFrame:
     """Vertices moved along their normals by smoothed noise of ``std_h`` times the local edge length. Offsets of vertices on
     faces that flip or collapse are halved for half the rounds, then zeroed: model_id, vid, x, y, z, offset."""

@@ -70,8 +70,9 @@ def winding_conflicts(faces: DataFrame) -> DataFrame:
     return half_edges(faces).groupBy("model_id", "a", "b").agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def mesh_metrics(vertices: DataFrame, faces: DataFrame) -> DataFrame:
-    """Counts, watertightness (every undirected edge in two faces), Euler number and bounding box of each model."""
+def mesh_metrics(vertices: DataFrame, faces: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """Counts, watertightness (every undirected edge in two faces), Euler number and bounding box of each model; with the
+    ``labels`` of ``components`` also n_components."""
     box = [f(c).alias(f"{n}_{c}") for c in "xyz" for n, f in (("min", F.min), ("max", F.max))]
     v = vertices.groupBy("model_id").agg(F.count("*").alias("n_vertices"), *box)
     uses = half_edges(faces).groupBy("model_id", F.least("a", "b").alias("u"), F.greatest("a", "b").alias("w")).agg(F.count("*").alias("uses"))
@@ -79,10 +80,13 @@ def mesh_metrics(vertices: DataFrame, faces: DataFrame) -> DataFrame:
     f = faces.groupBy("model_id").agg(F.count("*").alias("n_faces"))
     out = v.join(f, "model_id", "left").join(e, "model_id", "left")
     zero = F.lit(0).cast("bigint")
+    if labels is not None:
+        out = out.join(labels.groupBy("model_id").agg((F.max("component") + 1).alias("n_components")), "model_id", "left")
     return out.select(
         "model_id", "n_vertices", F.coalesce("n_faces", zero).alias("n_faces"), F.coalesce("n_edges", zero).alias("n_edges"), F.coalesce("n_boundary", zero).alias("n_boundary"),
         F.coalesce("watertight", F.lit(False)).alias("watertight"),
         (F.col("n_vertices") - F.coalesce("n_edges", zero) + F.coalesce("n_faces", zero)).alias("euler"), *[f"{n}_{c}" for c in "xyz" for n in ("min", "max")],
+        *([F.coalesce("n_components", zero).alias("n_components")] if labels is not None else []),
     )
 
 

@@ -265,3 +265,18 @@ def test_zbuffer_cube():
     assert depth[32, 32] == pytest.approx(3) and np.isinf(depth[0, 0]) and ids[0, 0] == -1
     assert (np.isfinite(depth) == (ids >= 0)).all()
     assert raster.resize_nearest(depth, 32, 32).shape == (32, 32)
+
+
+def test_vertex_texture_is_smooth_and_metrics_count_components(spark, sf):
+    m = orders_mesh(spark, sf, 2)
+    rgb, stats = G.vertex_texture(m.vertices, m.faces, 3, 1)
+    rows, again = sorted(rgb.collect()), sorted(G.vertex_texture(m.vertices.repartition(3), m.faces, 3, 1)[0].collect())
+    assert rows == again and len(rows) == m.vertices.count()
+    assert all(15 <= c <= 240 for r in rows for c in r[2:]) and len({r[2:] for r in rows}) > len(rows) // 2
+    for s in stats.collect():
+        assert s["r_std"] > 0.05 and 0 < s["neighbour_difference_mean"] < s["neighbour_difference_p95"]
+    with pytest.raises(ValueError):
+        G.vertex_texture(m.vertices, m.faces, 3, -1)
+    labels = T.components(m.vertices, T.unique_edges(m.faces))
+    want = {r[0]: r[1] for r in labels.groupBy("model_id").agg(F.count_distinct("component")).collect()}
+    assert {r["model_id"]: r["n_components"] for r in T.mesh_metrics(m.vertices, m.faces, labels).collect()} == want
