@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, topk_search, toxicity, url_filters
+from . import centroid_clustering, exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, topk_search, toxicity, url_filters
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_topk_search": topk_search.op8_topk_search,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_license_scans": license_scan.op10_license_scans,
+    "op11_exact_dedup": exact_dedup.op11_exact_dedup,
+    "op12_centroid_clustering": centroid_clustering.op12_centroid_clustering,
 }
 ORACLES = {
     "op3_quality_rules": quality_rules.SQL,
@@ -24,4 +26,6 @@ ORACLES = {
     "op7_url_filters": url_filters.SQL,
     "op8_topk_search": topk_search.SQL,
     "op10_license_scans": license_scan.SQL,
+    "op11_exact_dedup": exact_dedup.SQL,
+    "op12_centroid_clustering": centroid_clustering.SQL,
 }

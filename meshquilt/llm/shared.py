@@ -40,6 +40,18 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+@contextlib.contextmanager
+def batches(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for the jobs that run inside; the session's own setting comes back after them."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder in the cluster's shared checkpoint folder (a local one only where none is set and Spark runs on one machine)."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
