@@ -350,6 +350,13 @@ def replace_until_done(selected: DataFrame, candidates: DataFrame, works) -> Dat
         tried = tried.unionByName(rows)
 
 
+def hash_split(key: Column, seed: int, validation: float, test: float) -> Column:
+    """train, validation or test by a digest of seed and key: the shares are met about, without counting, and a row's split
+    stays the same whatever other rows come. Shares count in ten thousandths."""
+    place = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key)), 1, 8), 16, 10).cast("long") % 10_000
+    return F.when(place < round(validation * 10_000), "validation").when(place < round((validation + test) * 10_000), "test").otherwise("train")
+
+
 def in_split_order(rows: DataFrame, order=("train", "validation", "test"), id_column: str = "id") -> DataFrame:
     return rows.orderBy(F.array_position(F.array(*map(F.lit, order)), F.col("split")), id_column)
 
