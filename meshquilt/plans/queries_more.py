@@ -15,6 +15,7 @@ from meshquilt.operators import validate as VA
 from meshquilt.operators import views as VW
 from meshquilt.plans import registry as R
 from meshquilt.plans.queries import query, rounded, table
+from meshquilt.sources import meshfiles as MF
 from meshquilt.sources.corpus import entry_int, first_of, orders_mesh
 from meshquilt.sources.scratch import scratch, stored
 
@@ -333,6 +334,18 @@ def reconstruction_rollup(spark, sf):
     return rounded(P.reconstruction_rollup(li).select("max_displacement", "n_fallback", "n").join(q, F.lit(True)), 4)
 
 
+@query(""", f AS (SELECT model_id, row_number() OVER (PARTITION BY model_id ORDER BY fid) - 1 AS id, i0, i1, i2 FROM face) SELECT model_id, 'vertex' AS kind, vid AS id, round(x, 6) AS a, round(y, 6) AS b, round(z, 6) AS c FROM vert
+    UNION ALL SELECT model_id, 'face', id, CAST(i0 AS double), CAST(i1 AS double), CAST(i2 AS double) FROM f""")
+def mesh_files(spark, sf):
+    """The corpus written as one NPZ file a model and read back by the data source."""
+    path = scratch(spark)
+    MF.save(orders_mesh(spark, sf), path)
+    mesh, models = MF.corpus(spark, path)
+    v = MF.keyed(mesh.vertices, models).select("model_id", F.lit("vertex").alias("kind"), F.col("vid").alias("id"), *(F.col(k).alias(n) for k, n in zip("xyz", "abc", strict=True)))
+    f = MF.keyed(mesh.faces, models).select("model_id", F.lit("face").alias("kind"), F.col("fid").alias("id"), *(F.col(f"i{k}").cast("double").alias(n) for k, n in enumerate("abc")))
+    return rounded(v.unionByName(f))
+
+
 @query("""SELECT c_custkey AS id, CAST(CASE WHEN c_custkey % 3 = 0 THEN TRY_CAST(replace(c_name, 'Customer#', '') AS bigint) END AS bigint) IS NULL AS number_missing, coalesce(CASE WHEN c_custkey % 2 = 0 THEN nullif(trim(c_name), '') END, c_mktsegment) AS name FROM customer""", mesh=False)
 def aliased_fields(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.replace("c_name", F.lit("Customer#"), F.lit(""))).alias("a"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("b"), F.col("c_mktsegment").alias("c"))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-MODELS, WIDTH = 50, 16
+MODEL_KEYS, WIDTH = 300, 16
 XY, Z = 257.0, 160000000003.0
 
 
@@ -19,9 +19,11 @@ class Mesh:
     faces: DataFrame
 
 
-def orders_mesh(spark: SparkSession, sf_dir: str, models: int = MODELS) -> Mesh:
-    """Height fields: model o_orderkey % models, vertices in key order on a grid of width 16, two triangles a cell."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select((F.col("o_orderkey") % models).alias("model_id"), "o_orderkey", "o_totalprice")
+def orders_mesh(spark: SparkSession, sf_dir: str) -> Mesh:
+    """Height fields: a model is a block of 300 order keys, so there are as many as the table is long; vertices in key order on
+    a grid of width 16, two triangles a cell."""
+    block = F.expr(f"o_orderkey div {MODEL_KEYS}")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(block.alias("model_id"), "o_orderkey", "o_totalprice")
     by = Window.partitionBy("model_id")
     vid = (F.row_number().over(by.orderBy("o_orderkey")) - 1).cast("bigint")
     wide = orders.withColumn("vid", vid).withColumn("n", F.count("*").over(by))
@@ -42,8 +44,8 @@ def orders_mesh(spark: SparkSession, sf_dir: str, models: int = MODELS) -> Mesh:
 
 #: The same corpus in SQL that DuckDB reads; ``{sql}`` follows the common table expressions.
 MESH_SQL = """
-WITH v AS (SELECT o_orderkey % 50 AS model_id, o_totalprice AS h,
-    CAST(row_number() OVER (PARTITION BY o_orderkey % 50 ORDER BY o_orderkey) - 1 AS bigint) AS vid FROM orders),
+WITH v AS (SELECT o_orderkey // 300 AS model_id, o_totalprice AS h,
+    CAST(row_number() OVER (PARTITION BY o_orderkey // 300 ORDER BY o_orderkey) - 1 AS bigint) AS vid FROM orders),
 vert AS (SELECT model_id, vid, CAST(vid % 16 AS double) / sqrt(CAST(257 AS double)) AS x,
     CAST(floor(CAST(vid AS double) / CAST(16 AS double)) AS double) / sqrt(CAST(257 AS double)) AS y,
     h / sqrt(CAST(160000000003 AS double)) AS z FROM v),

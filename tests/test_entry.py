@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 
 
 def test_entry_and_registry(spark, sf):
-    assert entry.entry(spark).count() == 50
+    assert entry.entry(spark).count() == 5
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q) and len(q) > 70
 
