@@ -14,41 +14,6 @@ from meshquilt.operators import topology as T
 COMPONENT_FALLBACK = 0.05
 
 
-def _with_surface(query: DataFrame, vertices: DataFrame, faces: DataFrame) -> DataFrame:
-    """Packed surfaces with the packed query points (q*) of the same model."""
-    q = query.groupBy("model_id").agg(F.sort_array(F.collect_list(F.struct("vid", "x", "y", "z"))).alias("p"))
-    return packed.pack(vertices, faces).join(q.select("model_id", F.col("p.vid").alias("qid"), *(F.col(f"p.{k}").alias(f"q{k}") for k in "xyz")), "model_id")
-
-
-def surface_targets(query: DataFrame, vertices: DataFrame, faces: DataFrame) -> DataFrame:
-    """The nearest surface point of every query vertex, exactly (one model at a time, in NumPy): face, weights, point,
-    distance, displacement, normal, valid."""
-    schema = "model_id bigint, vid bigint, closest_face bigint, w0 double, w1 double, w2 double, tx double, ty double, tz double, surface_distance double, nx double, ny double, nz double, valid boolean"
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    shape = to_arrow_schema(StructType.fromDDL(schema))
-
-    def rows(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                model, _, v, fids, f = packed.arrays(b, i)
-                qid = np.asarray(b.column("qid")[i].values)
-                q = np.stack([np.asarray(b.column(f"q{k}")[i].values) for k in "xyz"], axis=1)
-                if not len(f):
-                    continue
-                face, w, d = closest.surface(q, v, f)
-                tri = v[f[face]]
-                p = (w[:, :, None] * tri).sum(axis=1)
-                n = np.cross(tri[:, 1] - tri[:, 0], tri[:, 2] - tri[:, 0])
-                n /= np.maximum(np.linalg.norm(n, axis=1, keepdims=True), 1e-300)
-                cols = [np.full(len(qid), model), qid, fids[face], *w.T, *p.T, d, *n.T, np.isfinite(d)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, shape.types, strict=True)], schema=shape)
-
-    return _with_surface(query, vertices, faces).mapInArrow(rows, schema)
-
-
 def point_triangle(p, a, b, c):
     """Struct(d2, w0, w1, w2): the nearest point of a triangle as Column expressions: the best of three corners, three
     clamped edges, and the foot where it lies inside."""
@@ -176,15 +141,6 @@ def chamfer_packed(a: DataFrame, b: DataFrame) -> DataFrame:
     return side(a, "a").join(side(b, "b"), "model_id").mapInArrow(rows, "model_id bigint, a_to_b double, b_to_a double, chamfer double")
 
 
-def surface_distances(query: DataFrame, vertices: DataFrame, faces: DataFrame, points: int = 512) -> DataFrame:
-    """Mean, median, p90, p95, p99 and maximum of the distances of at most ``points`` evenly spaced query vertices."""
-    from meshquilt.operators.metrics import evenly_spaced
-
-    hit = surface_targets(evenly_spaced(query, "vid", points), vertices, faces)
-    p = lambda q: F.expr(f"percentile(surface_distance, {q})")
-    return hit.groupBy("model_id").agg(F.count("*").alias("n"), F.avg("surface_distance").alias("mean"), p(0.5).alias("median"), p(0.9).alias("p90"), p(0.95).alias("p95"), p(0.99).alias("p99"), F.max("surface_distance").alias("max"))
-
-
 def simplified(vertices: DataFrame, faces: DataFrame, target: int, least: int = 4) -> DataFrame:
     """Packed results of a whole-mesh collapse: model_id, one row per coarse vertex (kind 0: id, x, y, z), face (1: id, a, b, c)
     and fine vertex (2: id, coarse id). A mesh at or under the target passes through."""

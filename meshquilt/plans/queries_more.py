@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from meshquilt.operators import correspond as C
 from meshquilt.operators import geometry as G
+from meshquilt.operators import nearest as N
 from meshquilt.operators import photogram as P
 from meshquilt.operators import samples as SA
 from meshquilt.operators import selection as S
@@ -80,16 +81,27 @@ def chamfer_distance(spark, sf):
     return rounded(C.chamfer_packed(co, m.vertices))
 
 
-@query()
-def surface_targets(spark, sf):
+#: Every coarse point against every face of its model; every tenth model has no faces, some points are not finite.
+_SURFACE = _COARSE + _DISTANCE.split("uv AS")[0].split(", cand AS")[0] + """, cp AS (SELECT model_id, vid, CASE WHEN vid % 50 = 7 THEN CAST('nan' AS double) ELSE x END AS x, y, z FROM co), cand AS (SELECT c.model_id, c.vid, c.x AS px, c.y AS py, c.z AS pz, t.fid, t.ax, t.ay, t.az, t.bx, t.by_ AS by_, t.bz, t.cx, t.cy, t.cz
+      FROM cp c JOIN tri t ON t.model_id = c.model_id WHERE c.model_id % 10 <> 9 AND NOT isnan(c.x)), uv AS""" + _DISTANCE.split("uv AS")[1].split("SELECT model_id, vid, round(sqrt")[0] + """, hit AS (SELECT model_id, vid, sqrt(greatest(min(d), 0)) AS d FROM dd GROUP BY model_id, vid), al AS (SELECT c.model_id, c.vid, h.d, CASE WHEN h.d IS NULL THEN CASE WHEN isnan(c.x) THEN 'non_finite_query_vertex' ELSE 'model_without_faces' END END AS reason FROM cp c LEFT JOIN hit h USING (model_id, vid))"""
+
+
+def _damaged_surface(spark, sf):
     m, _, co = _coarse(spark, sf)
-    return rounded(C.surface_targets(co, m.vertices, m.faces).select("model_id", "vid", "surface_distance", "valid"))
+    return co.withColumn("x", F.when(F.col("vid") % 50 == 7, float("nan")).otherwise(F.col("x"))), m.vertices, m.faces.filter("model_id % 10 <> 9")
 
 
-@query()
+@query(_SURFACE + "SELECT model_id, vid, round(d, 6) AS surface_distance, round(d, 6) AS displacement, CASE WHEN d IS NOT NULL THEN 1.0 END AS weights, d IS NOT NULL AS valid, reason FROM al")
+def surface_targets(spark, sf):
+    t = N.surface_targets(*_damaged_surface(spark, sf))
+    long = F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy") + F.col("dz") * F.col("dz"))
+    return rounded(t.select("model_id", "vid", "surface_distance", long.alias("displacement"), (F.col("w0") + F.col("w1") + F.col("w2")).alias("weights"), "valid", "reason"))
+
+
+@query(_SURFACE + """SELECT model_id, count(*) AS n, count(*) FILTER (WHERE d IS NULL) AS n_missing, round(avg(d), 6) AS mean, round(quantile_cont(d, 0.5), 6) AS median, round(quantile_cont(d, 0.9), 6) AS p90, round(quantile_cont(d, 0.95), 6) AS p95,
+    round(quantile_cont(d, 0.99), 6) AS p99, round(max(d), 6) AS max FROM al GROUP BY model_id""")
 def surface_distance_stats(spark, sf):
-    m, _, co = _coarse(spark, sf)
-    return rounded(C.surface_distances(co, m.vertices, m.faces, 64))
+    return rounded(N.surface_distances(*_damaged_surface(spark, sf)))
 
 
 @query()
