@@ -12,7 +12,7 @@ less. It ends at the lower bound, or after ``NODES`` steps (one or two seconds,
 The plan (one row per pattern and length) is then dealt out: pieces are numbered within their length, by
 the write task that made them plus a running number there, so no length is ever gathered in one task.
 
-Defined results: a null or empty text is its end id alone; a text of more than ``size`` tokens is cut into
+Defined results: a null or empty text is its end id alone; rows of a null doc_id are packed as any; a text of more than ``size`` tokens is cut into
 pieces of ``size``, the first one shorter; repeated rows are packed each; an empty table gives no rows;
 only doc_id and text are read, so other columns can have any names.
 """
@@ -20,6 +20,7 @@ only doc_id and text are read, so other columns can have any names.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 
 import numpy as np
@@ -32,6 +33,7 @@ from . import shared
 
 SIZE, END = 1024, 2
 NODES, ROUNDS, SEED = 200_000, 64, 5
+BLANKS = 1 << 16
 #: The pre-tokenisation pattern of byte-level BPE vocabularies of this kind (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _ENCODERS: dict = {}
@@ -40,7 +42,8 @@ _ENCODERS: dict = {}
 class Encoder:
     """``ids(text)``: those of the tokenizers library for a JSON file, without its added special tokens.
 
-    The library is asked for texts that hold a token added to the vocabulary (as an end-of-text mark), and for all texts
+    The library is asked for texts that hold a token added to the vocabulary (as an end-of-text mark) or more than ``BLANKS`` blanks
+    in a run (the other's pattern steps back blank by blank and runs out of stack at about a million), and for all texts
     where the file is not a plain byte-level BPE whose merges stand in the order of their ids. Elsewhere merging by id
     gives the same ids in a quarter of the time, which a test holds against the library."""
 
@@ -73,7 +76,7 @@ class Encoder:
         return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
-        if self.fast is None or any(t in text for t in self.added):
+        if self.fast is None or any(t in text for t in self.added) or len(text) > BLANKS and any(len(r) > BLANKS for r in re.findall(r"\s+", text)):
             return self.library.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
