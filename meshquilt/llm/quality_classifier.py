@@ -260,10 +260,13 @@ class Network:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[Vectors, Network]:
-    """Vectors from all of ``docs``; the network from at most FIT_ROWS rows of ``labels`` (doc_id, label)."""
+    """Vectors from all of ``docs``; the network from at most FIT_ROWS rows of ``labels`` (doc_id, label; one that is given again counts
+    once) and of the documents that they mark, however often an id is repeated in either. Labels of no id mark nothing."""
     vectors = contexts(docs)
-    marks = labels.filter("label IN (0, 1)").select("doc_id", F.col("label").cast("double").alias("label"))
+    marks = labels.filter("label IN (0, 1)").select("doc_id", F.col("label").cast("double").alias("label")).distinct()
+    marks = shared.stored(marks, path := shared.scratch(docs.sparkSession))
     some = shared.drawn(marks, marks.count(), FIT_ROWS, "doc_id").toPandas()
+    shared.discard(docs.sparkSession, path)
     if some["label"].nunique() < 2:
         return vectors, Network(float(some["label"].mean()) if len(some) else 0.5)
     known = docs.sparkSession.createDataFrame(some, "doc_id long, label double")  # FIT_ROWS rows at most
@@ -274,6 +277,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Vectors, Network]:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "y", "x"])
 
     met = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known), "doc_id").select("doc_id", "label", "text")
+    met = shared.drawn(met, met.count(), FIT_ROWS, "doc_id")
     got = met.mapInArrow(rows, "doc_id long, y double, x binary").toPandas().sort_values(["doc_id", "y"])
     network = Network(float(some["label"].mean()))
     if len(got):

@@ -299,7 +299,7 @@ def _kneser_ney(counted: DataFrame, model: Model) -> None:
 
 
 def _fit(rows: DataFrame, total: int, model: Model) -> None:
-    """Slope and shift of the logistic, on at most FIT_ROWS of the ``total`` rows, drawn by a hash of the id."""
+    """Slope and shift of the logistic, on at most FIT_ROWS of the ``total`` rows, drawn by a hash of the id and the row's place."""
     some = shared.drawn(rows, total, FIT_ROWS, "doc_id").select(F.col("label").cast("double"), "text")
 
     def measured(batches):
@@ -359,12 +359,13 @@ def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
-    """doc_id, text, label, part of the labelled rows outside fold 0; part 0 is the last fold. Texts without a
+    """doc_id, text, label, part of the labelled rows outside fold 0; part 0 is the last fold. A label that
+    is given again counts once. Texts without a
     label are dropped before the join by a bitmap of fixed size over the labelled ids; the join itself is
     always a shuffle, since the labels may be as many as the documents."""
     shared.small_batches(docs.sparkSession)
     fold = shared.fold("doc_id", folds)
-    marks = labels.select("doc_id", F.col("toxic").alias("label")).filter("label IS NOT NULL AND doc_id IS NOT NULL").filter(fold != 0)
+    marks = labels.select("doc_id", F.col("toxic").alias("label")).filter("label IS NOT NULL AND doc_id IS NOT NULL").filter(fold != 0).distinct()
     wanted = shared.bloom(marks, "doc_id", 1 << 25)
 
     def rows(batches):

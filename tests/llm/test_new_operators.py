@@ -136,3 +136,59 @@ def test_search_scans_few_centroids_and_bounds_hold():
     own, rest = np.sqrt(d[np.arange(len(v)), a]), d.copy()
     rest[np.arange(len(v)), a] = rest.max()
     assert (u >= own).all() and (low <= np.sqrt(rest.min(axis=1))).all()
+
+
+# ---- long blank runs, repeated labels ---------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("text", ["abc" + " " * 2_000_000 + "def", "\n" * 2_000_000, "a \t" + " \n" * 500_000 + " b", (" " * 65_000 + "x") * 30], ids=["blanks", "newlines", "mixed", "runs"])
+def test_long_blank_runs_get_the_ids_of_the_library(text):
+    from tokenizers import Tokenizer
+
+    from meshquilt.llm import packing
+
+    path = packing.tokenizer_path()
+    assert packing.encoder(path).ids(text) == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_long_blank_runs_are_packed(spark):
+    from meshquilt.llm import packing
+
+    d = spark.createDataFrame([(1, "abc" + " " * 2_000_000 + "def"), (None, "\n" * 1_500_000), (3, "word")], "doc_id long, text string")
+    got = packing.pack(d, packing.tokenizer_path()).collect()
+    ids = len(packing.encoder(packing.tokenizer_path()).ids("abc" + " " * 2_000_000 + "def"))
+    assert sum(r["length"] for r in got if r["doc_id"] == 1) == ids + 1 and sum(r["length"] for r in got if r["doc_id"] is None) > 0
+
+
+def test_the_labelled_sample_is_bounded_whatever_repeats(spark, tmp_path):
+    from meshquilt.llm import shared
+
+    for hot in (2, 3, 7, 11, 13):
+        rows = spark.range(200_000).select(F.when(F.col("id") % 4 > 0, hot).otherwise(F.col("id")).alias("doc_id"))
+        some = shared.stored(shared.drawn(shared.stored(rows, f"file://{tmp_path}/{hot}"), 200_000, 20_000, "doc_id"), f"file://{tmp_path}/{hot}-drawn")
+        n, same = some.count(), some.filter(F.col("doc_id") == hot).count()
+        assert 17_000 < n <= 20_000 and 0.7 * n < same < 0.8 * n
+
+
+def test_repeated_ids_in_labels_and_documents(spark, monkeypatch):
+    from meshquilt.llm import quality_classifier, toxicity
+
+    rng = random.Random(2)
+    text = lambda bad: " ".join(rng.choice(["vile", "scum", "awful"] if bad and rng.random() < 0.5 else ["plain", "kind", "stone", "river"]) for _ in range(40))
+    rows = [(i, text(i % 2)) for i in range(400)] + [(7, text(1)) for _ in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(400)] + [(7, 1, 1)] * 3000 + [(None, 1, 1)], "doc_id long, toxic int, quality int")
+    monkeypatch.setattr(quality_classifier, "FIT_ROWS", 200)
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 200)
+    trained = []
+    real = quality_classifier.Network.train
+    monkeypatch.setattr(quality_classifier.Network, "train", lambda self, x, y: (trained.append(len(x)), real(self, x, y))[1])
+    vectors, network = quality_classifier.learn(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    assert 50 < trained[0] <= 260
+    got = quality_classifier.score(docs.limit(400), vectors, network, "doc_id").collect()
+    assert len(got) == 400 and all(0 <= r["score"] <= 1 for r in got)
+    joined = toxicity.labelled(docs, labels)
+    assert joined.count() <= len(rows)  # a label that is given 3,001 times counts once
+    scored = toxicity.score(docs, toxicity.learn(joined), "doc_id").collect()
+    right = sum((r["score"] >= 0.5) == bool(r["doc_id"] % 2) for r in scored)
+    assert right > 0.9 * len(scored)
