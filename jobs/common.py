@@ -19,7 +19,7 @@ def configured(spark: SparkSession, kind, path: str | None = None):
     """A ``kind`` (dataclass) with its defaults and the values of a JSON file, read by Spark, so the path may be remote. Unknown keys raise."""
     if path is None:
         return kind()
-    raw = json.loads(spark.read.option("wholetext", True).text(path).first()[0])
+    raw = json.loads(spark.read.text(path, wholetext=True).first()[0])
     return kind(**{k: tuple(tuple(x) if isinstance(x, list) else x for x in v) if isinstance(v, list) else v for k, v in raw.items()})
 
 

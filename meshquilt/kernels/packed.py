@@ -26,12 +26,16 @@ def pack(vertices: DataFrame, faces: DataFrame) -> DataFrame:
 
 
 def arrays(batch: pa.RecordBatch, row: int) -> tuple:
-    """(model_id, vids, vertices, fids, faces as places) of one packed row."""
+    """(model_id, vids, vertices, fids, faces as places) of one packed row. A face whose corner names no vertex is an error."""
     get = lambda name: np.asarray(batch.column(name)[row].values) if batch.column(name)[row].is_valid else np.empty(0)
     vids = get("vids").astype(np.int64)
     v = np.stack([get(k).astype(float) for k in "xyz"], axis=1) if len(vids) else np.empty((0, 3))
     fids = get("fids").astype(np.int64)
-    f = np.stack([np.searchsorted(vids, get(k).astype(np.int64)) for k in ("i0", "i1", "i2")], axis=1) if len(fids) else np.empty((0, 3), np.int64)
+    named = np.stack([get(k).astype(np.int64) for k in ("i0", "i1", "i2")], axis=1) if len(fids) else np.empty((0, 3), np.int64)
+    f = np.searchsorted(vids, named)
+    lost = named[vids[np.minimum(f, len(vids) - 1)] != named] if len(vids) else named.ravel()
+    if len(lost):
+        raise IndexError(f"{len(lost)} face corners name no vertex, as {lost[0]}")
     return batch.column("model_id")[row].as_py(), vids, v, fids, f
 
 
@@ -50,8 +54,9 @@ def each_model(packed: DataFrame, kernel, schema: str) -> DataFrame:
     def rows(batches):
         for b in batches:
             for i in range(b.num_rows):
-                model, *mesh = arrays(b, i)
+                model = b.column("model_id")[i].as_py()
                 try:
+                    _, *mesh = arrays(b, i)
                     out = {k: np.asarray(c) for k, c in kernel(model, *mesh).items()}
                     n = len(next(iter(out.values())))
                     yield pa.RecordBatch.from_pydict({"model_id": [model] * n, **out, "error": pa.nulls(n, pa.string())}, schema=shape)

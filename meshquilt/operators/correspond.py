@@ -168,8 +168,13 @@ def _kinds(vids, nv, nf, to):
     return {"kind": kind, "id": np.concatenate((np.arange(len(nv)), np.arange(len(nf)), vids)).astype(np.int64), "a": a[:, 0], "b": a[:, 1], "c": a[:, 2]}
 
 
+def failures(result: DataFrame) -> DataFrame:
+    """model_id and reason of the models that a packed kernel could not work (``simplified``, ``rasters`` and others)."""
+    return result.filter("error IS NOT NULL").select("model_id", F.col("error").alias("reason"))
+
+
 def unpacked(result: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(vertices, faces, mapping) of ``simplified``."""
+    """(vertices, faces, mapping) of ``simplified``; ``failures`` has the models that are in none of them."""
     v = result.filter("kind = 0").select("model_id", F.col("id").alias("vid"), F.col("a").alias("x"), F.col("b").alias("y"), F.col("c").alias("z"))
     f = result.filter("kind = 1").select("model_id", F.col("id").alias("fid"), *(F.col(s).cast("bigint").alias(t) for s, t in zip("abc", ("i0", "i1", "i2"), strict=True)))
     m = result.filter("kind = 2 AND a >= 0").select("model_id", F.col("id").alias("vid"), F.col("a").cast("bigint").alias("coarse_vid"))

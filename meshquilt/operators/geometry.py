@@ -237,26 +237,6 @@ def shape_descriptor(vertices: DataFrame, bins: int = 12) -> DataFrame:
     return out.select("model_id", F.concat(shares, F.array(*(F.col(f"e{k}") / side for k in "xyz"))).alias("descriptor"))
 
 
-def geometry_hash(vertices: DataFrame, faces: DataFrame) -> DataFrame:
-    """SHA-256 of the sorted, centred, scaled, rounded vertices and the number of faces: equal for equal geometry
-    whatever the order, place and size. (The hashed form is text, so digests are this engine's own.)"""
-    box = vertices.groupBy("model_id").agg(*(((F.min(k) + F.max(k)) / 2).alias(f"c{k}") for k in "xyz"), F.greatest(*(F.max(k) - F.min(k) for k in "xyz"), F.lit(1e-12)).alias("s"))
-    cell = lambda k: F.round((F.col(k) - F.col(f"c{k}")) / F.col("s"), 5) + 0.0
-    p = vertices.join(box, "model_id").groupBy("model_id").agg(F.sort_array(F.collect_list(F.struct(*(cell(k).alias(k) for k in "xyz")))).alias("p"))
-    n = faces.groupBy("model_id").agg(F.count("*").alias("n"))
-    text = F.array_join(F.transform("p", lambda q: F.format_string("%.5f,%.5f,%.5f", q.x, q.y, q.z)), ";")
-    return p.join(n, "model_id", "left").select("model_id", F.sha2(F.concat(text, F.lit("|"), F.coalesce("n", F.lit(0)).cast("string")), 256).alias("geometry_hash"))
-
-
-def mesh_checksum(vertices: DataFrame, faces: DataFrame) -> DataFrame:
-    """SHA-256 over vertices and faces in their order."""
-    v = vertices.groupBy("model_id").agg(F.sort_array(F.collect_list(F.struct("vid", "x", "y", "z"))).alias("v"))
-    f = faces.groupBy("model_id").agg(F.sort_array(F.collect_list(F.struct("fid", "i0", "i1", "i2"))).alias("f"))
-    vt = F.array_join(F.transform("v", lambda q: F.concat_ws(",", q.x.cast("string"), q.y.cast("string"), q.z.cast("string"))), ";")
-    ft = F.array_join(F.transform(F.coalesce("f", F.array().cast("array<struct<fid:bigint,i0:bigint,i1:bigint,i2:bigint>>")), lambda q: F.concat_ws(",", q.i0.cast("string"), q.i1.cast("string"), q.i2.cast("string"))), ";")
-    return v.join(f, "model_id", "left").select("model_id", F.sha2(F.concat(vt, F.lit("|"), ft), 256).alias("checksum"))
-
-
 def smooth(field: DataFrame, edges: DataFrame, steps: int, weight: float, columns: tuple[str, ...] = ("value",)) -> DataFrame:
     """``steps`` rounds of (1 - weight) x + weight * mean of the neighbours, on each of ``columns``; isolated keep theirs."""
     spark = field.sparkSession

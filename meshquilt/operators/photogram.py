@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from meshquilt.operators.quantiles import quantiles
+from meshquilt.sources.ordered import printed, write_lines
+from meshquilt.sources.scratch import scratch, stored
+
 
 def fields(lines: DataFrame, least: int = 1) -> DataFrame:
     """Whitespace fields of the lines (column ``value``) that are neither blank nor comments and have at least ``least``."""
@@ -18,10 +22,13 @@ def point_quality(lines: DataFrame) -> DataFrame:
     p = fields(lines, 8).select(F.col("f")[7].try_cast("double").alias("e"), F.floor((F.size("f") - 8) / 2).cast("int").alias("t")).filter("e IS NOT NULL")
     e = F.when(~F.isnan("e") & (F.abs("e") < float("inf")), F.col("e"))
     p = p.select(e.alias("e"), "t")
+    p = stored(p, scratch(p.sparkSession))
     n = F.count("*")
+    (median, p95), (middle,) = quantiles(p, "e", [0.5, 0.95]), quantiles(p, "t", [0.5])
+    value = lambda v: F.lit(v).cast("double")
     return p.agg(
-        n.alias("num_points"), F.avg("e").alias("reprojection_error_mean"), F.expr("percentile(e, 0.5)").alias("reprojection_error_median"), F.expr("percentile(e, 0.95)").alias("reprojection_error_p95"),
-        F.max("e").alias("reprojection_error_max"), F.avg("t").alias("track_length_mean"), F.expr("percentile(t, 0.5)").alias("track_length_median"), F.count_if(F.col("t") == 2).alias("track_length_2"),
+        n.alias("num_points"), F.avg("e").alias("reprojection_error_mean"), value(median).alias("reprojection_error_median"), value(p95).alias("reprojection_error_p95"),
+        F.max("e").alias("reprojection_error_max"), F.avg("t").alias("track_length_mean"), value(middle).alias("track_length_median"), F.count_if(F.col("t") == 2).alias("track_length_2"),
         F.count_if(F.col("t") == 3).alias("track_length_3"), F.count_if(F.col("t") >= 4).alias("track_length_ge4"),
         F.when(n > 0, F.count_if(F.col("t") == 2) / n).alias("track_length_2_fraction"), F.when(n > 0, F.count_if(F.col("t") >= 4) / n).alias("track_length_ge4_fraction"),
     )
@@ -29,7 +36,7 @@ def point_quality(lines: DataFrame) -> DataFrame:
 
 def cameras_text(lines: DataFrame) -> DataFrame:
     f = F.col("f")
-    return fields(lines, 5).select(f[0].cast("bigint").alias("camera_id"), f[1].alias("model"), f[2].cast("int").alias("width"), f[3].cast("int").alias("height"), F.transform(F.slice(f, 5, 1000), lambda x: x.cast("double")).alias("params"))
+    return fields(lines, 5).select(f[0].cast("bigint").alias("camera_id"), f[1].alias("model"), f[2].cast("int").alias("width"), f[3].cast("int").alias("height"), F.transform(F.slice(f, F.lit(5), F.size(f) - 4), lambda x: x.cast("double")).alias("params"))
 
 
 def images_text(lines: DataFrame) -> DataFrame:
@@ -43,15 +50,73 @@ def obj_counts(lines: DataFrame) -> DataFrame:
     return lines.agg(F.count_if(F.startswith("value", F.lit("v "))).alias("n_vertices"), F.count_if(F.startswith("value", F.lit("f "))).alias("n_faces"))
 
 
-def text_number(c) -> F.Column:
-    """17 significant digits, enough to read a double back."""
-    return F.format_string("%.16e", c)
+#: The comments that head each text file of a sparse model; the last line counts.
+HEADS = {
+    "cameras": ("# Camera list with one line of data per camera:", "#   CAMERA_ID, MODEL, WIDTH, HEIGHT, PARAMS[]", "# Number of cameras: {n}"),
+    "rigs": ("# Rig calib list with one line of data per calib:", "#   RIG_ID, NUM_SENSORS, REF_SENSOR_TYPE, REF_SENSOR_ID, SENSORS[] as (SENSOR_TYPE, SENSOR_ID, HAS_POSE, [QW, QX, QY, QZ, TX, TY, TZ])", "# Number of rigs: {n}"),
+    "frames": ("# Frame list with one line of data per frame:", "#   FRAME_ID, RIG_ID, RIG_FROM_WORLD[QW, QX, QY, QZ, TX, TY, TZ], NUM_DATA_IDS, DATA_IDS[] as (SENSOR_TYPE, SENSOR_ID, DATA_ID)", "# Number of frames: {n}"),
+    "images": ("# Image list with two lines of data per image:", "#   IMAGE_ID, QW, QX, QY, QZ, TX, TY, TZ, CAMERA_ID, NAME", "#   POINTS2D[] as (X, Y, POINT3D_ID)", "# Number of images: {n}, mean observations per image: {m}"),
+    "points3D": ("# 3D point list with one line of data per point:", "#   POINT3D_ID, X, Y, Z, R, G, B, ERROR, TRACK[] as (IMAGE_ID, POINT2D_IDX)", "# Number of points: {n}, mean track length: {m}"),
+}
+POSE = ("qw", "qx", "qy", "qz", "tx", "ty", "tz")
+
+
+def _lines(kind: str, rows: DataFrame, key: str, *values, count: str | None = None) -> DataFrame:
+    """at, sub, value: the head (at null, so it sorts first), then the lines of ``rows`` by key. ``count``: a column whose mean the head states."""
+    mean = F.coalesce(F.avg(count), F.lit(0.0)) if count else F.lit(0.0)
+    facts = rows.agg(F.count("*").cast("string").alias("n"), mean.alias("m"))
+    m = F.when(F.col("m") == F.floor("m"), F.floor("m").cast("string")).otherwise(F.col("m").cast("string"))
+    head = F.array(*(F.replace(F.replace(F.lit(h), F.lit("{n}"), F.col("n")), F.lit("{m}"), m) for h in HEADS[kind]))
+    top = facts.select(F.lit(None).cast("bigint").alias("at"), F.posexplode(head).alias("sub", "value"))
+    return top.unionByName(rows.select(F.col(key).alias("at"), F.posexplode(F.array(*values)).alias("sub", "value")))
+
+
+def _joined(*columns):
+    return F.concat_ws(" ", *(F.col(c).cast("string") if isinstance(c, str) else c for c in columns))
+
+
+def cameras_lines(cameras: DataFrame) -> DataFrame:
+    """``cameras``: camera_id, model, width, height, params (array of doubles)."""
+    n = F.explode(F.transform("params", lambda p, i: F.struct(i.alias("i"), p.alias("p"))))
+    text = printed(cameras.select("camera_id", n.alias("e")).select("camera_id", F.col("e.i").alias("i"), F.col("e.p").alias("p")), "p")
+    params = text.groupBy("camera_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "p"))), lambda s: s.p), " ").alias("text"))
+    rows = cameras.join(params, "camera_id", "left")
+    return _lines("cameras", rows, "camera_id", _joined("camera_id", "model", "width", "height", "text"))
+
+
+def rigs_lines(rigs: DataFrame) -> DataFrame:
+    """``rigs``: rig_id, camera_id (its reference sensor)."""
+    return _lines("rigs", rigs, "rig_id", _joined("rig_id", F.lit("1 CAMERA"), "camera_id"))
+
+
+def frames_lines(images: DataFrame) -> DataFrame:
+    """``images``: image_id, camera_id, frame_id, rig_id and the pose; in image order."""
+    return _lines("frames", printed(images, *POSE), "image_id", _joined("frame_id", "rig_id", *POSE, F.lit("1 CAMERA"), "camera_id", "image_id"))
+
+
+def images_lines(images: DataFrame, points: DataFrame | None = None) -> DataFrame:
+    """Two lines an image, in image order: the pose, and its points. ``points``: image_id, idx, x, y, point3d_id (-1: none)."""
+    rows = printed(images, *POSE).withColumn("text", F.lit("")).withColumn("n_points", F.lit(0))
+    if points is not None:
+        one = F.struct("idx", _joined("x", "y", "point3d_id").alias("t"))
+        by = printed(points.select("image_id", "idx", F.col("x").cast("double"), F.col("y").cast("double"), "point3d_id"), "x", "y").groupBy("image_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(one)), lambda s: s.t), " ").alias("_t"), F.count("*").alias("_n"))
+        rows = rows.join(by, "image_id", "left").withColumn("text", F.coalesce("_t", F.lit(""))).withColumn("n_points", F.coalesce("_n", F.lit(0)))
+    return _lines("images", rows, "image_id", _joined("image_id", *POSE, "camera_id", "name"), F.col("text"), count="n_points")
+
+
+def points_lines(points: DataFrame, tracks: DataFrame) -> DataFrame:
+    """``points``: point3d_id, x, y, z, r, g, b, error; ``tracks``: point3d_id, image_id, idx. A track is listed by image and index."""
+    by = tracks.groupBy("point3d_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("image_id", "idx"))), lambda s: F.concat_ws(" ", s.image_id.cast("string"), s.idx.cast("string"))), " ").alias("text"), F.count("*").alias("n_track"))
+    rows = printed(points, "x", "y", "z", "error").join(by, "point3d_id", "left").withColumn("n_track", F.coalesce("n_track", F.lit(0)))
+    return _lines("points3D", rows, "point3d_id", _joined("point3d_id", "x", "y", "z", "r", "g", "b", "error", "text"), count="n_track")
 
 
-def images_lines(poses: DataFrame) -> DataFrame:
-    """value, in image order: a pose line and an empty line of points."""
-    one = F.concat_ws(" ", F.col("image_id").cast("string"), *(text_number(F.col(c)) for c in ("qw", "qx", "qy", "qz", "tx", "ty", "tz")), F.col("camera_id").cast("string"), "name")
-    return poses.select("image_id", F.posexplode(F.array(one, F.lit(""))).alias("k", "value")).orderBy("image_id", "k").select("value")
+def write_sparse_model(path: str, **lines: DataFrame) -> None:
+    """cameras, rigs, frames, images, points3D: each a folder of ordered text parts under ``path``."""
+    for name, rows in lines.items():
+        if name not in HEADS:
+            raise ValueError(f"no file is called {name}")
+        write_lines(rows, f"{path}/{name}.txt", "at", "sub")
 
 
 def image_rig_rows(spark: SparkSession) -> DataFrame:

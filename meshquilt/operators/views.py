@@ -144,7 +144,8 @@ def mask_support(points: DataFrame, rasters: DataFrame) -> DataFrame:
 
 
 def rasters(vertices: DataFrame, faces: DataFrame, cameras: DataFrame, cull: bool = False) -> DataFrame:
-    """model_id, view_id, py, px, mask, depth (+inf behind), face_id (-1): one row a pixel, one model and view at a time."""
+    """model_id, view_id, py, px, mask, depth (+inf behind), face_id (-1), error: one row a pixel, one model and view at a time. A model that fails is one
+    row with its error and nothing else."""
     views = [(r["view_id"], np.array(r["k"]).reshape(3, 3), np.array(r["r"]).reshape(3, 3), np.array(r["t"]), r["width"], r["height"]) for r in cameras.orderBy("view_id").collect()]  # a layout: dozens of rows
 
     def kernel(_model, _vids, v, fids, f):
@@ -157,7 +158,7 @@ def rasters(vertices: DataFrame, faces: DataFrame, cameras: DataFrame, cull: boo
                 out[n].append(c)
         return {n: np.concatenate(c) for n, c in out.items()}
 
-    return packed.each_model(packed.pack(vertices, faces), kernel, "view_id int, py int, px int, mask boolean, depth double, face_id bigint").drop("error")
+    return packed.each_model(packed.pack(vertices, faces), kernel, "view_id int, py int, px int, mask boolean, depth double, face_id bigint")
 
 
 def renderer_visibility(points: DataFrame, faces: DataFrame, face_ids: DataFrame, culled: DataFrame, radius: int = 1) -> DataFrame:
@@ -186,7 +187,12 @@ def visibility_stats(visible: DataFrame, column: str = "visible") -> DataFrame:
 
 
 def raster_audit(rasters_: DataFrame) -> DataFrame:
-    """Issues of every view: empty mask, mask on the border, depth not finite or not positive inside, finite outside."""
+    """Issues of every view: empty mask, mask on the border, depth not finite or not positive inside, finite outside. A model that was not rendered (a row
+    with ``error``) has the issue ``raster_failed`` with the reason, and no view."""
+    failed = None
+    if "error" in rasters_.columns:
+        failed = rasters_.filter("error IS NOT NULL").select("model_id", F.lit(None).cast("int").alias("view_id"), F.array(F.concat(F.lit("raster_failed:"), "error")).alias("issues"))
+        rasters_ = rasters_.filter("error IS NULL")
     at_edge = (F.col("px") == 0) | (F.col("py") == 0) | (F.col("px") == F.col("mx")) | (F.col("py") == F.col("my"))
     box = rasters_.groupBy("model_id", "view_id").agg(F.max("px").alias("mx"), F.max("py").alias("my"))
     m = rasters_.join(box, ["model_id", "view_id"])
@@ -197,7 +203,8 @@ def raster_audit(rasters_: DataFrame) -> DataFrame:
     )
     tag = lambda name, rule: F.when(rule, F.concat(F.lit(f"{name}:view_"), F.col("view_id").cast("string")))
     issues = F.array_compact(F.array(tag("empty_mask", F.col("n") == 0), tag("mask_touches_image_border", F.col("edge") > 0), tag("invalid_foreground_depth", F.col("inside") > 0), tag("finite_background_depth", F.col("outside") > 0)))
-    return facts.select("model_id", "view_id", issues.alias("issues"))
+    out = facts.select("model_id", "view_id", issues.alias("issues"))
+    return out if failed is None else out.unionByName(failed)
 
 
 def resized_nearest(rasters_: DataFrame, width: int, height: int) -> DataFrame:

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from meshquilt.plans import queries, queries_mesh, queries_more  # noqa: F401  registers
+from meshquilt.plans import queries, queries_mesh, queries_more, queries_rules  # noqa: F401  registers
 
 QUERIES, ORACLES = queries.QUERIES, queries.ORACLES

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meshquilt.functions import vec as V
+from meshquilt.operators import digests as DG
 from meshquilt.operators import geometry as G
 from meshquilt.operators import metrics as M
 from meshquilt.operators import samples as SA
@@ -54,7 +55,7 @@ def remote_fragments(spark, sf):
 @query()
 def geometry_hashes(spark, sf):
     m = orders_mesh(spark, sf)
-    return G.geometry_hash(m.vertices, m.faces).join(G.mesh_checksum(m.vertices, m.faces), "model_id")
+    return DG.geometry_hash(m.vertices, m.faces).join(DG.mesh_checksum(m.vertices, m.faces), "model_id")
 
 
 @query()

@@ -11,6 +11,7 @@ from meshquilt.operators import photogram as P
 from meshquilt.operators import samples as SA
 from meshquilt.operators import selection as S
 from meshquilt.operators import subdivide as D
+from meshquilt.operators import tiles as TI
 from meshquilt.operators import topology as T
 from meshquilt.operators import validate as VA
 from meshquilt.operators import views as VW
@@ -106,12 +107,15 @@ def surface_distance_stats(spark, sf):
 
 @query()
 def provenance_targets(spark, sf):
+    """Every tenth model has a face that names no vertex: it has no targets, and a row that says so."""
     m = orders_mesh(spark, sf)
-    res = stored(C.simplified(m.vertices, m.faces, 20), scratch(spark))
+    faces = m.faces.withColumn("i2", F.when((F.col("model_id") % 10 == 9) & (F.col("fid") == 0), 999999).otherwise(F.col("i2")))
+    res = stored(C.simplified(m.vertices, faces, 20), scratch(spark))
     v, f, mapping = C.unpacked(res)
     ev, _, parents = D.uniform(v, f)
     labels = stored(T.components(m.vertices, T.unique_edges(m.faces)), scratch(spark))
-    return rounded(C.provenance_targets(ev, parents, m.vertices, m.faces, mapping, labels).select("model_id", "vid", "kind", "distance"))
+    hit = rounded(C.provenance_targets(ev, parents, m.vertices, m.faces, mapping, labels).select("model_id", "vid", "kind", "distance"))
+    return hit.withColumn("reason", F.lit(None).cast("string")).unionByName(C.failures(res), allowMissingColumns=True)
 
 
 @query()
@@ -185,8 +189,38 @@ def scaled_intrinsics(spark, sf):
 
 @query()
 def raster_issues(spark, sf):
+    """Every tenth model has a face that names no vertex, and is reported as one that could not be rendered."""
     m = orders_mesh(spark, sf)
-    return VW.raster_audit(VW.rasters(m.vertices, m.faces, VW.cube_cameras(spark, 3.0, 32)))
+    faces = m.faces.withColumn("i2", F.when((F.col("model_id") % 10 == 9) & (F.col("fid") == 0), 999999).otherwise(F.col("i2")))
+    return VW.raster_audit(VW.rasters(m.vertices, faces, VW.cube_cameras(spark, 3.0, 32)))
+
+
+def _cameras_sql(half_extent: float, size: int) -> str:
+    rows = VW._rows([[half_extent * d for d in v[1:]] for v in VW.CUBE_VIEWS], [v[0] for v in VW.CUBE_VIEWS], size, 90.0)
+    text = ", ".join(f"({i}, {', '.join(f'{float(x)!r}::double' for x in (k[0], k[2], *r, *t))})" for i, _, k, r, t, *_ in rows)
+    return f"cam(view_id, f, c, {', '.join(f'r{i}' for i in range(9))}, t0, t1, t2) AS (VALUES {text})"
+
+
+@query(
+    f""", {_cameras_sql(3.0, 16)}, ey AS (SELECT model_id, vid, view_id, f, c, r0 * x + r1 * y + r2 * z + t0 AS cx, r3 * x + r4 * y + r5 * z + t1 AS cy, r6 * x + r7 * y + r8 * z + t2 AS cz FROM vert, cam),
+    sp AS (SELECT model_id, view_id, vid, (f * cx + c * cz) / cz AS px, (f * cy + c * cz) / cz AS py, cz AS z, (vid % 256)::double AS r, (vid * 7 % 256)::double AS g, (vid // 16 * 13 % 256)::double AS b FROM ey WHERE cz > 1e-8),
+    tr AS (SELECT f.model_id, a.view_id, f.fid, a.px AS ax, a.py AS ay, a.z AS az, a.r AS ar, a.g AS ag, a.b AS ab, b.px AS bx, b.py AS by_, b.z AS bz, b.r AS br, b.g AS bg, b.b AS bb, c.px AS cx, c.py AS cy, c.z AS cz, c.r AS cr, c.g AS cg, c.b AS cb
+      FROM face f JOIN sp a ON a.model_id = f.model_id AND a.vid = i0 JOIN sp b ON b.model_id = f.model_id AND b.vid = i1 AND b.view_id = a.view_id JOIN sp c ON c.model_id = f.model_id AND c.vid = i2 AND c.view_id = a.view_id),
+    bx AS (SELECT *, (bx - ax) * (cy - ay) - (by_ - ay) * (cx - ax) AS area, unnest(range(greatest(0, CAST(floor(least(ax, bx, cx) - 0.5) AS bigint)), least(16, CAST(ceil(greatest(ax, bx, cx) + 0.5) AS bigint)))) AS x FROM tr),
+    gr AS (SELECT *, unnest(range(greatest(0, CAST(floor(least(ay, by_, cy) - 0.5) AS bigint)), least(16, CAST(ceil(greatest(ay, by_, cy) + 0.5) AS bigint)))) AS y FROM bx WHERE abs(area) >= 1e-14),
+    wt AS (SELECT *, ((bx - x - 0.5) * (cy - y - 0.5) - (by_ - y - 0.5) * (cx - x - 0.5)) / area AS w0, ((cx - x - 0.5) * (ay - y - 0.5) - (cy - y - 0.5) * (ax - x - 0.5)) / area AS w1 FROM gr),
+    iv AS (SELECT *, 1 - w0 - w1 AS w2, w0 / az + w1 / bz + (1 - w0 - w1) / cz AS inv FROM wt),
+    fr AS (SELECT model_id, view_id, y, x, 1 / inv AS depth, (w0 / az * ar + w1 / bz * br + w2 / cz * cr) / inv AS r, (w0 / az * ag + w1 / bz * bg + w2 / cz * cg) / inv AS g, (w0 / az * ab + w1 / bz * bb + w2 / cz * cb) / inv AS b
+      FROM iv WHERE w0 >= -1e-8 AND w1 >= -1e-8 AND w2 >= -1e-8 AND inv > 0)
+    SELECT model_id, CAST(view_id AS integer) AS view_id, CAST(y AS integer) AS py, CAST(x AS integer) AS px, round(min(depth), 5) AS depth, round(arg_min(r, depth), 3) AS r, round(arg_min(g, depth), 3) AS g, round(arg_min(b, depth), 3) AS b FROM fr GROUP BY model_id, view_id, y, x"""
+)
+def tiled_raster(spark, sf):
+    """Pictures of 16 by 16 pixels of every model from 14 views, drawn in tiles of 8, coloured by the vertices' numbers."""
+    m = orders_mesh(spark, sf)
+    v = F.col("vid")
+    tint = m.vertices.select("model_id", "vid", (v % 256).cast("double").alias("r"), (v * 7 % 256).cast("double").alias("g"), (F.floor(v / 16) * 13 % 256).cast("double").alias("b"))
+    drawn = TI.drawn(m.vertices, m.faces, VW.cube_cameras(spark, 3.0, 16), tint, tile=8)
+    return drawn.select("model_id", "view_id", "py", "px", F.round("depth", 5).alias("depth"), *(F.round(c, 3).alias(c) for c in "rgb"))
 
 
 @query()
@@ -310,6 +344,49 @@ def sparse_point_quality(spark, sf):
     return rounded(P.point_quality(lines), 4)
 
 
+_G = "format('{{:.17g}}', {0})"
+_P17 = ", ".join(_G.format(c) for c in ("qw", "qx", "qy", "qz", "tx", "ty", "tz"))
+_HEADS_SQL = " UNION ALL ".join(
+    f"SELECT '{k}' AS file, unnest([{', '.join(repr(h) for h in heads[:-1])}, replace(replace('{heads[-1]}', '{{n}}', n), '{{m}}', m)]) AS value FROM {k}_n" for k, heads in P.HEADS.items()
+)
+
+
+@query(
+    f"""WITH cameras AS (SELECT s_suppkey AS id, [1000 + s_acctbal / 7::double, 1000.0::double, 960.0::double, 1.0::double / 3] AS p FROM supplier), rigs AS (SELECT c_custkey AS id, c_custkey % 7 AS camera_id FROM customer),
+    images AS (SELECT o_orderkey AS image_id, o_custkey % 97 AS camera_id, o_orderkey + 5 AS frame_id, o_custkey AS rig_id, 'i' || o_orderkey || '.png' AS name, o_totalprice / 700000::double AS qw, 0.1::double AS qx, -1.0::double / 3 AS qy, 1e-7::double * o_custkey AS qz, o_custkey / 3::double AS tx, 1e20::double AS ty, 0.0::double AS tz FROM orders),
+    obs AS (SELECT l_orderkey AS image_id, l_linenumber AS idx, l_quantity / 7::double AS x, l_discount AS y, l_partkey AS pid FROM lineitem), pts AS (SELECT p_partkey AS pid, p_retailprice / 3::double AS x, 0.2::double AS y, -0.0::double AS z, p_size AS r, 0 AS g, 255 AS b, p_retailprice / 1e6::double AS e FROM part),
+    ot AS (SELECT image_id, string_agg({_G.format('x')} || ' ' || {_G.format('y')} || ' ' || pid, ' ' ORDER BY idx, {_G.format('x')} || ' ' || {_G.format('y')} || ' ' || pid) AS t, count(*) AS n FROM obs GROUP BY image_id), tt AS (SELECT pid, string_agg(image_id || ' ' || idx, ' ' ORDER BY image_id, idx) AS t, count(*) AS n FROM obs GROUP BY pid),
+    cameras_n AS (SELECT CAST(count(*) AS varchar) AS n, '' AS m FROM cameras), rigs_n AS (SELECT CAST(count(*) AS varchar) AS n, '' AS m FROM rigs), frames_n AS (SELECT CAST(count(*) AS varchar) AS n, '' AS m FROM images),
+    images_n AS (SELECT CAST(count(*) AS varchar) AS n, CAST(round(avg(coalesce(ot.n, 0)), 9) AS varchar) AS m FROM images LEFT JOIN ot USING (image_id)), points3D_n AS (SELECT CAST(count(*) AS varchar) AS n, CAST(round(avg(coalesce(tt.n, 0)), 9) AS varchar) AS m FROM pts LEFT JOIN tt USING (pid))
+    SELECT file, regexp_replace(value, 'image: .*|length: .*', '') AS value, count(*) AS n FROM ({_HEADS_SQL} UNION ALL SELECT 'cameras', id || ' PINHOLE 1920 1080 ' || array_to_string(list_transform(p, lambda v: {_G.format('v')}), ' ') FROM cameras UNION ALL SELECT 'rigs', id || ' 1 CAMERA ' || camera_id FROM rigs
+      UNION ALL SELECT 'frames', concat_ws(' ', frame_id, rig_id, {_P17}, '1 CAMERA', camera_id, image_id) FROM images UNION ALL SELECT 'images', concat_ws(' ', image_id, {_P17}, camera_id, name) FROM images UNION ALL SELECT 'images', coalesce(ot.t, '') FROM images LEFT JOIN ot USING (image_id)
+      UNION ALL SELECT 'points3D', concat_ws(' ', pid, {_G.format('x')}, {_G.format('y')}, {_G.format('z')}, r, g, b, {_G.format('e')}, tt.t) FROM pts LEFT JOIN tt USING (pid)) GROUP BY 1, 2""",
+    mesh=False,
+)
+def sparse_model_text(spark, sf):
+    """The five text files of a sparse model, written in order and read back: every line and how often it stands there. (The means in two heads are left out of
+    the comparison, as engines print doubles differently.)"""
+    supplier, customer, orders, lineitem, part = (table(spark, sf, n) for n in ("supplier", "customer", "orders", "lineitem", "part"))
+    lit, third = (lambda v: F.lit(v).cast("double")), F.lit(1.0) / 3
+    cameras = supplier.select(F.col("s_suppkey").alias("camera_id"), F.lit("PINHOLE").alias("model"), F.lit(1920).alias("width"), F.lit(1080).alias("height"), F.array(1000 + F.col("s_acctbal") / 7, lit(1000), lit(960), third).alias("params"))
+    key = F.col("o_orderkey")
+    images = orders.select(
+        key.alias("image_id"), (F.col("o_custkey") % 97).alias("camera_id"), (key + 5).alias("frame_id"), F.col("o_custkey").alias("rig_id"), F.concat(F.lit("i"), key.cast("string"), F.lit(".png")).alias("name"),
+        (F.col("o_totalprice") / 700000).alias("qw"), lit(0.1).alias("qx"), (-third).alias("qy"), (lit(1e-7) * F.col("o_custkey")).alias("qz"), (F.col("o_custkey") / lit(3)).alias("tx"), lit(1e20).alias("ty"), lit(0).alias("tz"),
+    )
+    seen = lineitem.select(F.col("l_orderkey").alias("image_id"), F.col("l_linenumber").alias("idx"), (F.col("l_quantity") / 7).alias("x"), F.col("l_discount").alias("y"), F.col("l_partkey").alias("point3d_id"))
+    points = part.select(F.col("p_partkey").alias("point3d_id"), (F.col("p_retailprice") / 3).alias("x"), lit(0.2).alias("y"), lit(-0.0).alias("z"), F.col("p_size").alias("r"), F.lit(0).alias("g"), F.lit(255).alias("b"), (F.col("p_retailprice") / lit(1e6)).alias("error"))
+    path = scratch(spark)
+    P.write_sparse_model(
+        path, cameras=P.cameras_lines(cameras), rigs=P.rigs_lines(customer.select(F.col("c_custkey").alias("rig_id"), (F.col("c_custkey") % 7).alias("camera_id"))), frames=P.frames_lines(images), images=P.images_lines(images, seen), points3D=P.points_lines(points, seen)
+    )
+    out = None
+    for name in P.HEADS:
+        lines = spark.read.text(f"{path}/{name}.txt").select(F.lit(name).alias("file"), F.regexp_replace("value", "image: .*|length: .*", "").alias("value"))
+        out = lines if out is None else out.unionByName(lines)
+    return out.groupBy("file", "value").agg(F.count("*").alias("n"))
+
+
 @query("""SELECT i.o_orderkey AS image_id, i.name, i.camera_id, i.o_custkey AS frame_id, f.c_nationkey AS rig_id, r.n_regionkey AS ref_sensor_id FROM (SELECT o_orderkey, o_custkey, 'image_' || CAST(o_orderkey AS varchar) AS name, o_custkey % 4 AS camera_id FROM orders) i
     JOIN customer f ON f.c_custkey = i.o_custkey JOIN nation r ON r.n_nationkey = f.c_nationkey""", mesh=False)
 def image_rig_join(spark, sf):

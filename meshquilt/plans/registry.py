@@ -36,5 +36,7 @@ def cache_complete(cached: DataFrame, failed: DataFrame, eligible: DataFrame) ->
     return not set_difference(cached.select("id").unionByName(failed.select("id")), eligible).limit(1).count()
 
 
-def run_metadata(spark, config: dict, seeds: dict, code: str) -> DataFrame:
-    return spark.createDataFrame([(json.dumps(config, sort_keys=True, default=str), json.dumps(seeds, sort_keys=True), hashlib.sha256(code.encode()).hexdigest())], "config string, seeds string, code_sha256 string")
+def run_metadata(spark, config: dict, seeds: dict, code: str, commit: str = "unknown") -> DataFrame:
+    """One row: the resolved configuration, the seeds, the checksum of the code and the commit that it was taken from."""
+    row = (json.dumps(config, sort_keys=True, default=str), json.dumps(seeds, sort_keys=True), hashlib.sha256(code.encode()).hexdigest(), commit)
+    return spark.createDataFrame([row], "config string, seeds string, code_sha256 string, commit string")

@@ -22,7 +22,7 @@ LIST_KEYS = ("models", "model_info", "furniture", "data")
 def read_obj(spark: SparkSession, *paths: str) -> tuple[DataFrame, DataFrame]:
     """(vertices, faces) of OBJ files; model_id is the path. Polygons become fans; negative indices count from the end;
     groups of one file are one mesh."""
-    lines = spark.read.option("wholetext", True).text([*paths]).select(F.col("_metadata.file_path").alias("model_id"), F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
+    lines = spark.read.text([*paths], wholetext=True).select(F.col("_metadata.file_path").alias("model_id"), F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
     parts = lines.select("model_id", "line", F.split(F.trim("value"), r"\s+").alias("f"))
     order = Window.partitionBy("model_id").orderBy("line")
     v = parts.filter(F.col("f")[0] == "v").select("model_id", (F.row_number().over(order) - 1).cast("bigint").alias("vid"), *(F.col("f")[i].cast("double").alias(k) for i, k in enumerate("xyz", 1)))
@@ -111,15 +111,15 @@ def zip_members(spark: SparkSession, path: str, wanted: list[str]) -> DataFrame:
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """One row per entry of a metadata file: model_id (first alias that is not blank) and entry (JSON text). The file is a list
     or an object that holds the list under one of its usual names."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     lists = F.coalesce(F.from_json("value", "array<string>", {"mode": "PERMISSIVE"}), *(F.from_json(F.get_json_object("value", f"$.{k}"), "array<string>") for k in LIST_KEYS))
     out = raw.select(F.explode(lists).alias("entry"))
     return out.select(F.coalesce(*(F.nullif(F.trim(F.get_json_object("entry", f"$.{k}")), F.lit("")) for k in ID_KEYS)).alias("model_id"), "entry")
 
 
 def write_manifest(rows: DataFrame, path: str, *order: str, kind: str = "csv") -> None:
-    """A small manifest in one file, in a stable order, columns sorted by name for JSON."""
-    out = rows.orderBy(*order).coalesce(1)
+    """A manifest in a stable order over its parts (one after another by name), columns sorted by name for JSON."""
+    out = rows.orderBy(*order)
     if kind == "csv":
         out.write.mode("overwrite").option("header", True).csv(path)
     else:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from meshquilt import schema
 from meshquilt.kernels import closest, raster, simplify
 from meshquilt.operators import correspond as C
+from meshquilt.operators import digests as DG
 from meshquilt.operators import geometry as G
 from meshquilt.operators import metrics as M
 from meshquilt.operators import subdivide as D
@@ -237,9 +238,9 @@ def test_geometry_hash_ignores_order_place_and_size(spark):
     c, f = cube()
     c = c * (1, 2, 3)
     p = np.random.default_rng(5).permutation(8)
-    h = lambda a: G.geometry_hash(*mesh(spark, a, f)).first()["geometry_hash"]
+    h = lambda a: DG.geometry_hash(*mesh(spark, a, f)).first()["geometry_hash"]
     assert h(c) == h(c[p] * 4 + 10) != h(c * (1, 2, 2))
-    k = lambda a: G.mesh_checksum(*mesh(spark, a, f)).first()["checksum"]
+    k = lambda a: DG.mesh_checksum(*mesh(spark, a, f)).first()["checksum"]
     assert k(c) != k(c[p])
 
 

@@ -285,7 +285,6 @@ def test_config_and_aliases(spark):
 def test_streaming_ingest_is_idempotent(spark, tmp_path):
     src, reg, out = (f"{tmp_path}/{n}" for n in ("in", "reg", "out"))
     kind = "model_id bigint, input_hash string, value double"
-    spark.createDataFrame([], "model_id bigint, input_hash string, stage string, param_hash string, status string, error string").write.parquet(reg)
     work = lambda d: d.select("model_id", "input_hash", (F.col("value") * 2).alias("value"), F.when(F.col("value") < 0, "negative").alias("error"))
 
     def run():
