@@ -357,6 +357,9 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, end: int = END) -> Data
                     seen[n] += 1
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 1 else pa.int64()) for k, c in enumerate(zip(*out, strict=True))], names)
+        enc = None
+        _ENCODERS.clear()  # a quarter of a second to load, and 70 MB that an idle worker would keep
+        shared.trim()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(rows, "doc_id long, piece int, start long, length long, ids_crc32 long, task long, place long")
 

@@ -346,7 +346,7 @@ def score(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
 def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
     """The rows scored under ``limit``, all columns as they were."""
     shared.small_batches(docs.sparkSession)
-    place = docs.columns.index("text")
+    place = [c.lower() for c in docs.columns].index("text")
 
     def rows(batches):
         for b in batches:
@@ -354,6 +354,7 @@ def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
             for at, data, offs in textkit.slices(b.column(place).cast(pa.string())):
                 out[at : at + len(offs) - 1] = model.score(data, offs)
             yield b.filter(pa.array(out < limit))
+        shared.trim()
 
     return docs.mapInArrow(rows, docs.schema)
 
