@@ -7,8 +7,8 @@ holds the files that were taken, and ends when all are. Each description is meas
 stratum, and the first rule that it breaks. The split hangs on the digest and the seed alone, so copies of a text, whenever
 they come, never stand in different splits. A description that is in the ledger already (same id, same text) adds nothing.
 
-``ledger/`` is partitioned by batch and split. A batch overwrites its own partitions only and looks at the earlier ones
-only, so one that failed halfway and is run again leaves the rows once. ``summary/`` (counts by source, split and
+``ledger/`` is partitioned by batch and split. A batch overwrites its own partitions only and leaves out what
+other batches have, so one that failed halfway and is run again leaves the rows once, and so does a run that has lost its checkpoint and takes all files anew. ``summary/`` (counts by source, split and
 reason) is made anew from the whole ledger by every run. Null texts count as empty; of rows with one id and text the least (lang, source) stays.
 """
 
@@ -54,8 +54,8 @@ def described(rows: DataFrame, config: Config) -> DataFrame:
 
 
 def take(rows: DataFrame, batch: int, ledger: str, config: Config) -> int:
-    """Add what earlier batches do not have of ``rows`` as this batch's partitions."""
-    known = rows.sparkSession.read.schema(LEDGER).parquet(ledger).filter(F.col("batch") < batch).select(F.col("doc_id").alias("k_id"), F.col("digest").alias("k_digest"))
+    """Add what other batches do not have of ``rows`` as this batch's partitions."""
+    known = rows.sparkSession.read.schema(LEDGER).parquet(ledger).filter(F.col("batch") != batch).select(F.col("doc_id").alias("k_id"), F.col("digest").alias("k_digest"))
     fresh = described(rows, config).join(known, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("digest") == F.col("k_digest")), "left_anti")
     return common.write(fresh.withColumn("batch", F.lit(batch).cast("long")), ledger, f"batch {batch}", "batch", "split", partitionOverwriteMode="dynamic")
 

@@ -46,6 +46,8 @@ def run(spark: SparkSession, tables: str, output: str, config: Config = Config()
     place = f"{output}/manifest/config={name}"
     common.write(judged, place, "the manifest", "split")
     manifest = spark.read.schema(judged.schema).parquet(place)
+    models, points, left = manifest.agg(F.count("*"), F.coalesce(F.sum("n_vertices"), F.lit(0)), F.count("reason")).first()
+    common.log.info("read %s models of %s vertices, %s of them are rejected", models, points, left)
     good = manifest.filter("reason IS NULL").select("model_id", "split")
     vertices, faces = mesh.vertices.join(good, "model_id", "left_semi"), mesh.faces.join(good, "model_id", "left_semi")
     edges = T.unique_edges(faces)

@@ -327,7 +327,6 @@ ALPHAS = (1.0, 0.9999, 0.999, 0.995, 0.99, 0.98, 0.95)
 
 def topology_safe_blend(source: DataFrame, target: DataFrame, faces: DataFrame, alphas=ALPHAS) -> DataFrame:
     """The largest alpha of the list for which source + alpha (target - source) has no collapsed face (null: none)."""
-    tried = source.sparkSession.createDataFrame([(a,) for a in alphas], "alpha double")
     both = source.join(target.select("model_id", "vid", *(F.col(k).alias(f"t{k}") for k in "xyz")), ["model_id", "vid"])
     pts = both.select("model_id", "vid", F.explode(F.array(*map(F.lit, alphas))).alias("alpha"), *[c for k in "xyz" for c in (k, f"t{k}")])
     pts = pts.select("model_id", "alpha", "vid", *((F.col(k) + F.col("alpha") * (F.col(f"t{k}") - F.col(k))).alias(k) for k in "xyz"))
@@ -335,5 +334,4 @@ def topology_safe_blend(source: DataFrame, target: DataFrame, faces: DataFrame,
     for c, p in zip(("i0", "i1", "i2"), "abc", strict=True):
         f = f.join(pts.select("model_id", "alpha", F.col("vid").alias(c), *(F.col(k).alias(f"{p}{k}") for k in "xyz")), ["model_id", "alpha", c])
     bad = with_normal(f).groupBy("model_id", "alpha").agg(F.count(F.when(F.col("area") <= 5e-15, 1)).alias("collapsed"))
-    del tried
     return bad.groupBy("model_id").agg(F.max(F.when(F.col("collapsed") == 0, F.col("alpha"))).alias("alpha"))

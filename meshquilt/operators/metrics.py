@@ -102,8 +102,10 @@ def evenly_spaced(rows: DataFrame, order: str, k: int, keys=("model_id",)) -> Da
 
 def first_seen(rows: DataFrame, key: str, order: str) -> DataFrame:
     """The first row of each key, with its rank among the keys in order of first sight."""
+    from meshquilt.operators.ranking import ranked
+
     first = rows.groupBy(key).agg(F.min(order).alias("pos"))
-    return first.withColumn("rank", F.row_number().over(Window.orderBy("pos")))
+    return ranked(first, "pos").withColumn("rank", F.col("rank").cast("int"))
 
 
 def area_conserved(areas: DataFrame, reference: str, tolerance: float = 1e-10) -> DataFrame:

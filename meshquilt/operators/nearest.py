@@ -1,6 +1,6 @@
 """Nearest surface points by a spatial join: triangles and points meet on grid cells, in rounds of growing radius.
 
-The grid is one per model; its cell is the mean extent of the model's triangles. A triangle is entered once at the level
+The grid is one per model; its cell is the mean extent of the model's triangles, or what they would have if they covered a side of its box. A triangle is entered once at the level
 whose cell (a power of two times the mean) is no smaller than the triangle, so it lies in eight cells at most, however large it is. In a round
 of radius R every point looks at the cells, of R or larger, that its box of radius R touches: 27 at most at a level. A pair that
 shares several cells is kept in one of them, the lowest. What comes out is every triangle within R of the point, so if the nearest one
@@ -45,8 +45,8 @@ def _triangles(vertices: DataFrame, faces: DataFrame) -> DataFrame:
     t = G.face_points(faces.select("model_id", "fid", "i0", "i1", "i2"), vertices).filter(_all_finite([f"{p}{k}" for p in "abc" for k in AXES]))
     t = t.select("*", *(F.least(*(f"{p}{k}" for p in "abc")).alias(f"l{k}") for k in AXES), *(F.greatest(*(f"{p}{k}" for p in "abc")).alias(f"h{k}") for k in AXES))
     t = t.withColumn("extent", F.greatest(*(F.col(f"h{k}") - F.col(f"l{k}") for k in AXES)))
-    box = t.groupBy("model_id").agg(F.avg("extent").alias("mean"), *(F.min(f"l{k}").alias(f"o{k}") for k in AXES), F.greatest(*(F.max(f"h{k}") - F.min(f"l{k}") for k in AXES)).alias("side"))
-    cell = F.greatest("mean", F.col("side") / FINEST)
+    box = t.groupBy("model_id").agg(F.avg("extent").alias("mean"), *(F.min(f"l{k}").alias(f"o{k}") for k in AXES), F.greatest(*(F.max(f"h{k}") - F.min(f"l{k}") for k in AXES)).alias("side"), F.count("*").alias("n"))
+    cell = F.greatest("mean", F.col("side") / F.sqrt("n"), F.col("side") / FINEST)
     box = box.select("model_id", F.when(cell > 0, cell).otherwise(1.0).alias("cell"), *(f"o{k}" for k in AXES))
     level = F.when(F.col("extent") > F.col("cell"), F.ceil(F.log2(F.col("extent") / F.col("cell")) + 1e-9)).otherwise(0).cast("int")
     return t.join(box, "model_id").withColumn("level", level)
@@ -144,3 +144,11 @@ def surface_distances(query: DataFrame, vertices: DataFrame, faces: DataFrame, p
     hit = asked.select("model_id", "vid").join(nearest_faces(asked, vertices, faces).select("model_id", "vid", F.sqrt("d2").alias("d")), ["model_id", "vid"], "left")
     p = lambda q: F.expr(f"percentile(d, {q})")
     return hit.groupBy("model_id").agg(F.count("*").alias("n"), F.count_if(F.col("d").isNull()).alias("n_missing"), F.avg("d").alias("mean"), p(0.5).alias("median"), p(0.9).alias("p90"), p(0.95).alias("p95"), p(0.99).alias("p99"), F.max("d").alias("max"))
+
+
+def chamfer(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Mean distance of every vertex to the nearest one of the other set, each way, and their sum; vertices are triangles of three equal corners here. Models
+    of one side only have nulls."""
+    one = lambda v: v.select("model_id", F.col("vid").alias("fid"), *(F.col("vid").alias(f"i{i}") for i in range(3)))
+    way = lambda p, q, name: nearest_faces(p, q, one(q)).groupBy("model_id").agg(F.avg(F.sqrt("d2")).alias(name))
+    return way(a, b, "a_to_b").join(way(b, a, "b_to_a"), "model_id", "full").withColumn("chamfer", F.col("a_to_b") + F.col("b_to_a"))

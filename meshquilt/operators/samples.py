@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshquilt.operators import geometry as G
 from meshquilt.operators import selection as S
 from meshquilt.operators import topology as T
+from meshquilt.operators.ranking import ranked
 
 #: The fields that a merge must leave as they were.
 FROZEN = ("faces", "edges", "current_positions", "target_positions", "current_laplacian", "target_laplacian", "edge_scale", "normalization", "sample_id", "split")
@@ -107,5 +108,6 @@ def oracle_check(sample: DataFrame, faces: DataFrame) -> DataFrame:
 
 
 def manifest(samples: DataFrame, path_of: str = "samples/") -> DataFrame:
-    order = Window.orderBy(F.array_position(F.array(F.lit("train"), F.lit("validation"), F.lit("test")), F.col("split")), "model_id")
-    return samples.select("model_id", "split").withColumn("position", F.row_number().over(order)).withColumn("path", F.concat(F.lit(path_of), F.col("model_id").cast("string"), F.lit(".parquet")))
+    order = F.array_position(F.array(F.lit("train"), F.lit("validation"), F.lit("test")), F.col("split"))
+    placed = ranked(samples.select("model_id", "split").withColumn("_o", order), "_o", "model_id", name="position").drop("_o")
+    return placed.withColumn("position", F.col("position").cast("int")).withColumn("path", F.concat(F.lit(path_of), F.col("model_id").cast("string"), F.lit(".parquet")))

@@ -284,8 +284,8 @@ def group_split(rows: DataFrame, sizes: dict[str, int], seed: int) -> DataFrame:
     rest. A group held out with more than one file leaves training short: ``check_split`` tells."""
     g = rows.withColumn("g", group_key(F.col("thing_id"), F.col("file_id")))
     groups = g.groupBy("g").agg(F.count("*").alias("n"), F.min(F.struct(seeded_order(seed, "file_id").alias("h"), "file_id")).alias("first"))
-    r = F.row_number().over(Window.orderBy("n", "first.h", "first.file_id"))
-    held = groups.withColumn("r", r).filter(F.col("r") <= sizes["validation"] + sizes["test"])
+    few = groups.orderBy("n", "first.h", "first.file_id").limit(sizes["validation"] + sizes["test"])  # as many rows as are asked for
+    held = few.withColumn("r", F.row_number().over(Window.orderBy("n", "first.h", "first.file_id")))
     out = held.select(F.col("first.file_id").alias("file_id"), F.when(F.col("r") <= sizes["validation"], "validation").otherwise("test").alias("split"))
     train = g.join(held, "g", "left_anti").select("file_id", F.lit("train").alias("split"))
     return out.unionByName(train)
@@ -323,9 +323,11 @@ def replacement(failed: DataFrame, candidates: DataFrame, selected: DataFrame) -
     free = candidates.join(selected.select("file_id"), "file_id", "left_anti")
     things = selected.filter("thing_id > 0").select("thing_id").distinct()
     free = free.join(things, "thing_id", "left_anti")
-    f = failed.select(F.col("file_id").alias("failed_id"), "stratum", F.col("scan_index").alias("from_index"))
-    met = f.join(free.select("file_id", "stratum", "scan_index"), "stratum").filter("scan_index > from_index")
-    return met.groupBy("failed_id").agg(F.min(F.struct("scan_index", "file_id")).alias("r")).select("failed_id", F.col("r.file_id").alias("file_id"), F.col("r.scan_index").alias("scan_index"))
+    from meshquilt.operators.ranking import next_after
+
+    asked = failed.select("stratum", "scan_index", F.col("file_id").alias("failed_id"))
+    met = next_after(asked, free, "stratum", "scan_index", "file_id").filter("next IS NOT NULL")
+    return met.select("failed_id", F.col("next.file_id").alias("file_id"), F.col("next.scan_index").alias("scan_index"))
 
 
 def replace_until_done(selected: DataFrame, candidates: DataFrame, works) -> DataFrame:

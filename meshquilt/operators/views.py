@@ -78,6 +78,16 @@ def ring_cameras(spark: SparkSession, radius: float, scale: float = 1.8, size: i
     return spark.createDataFrame(_rows(centres, names, size, fov, target), CAMERA)
 
 
+def placed(layout: DataFrame, models: DataFrame) -> DataFrame:
+    """The layout's cameras around every model: ``models`` has model_id, the point x, y, z that they look at and the factor ``s`` of their distance from it. Rotations stay,
+    centres are scaled and moved."""
+    far = layout.join(models.select("model_id", *(F.col(k).alias(f"o{k}") for k in "xyz"), "s"), F.lit(True))  # a layout: dozens of rows
+    r = lambda i: F.col("r")[i]
+    # -R (o + s c) with t = -R c
+    t = F.array(*(F.col("s") * F.col("t")[i] - (r(3 * i) * F.col("ox") + r(3 * i + 1) * F.col("oy") + r(3 * i + 2) * F.col("oz")) for i in range(3)))
+    return far.withColumn("t", t).select("model_id", *layout.columns)
+
+
 def minimum_separation(directions: DataFrame) -> DataFrame:
     """The smallest angle (degrees) between two of a small set of unit vectors: i, x, y, z."""
     a, b = directions.select("i", *(F.col(k).alias(f"a{k}") for k in "xyz")), directions.select(F.col("i").alias("j"), *(F.col(k).alias(f"b{k}") for k in "xyz"))

@@ -26,15 +26,15 @@ def published(results: DataFrame, registered: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, source: str, schema: str, registry_path: str, out_path: str, checkpoint: str, stage: str, parameters: dict, work):
-    """A streaming query over Parquet files in ``source``. Each batch drops models that earlier batches have registered for this
+    """A streaming query over Parquet files in ``source``. Each batch drops models that other batches have registered for this
     input and these parameters, runs ``work`` (DataFrame -> DataFrame with model_id, input_hash, error) on the rest, and writes results, then
     registry rows, each as the partition of its batch number. A batch that failed between the two, or at any other place, is run again by the
-    stream, sees the same earlier batches, and replaces its own partitions: nothing is doubled. Readers take ``published`` results."""
+    stream, sees the same other batches, and replaces its own partitions: nothing is doubled. Readers take ``published`` results."""
     spark.createDataFrame([], REGISTRY).write.mode("append").partitionBy(BATCH).parquet(registry_path)  # so that it can be read
 
     def batch(rows: DataFrame, number: int) -> None:
         own = rows.sparkSession
-        known = registry(own, registry_path).filter(F.col(BATCH) < number)
+        known = registry(own, registry_path).filter(F.col(BATCH) != number)
         done = work(todo(rows.dropDuplicates(["model_id", "input_hash"]), known, stage, parameters))
         _put(done, out_path, number)
         made = own.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in done.schema.fields)}, {BATCH} bigint").parquet(out_path).filter(F.col(BATCH) == number)

@@ -81,8 +81,11 @@ def test_a_batch_that_is_run_again_adds_nothing(spark, tmp_path):
     for _ in range(2):
         catalogue.take(spark.createDataFrame(FIRST, catalogue.TAKEN), 0, f"{out}/ledger", CONFIG)
     assert rows_of(spark.read.schema(catalogue.LEDGER).parquet(f"{out}/ledger")) == before
+    land(spark, SECOND, src)
+    ledger, _ = catalogue.run(spark, src, out, f"file://{tmp_path}/mark", CONFIG)
+    before = rows_of(ledger, "batch")
     ledger, _ = catalogue.run(spark, src, out, f"file://{tmp_path}/lost-mark", CONFIG)  # a lost checkpoint: all files come again as batch 0
-    assert rows_of(ledger) == before
+    assert rows_of(ledger, "batch") == before == brute(FIRST + SECOND)
 
 
 def test_a_batch_that_fails_is_taken_whole_by_the_next_run(spark, tmp_path, monkeypatch):
@@ -112,11 +115,13 @@ def test_catalogue_of_empty_input(spark, tmp_path):
 # ---- targets --------------------------------------------------------------------------------------------------
 
 
-def test_targets_twice_and_by_configuration(spark, sf, tmp_path):
+def test_targets_twice_and_by_configuration(spark, sf, tmp_path, caplog):
+    caplog.set_level(logging.INFO, "meshquilt.jobs")
     out = f"file://{tmp_path}/out"
     config = prepare_targets.Config(min_vertices=10, min_faces=10, validation=0.3, test=0.2)
     manifest, targets = prepare_targets.run(spark, sf, out, config)
     first = rows_of(manifest), rows_of(targets)
+    assert f"read {len(first[0])} models of {len(first[1])} vertices" in caplog.text and f"wrote {len(first[1])} rows of targets" in caplog.text
     manifest, targets = prepare_targets.run(spark, sf, out, config)
     assert (rows_of(manifest), rows_of(targets)) == first
     strict, none = prepare_targets.run(spark, sf, out, prepare_targets.Config(min_vertices=10**6))
