@@ -25,7 +25,7 @@ from meshquilt.sources.scratch import scratch, stored
 assert packed  # registers the kernels to travel with the tasks
 AXES = "xyz"
 #: The radii of the rounds, as powers of two times the cell.
-ROUNDS = (0, 1, 2, 3, 5, 8, 12, 17, 24, 34, 50, 80, 130, 210, 340, 550, 890)
+ROUNDS = (0, 1, 3, 5, 8, 12, 17, 24, 40, 80, 160, 330, 660)
 #: A cell is no smaller than this part of the model's box.
 FINEST = 1 << 20
 #: Boxes are wider than the radius by this, so that rounding loses no triangle.

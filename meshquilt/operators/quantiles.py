@@ -1,6 +1,6 @@
 """Exact quantiles of a column of any size by distributed selection.
 
-A histogram between the least and the largest value tells in which bucket each wanted rank lies, and what each bucket holds (count,
+A histogram between the least and the largest value, by size in one round and by width in the next, tells in which bucket each wanted rank lies, and what each bucket holds (count,
 least, largest); the rows of that bucket are looked at again, until a bucket has one value only, or few enough rows to be put in order. So what reaches the driver
 is a histogram of ``BUCKETS`` rows a round or at most ``FEW`` rows, and no task orders more than that.
 """
@@ -15,11 +15,23 @@ from pyspark.sql import functions as F
 BUCKETS, FEW = 4096, 20_000
 
 
+def _spread(c):
+    """A key in the order of the values that spaces them by size: zero is 0, the smallest double about 1, every power of e one more."""
+    return F.when(c == 0, 0.0).otherwise(F.signum(c) * (F.log(F.abs(c)) + 746))
+
+
 def _at(df: DataFrame, c, rank: int, low: float, high: float, n: int) -> float:
-    """The value of a rank (from 0) among the n values between low and high."""
+    """The value of a rank (from 0) among the n values between low and high. Rounds take turns: buckets of even size in powers of e, so that values of any
+    spread part at once, then buckets of even width."""
+    even = False
     while low < high and n > FEW:
-        step = high / BUCKETS - low / BUCKETS
-        bucket = F.greatest(F.lit(0), F.least(F.lit(BUCKETS - 1), F.floor((c - low) / step))) if 0 < step < math.inf else F.when(c > low, 1).otherwise(0)
+        key, (a, b) = (c, (low, high)) if even else (_spread(c), df.agg(F.min(_spread(c)), F.max(_spread(c))).first())
+        even = not even
+        step = b / BUCKETS - a / BUCKETS
+        if 0 < step < math.inf:
+            bucket = F.greatest(F.lit(0), F.least(F.lit(BUCKETS - 1), F.floor((key - a) / step)))
+        else:
+            bucket = F.when(c > low, 1).otherwise(0)
         rows = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).orderBy("b").collect()
         for r in rows:
             if rank < r["n"]:
