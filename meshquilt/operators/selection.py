@@ -308,6 +308,16 @@ def balanced_split(rows: DataFrame, category: str, seed: int, id_column: str = "
     return placed.withColumn("split", split).drop("_r", "_v", "_t", "_n")
 
 
+def shuffled(rows: DataFrame, seed: int, id_column: str = "id") -> DataFrame:
+    """``rows`` (with ``split``) and their ``position`` (from 1) in their split's seeded order. One global order by ranges serves all splits, however few they are."""
+    from meshquilt.operators.ranking import ranked
+
+    h = seeded_order(seed, "split", id_column)
+    placed = ranked(rows.withColumn("_h", h), "split", "_h", id_column, name="_rank")
+    first = placed.groupBy("split").agg(F.min("_rank").alias("_first"))
+    return placed.join(first, "split").withColumn("position", F.col("_rank") - F.col("_first") + 1).drop("_h", "_rank", "_first")
+
+
 def balanced_selection(candidates: DataFrame, per_category: int, seed: int, accepted: str = "reason IS NULL") -> tuple[DataFrame, DataFrame]:
     """Per category the first ``per_category`` accepted candidates in hash order; (selected, failures seen before the last)."""
     order = Window.partitionBy("category").orderBy(seeded_order(seed, "category", "id"), "id")

@@ -44,12 +44,46 @@ def mesh_cleanup_log(spark, sf):
     return G.clean(*_dirty(spark, sf), version=1)[2].filter("step IN ('repeated_index', 'duplicate') AND removed > 0")
 
 
-@query()
-def remote_fragments(spark, sf):
+#: Grid rows 4, 9, 14... are cut out, so that each band of four rows is a component; one model of five has its faces twice and a triangle far away.
+_BANDS = """, far(vid, x, y, z) AS (VALUES (9001, 50.0::double, 50.0::double, 50.0::double), (9002, 51.0::double, 50.0::double, 50.0::double), (9003, 50.0::double, 51.0::double, 50.0::double)), odd AS (SELECT DISTINCT model_id FROM vert WHERE model_id % 5 = 1),
+    band AS (SELECT model_id, fid, i0, i1, i2 FROM face WHERE i0 // 16 % 5 < 4 AND i1 // 16 % 5 < 4 AND i2 // 16 % 5 < 4), kept AS (SELECT * FROM band UNION ALL SELECT model_id, fid + 10000000, i0, i1, i2 FROM band WHERE model_id % 5 = 1 UNION ALL SELECT model_id, 9000000, 9001, 9002, 9003 FROM odd),
+    v2 AS (SELECT model_id, vid, x, y, z FROM vert UNION ALL SELECT model_id, vid, x, y, z FROM odd, far), lo AS (SELECT model_id, i0 // 80 AS g, min(least(i0, i1, i2)) AS root FROM band GROUP BY 1, 2), us AS (SELECT DISTINCT model_id, unnest([i0, i1, i2]) AS vid FROM band),
+    label AS (SELECT v.model_id, v.vid, CASE WHEN v.vid >= 9001 THEN 9001 WHEN us.vid IS NOT NULL THEN root ELSE v.vid END AS root FROM v2 v LEFT JOIN us ON us.model_id = v.model_id AND us.vid = v.vid LEFT JOIN lo ON lo.model_id = v.model_id AND lo.g = v.vid // 80),
+    cl AS (SELECT model_id, vid, dense_rank() OVER (PARTITION BY model_id ORDER BY root) - 1 AS component FROM label)"""
+
+
+def _banded(spark, sf):
     m = orders_mesh(spark, sf)
-    cut = " AND ".join(f"floor({c} / 16) % 5 < 4" for c in ("i0", "i1", "i2"))
-    f = m.faces.filter(cut)
-    return rounded(G.remote_fragments(m.vertices, f, stored(T.components(m.vertices, T.unique_edges(f)), scratch(spark))).filter("n_faces > 0"))
+    odd = m.vertices.select("model_id").distinct().filter("model_id % 5 = 1")
+    band = m.faces.filter(" AND ".join(f"floor({c} / 16) % 5 < 4" for c in ("i0", "i1", "i2")))
+    again = band.filter("model_id % 5 = 1").withColumn("fid", F.col("fid") + 10000000)
+    faces = band.unionByName(again).unionByName(odd.selectExpr("model_id", "9000000L AS fid", "9001L AS i0", "9002L AS i1", "9003L AS i2"))
+    far = odd.select("model_id", F.expr("inline(array(struct(9001L AS vid, 50D AS x, 50D AS y, 50D AS z), struct(9002L, 51D, 50D, 50D), struct(9003L, 50D, 51D, 50D)))"))
+    vertices = m.vertices.unionByName(far)
+    return vertices, faces, stored(T.components(vertices, T.unique_edges(faces)), scratch(spark))
+
+
+@query(_BANDS + """, fc AS (SELECT k.model_id, component, count(*) AS n_faces FROM kept k JOIN cl ON cl.model_id = k.model_id AND cl.vid = k.i0 GROUP BY 1, 2),
+    bx AS (SELECT model_id, component, avg(x) AS ax, avg(y) AS ay, avg(z) AS az, min(x) AS lx, min(y) AS ly, min(z) AS lz, max(x) AS hx, max(y) AS hy, max(z) AS hz FROM v2 JOIN cl USING (model_id, vid) GROUP BY 1, 2),
+    tt AS (SELECT model_id, CAST(sum(n_faces) AS bigint) AS all_faces, arg_max(component, n_faces * 1000000 - component) AS main FROM fc GROUP BY 1),
+    d AS (SELECT b.model_id, b.component, n_faces, all_faces, main, greatest(m.lx - b.ax, b.ax - m.hx, 0) AS dx, greatest(m.ly - b.ay, b.ay - m.hy, 0) AS dy, greatest(m.lz - b.az, b.az - m.hz, 0) AS dz, sqrt((m.hx - m.lx) * (m.hx - m.lx) + (m.hy - m.ly) * (m.hy - m.ly) + (m.hz - m.lz) * (m.hz - m.lz)) AS diag
+      FROM bx b JOIN fc USING (model_id, component) JOIN tt USING (model_id) JOIN bx m ON m.model_id = b.model_id AND m.component = main)
+    SELECT model_id, component, n_faces, round(sqrt(dx * dx + dy * dy + dz * dz), 6) AS distance, sqrt(dx * dx + dy * dy + dz * dz) > 0.35 * diag AND n_faces < 0.002 * all_faces AND n_faces < 128 AND component <> main AS remote FROM d""")
+def remote_fragments(spark, sf):
+    return rounded(G.remote_fragments(*_banded(spark, sf)).filter("n_faces > 0"))
+
+
+@query(_BANDS + " SELECT model_id, count(*) AS n_vertices, count(DISTINCT component) AS n_components FROM cl GROUP BY model_id")
+def mesh_components(spark, sf):
+    """The number of components among a mesh's metrics; a vertex of no face is one of its own."""
+    return T.mesh_metrics(*_banded(spark, sf)).select("model_id", "n_vertices", "n_components")
+
+
+@query("""WITH c AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 8 THEN 'validation' WHEN c_custkey % 10 = 9 THEN 'test' ELSE 'train' END AS split FROM customer)
+    SELECT id, split, row_number() OVER (PARTITION BY split ORDER BY md5('5:' || split || ':' || id), id) AS position FROM c""", mesh=False)
+def shuffled_splits(spark, sf):
+    s = F.when(F.col("c_custkey") % 10 == 8, "validation").when(F.col("c_custkey") % 10 == 9, "test").otherwise("train")
+    return S.shuffled(table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), s.alias("split")), 5).select("id", "split", "position")
 
 
 @query()
