@@ -58,7 +58,8 @@ def _banded(spark, sf):
     band = m.faces.filter(" AND ".join(f"floor({c} / 16) % 5 < 4" for c in ("i0", "i1", "i2")))
     again = band.filter("model_id % 5 = 1").withColumn("fid", F.col("fid") + 10000000)
     faces = band.unionByName(again).unionByName(odd.selectExpr("model_id", "9000000L AS fid", "9001L AS i0", "9002L AS i1", "9003L AS i2"))
-    far = odd.select("model_id", F.expr("inline(array(struct(9001L AS vid, 50D AS x, 50D AS y, 50D AS z), struct(9002L, 51D, 50D, 50D), struct(9003L, 50D, 51D, 50D)))"))
+    corner = lambda vid, *p: F.struct(F.lit(vid).cast("bigint").alias("vid"), *(F.lit(c).alias(k) for k, c in zip("xyz", p, strict=True)))
+    far = odd.select("model_id", F.inline(F.array(corner(9001, 50.0, 50.0, 50.0), corner(9002, 51.0, 50.0, 50.0), corner(9003, 50.0, 51.0, 50.0))))
     vertices = m.vertices.unionByName(far)
     return vertices, faces, stored(T.components(vertices, T.unique_edges(faces)), scratch(spark))
 
