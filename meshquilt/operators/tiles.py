@@ -27,13 +27,17 @@ OUT = "model_id bigint, view_id int, py int, px int, depth double, face_id bigin
 def binned(vertices: DataFrame, faces: DataFrame, cameras: DataFrame, colours: DataFrame | None = None, cull: bool = False, tile: int = TILE) -> DataFrame:
     """model_id, view_id, fid, tile ty, tx, width, height and the corners' pixels, depths and colours, a row for each tile of each triangle. Triangles behind the camera
     or without area are left out, with ``cull`` those that face away too."""
-    p = VW.projected(vertices, cameras)
-    tint = colours if colours is not None else vertices.select("model_id", "vid", *(F.lit(0.0).alias(c) for c in COLOURS))
-    p = p.join(tint.select("model_id", "vid", *(F.col(c).cast("double").alias(c) for c in COLOURS)), ["model_id", "vid"], "left")
+    v = vertices.select("model_id", "vid", *(F.col(k).alias(f"w{k}") for k in "xyz"))
+    if colours is not None:
+        v = v.join(colours.select("model_id", "vid", *(F.col(c).cast("double").alias(c) for c in COLOURS)), ["model_id", "vid"], "left")
     t = faces.select("model_id", "fid", "i0", "i1", "i2")
     for i in range(3):
-        corner = p.select("model_id", F.col("vid").alias(f"i{i}"), *(["view_id", "width", "height"] if i == 0 else [F.col("view_id")]), F.col("px").alias(f"px{i}"), F.col("py").alias(f"py{i}"), F.col("depth").alias(f"z{i}"), *(F.coalesce(c, F.lit(0.0)).alias(f"{c}{i}") for c in COLOURS))
-        t = t.join(corner, ["model_id", f"i{i}"] + (["view_id"] if i else []))
+        tint = [(F.coalesce(c, F.lit(0.0)) if colours is not None else F.lit(0.0)).alias(f"{c}{i}") for c in COLOURS]
+        t = t.join(v.select("model_id", F.col("vid").alias(f"i{i}"), *(F.col(f"w{k}").alias(f"w{k}{i}") for k in "xyz"), *tint), ["model_id", f"i{i}"])
+    # the views come last: a triangle's corners are put together once, whatever the number of views
+    t = t.join(cameras, "model_id") if "model_id" in cameras.columns else t.join(VW.layout(cameras), F.lit(True))
+    for i in range(3):
+        t = t.withColumns(dict(zip((f"px{i}", f"py{i}", f"z{i}"), VW.pixel(*(F.col(f"w{k}{i}") for k in "xyz")), strict=True)))
     area = (F.col("px1") - F.col("px0")) * (F.col("py2") - F.col("py0")) - (F.col("py1") - F.col("py0")) * (F.col("px2") - F.col("px0"))
     t = t.filter((F.least("z0", "z1", "z2") > 1e-8) & (F.abs(area) >= 1e-14) & (area < 0 if cull else F.lit(True)))
     place = lambda v, top: F.greatest(F.lit(0), F.least(v, F.col(top) - 1)).cast("int")  # noqa: E731  the picture's pixels

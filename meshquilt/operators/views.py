@@ -111,11 +111,31 @@ def centres(cameras: DataFrame) -> DataFrame:
     return cameras.select("*", *(x.alias(f"c{k}") for x, k in zip(c, "xyz", strict=True)), m.alias("extrinsic"))
 
 
+#: Views of a layout at most: layouts go to every task.
+MOST_VIEWS = 4096
+
+
+def layout(cameras: DataFrame) -> DataFrame:
+    """The cameras of a layout, to be sent to every task; more than ``MOST_VIEWS`` are an error."""
+    n = cameras.limit(MOST_VIEWS + 1).count()
+    if n > MOST_VIEWS:
+        raise ValueError(f"a layout has {MOST_VIEWS} views at most")
+    return F.broadcast(cameras)
+
+
+def pixel(x, y, z) -> tuple:
+    """(px, py, depth) of a point in the camera of the same row (k, r, t)."""
+    r, t, k = (lambda i, n=n: F.col(n)[i] for n in "rtk")
+    cx, cy, cz = (r(3 * i) * x + r(3 * i + 1) * y + r(3 * i + 2) * z + t(i) for i in range(3))
+    safe = F.when(F.abs(cz) > 1e-12, cz).otherwise(F.lit(1e-12))
+    return (k(0) * cx + k(1) * cy + k(2) * cz) / safe, (k(3) * cx + k(4) * cy + k(5) * cz) / safe, cz
+
+
 def projected(vertices: DataFrame, cameras: DataFrame) -> DataFrame:
     """Every vertex in every view: px, py, depth, and clip coordinates (near: half the smallest depth over 1e-8, far: twice
     the largest). Cameras are a layout of at most a few dozen rows; with a model_id they join on it."""
     keys = ["model_id"] if "model_id" in cameras.columns else []
-    met = vertices.join(cameras, keys) if keys else vertices.join(F.broadcast(cameras), F.lit(True))
+    met = vertices.join(cameras, keys) if keys else vertices.join(layout(cameras), F.lit(True))
     r, t, k = (lambda i, n=n: F.col(n)[i] for n in "rtk")
     cam = [r(3 * i) * F.col("x") + r(3 * i + 1) * F.col("y") + r(3 * i + 2) * F.col("z") + t(i) for i in range(3)]
     out = met.select("model_id", "vid", "view_id", "k", "width", "height", *(c.alias(n) for c, n in zip(cam, ("cx", "cy", "cz"), strict=True)))
