@@ -3,7 +3,7 @@
 The grid is one per model; its cell is the mean extent of the model's triangles, or what they would have if they covered a side of its box. A triangle is entered once at the level
 whose cell (a power of two times the mean) is no smaller than the triangle, so it lies in eight cells at most, however large it is. In a round
 of radius R every point looks at the cells, of R or larger, that its box of radius R touches: 27 at most at a level. A pair that
-shares several cells is kept in one of them, the lowest. What comes out is every triangle within R of the point, so if the nearest one
+shares several cells is kept in one of them, the lowest, and only where the triangle's box is within R. What comes out is every triangle within R of the point, so if the nearest one
 is within R, it is the nearest of all, and the point is done. Only the others go into the next round, with a larger radius.
 
 Everything is an equi-join on (model, level, cell) and a grouped minimum: a model spans as many tasks as its cells fill. A point far from
@@ -25,7 +25,7 @@ from meshquilt.sources.scratch import scratch, stored
 assert packed  # registers the kernels to travel with the tasks
 AXES = "xyz"
 #: The radii of the rounds, as powers of two times the cell.
-ROUNDS = (0, 1, 3, 5, 8, 12, 17, 24, 40, 80, 160, 330, 660)
+ROUNDS = (-2, 0, 1, 3, 5, 8, 12, 17, 24, 40, 80, 160, 330, 660)
 #: A cell is no smaller than this part of the model's box.
 FINEST = 1 << 20
 #: Boxes are wider than the radius by this, so that rounding loses no triangle.
@@ -99,14 +99,16 @@ def nearest_faces(query: DataFrame, vertices: DataFrame, faces: DataFrame) -> Da
         size = F.col("cell") * F.pow(F.lit(2.0), F.col("level"))
         radius = F.col("cell") * F.lit(2.0**power)
         at = t.join(left.select("model_id").distinct(), "model_id", "left_semi").withColumn("level", F.greatest("level", F.lit(power)))
-        at = _spread(at.select("model_id", "level", "fid", *(f"{p}{k}" for p in "abc" for k in AXES), *_cells("l", "h", size, F.lit(0.0))), "t")
+        at = _spread(at.select("model_id", "level", "fid", *(f"{p}{k}" for p in "abclh" for k in AXES), *_cells("l", "h", size, F.lit(0.0))), "t")
         now = levels.select("model_id", F.explode(F.array_distinct(F.transform("levels", lambda v: F.greatest(v, F.lit(power))))).alias("level"))
-        look = left.join(now, "model_id").select("model_id", "level", "vid", *(f"q{k}" for k in AXES), *_cells("q", "q", size, radius * WIDER))
+        look = left.join(now, "model_id").select("model_id", "level", "vid", *(f"q{k}" for k in AXES), (radius * WIDER).alias("reach"), *_cells("q", "q", size, radius * WIDER))
         met = _spread(look, "p").join(at, ["model_id", "level", *(f"g{k}" for k in AXES)])
         once = F.lit(True)
         for k in AXES:
             once = once & (F.col(f"g{k}") == F.greatest(f"t{k}", f"p{k}"))
-        near = _measured(met.filter(once)).groupBy("model_id", "vid").agg(F.min(F.struct("d2", "fid", "w0", "w1", "w2", "tx", "ty", "tz")).alias("b")).select("model_id", "vid", "b.*")
+        gaps = [F.greatest(F.col(f"l{k}") - F.col(f"q{k}"), F.col(f"q{k}") - F.col(f"h{k}"), F.lit(0.0)) for k in AXES]
+        within = V.norm(gaps) <= F.col("reach")  # only triangles whose box is within the radius can be nearest there
+        near = _measured(met.filter(once & within)).groupBy("model_id", "vid").agg(F.min(F.struct("d2", "fid", "w0", "w1", "w2", "tx", "ty", "tz")).alias("b")).select("model_id", "vid", "b.*")
         seen = here(left.select("model_id", "vid", "cell").join(near, ["model_id", "vid"]).filter(F.sqrt("d2") <= radius).drop("cell"))
         found = seen if found is None else found.unionByName(seen)
         left = here(left.join(seen.select("model_id", "vid"), ["model_id", "vid"], "left_anti"))
