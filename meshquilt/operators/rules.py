@@ -50,6 +50,8 @@ def apart(a: str, b: str, tolerance: str) -> str:
 
 #: The issue names and tolerances of a prepared dataset.
 FIELDS = ("raw_laplacian_target", "normalized_laplacian_target", "valid_scale_mask", "local_edge_length", "local_edge_scale", "target_positions", "gt_vertices", "gt_faces")
+#: What a sample's id begins with, before its model's number.
+PREFIX = "sample_"
 RADIUS = "sqrt(x * x + y * y + z * z)"
 VALID = f"NOT {odd('tx', 'ty', 'tz')} AND NOT {odd('surface_distance')} AND closest_face >= 0 AND closest_face < n_gt_faces AND NOT {odd('w0', 'w1', 'w2')}"
 RULES = (
@@ -97,7 +99,7 @@ RULES = (
     Rule("unexpected_lazy_image_path_count", "sample", any="n_paths IS DISTINCT FROM 14", absent=True),
     Rule("lazy_loaded_image_shape_mismatch", "sample", any="n_images IS DISTINCT FROM 14 OR n_channels IS DISTINCT FROM 3", absent=True),
     Rule("prepared_sample_missing_extended_fields", "sample", any=" OR ".join(f"NOT coalesce(array_contains(fields, '{f}'), false)" for f in FIELDS), absent=True),
-    Rule("prepared_sample_id_mismatch", "sample", any="sample_id IS DISTINCT FROM concat('thingi10k_', CAST(model_id AS string))", absent=True),
+    Rule("prepared_sample_id_mismatch", "sample", any=f"sample_id IS DISTINCT FROM concat('{PREFIX}', CAST(model_id AS string))", absent=True),
 )
 
 

@@ -126,7 +126,7 @@ l0 AS (SELECT n.model_id, n.s AS row, n.t AS col, -1.0::double / dg.n AS value F
 w0 AS (SELECT model_id, view_id, e_name AS name, 1.5::double * u AS cx, 1.5::double * v AS cy, 1.5::double * w AS cz, -u / sqrt(u * u + v * v + w * w) AS fx, -v / sqrt(u * u + v * v + w * w) AS fy, -w / sqrt(u * u + v * v + w * w) AS fz,
   count(*) FILTER (WHERE u * x + v * y + w * z > 0) AS n_mask, 0 AS n_border, count(*) FILTER (WHERE u * x + v * y + w * z > 0) AS n_lit, 0 AS n_bad_depth, true AS has_depth FROM gt, lay GROUP BY model_id, view_id, e_name, u, v, w),
 i0 AS (SELECT model_id, unnest([{", ".join(f"'{f}'" for f in FILES)}]) AS file, CAST(NULL AS varchar) AS error FROM md),
-s0 AS (SELECT model_id, 'thingi10k_' || model_id AS sample_id, 'lazy_image_paths_v1' AS storage_format, 14 AS n_paths, 14 AS n_images, 3 AS n_channels, {_FIELDS} AS fields FROM md),
+s0 AS (SELECT model_id, '{R.PREFIX}' || model_id AS sample_id, 'lazy_image_paths_v1' AS storage_format, 14 AS n_paths, 14 AS n_images, 3 AS n_channels, {_FIELDS} AS fields FROM md),
 {", ".join(_damaged_sql(n, s) for n, s in (("mesh_v", "v0"), ("mesh_f", "f0"), ("targets", "t0"), ("delta", "d0"), ("prepared", "p0"), ("coo", "l0"), ("views", "w0"), ("files", "i0"), ("samples", "s0")))},
 nv AS (SELECT model_id, role, count(*) AS n_vertices FROM mesh_v GROUP BY 1, 2),
 fp AS (SELECT f.*, coalesce(n_vertices, 0) AS n_vertices, (b.y - a.y) * (c.z - a.z) - (b.z - a.z) * (c.y - a.y) AS nx, (b.z - a.z) * (c.x - a.x) - (b.x - a.x) * (c.z - a.z) AS ny, (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) AS nz
@@ -186,7 +186,7 @@ def dataset_validation(spark, sf):
     views = gt.join(F.broadcast(layout), F.lit(True)).groupBy("model_id", "view_id", F.col("e_name").alias("name"), "u", "v", "w").agg(sees.alias("n_mask"), sees.alias("n_lit"))  # 14 rows
     views = views.select("model_id", "view_id", "name", "n_mask", "n_lit", *((1.5 * F.col(s)).alias(f"c{k}") for k, s in zip("xyz", "uvw", strict=True)), *((-F.col(s) / long).alias(f"f{k}") for k, s in zip("xyz", "uvw", strict=True)), F.lit(0).alias("n_border"), F.lit(0).alias("n_bad_depth"), F.lit(True).alias("has_depth"))
     files = models.select("model_id", F.explode(F.array(*map(F.lit, FILES))).alias("file"), F.lit(None).cast("string").alias("error"))
-    samples = models.select("model_id", F.concat(F.lit("thingi10k_"), F.col("model_id").cast("string")).alias("sample_id"), F.lit("lazy_image_paths_v1").alias("storage_format"), F.lit(14).alias("n_paths"), F.lit(14).alias("n_images"), F.lit(3).alias("n_channels"), F.array(*map(F.lit, R.FIELDS)).alias("fields"))
+    samples = models.select("model_id", F.concat(F.lit(R.PREFIX), F.col("model_id").cast("string")).alias("sample_id"), F.lit("lazy_image_paths_v1").alias("storage_format"), F.lit(14).alias("n_paths"), F.lit(14).alias("n_images"), F.lit(3).alias("n_channels"), F.array(*map(F.lit, R.FIELDS)).alias("fields"))
     grains = R.mesh_grains(vertices, faces)
     of = lambda df, role: df.filter(F.col("role") == role).drop("role")
     n_gt = of(faces, "gt").groupBy("model_id").agg(F.count("*").alias("n_gt_faces"))

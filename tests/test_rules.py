@@ -25,7 +25,7 @@ BASE = {
     "laplacian": [{"l_row": 0, "l_col": 0, "value": 1.0, "expected": 1.0, "n_expanded": 2}, {"l_row": 0, "l_col": 1, "value": -1.0, "expected": -1.0, "n_expanded": 2}],
     "view": [{"view_id": i, "name": f"v{i}", "e_name": f"v{i}", **{f"{a}{k}": 0.5 for a in "cefg" for k in "xyz"}, "n_mask": 4, "n_border": 0, "n_lit": 4, "n_bad_depth": 0, "has_depth": True, "expected_views": 2, "half_extent": 1.5} for i in range(2)],
     "file": [{"file": f, "error": None} for f in QR.FILES],
-    "sample": [{"sample_id": "thingi10k_{m}", "storage_format": "lazy_image_paths_v1", "embeds_images": False, "n_paths": 14, "n_images": 14, "n_channels": 3, "fields": [*R.FIELDS, "more"]}],
+    "sample": [{"sample_id": "sample_{m}", "storage_format": "lazy_image_paths_v1", "embeds_images": False, "n_paths": 14, "n_images": 14, "n_channels": 3, "fields": [*R.FIELDS, "more"]}],
 }
 #: rules that one change breaks: (grain, row, changes); None in place of the row: all rows go.
 CHANGES = [
@@ -81,7 +81,7 @@ CHANGES = [
     ({"lazy_loaded_image_shape_mismatch"}, "sample", 0, {"n_channels": None}),
     ({"prepared_sample_missing_extended_fields"}, "sample", 0, {"fields": None}),
     ({"prepared_sample_missing_extended_fields"}, "sample", 0, {"fields": [*R.FIELDS[1:]]}),
-    ({"prepared_sample_id_mismatch"}, "sample", 0, {"sample_id": "thingi10k_99999"}),
+    ({"prepared_sample_id_mismatch"}, "sample", 0, {"sample_id": "sample_99999"}),
 ]
 
 
