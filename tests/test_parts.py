@@ -1,0 +1,33 @@
+"""Tables of the corpus are dealt out by model in parts by their rows, and go through no broadcast."""
+
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from meshquilt.operators import topology as T
+from meshquilt.sources.corpus import orders_mesh
+from meshquilt.sources.scratch import PART_ROWS, by_model
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joins_of_the_corpus_broadcast_nothing(spark, sf):
+    text = plan(entry.queries()["topology_safe_blend"](spark, sf))
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
+def test_models_are_shuffled_once_and_not_put_together_again(spark, sf):
+    text = plan(entry.queries()["laplacian_matrix"](spark, sf))
+    assert text.count("Exchange hashpartitioning") == text.count("REPARTITION_BY_NUM") > 0
+
+
+def test_parts_grow_with_the_rows(spark):
+    df = spark.range(10).select(F.col("id").alias("model_id"))
+    assert by_model(df, 9 * PART_ROWS + 1).rdd.getNumPartitions() == 10
+
+
+def test_rounds_of_components_broadcast_nothing(spark, sf):
+    m = orders_mesh(spark, sf)
+    labels = T.component_roots(m.vertices, T.unique_edges(m.faces))
+    assert "Broadcast" not in plan(labels.join(labels.select("model_id", F.col("vid").alias("root"), F.lit(1).alias("one")), ["model_id", "root"]))
