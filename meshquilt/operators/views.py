@@ -173,10 +173,14 @@ def mask_support(points: DataFrame, rasters: DataFrame) -> DataFrame:
     return p.join(r, ["model_id", "view_id", "ux", "uy"], "left").select("model_id", "view_id", "vid", (F.coalesce("hit", F.lit(False)) & (F.col("depth") > 1e-8)).alias("mask_support"))
 
 
+def _views(cameras: DataFrame) -> list:
+    return [(r["view_id"], np.array(r["k"]).reshape(3, 3), np.array(r["r"]).reshape(3, 3), np.array(r["t"]), r["width"], r["height"]) for r in cameras.orderBy("view_id").collect()]  # a layout: dozens of rows
+
+
 def rasters(vertices: DataFrame, faces: DataFrame, cameras: DataFrame, cull: bool = False) -> DataFrame:
     """model_id, view_id, py, px, mask, depth (+inf behind), face_id (-1), error: one row a pixel, one model and view at a time. A model that fails is one
     row with its error and nothing else."""
-    views = [(r["view_id"], np.array(r["k"]).reshape(3, 3), np.array(r["r"]).reshape(3, 3), np.array(r["t"]), r["width"], r["height"]) for r in cameras.orderBy("view_id").collect()]  # a layout: dozens of rows
+    views = _views(cameras)
 
     def kernel(_model, _vids, v, fids, f):
         out: dict[str, list] = {n: [] for n in ("view_id", "py", "px", "mask", "depth", "face_id")}
@@ -210,6 +214,37 @@ def renderer_visibility(points: DataFrame, faces: DataFrame, face_ids: DataFrame
     return out.withColumn("combined", F.col("frustum") & F.col("backface") & F.col("occlusion"))
 
 
+def rendered_visibility(vertices: DataFrame, faces: DataFrame, cameras: DataFrame, radius: int = 1) -> DataFrame:
+    """``renderer_visibility`` of every model and view from pictures that stay in the task that draws them: model_id, view_id, vid, the four flags, error.
+    No pixel is written or shuffled, so what leaves a task is a row for each vertex and view. A model that fails is one row with its error."""
+    views = _views(cameras)
+
+    def kernel(_model, vids, v, _fids, f):
+        out: dict[str, list] = {n: [] for n in ("view_id", "vid", "frustum", "backface", "occlusion", "combined")}
+        for view, k, r, t, w, h in views:
+            c = [r[i, 0] * v[:, 0] + r[i, 1] * v[:, 1] + r[i, 2] * v[:, 2] + t[i] for i in range(3)]
+            safe = np.where(np.abs(c[2]) > 1e-12, c[2], 1e-12)
+            px, py = ((k[i, 0] * c[0] + k[i, 1] * c[1] + k[i, 2] * c[2]) / safe for i in range(2))
+            frustum = (c[2] > 1e-8) & (px >= 0) & (px < w) & (py >= 0) & (py < h)
+            at = np.flatnonzero(frustum)
+            ux, uy = np.floor(px[at]).astype(np.int64) + radius, np.floor(py[at]).astype(np.int64) + radius
+            flags = []
+            for cull in (True, False):
+                ids = np.pad(raster.rasterize(v, f, k, r, t, w, h, cull)[1], radius, constant_values=-1)
+                seen = np.zeros(len(v), bool)
+                for i in range(-radius, radius + 1):
+                    for j in range(-radius, radius + 1):
+                        face = ids[uy + j, ux + i]
+                        hit = np.flatnonzero(face >= 0)
+                        seen[at[hit[(f[face[hit]] == at[hit, None]).any(axis=1)]]] = True
+                flags.append(seen)
+            for n, column in zip(out, (np.full(len(v), view, np.int32), vids, frustum, *flags, frustum & flags[0] & flags[1]), strict=True):
+                out[n].append(column)
+        return {n: np.concatenate(column) for n, column in out.items()}
+
+    return packed.each_model(packed.pack(vertices, faces), kernel, "view_id int, vid bigint, frustum boolean, backface boolean, occlusion boolean, combined boolean")
+
+
 def visibility_stats(visible: DataFrame, column: str = "visible") -> DataFrame:
     """Mean visible views of a vertex, share of vertices never seen, share of (view, vertex) seen."""
     v = visible.groupBy("model_id", "vid").agg(F.sum(F.col(column).cast("int")).alias("n"), F.count("*").alias("views"))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from meshquilt.operators import topology as T
+from meshquilt.operators import views as VW
 from meshquilt.sources.corpus import orders_mesh
 from meshquilt.sources.scratch import PART_ROWS, by_model
 
@@ -31,3 +32,19 @@ def test_rounds_of_components_broadcast_nothing(spark, sf):
     m = orders_mesh(spark, sf)
     labels = T.component_roots(m.vertices, T.unique_edges(m.faces))
     assert "Broadcast" not in plan(labels.join(labels.select("model_id", F.col("vid").alias("root"), F.lit(1).alias("one")), ["model_id", "root"]))
+
+
+def test_visibility_in_the_task_is_that_of_written_pictures(spark, sf):
+    m = orders_mesh(spark, sf)
+    few = [df.filter("model_id < 2").localCheckpoint() for df in (m.vertices, m.faces)]
+    cams = VW.cube_cameras(spark, 3.0, 32)
+    old = VW.renderer_visibility(VW.projected(few[0], cams), few[1], VW.rasters(*few, cams), VW.rasters(*few, cams, cull=True))
+    new = VW.rendered_visibility(*few, cams).drop("error")
+    rows = lambda df: sorted(map(tuple, df.select("model_id", "view_id", "vid", "frustum", "backface", "occlusion", "combined").collect()))
+    assert rows(new) == rows(old) and any(r[-1] for r in rows(new))
+
+
+def test_no_pixel_is_written(spark, sf):
+    """The plan reads the orders only, no stored picture."""
+    text = plan(entry.queries()["renderer_visibility"](spark, sf))
+    assert "orders.parquet" in text and "meshquilt-" not in text and "face_id" not in text
