@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshquilt.operators.samples import VISIBILITY
+from meshquilt.sources.scratch import shuffled_joins
 
 #: Whether a manifest of ground-truth or of expanded queries may train, and its role.
 ROLES = {False: (True, "gt_query_training"), True: (False, "expanded_raw_frozen_model_inference")}
@@ -51,6 +52,8 @@ def combined(graph: DataFrame, observed: DataFrame, arm: DataFrame, fields: list
     arm. Issues: ``graph_field_changed:<column>``, ``observation_field_differs:<column>``, ``stale_visibility:<column>``, ``metadata_not_merged``,
     ``combination_arm_missing``, ``only_in_arm``, ``missing_in_arm``."""
     frozen = [c for c in graph.columns if c not in (*fields, *VISIBILITY, "sample_id", "metadata", "split")]
+    # arrays of paths and maps: a file of ids may be small where these rows are not, so they are never broadcast
+    graph, observed, arm = map(shuffled_joins, (graph, observed, arm))
     g = graph.select("sample_id", F.struct(F.lit(1).alias("there"), *frozen, F.col("metadata").alias("m")).alias("g"))
     o = observed.select("sample_id", F.struct(F.lit(1).alias("there"), *fields, F.col("metadata").alias("m")).alias("o"))
     met = arm.withColumn("_arm", F.lit(True)).join(g, "sample_id", "full").join(o, "sample_id", "left")

@@ -9,6 +9,7 @@ from meshquilt.operators import geometry as G
 from meshquilt.operators import selection as S
 from meshquilt.operators import topology as T
 from meshquilt.operators.ranking import ranked
+from meshquilt.sources.scratch import shuffled_joins
 
 #: The fields that a merge must leave as they were.
 FROZEN = ("faces", "edges", "current_positions", "target_positions", "current_laplacian", "target_laplacian", "edge_scale", "normalization", "sample_id", "split")
@@ -47,7 +48,7 @@ def merge_observations(graph: DataFrame, views: DataFrame, observed: list[str],
     """Graph columns from the left, the named observation columns from the right; visibility columns of either are dropped,
     since they belong to the old views."""
     keep = [c for c in graph.columns if c not in observed and c not in VISIBILITY]
-    return graph.select(*keep).join(views.select(key, *[c for c in observed if c not in VISIBILITY]), key)
+    return shuffled_joins(graph.select(*keep)).join(views.select(key, *[c for c in observed if c not in VISIBILITY]), key)
 
 
 def changed(before: DataFrame, after: DataFrame, columns=FROZEN, key: str = "sample_id") -> DataFrame:

@@ -48,3 +48,8 @@ def test_no_pixel_is_written(spark, sf):
     """The plan reads the orders only, no stored picture."""
     text = plan(entry.queries()["renderer_visibility"](spark, sf))
     assert "orders.parquet" in text and "meshquilt-" not in text and "face_id" not in text
+
+
+def test_arms_and_near_duplicates_broadcast_nothing(spark, sf):
+    for name in ("combination_arm_issues", "near_duplicate_pairs"):
+        assert "Broadcast" not in plan(entry.queries()[name](spark, sf)), name
