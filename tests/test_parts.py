@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from meshquilt.operators import geometry as G
 from meshquilt.operators import topology as T
 from meshquilt.operators import views as VW
 from meshquilt.sources.corpus import orders_mesh
@@ -53,3 +54,15 @@ def test_no_pixel_is_written(spark, sf):
 def test_arms_and_near_duplicates_broadcast_nothing(spark, sf):
     for name in ("combination_arm_issues", "near_duplicate_pairs"):
         assert "Broadcast" not in plan(entry.queries()[name](spark, sf)), name
+
+
+def test_mean_edge_lengths_do_not_depend_on_the_order_of_rows(spark):
+    """A star whose lengths give other sums in other orders."""
+    far = [0.1 * 3**k for k in range(12)]
+    v = spark.createDataFrame([(0, 0, 0.0, 0.0, 0.0), *((0, k + 1, x, 0.0, 0.0) for k, x in enumerate(far))], "model_id long, vid long, x double, y double, z double").localCheckpoint()
+    edges = [(0, 0, k + 1) for k in range(12)]
+    h = set()
+    for turn in range(12):
+        e = spark.createDataFrame(edges[turn:] + edges[:turn], "model_id long, u long, w long").coalesce(1)
+        h.add(G.edge_scale(v, e).filter("vid = 0").first()["h"])
+    assert len(h) == 1 and abs(h.pop() - sum(far) / 12) < 1e-9
