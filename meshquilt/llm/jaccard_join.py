@@ -54,6 +54,7 @@ HOT_TOKENS, HOT_SHARE, HOT_LEAST = 1 << 14, 0.002, 8
 GROUP_SETS, GROUP_BYTES = 1024, 24 << 20  # of one block of a group
 FLUSH = 1 << 20
 SIGN_BYTES, PART_BYTES = 6, 24 << 20  # a signature's bytes beside its part; signatures of one part
+TASK_PARTS = 8  # parts that one task works one after the other, so that a pair of near copies comes once from all of them
 BLOOM_LEAST, BLOOM_MOST = 20, 28  # log2 of the bits of the bitmap over wanted documents
 REST_BLOCK = 256
 SALTS = 8
@@ -282,13 +283,14 @@ class Allocation:
         return (np.concatenate(owners), np.concatenate(signs)), short
 
 
-def _signatures(texts: DataFrame, alloc: Allocation, labels: np.ndarray, salt: int) -> DataFrame:
-    """part, and packed signatures and set names; part -1: names of sets that have too few segments."""
+def _signatures(texts: DataFrame, alloc: Allocation, labels: np.ndarray, each: int, salt: int) -> DataFrame:
+    """task (of ``labels``), part (of ``each`` a task), and packed signatures and set names; part -1: names of sets that have too few segments."""
+    columns = ["task", "part", "signs", "names"]
 
     def rows(batches):
         seen: set = set()
         held, waiting = [], 0
-        n_parts = len(labels)
+        n_parts = len(labels) * each
 
         def flush():
             sign, name = np.concatenate([s for s, _ in held]), np.concatenate([k for _, k in held])
@@ -299,7 +301,7 @@ def _signatures(texts: DataFrame, alloc: Allocation, labels: np.ndarray, salt: i
             some = np.flatnonzero(np.diff(ends))
             cut = [slice(ends[p], ends[p + 1]) for p in some]
             sign = sign.view(np.uint8).reshape(-1, 8)[:, :SIGN_BYTES]
-            return pa.RecordBatch.from_arrays([pa.array(labels[some].astype(np.int32)), pa.array([sign[c].tobytes() for c in cut]), pa.array([name[c].tobytes() for c in cut])], ["part", "signs", "names"])
+            return pa.RecordBatch.from_arrays([pa.array(labels[some // each].astype(np.int32)), pa.array(some.astype(np.int32)), pa.array([sign[c].tobytes() for c in cut]), pa.array([name[c].tobytes() for c in cut])], columns)
 
         for b in batches:
             for _, data, offs in textkit.slices(b.column(0)):
@@ -318,7 +320,7 @@ def _signatures(texts: DataFrame, alloc: Allocation, labels: np.ndarray, salt: i
                 held.append((sign, name[set_]))
                 waiting += len(sign)
                 if len(short):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(1, -1, np.int32)), pa.array([b""]), pa.array([name[short].tobytes()])], ["part", "signs", "names"])
+                    yield pa.RecordBatch.from_arrays([pa.array(labels[:1].astype(np.int32)), pa.array(np.full(1, -1, np.int32)), pa.array([b""]), pa.array([name[short].tobytes()])], columns)
                 if waiting > FLUSH:
                     yield flush()
                     held, waiting = [], 0
@@ -327,7 +329,7 @@ def _signatures(texts: DataFrame, alloc: Allocation, labels: np.ndarray, salt: i
         held, seen = [], set()
         shared.trim()
 
-    return texts.select("text").mapInArrow(rows, "part int, signs binary, names binary")
+    return texts.select("text").mapInArrow(rows, "task int, part int, signs binary, names binary")
 
 
 def _stars(key: np.ndarray, name: np.ndarray, role: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -347,6 +349,11 @@ def _stars(key: np.ndarray, name: np.ndarray, role: np.ndarray) -> tuple[np.ndar
     count = np.diff(np.concatenate((start, [len(key)])))
     ok = (np.bitwise_or.reduceat(role, start) & 1 > 0) & (name[start] != name[start + count - 1])
     centre, name = np.repeat(name[start], count)[np.repeat(ok, count)], name[np.repeat(ok, count)]
+    return _once(centre, name)
+
+
+def _once(centre: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs without repeats."""
     order = np.lexsort((name, centre))
     centre, name = centre[order], name[order]
     new = np.concatenate(([True], (centre[1:] != centre[:-1]) | (name[1:] != name[:-1]))) if len(name) else np.empty(0, bool)
@@ -355,36 +362,45 @@ def _stars(key: np.ndarray, name: np.ndarray, role: np.ndarray) -> tuple[np.ndar
 
 def _buckets(packed: DataFrame, n: int) -> DataFrame:
     """kind 1: centre a, set b. kind 2: set a with too few segments. A signature comes in ``SIGN_BYTES`` bytes, enough
-    to tell those of one part apart: two that fall together make a needless bucket."""
+    to tell those of one part apart: two that fall together make a needless bucket. A task holds one part's signatures at a time, and
+    the pairs of all its parts: two near copies share buckets in every part, however many parts there are."""
+
+    def pairs(part, held):
+        signs = []
+        own = textkit.mix(np.uint64([part + 1]))
+        for s in (s for b in held for s in b.column(2)):
+            s = s.as_buffer()
+            whole = np.zeros((len(s) // SIGN_BYTES, 8), np.uint8)
+            whole[:, :SIGN_BYTES] = np.frombuffer(s, np.uint8).reshape(-1, SIGN_BYTES)
+            sign = whole.reshape(-1).view(np.uint64)
+            signs.append(textkit.mix((sign >> np.uint64(2)) ^ own) & ~np.uint64(3) | sign & np.uint64(3))
+        sign, name = np.concatenate(signs), np.concatenate([np.frombuffer(k.as_buffer(), np.uint64) for b in held for k in b.column(3)])
+        return _stars(sign >> np.uint64(2), name, (sign & np.uint64(3)).astype(np.int32))
 
     def rows(batches):
-        signs, names, short = [], [], []
-        for batch in batches:
-            for part, s, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if part < 0:
-                    short.append(np.frombuffer(k, np.uint64))
-                else:
-                    whole = np.zeros((len(s) // SIGN_BYTES, 8), np.uint8)
-                    whole[:, :SIGN_BYTES] = np.frombuffer(s, np.uint8).reshape(-1, SIGN_BYTES)
-                    sign = whole.reshape(-1).view(np.uint64)
-                    own = textkit.mix(np.uint64([part + 1]))
-                    signs.append(textkit.mix((sign >> np.uint64(2)) ^ own) & ~np.uint64(3) | sign & np.uint64(3))
-                    names.append(np.frombuffer(k, np.uint64))
-        put = lambda kind, a, b: pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["kind", "a", "b"])
+        def put(kind, a, b):
+            for i in range(0, len(a), 1 << 16):
+                c, d = (v[i : i + (1 << 16)].view(np.int64) for v in (a, b))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), kind, np.int32)), pa.array(c), pa.array(d)], ["kind", "a", "b"])
+
+        short, centre, name = [], np.empty(0, np.uint64), np.empty(0, np.uint64)
+        for (_, part), held in _runs(batches, 2):
+            if part < 0:
+                short += [np.frombuffer(k.as_buffer(), np.uint64) for b in held for k in b.column(3)]
+                continue
+            found = pairs(part, held)
+            centre, name = _once(np.concatenate((centre, found[0])), np.concatenate((name, found[1])))
+            del held, found
+            shared.trim()
+            if len(centre) > FLUSH:
+                yield from put(1, centre, name)
+                centre, name = centre[:0].copy(), name[:0].copy()
         if short:
             a = np.unique(np.concatenate(short))
-            yield put(2, a, a)
-        if not signs:
-            return
-        sign, name = np.concatenate(signs), np.concatenate(names)
-        del signs, names
-        centre, name = _stars(sign >> np.uint64(2), name, (sign & np.uint64(3)).astype(np.int32))
-        del sign
-        shared.trim()
-        for i in range(0, len(centre), 1 << 16):
-            yield put(1, centre[i : i + (1 << 16)], name[i : i + (1 << 16)])
+            yield from put(2, a, a)
+        yield from put(1, centre, name)
 
-    return packed.repartition(n, "part").mapInArrow(rows, "kind int, a long, b long")
+    return packed.repartition(n, "task").sortWithinPartitions("task", "part").mapInArrow(rows, "kind int, a long, b long")
 
 
 def _even_labels(spark, n: int) -> np.ndarray:
@@ -768,8 +784,9 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     often = shared.largest(told.filter("kind = 1").groupBy("a").agg(F.sum("b").alias("n")), "n", HOT_TOKENS).toPandas()
     alloc = Allocation(often["a"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64))
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * (SIGN_BYTES + 8) // PART_BYTES))
-    kinds = tables.stored(_buckets(_signatures(texts, alloc, _even_labels(spark, n), salt), n))
+    parts = max(1, -(-total * (SIGN_BYTES + 8) // PART_BYTES))
+    n = max(spark.sparkContext.defaultParallelism, -(-parts // TASK_PARTS))
+    kinds = tables.stored(_buckets(_signatures(texts, alloc, _even_labels(spark, n), -(-parts // n), salt), n))
     _release(spark)
     groups = kinds.filter("kind = 1").select(F.col("a").alias("c"), F.col("b").alias("x")).distinct()
     links = links_of(texts, classes, groups, tables, salt)

@@ -96,6 +96,20 @@ def test_join_in_giant_groups_and_with_short_sets(spark, monkeypatch):
     assert joined(docs(spark, texts)) == want
 
 
+def test_near_copies_meet_once_a_task_however_many_parts(spark, monkeypatch):
+    rng, made, real = random.Random(8), [], jaccard_join._buckets
+    texts = near_copies(rng)
+    monkeypatch.setattr(jaccard_join, "_buckets", lambda packed, *a: made.append(real(packed, *a).localCheckpoint()) or made[-1])
+    want = brute(list(enumerate(texts)))
+    for size in (1 << 30, 14 * sum(max(1, len(t.split()) - 4) for t in texts) // 24):  # one part, and some two dozen
+        monkeypatch.setattr(jaccard_join, "PART_BYTES", size)
+        assert joined(docs(spark, texts)) == want
+    few, many = (df.filter("kind = 1") for df in made)
+    assert sorted(few.distinct().collect()) == sorted(many.distinct().collect())
+    assert many.count() <= spark.sparkContext.defaultParallelism * many.distinct().count()
+    assert many.groupBy("a", "b").count().agg({"count": "max"}).first()[0] <= spark.sparkContext.defaultParallelism
+
+
 def test_join_holds_at_exactly_the_threshold(spark):
     # a and b words apart at one end: 3 of 4 shingles shared is 0.75; one less is not linked
     w = [f"w{i}" for i in range(200)]
