@@ -154,13 +154,14 @@ def view_grain(views: DataFrame, layout: DataFrame, models: DataFrame) -> DataFr
 # ---- compilation ----------------------------------------------------------------------------------------------
 
 
-def broken(grains: dict[str, DataFrame], models: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """model_id and the sorted names of the rules that it breaks, for every model. Each grain is aggregated once."""
+def broken(grains: dict[str, DataFrame], models: DataFrame, rules: tuple[Rule, ...] = RULES, keep=lambda facts: facts) -> DataFrame:
+    """model_id and the sorted names of the rules that it breaks, for every model. Each grain is aggregated once. ``keep`` may store a grain's facts, a row a model, so that
+    no task works the joins of all grains at once."""
     out = models.select(KEY).distinct()
     names = []
     for grain in dict.fromkeys(r.grain for r in rules):
         own = [(i, r) for i, r in enumerate(rules) if r.grain == grain]
-        facts = grains[grain].groupBy(KEY).agg(*(F.expr(r.aggregate()).alias(f"r{i}") for i, r in own))
+        facts = keep(grains[grain].groupBy(KEY).agg(*(F.expr(r.aggregate()).alias(f"r{i}") for i, r in own)))
         out = out.join(facts.withColumn(f"has_{grain}", F.lit(True)), KEY, "left")
         for i, r in own:
             here = F.col(f"has_{grain}").isNotNull()

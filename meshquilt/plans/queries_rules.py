@@ -18,7 +18,7 @@ from meshquilt.operators import topology as T
 from meshquilt.operators.views import CUBE_VIEWS
 from meshquilt.plans.queries import query, table
 from meshquilt.sources.corpus import orders_mesh
-from meshquilt.sources.scratch import scratch, stored
+from meshquilt.sources.scratch import kept_in_parts, parts_of
 
 ROLES = (("gt", 1.0), ("coarse", 0.5), ("expanded", 0.8))
 FILES = ("gt_mesh.obj", "coarse_mesh.obj", "expanded_mesh.obj", "views/dataset.json", "views/cameras.json", "views/mesh.obj")
@@ -276,10 +276,11 @@ def refinement_validation(spark, sf):
     m = orders_mesh(spark, sf)
     lift = lambda df: df.withColumn("z", F.col("z") + 0.01 * (F.col("vid") % 3))
     before = lift(m.vertices)
-    made_v, made, kids = D.uniform(m.vertices, m.faces)
+    keep = lambda df: kept_in_parts(df, m.rows)
+    made_v, made, kids = map(keep, D.uniform(m.vertices, m.faces))
     parents = m.vertices.select("model_id", "vid", F.col("vid").alias("p0"), F.col("vid").alias("p1")).unionByName(kids.withColumnRenamed("child_vid", "vid"))
     lifted = D.uniform(before, m.faces)[0].select("model_id", "vid", F.col("z").alias("cz"))
-    query_v = stored(_damaged(made_v.join(lifted, ["model_id", "vid"]), "stored_query"), scratch(spark))
+    query_v = keep(_damaged(made_v.join(keep(lifted), ["model_id", "vid"]), "stored_query"))
     registered = _damaged(before, "registered")
     points = before.select("model_id", "vid", *(F.col(k).alias(f"l{k}") for k in "xyz"))
     saved = m.vertices.select("model_id", "vid", *(F.col(k).alias(f"k{k}") for k in "xyz")).join(points, ["model_id", "vid"]).withColumns({"fid": F.lit(0).cast("bigint"), "w0": F.lit(0.25), "w1": F.lit(0.25), "w2": F.lit(0.5)})
@@ -299,7 +300,7 @@ def refinement_validation(spark, sf):
         "collapse": RF.collapse_grain(_damaged(history, "history"), m.vertices),
         "metadata": RF.metadata_grain(_damaged(models.withColumn("metadata", F.lit(_METADATA)), "metadata_rows")),
     }
-    return R.summary(R.broken(grains, models, RF.REFINEMENT_RULES))
+    return R.summary(R.broken(grains, models, RF.REFINEMENT_RULES, kept_in_parts))
 
 
 @query(
@@ -340,6 +341,8 @@ _SIZES = {"views_14": 14, "views_28": 28, "views_56": 56}
 def nested_manifest_issues(spark, sf):
     """Three nested view sets of every customer, damaged in six ways."""
     s = table(spark, sf, "customer").select(F.col("c_custkey").cast("bigint").alias("sample_id"))
+    # samples are dealt out before their views are made: some 100 of each, eight parts' worth of rows a part
+    s = s.repartition(parts_of(spark, s.count() * sum(_SIZES.values()) // 8), "sample_id")
     arms = F.explode(F.array(*(F.struct(F.lit(a).alias("arm"), F.sequence(F.lit(0), F.lit(n - 1)).alias("v")) for a, n in _SIZES.items()))).alias("a")
     v = s.select("sample_id", arms).select("sample_id", "a.arm", F.explode("a.v").alias("view_id"))
     k = F.col("sample_id") % 13
