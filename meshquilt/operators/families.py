@@ -36,9 +36,13 @@ def nested(views: DataFrame, sizes: dict[str, int]) -> DataFrame:
     out = facts.select("arm", "sample_id", F.explode(found).alias("issue"))
     arms = list(sizes)
     for small, large in zip(arms, arms[1:], strict=False):
-        a, b = (views.filter(F.col("arm") == arm).filter(F.col("view_id") < sizes[small]).select("sample_id", "view_id", F.struct(F.lit(1).alias("there"), *about).alias(side)) for arm, side in ((small, "a"), (large, "b")))
-        met = a.join(b, ["sample_id", "view_id"], "full")
-        out = out.unionByName(_issue(met.filter(~F.col("a").eqNullSafe(F.col("b"))).select("sample_id").distinct(), small, "not_a_prefix"))
+        # a view's two sides meet in a group, not in a join of two scans: the same for all rows of it, on both sides
+        row = F.struct(F.lit(1).alias("there"), *about)
+        side = [f(F.when(F.col("arm") == arm, row)).alias(f"{f.__name__}_{arm}") for arm in (small, large) for f in (F.min, F.max)]
+        met = views.filter(F.col("arm").isin(small, large) & (F.col("view_id") < sizes[small])).groupBy("sample_id", "view_id").agg(*side)
+        low = F.col(f"min_{small}")
+        same = low.eqNullSafe(F.col(f"max_{small}")) & low.eqNullSafe(F.col(f"min_{large}")) & low.eqNullSafe(F.col(f"max_{large}"))
+        out = out.unionByName(_issue(met.filter(~same).select("sample_id").distinct(), small, "not_a_prefix"))
         one, two = (views.filter(F.col("arm") == arm).groupBy("sample_id").agg(F.min("split").alias(side)).withColumn(f"has_{side}", F.lit(True)) for arm, side in ((small, "p"), (large, "q")))
         sides = one.join(two, "sample_id", "full")
         name = F.when(F.col("has_q").isNull(), "only_in_smaller").when(F.col("has_p").isNull(), "only_in_larger").when(~F.col("p").eqNullSafe(F.col("q")), "split_differs")
