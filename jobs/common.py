@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meshquilt.plans.registry import parameter_hash
+from meshquilt.sources.scratch import by_model, joined_in_parts
 
 log = logging.getLogger("meshquilt.jobs")
 
@@ -31,12 +32,20 @@ def config_name(config) -> str:
 def write(df: DataFrame, path: str, what: str, *by: str, **options: str) -> int:
     """Overwrite ``path`` with the rows, partitioned by ``by``; logs and returns how many there are."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").options(**options).partitionBy(*by).parquet(path)
+    with joined_in_parts(df.sparkSession):
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").options(**options).partitionBy(*by).parquet(path)
     n = seen.get["n"]
     log.info("wrote %s rows of %s to %s", n, what, path)
     return n
 
 
+def aside(df: DataFrame, path: str, rows: int) -> DataFrame:
+    """An intermediate table, written over what ``path`` holds, and read back dealt out by model in as many parts as ``rows`` rows have."""
+    with joined_in_parts(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
+    return by_model(df.sparkSession.read.schema(df.schema).parquet(path), rows)
+
+
 def command(doc: str, *paths: str) -> argparse.Namespace:
     """The command line: one option for each path and ``--config``."""
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")

@@ -7,7 +7,8 @@ split) holds its counts and the first rule that it breaks. Of the models that br
 Laplacian, mean edge length, edge-scale-normalised target, represented area and area percentile (``targets/config=...``, by split). A
 model's split hangs on its id and the seed alone, so it stays where it is when the corpus grows.
 
-Both folders are of one configuration and are replaced whole, so a second run, also one after a failure, leaves the same rows.
+Edge scales and areas are written first (``work/config=...``), so that no task joins all of it at once; joins stay in their models' parts.
+All folders are of one configuration and are replaced whole, so a second run, also one after a failure, leaves the same rows.
 """
 
 from __future__ import annotations
@@ -51,8 +52,10 @@ def run(spark: SparkSession, tables: str, output: str, config: Config = Config()
     good = manifest.filter("reason IS NULL").select("model_id", "split")
     vertices, faces = mesh.vertices.join(good, "model_id", "left_semi"), mesh.faces.join(good, "model_id", "left_semi")
     edges = T.unique_edges(faces)
-    target = G.normalized_target(G.laplacian(vertices, edges), G.edge_scale(vertices, edges))
-    area = M.area_percentile(G.represented_area(vertices, G.face_areas(faces, vertices))).select("model_id", "vid", "area", "area_percentile")
+    scale = common.aside(G.edge_scale(vertices, edges), f"{output}/work/config={name}/scale", mesh.rows)
+    areas = common.aside(G.represented_area(vertices, G.face_areas(faces, vertices)), f"{output}/work/config={name}/area", mesh.rows)
+    target = G.normalized_target(G.laplacian(vertices, edges), scale)
+    area = M.area_percentile(areas).select("model_id", "vid", "area", "area_percentile")
     rows = target.join(area, ["model_id", "vid"]).join(good, "model_id").select(
         "model_id", "vid", "lx", "ly", "lz", "h", "degree", "valid", "tx", "ty", "tz", "area", "area_percentile", "split"
     )
