@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meshquilt.functions import vec as V
 from meshquilt.operators import geometry as G
 from meshquilt.operators import topology as T
-from meshquilt.sources.scratch import scratch, stored
+from meshquilt.sources.scratch import kept_in_parts
 
 EDGES_OF = (("e0", 0, 1), ("e1", 1, 2), ("e2", 2, 0))
 
@@ -72,17 +72,21 @@ def uniform(vertices: DataFrame, faces: DataFrame) -> tuple[DataFrame, DataFrame
 def midpoint(vertices: DataFrame, faces: DataFrame, steps: int = 1) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """``steps`` rounds: one midpoint per edge in the order the faces first meet it (ab, bc, ca), coordinates in single
     precision, collapsed faces dropped, compacted. (vertices, faces, parents, vid_remap of the last round)."""
-    spark = vertices.sparkSession
+    n_vertices = vertices.count()
+    keep = lambda df: kept_in_parts(df, n_vertices)
     parents = remap = None
-    for _ in range(steps):
+    for k in range(steps):
         met = T.half_edges(faces).select("model_id", F.least("a", "b").alias("u"), F.greatest("a", "b").alias("w"), (3 * F.col("fid") + F.col("corner")).alias("seen"))
-        mids = stored(_midpoints(vertices, met.groupBy("model_id", "u", "w").agg(F.min("seen").alias("seen")), "seen"), scratch(spark))
+        mids = keep(_midpoints(vertices, met.groupBy("model_id", "u", "w").agg(F.min("seen").alias("seen")), "seen"))
         v = vertices.select("model_id", "vid", "x", "y", "z").unionByName(mids.select("model_id", F.col("mid").alias("vid"), "x", "y", "z"))
-        v = stored(v.select("model_id", "vid", *(V.f32(F.col(k)).alias(k) for k in "xyz")), scratch(spark))
+        v = keep(v.select("model_id", "vid", *(V.f32(F.col(k)).alias(k) for k in "xyz")))
         kids = F.array(_tri("i0", "e0", "e2"), _tri("i1", "e1", "e0"), _tri("i2", "e2", "e1"), _tri("e0", "e1", "e2"))
         f = _edge_ids(faces, mids).select("model_id", "fid", F.posexplode(kids).alias("k", "t")).select("model_id", (F.col("fid") * 4 + F.col("k")).alias("fid"), "t.*")
-        f = stored(G.face_areas(f, v).filter("area > 0").select("model_id", "fid", "i0", "i1", "i2"), scratch(spark))
-        vertices, faces, remap = T.compaction(v, f)
+        f = keep(G.face_areas(f, v).filter("area > 0").select("model_id", "fid", "i0", "i1", "i2"))
+        v, _, remap = T.compaction(v, f)
+        vertices, remap = keep(v), keep(remap)
+        faces = T.renumber(f, remap)
+        faces = keep(faces) if k < steps - 1 else faces
         parents = mids.select("model_id", F.col("mid").alias("child_vid"), F.col("u").alias("p0"), F.col("w").alias("p1"))
     return vertices, faces, parents, remap
 
@@ -90,12 +94,13 @@ def midpoint(vertices: DataFrame, faces: DataFrame, steps: int = 1) -> tuple[Dat
 def adaptive(vertices: DataFrame, faces: DataFrame, max_area: float | DataFrame, max_rounds: int = 12, max_vertices: int | None = None):
     """Split all edges of the faces at vertices whose represented area is over ``max_area`` (a number, or model_id and
     max_area) until none is. (vertices, faces, history rows: round, oversized, vertices). Too many rounds or vertices: error."""
-    spark = vertices.sparkSession
+    n_vertices = vertices.count()
+    keep = lambda df: kept_in_parts(df, n_vertices)
     limit = vertices.select("model_id").distinct().withColumn("max_area", F.lit(float(max_area))) if not isinstance(max_area, DataFrame) else max_area
     history = []
     for k in range(max_rounds + 1):
         rep = G.represented_area(vertices, G.face_areas(faces, vertices)).join(limit, "model_id")
-        big = stored(rep.filter(F.col("area") > F.col("max_area") * (1 + 1e-12)).select("model_id", "vid"), scratch(spark))
+        big = keep(rep.filter(F.col("area") > F.col("max_area") * (1 + 1e-12)).select("model_id", "vid"))
         n_big, n = big.count(), vertices.count()
         history.append((k, n_big, n))
         if not n_big:
@@ -105,5 +110,5 @@ def adaptive(vertices: DataFrame, faces: DataFrame, max_area: float | DataFrame,
         spots = faces.select("model_id", "fid", F.explode(F.array("i0", "i1", "i2")).alias("vid")).join(big, ["model_id", "vid"], "left_semi").select("model_id", "fid").distinct()
         marked = T.unique_edges(faces.join(spots, ["model_id", "fid"], "left_semi"))
         v, f, _ = split_marked(vertices, faces, marked)
-        vertices, faces = stored(v, scratch(spark)), stored(f, scratch(spark))
+        vertices, faces = keep(v), keep(f)
     raise AssertionError
