@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meshquilt.operators import geometry as G
 from meshquilt.operators import selection as S
 from meshquilt.operators import topology as T
+from meshquilt.sources.scratch import kept_in_parts
 
 
 def issues_of(facts: DataFrame, rules: list[tuple[str, object]], key: str = "model_id") -> DataFrame:
@@ -78,8 +79,11 @@ def midpoint_rules(coarse: DataFrame, expanded: DataFrame, parents: DataFrame, r
     q = coarse.select("model_id", F.col("vid").alias("p1"), *(F.col(k).alias(f"b{k}") for k in "xyz"))
     mid = parents.join(p, ["model_id", "p0"]).join(q, ["model_id", "p1"]).join(old.withColumnRenamed("vid", "child_vid"), ["model_id", "child_vid"]).join(is_, ["model_id", "new_vid"])
     mid = mid.select("model_id", "new_vid", *(F.abs((F.col(f"a{k}") + F.col(f"b{k}")) / 2 - F.col(f"e{k}")).alias(f"d{k}") for k in "xyz"))
-    facts = kept.unionByName(mid).groupBy("model_id").agg(F.max(F.greatest("dx", "dy", "dz")).alias("err"), F.count_distinct("new_vid").alias("n"))
-    facts = facts.join(expanded.groupBy("model_id").agg(F.count("*").alias("all")), "model_id", "right")
+    n = coarse.count()
+    # stored, as a plan with all these joins holds too many sorts at once
+    kept, mid = (kept_in_parts(df.select("model_id", "new_vid", F.greatest("dx", "dy", "dz").alias("err")), n) for df in (kept, mid))
+    facts = kept.unionByName(mid).groupBy("model_id").agg(F.max("err").alias("err"), F.count_distinct("new_vid").alias("n"))
+    facts = kept_in_parts(facts.join(expanded.groupBy("model_id").agg(F.count("*").alias("all")), "model_id", "right"))
     return issues_of(facts, [("midpoint_reconstruction_mismatch", F.col("err") > tolerance), ("unmapped_expanded_vertices", F.coalesce("n", F.lit(0)) != F.col("all"))])
 
 
