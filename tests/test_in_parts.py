@@ -1,9 +1,18 @@
 """Meshes of a corpus of small models are worked in their models' parts: what is dealt out is the corpus, not pairs, edges or corners."""
 
+import re
+import time
+
+import numpy as np
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from meshquilt.kernels import simplify
+from meshquilt.operators import geometry as G
 from meshquilt.operators import nearest as N
+from meshquilt.operators import subdivide as D
 from meshquilt.sources.corpus import orders_mesh
+from meshquilt.sources.scratch import joined_in_parts
 
 
 def plan(df) -> str:
@@ -36,3 +45,61 @@ def test_faces_and_points_that_cannot_be_used_are_left_out(spark, sf):
     got = N.nearest_faces(q, v, f)
     assert got.filter("vid IN (3, 4) OR fid IN (0, 1)").count() == 0 and got.filter("isnan(d2) OR d2 = double('inf')").count() == 0
     assert got.count() == q.filter("vid NOT IN (3, 4)").count()
+
+
+def height_field(n=300, width=16):
+    at = np.arange(n)
+    v = np.stack((at % width / 16, at // width / 16, np.random.default_rng(5).uniform(0, 1, n)), axis=1)
+    lower = [(k, k + 1, k + width) for k in range(n - width) if k % width < width - 1]
+    upper = [(k + 1, k + width + 1, k + width) for k in range(n - width - 1) if k % width < width - 1]
+    return v, np.array(lower + upper)
+
+
+def test_a_collapse_of_a_small_model_takes_hundredths_of_a_second():
+    v, f = height_field()
+    took = []
+    for _ in range(5):
+        began = time.process_time()
+        nv, nf, to, history = simplify.collapse(v, f, 100)
+        took.append(time.process_time() - began)
+    assert len(nv) == 100 and len(history) == 200 and set(to) == set(range(100)) and nf.min() >= 0 and nf.max() < 100
+    assert min(took) < 0.2  # 0.46 s with arrays of three and four numbers, 0.04 s now
+
+
+def dealt_again(df) -> int:
+    """Exchanges that are not of the corpus or of a table read back, and not by model alone."""
+    return len([line for line in plan(df).split("\n") if "Exchange hashpartitioning(" in line and "REPARTITION_BY_NUM" not in line and not re.search(r"hashpartitioning\(model_id#\d+L?, \d+\)", line)])
+
+
+def test_joins_in_parts_deal_nothing_again_and_restore_the_settings(spark, sf):
+    m = orders_mesh(spark, sf)
+    names = ("spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.unionOutputPartitioning")
+    before = [spark.conf.get(n, None) for n in names]
+    assert dealt_again(G.face_areas(m.faces, m.vertices)) > 0
+    with joined_in_parts(spark):
+        assert dealt_again(G.face_areas(m.faces, m.vertices)) == 0
+    try:
+        with joined_in_parts(spark):
+            raise KeyError
+    except KeyError:
+        pass
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
+def test_steps_of_cleanup_and_subdivision_come_dealt_by_model(spark, sf):
+    m = orders_mesh(spark, sf)
+    for df in (*G.clean(m.vertices, m.faces)[:2], *D.midpoint(m.vertices, m.faces)[:1], *D.adaptive(m.vertices, m.faces, 1.0)[:2]):
+        assert only_the_corpus_is_dealt(df)
+
+
+def test_results_of_long_plans_are_read_back(spark, sf):
+    """So their joins were planned in parts; what is left is a scan and at most an exchange by model."""
+    for name in ("area_conserved", "spearman_area_scale", "adaptive_subdivision", "midpoint_validation", "refinement_validation", "surface_targets", "surface_distance_stats"):
+        assert dealt_again(entry.queries()[name](spark, sf)) == 0, name
+
+
+def test_added_faces_and_views_stay_in_their_parts(spark, sf):
+    for name in ("winding_conflicts", "duplicate_faces_ordered", "duplicate_faces_any_order"):
+        assert only_the_corpus_is_dealt(entry.queries()[name](spark, sf)), name
+    lines = plan(entry.queries()["nested_manifest_issues"](spark, sf)).split("\n")
+    assert not [line for line in lines if "Exchange hashpartitioning" in line and "view_id" in line]
