@@ -30,9 +30,9 @@ def nested(views: DataFrame, sizes: dict[str, int]) -> DataFrame:
     want = F.lit(None).cast("int")
     for arm, n in sizes.items():
         want = F.when(F.col("arm") == arm, n).otherwise(want)
-    facts = views.groupBy("arm", "sample_id").agg(F.count("*").alias("n"), F.count_distinct("view_id").alias("d"), F.min("view_id").alias("low"), F.max("view_id").alias("high"), F.count_distinct("split").alias("s")).withColumn("want", want).filter("want IS NOT NULL")
+    facts = views.groupBy("arm", "sample_id").agg(F.count("*").alias("n"), F.size(F.collect_set("view_id")).alias("d"), F.min("view_id").alias("low"), F.max("view_id").alias("high"), (F.min("split") < F.max("split")).alias("s")).withColumn("want", want).filter("want IS NOT NULL")
     numbered = (F.col("low") == 0) & (F.col("high") == F.col("n") - 1) & (F.col("d") == F.col("n"))
-    found = F.array_compact(F.array(F.when(F.col("n") != F.col("want"), "unexpected_view_count"), F.when(~numbered, "views_not_numbered"), F.when(F.col("s") > 1, "several_splits")))
+    found = F.array_compact(F.array(F.when(F.col("n") != F.col("want"), "unexpected_view_count"), F.when(~numbered, "views_not_numbered"), F.when(F.col("s"), "several_splits")))
     out = facts.select("arm", "sample_id", F.explode(found).alias("issue"))
     arms = list(sizes)
     for small, large in zip(arms, arms[1:], strict=False):
