@@ -73,3 +73,52 @@ def test_nothing_to_draw(spark):
     cams, _ = camera(spark, 16)
     dv, df = mesh(spark, np.array([[0, 0, 0], [1, 0, 0], [2, 0, 0], [9, 9, 9], [9, 8, 9], [9, 9, 8]], float), [[0, 1, 2], [3, 4, 5], [0, 0, 1]])
     assert TI.drawn(dv, df, cams.filter("view_id = 0")).count() == 0 and TI.drawn(dv.limit(0), df, cams).count() == 0
+
+
+def test_small_models_are_drawn_whole_and_equal_their_tiles(spark, monkeypatch):
+    """What is packed is drawn without a row for each triangle, view and tile, and no pixel is shuffled; a large model beside it is drawn by tiles."""
+    cams, _ = camera(spark, 40)
+    meshes = [mesh(spark, *m, model) for model, m in enumerate((soup(3), sphere(2), cube()))]
+    dv, df = meshes[0][0].union(meshes[1][0]).union(meshes[2][0]), meshes[0][1].union(meshes[1][1]).union(meshes[2][1])
+    lost = df.union(spark.createDataFrame([(2, 99, 0, 1, 777)], df.schema))  # a corner that names no vertex
+    tint = dv.filter("vid % 5 <> 0").select("model_id", "vid", *((dv.vid * n % 256).cast("double").alias(c) for n, c in ((3, "r"), (7, "g"), (11, "b"))))
+    seen = {}
+    real = TI.binned
+
+    def watched(vertices, *rest):
+        seen["tiles"] = sorted(r["model_id"] for r in vertices.select("model_id").distinct().collect())
+        return real(vertices, *rest)
+
+    monkeypatch.setattr(TI, "binned", watched)
+    for cull in (False, True):
+        got = {}
+        for most in (TI.MOST_DRAWN, 700, 0):  # all packed; the soup and the sphere by tiles; all by tiles
+            seen["tiles"] = []
+            with monkeypatch.context() as m:
+                m.setattr(TI, "MOST_DRAWN", most)
+                got[most] = sorted(map(tuple, TI.drawn(dv, lost, cams, tint, cull, tile=8).collect()))
+            assert seen["tiles"] == {0: [0, 1, 2], 700: [0], TI.MOST_DRAWN: []}[most]
+        assert len(got[0]) > 500 and len({r[0] for r in got[0]}) == 3
+        for rows in got.values():
+            assert [r[:4] for r in rows] == [r[:4] for r in got[0]]
+            assert np.allclose([r[4] for r in rows], [r[4] for r in got[0]], rtol=0, atol=1e-9)
+            same = [(a, b) for a, b in zip(rows, got[0], strict=True) if a[5] == b[5]]
+            assert len(same) >= len(rows) * 0.98 and all(np.allclose(a[6:], b[6:], atol=1e-5) for a, b in same)
+
+
+def test_no_fragment_lies_outside_its_box():
+    """The boxes hold every pixel that a wide one finds, slivers and far corners too."""
+    rng = np.random.default_rng(9)
+    size, hits = np.array([24, 20]), 0
+    for spread, thin in ((0.4, 1.0), (3.0, 1e-3), (30.0, 1e-7), (2000.0, 1e-9), (1e6, 1.0)):
+        p = rng.uniform(-2, 26, (400, 1, 2)) + rng.normal(size=(400, 3, 2)) * spread * np.array([1.0, thin])
+        p[::4] = np.round(p[::4] * 2) / 2  # corners on pixel centres and edges
+        corner = {f"{n}{i}": p[:, i, j] for j, n in enumerate(("px", "py")) for i in range(3)} | {f"{n}{i}": np.ones(400) for n in ("z", *TI.COLOURS) for i in range(3)}
+        area = (p[:, 1, 0] - p[:, 0, 0]) * (p[:, 2, 1] - p[:, 0, 1]) - (p[:, 1, 1] - p[:, 0, 1]) * (p[:, 2, 0] - p[:, 0, 0])
+        ok = np.abs(area) >= 1e-14
+        corner, p, area = {n: c[ok] for n, c in corner.items()}, p[ok], area[ok]
+        wide = np.maximum(np.floor(p.min(axis=1) - 0.5), 0).astype(int), np.minimum(np.ceil(p.max(axis=1) + 0.5), size).astype(int)
+        want, got = (set(zip(*(a.tolist() for a in TI.fragments(corner, *box)[:3]), strict=True)) for box in (wide, raster.boxes(p[..., 0], p[..., 1], area, size)))
+        assert got == want
+        hits += len(want)
+    assert hits > 1000
