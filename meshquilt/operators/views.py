@@ -266,12 +266,41 @@ def raster_audit(rasters_: DataFrame) -> DataFrame:
         F.count(F.when(F.col("mask"), 1)).alias("n"), F.count(F.when(F.col("mask") & at_edge, 1)).alias("edge"),
         F.count(F.when(F.col("mask") & (~good | (F.col("depth") <= 0)), 1)).alias("inside"), F.count(F.when(~F.col("mask") & good, 1)).alias("outside"),
     )
-    tag = lambda name, rule: F.when(rule, F.concat(F.lit(f"{name}:view_"), F.col("view_id").cast("string")))
-    issues = F.array_compact(F.array(tag("empty_mask", F.col("n") == 0), tag("mask_touches_image_border", F.col("edge") > 0), tag("invalid_foreground_depth", F.col("inside") > 0), tag("finite_background_depth", F.col("outside") > 0)))
-    out = facts.select("model_id", "view_id", issues.alias("issues"))
+    out = facts.select("model_id", "view_id", _view_issues().alias("issues"))
     return out if failed is None else out.unionByName(failed)
 
 
+def _view_issues():
+    """The issues of a view, of how many pixels have each: n (in the mask), edge, inside, outside."""
+    tag = lambda name, rule: F.when(rule, F.concat(F.lit(f"{name}:view_"), F.col("view_id").cast("string")))
+    return F.array_compact(F.array(tag("empty_mask", F.col("n") == 0), tag("mask_touches_image_border", F.col("edge") > 0), tag("invalid_foreground_depth", F.col("inside") > 0), tag("finite_background_depth", F.col("outside") > 0)))
+
+
+def pixel_facts(mask: np.ndarray, depth: np.ndarray) -> tuple[int, int, int, int]:
+    """What ``raster_audit`` counts in one picture: pixels in the mask, of these on the border, of these without a finite positive depth, and pixels outside with a finite one."""
+    good = np.isfinite(depth)
+    edge = int(mask.sum()) - int(mask[1:-1, 1:-1].sum())
+    return int(mask.sum()), edge, int((mask & ~(good & (depth > 0))).sum()), int((~mask & good).sum())
+
+
+def rendered_audit(vertices: DataFrame, faces: DataFrame, cameras: DataFrame, cull: bool = False) -> DataFrame:
+    """``raster_audit`` of every model and view from pictures that stay in the task that draws them: no pixel is written or shuffled, a task returns a row for each
+    model and view."""
+    views = _views(cameras)
+
+    def kernel(_model, _vids, v, _fids, f):
+        out: dict[str, list] = {n: [] for n in ("view_id", "n", "edge", "inside", "outside")}
+        for view, k, r, t, w, h in views:
+            depth, ids = raster.rasterize(v, f, k, r, t, w, h, cull)
+            for n, c in zip(out, (view, *pixel_facts(ids >= 0, depth)), strict=True):
+                out[n].append(c)
+        return out
+
+    facts = packed.each_model(packed.pack(vertices, faces), kernel, "view_id int, n bigint, edge bigint, inside bigint, outside bigint")
+    failed = F.array(F.concat(F.lit("raster_failed:"), "error"))
+    return facts.select("model_id", "view_id", F.when(F.col("error").isNull(), _view_issues()).otherwise(failed).alias("issues"))
+
+
 def resized_nearest(rasters_: DataFrame, width: int, height: int) -> DataFrame:
     """Nearest-pixel resize of raster rows: each target pixel takes floor((p + 1/2) n / m)."""
 

@@ -1,5 +1,6 @@
 """Selection, views, samples, photogrammetry, files, registry, streaming."""
 
+import functools
 import hashlib
 import io
 import math
@@ -172,6 +173,22 @@ def test_rasters_and_renderer_visibility(spark):
     assert half.count() == 2 * 24 * 24
 
 
+def test_an_audit_in_the_drawing_task_equals_that_of_the_pixels(spark, sf, monkeypatch):
+    meshes = [mesh(spark, pts, faces, i) for i, (pts, faces) in enumerate(((sphere(1)[0] * 0.8, sphere(1)[1]), (sphere(1)[0] * 2.5, sphere(1)[1]), (cube()[0], [[0, 1, 99]]), (cube()[0], [[0, 0, 1]])))]
+    v, f = (functools.reduce(lambda a, b: a.union(b), side) for side in zip(*meshes, strict=True))
+    cams = VW.cube_cameras(spark, 3.0, 24).filter("view_id in (0, 7)")
+    want = sorted((r["model_id"], r["view_id"] or -1, r["issues"]) for r in VW.raster_audit(VW.rasters(v, f, cams)).collect())
+    assert sorted((r["model_id"], r["view_id"] or -1, r["issues"]) for r in VW.rendered_audit(v, f, cams).collect()) == want
+    assert {i.split(":")[0] for r in want for i in r[2]} == {"empty_mask", "mask_touches_image_border", "raster_failed"} and len(want) == 7
+    mask, depth = np.array([[0, 0, 0], [0, 1, 1], [0, 1, 0]], bool), np.array([[np.inf, 2.0, np.inf], [np.inf, np.nan, -1.0], [np.inf, 3.0, np.inf]])
+    assert VW.pixel_facts(mask, depth) == (3, 2, 2, 1)
+    pixels = spark.createDataFrame([(1, 0, y, x, bool(mask[y, x]), float(depth[y, x])) for y in range(3) for x in range(3)], "model_id long, view_id int, py int, px int, mask boolean, depth double")
+    assert VW.raster_audit(pixels).first()["issues"] == ["mask_touches_image_border:view_0", "invalid_foreground_depth:view_0", "finite_background_depth:view_0"]
+    assert VW.pixel_facts(np.zeros((1, 4), bool), np.full((1, 4), np.inf)) == (0, 0, 0, 0) and VW.pixel_facts(np.ones((1, 4), bool), np.ones((1, 4)))[1] == 4
+    monkeypatch.setattr(VW, "rasters", None)  # the query makes no row for a pixel
+    assert QM.raster_issues(spark, sf).count() == 70
+
+
 def test_raster_queries_take_every_model(spark, sf):
     audit = QM.raster_issues(spark, sf).select("model_id", "view_id").collect()
     seen = QM.renderer_visibility(spark, sf).select("model_id", "view_id").collect()
