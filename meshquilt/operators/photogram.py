@@ -61,14 +61,25 @@ HEADS = {
 POSE = ("qw", "qx", "qy", "qz", "tx", "ty", "tz")
 
 
-def _lines(kind: str, rows: DataFrame, key: str, *values, count: str | None = None) -> DataFrame:
-    """at, sub, value: the head (at null, so it sorts first), then the lines of ``rows`` by key. ``count``: a column whose mean the head states."""
-    mean = F.coalesce(F.avg(count), F.lit(0.0)) if count else F.lit(0.0)
-    facts = rows.agg(F.count("*").cast("string").alias("n"), mean.alias("m"))
+def _lines(kind: str, rows: DataFrame, key: str, numbers: tuple, *values, counts: DataFrame | None = None) -> DataFrame:
+    """at, sub, value, in order: the head (at null), then the lines of ``rows`` by key. ``numbers``: the double columns, which are printed once rows are in order, so the
+    sort moves and samples numbers, and every task prints. ``counts``: ids and ``n``, whose mean the head states; it must be cheap, as it is a pass of its own."""
+    mean = F.coalesce(F.avg("n"), F.lit(0.0)) if counts is not None else F.lit(0.0)
+    facts = (rows.select(key) if counts is None else counts).agg(F.count("*").cast("string").alias("n"), mean.alias("m"))
     m = F.when(F.col("m") == F.floor("m"), F.floor("m").cast("string")).otherwise(F.col("m").cast("string"))
     head = F.array(*(F.replace(F.replace(F.lit(h), F.lit("{n}"), F.col("n")), F.lit("{m}"), m) for h in HEADS[kind]))
     top = facts.select(F.lit(None).cast("bigint").alias("at"), F.posexplode(head).alias("sub", "value"))
-    return top.unionByName(rows.select(F.col(key).alias("at"), F.posexplode(F.array(*values)).alias("sub", "value")))
+    body = rows.orderBy(key)
+    body = printed(body, *numbers) if numbers else body
+    # a union's parts are those of its sides, one after the other: the head stands first
+    return top.unionByName(body.select(F.col(key).alias("at"), F.posexplode(F.array(*values)).alias("sub", "value")))
+
+
+def _counted(rows: DataFrame, key: str, many: DataFrame | None) -> DataFrame:
+    """``key`` of every row, and how many rows of ``many`` have it as n."""
+    if many is None:
+        return rows.select(key, F.lit(0).alias("n"))
+    return rows.select(key).join(many.groupBy(key).agg(F.count("*").alias("n")), key, "left").select(key, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def _joined(*columns):
@@ -81,42 +92,43 @@ def cameras_lines(cameras: DataFrame) -> DataFrame:
     text = printed(cameras.select("camera_id", n.alias("e")).select("camera_id", F.col("e.i").alias("i"), F.col("e.p").alias("p")), "p")
     params = text.groupBy("camera_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "p"))), lambda s: s.p), " ").alias("text"))
     rows = cameras.join(params, "camera_id", "left")
-    return _lines("cameras", rows, "camera_id", _joined("camera_id", "model", "width", "height", "text"))
+    return _lines("cameras", rows, "camera_id", (), _joined("camera_id", "model", "width", "height", "text"), counts=_counted(cameras, "camera_id", None))
 
 
 def rigs_lines(rigs: DataFrame) -> DataFrame:
     """``rigs``: rig_id, camera_id (its reference sensor)."""
-    return _lines("rigs", rigs, "rig_id", _joined("rig_id", F.lit("1 CAMERA"), "camera_id"))
+    return _lines("rigs", rigs, "rig_id", (), _joined("rig_id", F.lit("1 CAMERA"), "camera_id"))
 
 
 def frames_lines(images: DataFrame) -> DataFrame:
     """``images``: image_id, camera_id, frame_id, rig_id and the pose; in image order."""
-    return _lines("frames", printed(images, *POSE), "image_id", _joined("frame_id", "rig_id", *POSE, F.lit("1 CAMERA"), "camera_id", "image_id"))
+    return _lines("frames", images.select("frame_id", "rig_id", *POSE, "camera_id", "image_id"), "image_id", POSE, _joined("frame_id", "rig_id", *POSE, F.lit("1 CAMERA"), "camera_id", "image_id"))
 
 
 def images_lines(images: DataFrame, points: DataFrame | None = None) -> DataFrame:
     """Two lines an image, in image order: the pose, and its points. ``points``: image_id, idx, x, y, point3d_id (-1: none)."""
-    rows = printed(images, *POSE).withColumn("text", F.lit("")).withColumn("n_points", F.lit(0))
+    rows = images.withColumn("text", F.lit(""))
     if points is not None:
         one = F.struct("idx", _joined("x", "y", "point3d_id").alias("t"))
-        by = printed(points.select("image_id", "idx", F.col("x").cast("double"), F.col("y").cast("double"), "point3d_id"), "x", "y").groupBy("image_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(one)), lambda s: s.t), " ").alias("_t"), F.count("*").alias("_n"))
-        rows = rows.join(by, "image_id", "left").withColumn("text", F.coalesce("_t", F.lit(""))).withColumn("n_points", F.coalesce("_n", F.lit(0)))
-    return _lines("images", rows, "image_id", _joined("image_id", *POSE, "camera_id", "name"), F.col("text"), count="n_points")
+        by = printed(points.select("image_id", "idx", F.col("x").cast("double"), F.col("y").cast("double"), "point3d_id"), "x", "y").groupBy("image_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(one)), lambda s: s.t), " ").alias("_t"))
+        rows = images.join(by, "image_id", "left").withColumn("text", F.coalesce("_t", F.lit("")))
+    rows = rows.select("image_id", *POSE, "camera_id", "name", "text")
+    return _lines("images", rows, "image_id", POSE, _joined("image_id", *POSE, "camera_id", "name"), F.col("text"), counts=_counted(images, "image_id", points))
 
 
 def points_lines(points: DataFrame, tracks: DataFrame) -> DataFrame:
     """``points``: point3d_id, x, y, z, r, g, b, error; ``tracks``: point3d_id, image_id, idx. A track is listed by image and index."""
-    by = tracks.groupBy("point3d_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("image_id", "idx"))), lambda s: F.concat_ws(" ", s.image_id.cast("string"), s.idx.cast("string"))), " ").alias("text"), F.count("*").alias("n_track"))
-    rows = printed(points, "x", "y", "z", "error").join(by, "point3d_id", "left").withColumn("n_track", F.coalesce("n_track", F.lit(0)))
-    return _lines("points3D", rows, "point3d_id", _joined("point3d_id", "x", "y", "z", "r", "g", "b", "error", "text"), count="n_track")
+    by = tracks.groupBy("point3d_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("image_id", "idx"))), lambda s: F.concat_ws(" ", s.image_id.cast("string"), s.idx.cast("string"))), " ").alias("text"))
+    rows = points.select("point3d_id", "x", "y", "z", "r", "g", "b", "error").join(by, "point3d_id", "left")
+    return _lines("points3D", rows, "point3d_id", ("x", "y", "z", "error"), _joined("point3d_id", "x", "y", "z", "r", "g", "b", "error", "text"), counts=_counted(points, "point3d_id", tracks))
 
 
 def write_sparse_model(path: str, **lines: DataFrame) -> None:
-    """cameras, rigs, frames, images, points3D: each a folder of ordered text parts under ``path``."""
+    """cameras, rigs, frames, images, points3D, as the functions above give them, which is in order: each a folder of text parts under ``path``."""
     for name, rows in lines.items():
         if name not in HEADS:
             raise ValueError(f"no file is called {name}")
-        write_lines(rows, f"{path}/{name}.txt", "at", "sub")
+        write_lines(rows, f"{path}/{name}.txt")
 
 
 def image_rig_rows(spark: SparkSession) -> DataFrame:

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 
 def write_lines(lines: DataFrame, path: str, *order: str) -> None:
-    """Text of the column ``value`` in the order of the other columns named. Spark's global sort deals the rows out by ranges, so the parts, read by name
+    """Text of the column ``value`` in the order of the other columns named (none: the rows are in order). Spark's global sort deals the rows out by ranges, so the parts, read by name
     one after another, are the file; no task holds more than a range."""
-    lines.orderBy(*order).select("value").write.mode("overwrite").text(path)
+    (lines.orderBy(*order) if order else lines).select("value").write.mode("overwrite").text(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -131,6 +131,33 @@ def test_sparse_model_is_read_back_equal(spark, tmp_path):
     assert len(P.cameras_text(long).first()["params"]) == 1500
 
 
+def test_sparse_model_numbers_are_printed_once_and_after_the_sort(spark, tmp_path):
+    n = 3000
+    k = F.col("id") * 7919 % n
+    images = spark.range(n, numPartitions=5).select(k.alias("image_id"), (k % 3).alias("camera_id"), (k + 5).alias("frame_id"), (k % 9).alias("rig_id"), F.concat(F.lit("i"), k.cast("string")).alias("name"), *((k / (i + 3.0)).alias(c) for i, c in enumerate(P.POSE)))
+    seen = spark.range(2 * n, numPartitions=3).select((F.col("id") % (n // 2)).alias("image_id"), F.floor(F.col("id") / (n // 2)).cast("int").alias("idx"), (F.col("id") / 7.0).alias("x"), F.lit(0.5).alias("y"), (F.col("id") % 100).alias("point3d_id"))
+    points = spark.range(100).select(F.col("id").alias("point3d_id"), *((F.col("id") / 3.0).alias(c) for c in "xyz"), *(F.lit(i).alias(c) for i, c in enumerate("rgb")), F.lit(0.25).alias("error"))
+    lines = {"frames": P.frames_lines(images), "images": P.images_lines(images, seen), "points3D": P.points_lines(points, seen)}
+    for name, passes in (("frames", 1), ("images", 2), ("points3D", 1)):  # observations are printed too, once
+        plan = lines[name]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        at = [i for i, line in enumerate(plan) if "MapInArrow" in line]
+        assert len(at) == passes and at[0] < next(i for i, line in enumerate(plan) if "Sort [" in line)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        P.write_sparse_model(f"{tmp_path}/m", **lines)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    rows = {name: OR.read_lines(spark, f"{tmp_path}/m/{name}.txt").orderBy("part", "line").collect() for name in lines}
+    assert all(len({r["part"] for r in of}) > 3 for of in rows.values())
+    text = {name: [r["value"] for r in of] for name, of in rows.items()}
+    assert text["frames"][2] == f"# Number of frames: {n}" and [int(v.split()[-1]) for v in text["frames"][3:]] == list(range(n))
+    assert text["images"][3] == f"# Number of images: {n}, mean observations per image: 2" and [int(v.split()[0]) for v in text["images"][4::2]] == list(range(n))
+    assert text["images"][4 + 2 * 8] == "8 " + " ".join("%.17g" % (8 / (i + 3.0)) for i in range(7)) + " 2 i8"
+    assert text["images"][5 + 2 * 8] == " ".join(f"{'%.17g' % ((8 + i * n // 2) / 7.0)} 0.5 {(8 + i * n // 2) % 100}" for i in range(4)) and text["images"][-1] == ""
+    assert text["points3D"][2] == "# Number of points: 100, mean track length: 60" and [int(v.split()[0]) for v in text["points3D"][3:]] == list(range(100))
+
+
 # ---- ingestion ------------------------------------------------------------------------------------------------
 
 
