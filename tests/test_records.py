@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from meshquilt.operators import photogram as P
 from meshquilt.operators import samples as SA
 from meshquilt.operators import selection as S
@@ -330,3 +331,44 @@ def test_leaves_failures_as_rows(spark):
 
     got = {r["model_id"]: (r["n"], r["error"]) for r in packed.each_model(packed.pack(v.union(v2), f.union(f2)), kernel, "n bigint").collect()}
     assert got == {1: (8, None), 2: (None, "RuntimeError: no")}
+
+
+def brute_pairs(rows):
+    """All pairs a < b of (id, hash, wd, wh, descriptor, n_faces)."""
+    out = set()
+    for a in rows:
+        for b in rows:
+            same = a[1] is not None and a[1] == b[1]
+            known = None not in (a[2], b[2], a[3], b[3]) and len(a[4]) == len(b[4]) and None not in (*a[4], *b[4])
+            close = known and abs(a[2] - b[2]) <= 0.06 and abs(a[3] - b[3]) <= 0.08 and sum((x - y) ** 2 for x, y in zip(a[4], b[4], strict=True)) ** 0.5 < 0.035 and max(a[5], b[5]) / max(min(a[5], b[5]), 1) < 1.15
+            if a[0] < b[0] and (same or close):
+                out.add((a[0], b[0]))
+    return out
+
+
+_DUPLICATE = "id long, hash string, wd double, wh double, descriptor array<double>, n_faces long"
+
+
+def test_near_duplicates_pair_all_rows_of_a_hash(spark):
+    """Not only each row with the first; pairs that are close too come once."""
+    rows = [(i, "same", float(i), 1.0, [0.0], 1000) for i in range(5)] + [(i, "near", 9.0 + 0.01 * i, 1.0, [0.01 * (i % 2)], 1000) for i in range(5, 10)]
+    got = [tuple(r) for r in S.near_duplicates(spark.createDataFrame(rows, _DUPLICATE)).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_pairs(rows) and (3, 4) in got
+
+
+def test_near_duplicates_in_blocks_are_those_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK_ROWS", 3)
+    inf, nan = float("inf"), float("nan")
+    odd = [None, inf, -inf, nan, 1e300, -1e300, 2.0, 2.05]
+    rows = [(i, None if i % 7 == 0 else f"h{i % 11}", odd[i % 8] if i % 5 == 0 else 1.0 + i % 13 / 100, odd[i // 8 % 8] if i % 6 == 0 else 1.0 + i % 17 / 100, [[0.0, i / 1000], [0.01], [None, 1.0], []][i % 4 if i % 3 == 0 else 0], i % 3) for i in range(60)]
+    rows.append((59, "h1", 1.01, 1.01, [0.0, 0.05], 2))  # an id again
+    want = brute_pairs(rows)
+    for most in (8, 0):  # descriptors as columns, and as arrays
+        monkeypatch.setattr(S, "MOST_COLUMNS", most)
+        got = [tuple(r) for r in S.near_duplicates(spark.createDataFrame(rows, _DUPLICATE)).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+
+
+def test_near_duplicate_pairs_are_not_shuffled(spark, sf):
+    text = entry.queries()["near_duplicate_pairs"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert text.split("\n")[1].strip() == "+- Union" and not [line for line in text.split("\n") if "Aggregate" in line and "a_id" in line]
