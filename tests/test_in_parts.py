@@ -103,3 +103,10 @@ def test_added_faces_and_views_stay_in_their_parts(spark, sf):
         assert only_the_corpus_is_dealt(entry.queries()[name](spark, sf)), name
     lines = plan(entry.queries()["nested_manifest_issues"](spark, sf)).split("\n")
     assert not [line for line in lines if "Exchange hashpartitioning" in line and "view_id" in line]
+
+
+def test_validation_keeps_rows_of_all_grains_in_their_parts(spark, sf):
+    assert dealt_again(entry.queries()["dataset_validation"](spark, sf)) == 0
+    m = orders_mesh(spark, sf)
+    coo = G.laplacian_matrix(m.vertices, m.faces.selectExpr("model_id", "i0 AS u", "i1 AS w").distinct())
+    assert "Union" not in plan(coo) and coo.filter("row = col AND value <> 1").count() == 0
