@@ -9,7 +9,7 @@ from meshquilt.operators import geometry as G
 from meshquilt.operators import selection as S
 from meshquilt.operators import topology as T
 from meshquilt.operators.ranking import ranked
-from meshquilt.sources.scratch import shuffled_joins
+from meshquilt.sources.scratch import kept_in_parts, shuffled_joins
 
 #: The fields that a merge must leave as they were.
 FROZEN = ("faces", "edges", "current_positions", "target_positions", "current_laplacian", "target_laplacian", "edge_scale", "normalization", "sample_id", "split")
@@ -72,13 +72,14 @@ def relative_paths(paths, root: str):
 def synthetic_sample(vertices: DataFrame, faces: DataFrame, seed: int, **how) -> DataFrame:
     """One perturbed current mesh per model with its training fields: model_id, vid, current, target, both Laplacians, the
     edge scale of the current mesh and the scale-normalised target."""
-    current = G.perturb(vertices, faces, seed, **how)
+    n = vertices.count()
+    # stored and dealt by model, so that the joins of the fields are planned in the models' parts
+    cur = kept_in_parts(G.perturb(vertices, faces, seed, **how).select("model_id", "vid", "x", "y", "z"), n)
     edges = T.unique_edges(faces)
-    cur = current.select("model_id", "vid", "x", "y", "z")
     lap_c, lap_t = G.laplacian(cur, edges), G.laplacian(vertices, edges)
     fields = G.normalized_target(lap_t, G.edge_scale(cur, edges)).select("model_id", "vid", "h", "h2", *(F.col(f"l{k}").alias(f"target_l{k}") for k in "xyz"), *(F.col(f"t{k}").alias(f"target_t{k}") for k in "xyz"), "round_trip_error")
     out = cur.join(vertices.select("model_id", "vid", *(F.col(k).alias(f"target_{k}") for k in "xyz")), ["model_id", "vid"])
-    return out.join(lap_c.select("model_id", "vid", *(F.col(f"l{k}").alias(f"current_l{k}") for k in "xyz")), ["model_id", "vid"]).join(fields, ["model_id", "vid"])
+    return kept_in_parts(out.join(lap_c.select("model_id", "vid", *(F.col(f"l{k}").alias(f"current_l{k}") for k in "xyz")), ["model_id", "vid"]).join(fields, ["model_id", "vid"]), n)
 
 
 def packed_samples(points: DataFrame, faces: DataFrame, paths: DataFrame, split: DataFrame) -> DataFrame:

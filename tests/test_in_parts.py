@@ -110,3 +110,15 @@ def test_validation_keeps_rows_of_all_grains_in_their_parts(spark, sf):
     m = orders_mesh(spark, sf)
     coo = G.laplacian_matrix(m.vertices, m.faces.selectExpr("model_id", "i0 AS u", "i1 AS w").distinct())
     assert "Union" not in plan(coo) and coo.filter("row = col AND value <> 1").count() == 0
+
+
+def test_rounds_of_perturbation_are_worked_in_one_task(spark, sf):
+    """Nothing but the corpus is dealt and no round is written; what comes out neither flips nor collapses, however strong the noise."""
+    m = orders_mesh(spark, sf)
+    f = m.faces.withColumn("i2", F.when((F.col("model_id") == 1) & (F.col("fid") == 0), 999999).otherwise(F.col("i2")))  # a corner that names no vertex
+    out = G.perturb(m.vertices, f, 7, std_h=2.0)
+    assert only_the_corpus_is_dealt(out) and "meshquilt-" not in plan(out)
+    got = out.localCheckpoint()
+    assert got.count() == m.vertices.count() and got.filter("abs(offset) > 0.001").count() > 100
+    assert G.topology_change(m.vertices, got, f).filter("flipped OR collapsed").count() == 0
+    assert dealt_again(entry.queries()["synthetic_samples"](spark, sf)) == 0
