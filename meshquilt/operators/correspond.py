@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meshquilt.functions import vec as V
-from meshquilt.kernels import closest, packed, simplify
+from meshquilt.kernels import closest, noise, packed, simplify
 from meshquilt.operators import geometry as G
 from meshquilt.operators import topology as T
 
@@ -108,6 +108,60 @@ def provenance_targets(expanded: DataFrame, parents: DataFrame, vertices: DataFr
     return good.join(kind.select("model_id", "vid", "kind"), ["model_id", "vid"]).unionByName(second)
 
 
+def packed_targets(vertices: DataFrame, faces: DataFrame, target: int, limit: float = COMPONENT_FALLBACK) -> DataFrame:
+    """``simplified``, ``uniform`` of that and ``provenance_targets`` on the fine mesh, a model in one task: model_id, vid, kind, distance, fid, w0, w1, w2, and error
+    in the one row of a model that cannot be worked."""
+
+    def kernel(_model, _vids, v, fids, f):
+        nv, nf, to = _collapsed(v, f, target, 4)
+        edges = noise.edges_of(len(nv), nf)
+        n, u = len(nv), edges[:, 0]
+        points = np.concatenate((nv, (nv[u] + nv[edges[:, 1]]) / 2))
+        anchor = np.concatenate((np.arange(n), u))
+        # candidates: faces of a vertex's cluster, and those between the clusters of an edge
+        c = to[f]
+        place = np.flatnonzero((c >= 0).all(axis=1))
+        c = c[place]
+        key = np.concatenate([np.stack((c[:, k], place), axis=1) for k in range(3)])
+        ends = np.sort(np.concatenate((c[:, [0, 1]], c[:, [1, 2]], c[:, [0, 2]])), axis=1)
+        code, wanted = edges[:, 0] * n + edges[:, 1], ends[:, 0] * n + ends[:, 1]
+        at = np.minimum(np.searchsorted(code, wanted), max(len(code) - 1, 0))
+        met = code[at] == wanted if len(code) else np.zeros(len(wanted), bool)
+        pairs = np.unique(np.concatenate((key, np.stack((n + at, np.tile(place, 3)), axis=1)[met])), axis=0)
+        a, b, d = (v[f[:, k]] for k in range(3))
+        vid, face, weight, dist = _nearest_of(points, pairs, a, b, d)
+        good = dist <= limit
+        found = [(vid[good], (vid[good] >= n).astype(np.int32), dist[good], face[good], weight[good])]
+        rest = np.setdiff1d(np.arange(len(points)), vid[good])
+        if len(rest) and len(f):
+            label = simplify.components(len(v), noise.edges_of(len(v), f))
+            part = np.full(n, len(v))
+            np.minimum.at(part, to[to >= 0], label[to >= 0])
+            for one in np.unique(part[anchor[rest]]):
+                own, there = rest[part[anchor[rest]] == one], np.flatnonzero(label[f[:, 0]] == one)
+                if not len(there):
+                    continue
+                if np.isfinite(points[own]).all() and np.isfinite(v[f[there]]).all():
+                    k, w, far = closest.surface(points[own], v, f[there])
+                    hit = (own, there[k], w, far)
+                else:
+                    hit = _nearest_of(points, np.stack((np.repeat(own, len(there)), np.tile(there, len(own))), axis=1), a, b, d)
+                found.append((hit[0], np.where(hit[0] >= n, 3, 2).astype(np.int32), hit[3], hit[1], hit[2]))
+        vid, kind, dist, face, weight = (np.concatenate(x) for x in zip(*found, strict=True))
+        return {"vid": vid, "kind": kind, "distance": dist, "fid": fids[face], "w0": weight[:, 0], "w1": weight[:, 1], "w2": weight[:, 2]}
+
+    return packed.each_model(packed.pack(vertices, faces), kernel, "vid bigint, kind int, distance double, fid bigint, w0 double, w1 double, w2 double")
+
+
+def _nearest_of(points, pairs, a, b, c):
+    """(point, face, weights, distance) of the nearest face among the pairs (point, face) of each point; ties: the smallest face."""
+    d2, w = closest.on_triangles(points[pairs[:, 0]], a[pairs[:, 1]], b[pairs[:, 1]], c[pairs[:, 1]])
+    order = np.lexsort((pairs[:, 1], d2, pairs[:, 0]))
+    at = pairs[order, 0]
+    first = order[np.flatnonzero(np.diff(at, prepend=-1))]
+    return pairs[first, 0], pairs[first, 1], w[first], np.sqrt(d2[first])
+
+
 def split_clusters(mapping: DataFrame, labels: DataFrame) -> DataFrame:
     """Coarse vertices whose members come from more than one component (there should be none)."""
     return mapping.join(labels, ["model_id", "vid"]).groupBy("model_id", "coarse_vid").agg(F.count_distinct("component").alias("n")).filter("n > 1")
@@ -146,14 +200,18 @@ def simplified(vertices: DataFrame, faces: DataFrame, target: int, least: int =
     and fine vertex (2: id, coarse id). A mesh at or under the target passes through."""
 
     def kernel(_model, vids, v, _fids, f):
-        nv, nf, to, _ = simplify.collapse(v, f, target, least) if len(v) > target else (v, f, np.arange(len(v)), [])
-        if len(nv) < min(least, len(v)):
-            raise ValueError(f"{len(nv)} vertices left, at least {least} asked for")
-        return _kinds(vids, nv, nf, to)
+        return _kinds(vids, *_collapsed(v, f, target, least))
 
     return packed.each_model(packed.pack(vertices, faces), kernel, "kind int, id bigint, a double, b double, c double")
 
 
+def _collapsed(v, f, target, least):
+    nv, nf, to, _ = simplify.collapse(v, f, target, least) if len(v) > target else (v, f, np.arange(len(v)), [])
+    if len(nv) < min(least, len(v)):
+        raise ValueError(f"{len(nv)} vertices left, at least {least} asked for")
+    return nv, nf, to
+
+
 def simplified_by_component(vertices: DataFrame, faces: DataFrame, ratio: float, least: int = 4) -> DataFrame:
     def kernel(_model, vids, v, _fids, f):
         nv, nf, to, _ = simplify.by_component(v, f, ratio, least)

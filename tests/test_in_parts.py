@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from meshquilt.kernels import simplify
+from meshquilt.operators import correspond as C
 from meshquilt.operators import geometry as G
 from meshquilt.operators import nearest as N
 from meshquilt.operators import subdivide as D
+from meshquilt.operators import topology as T
 from meshquilt.sources.corpus import orders_mesh
 from meshquilt.sources.scratch import joined_in_parts
 
@@ -122,3 +124,19 @@ def test_rounds_of_perturbation_are_worked_in_one_task(spark, sf):
     assert got.count() == m.vertices.count() and got.filter("abs(offset) > 0.001").count() > 100
     assert G.topology_change(m.vertices, got, f).filter("flipped OR collapsed").count() == 0
     assert dealt_again(entry.queries()["synthetic_samples"](spark, sf)) == 0
+
+
+def test_packed_targets_are_those_of_the_joins(spark, sf):
+    """Clusters' and edges' faces first, then components: the same rows as by joins, and nothing but the corpus is dealt."""
+    m = orders_mesh(spark, sf)
+    v, f = (df.filter("model_id < 2").localCheckpoint() for df in (m.vertices, m.faces))
+    f = f.filter("fid % 32 NOT IN (10, 11)").localCheckpoint()  # two components
+    res = C.simplified(v, f, 20).localCheckpoint()
+    cv, cf, mapping = C.unpacked(res)
+    ev, _, parents = D.uniform(cv, cf)
+    want = C.provenance_targets(ev, parents, v, f, mapping, T.components(v, T.unique_edges(f)))
+    names = ("model_id", "vid", "kind", "fid", "distance", "w0", "w1", "w2")
+    rows = lambda df: sorted((*r[:4], *(round(x, 12) for x in r[4:])) for r in df.select(*names).collect())
+    got = C.packed_targets(v, f, 20)
+    assert rows(got) == rows(want) and {r[2] for r in rows(got)} == {0, 1, 2, 3} and got.filter("error IS NOT NULL").count() == 0
+    assert only_the_corpus_is_dealt(entry.queries()["provenance_targets"](spark, sf))
